@@ -129,6 +129,7 @@ class Match:
         return self.df.select(*picked)
 
     def _named(self, name: str) -> Column:
+        """`a.name` comes out as `a_name`; a plain column under its own name."""
         return self[name].alias(name.replace(".", "_"))
 
     def group(self, by: Iterable[str] = (), keep: Mapping[str, Iterable[str]] | None = None, **aggregates) -> DataFrame:
