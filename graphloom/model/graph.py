@@ -129,6 +129,8 @@ def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
             target[f.name] = joined
 
     def fitted(df: DataFrame) -> DataFrame:
+        if [(f.name, f.dataType) for f in df.schema.fields] == list(target.items()):
+            return df
         present = {f.name: f.dataType for f in df.schema.fields}
         return df.select(
             [

@@ -13,38 +13,45 @@ KEY_BITS = 56
 _FRAME_SHIFT = 55
 
 
-def serialized_id(kind: int | str, columns: Sequence[Column]) -> Column:
-    """Key made of the element kind and column values. Each value carries its length and null has a
-    mark of its own, so different values never make one key."""
-    if not columns:
-        raise GraphError("an id needs at least one column")
+def sql_name(name: str) -> str:
+    """Column name as it stands in an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def part(column: Column) -> Column:
-        text = column.cast("string")
-        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
 
-    return F.concat(F.lit(f"{kind}|"), *[part(c) for c in columns])
+def serialized_id(kind: int | str, values: Sequence[str]) -> Column:
+    """Key made of the element kind and values, given as SQL expressions. Each value carries its length
+    and null has a mark of its own, so different values never make one key."""
+    if not values:
+        raise GraphError("an id needs at least one column")
+    parts = [
+        f"coalesce(concat(length(cast({v} AS STRING)), ':', cast({v} AS STRING)), '~')" for v in values
+    ]
+    return F.expr(f"concat({_text_literal(f'{kind}|')}, {', '.join(parts)})")
 
 
-def hashed_id(view: str, labels: Sequence[str], columns: Sequence[Column]) -> Column:
-    """64-bit hash of view, labels and column values. Compact, but two of n elements collide with a
+def hashed_id(view: str, labels: Sequence[str], values: Sequence[str]) -> Column:
+    """64-bit hash of view, labels and values. Compact, but two of n elements collide with a
     probability of about n * n / 2**65."""
-    if not columns:
+    if not values:
         raise GraphError("an id needs at least one column")
-    return F.xxhash64(F.lit(view), *[F.lit(label) for label in sorted(labels)], *columns)
+    names = [_text_literal(text) for text in (view, *sorted(labels))]
+    return F.expr(f"xxhash64({', '.join([*names, *values])})")
 
 
-def packed_id(tag: int, key: Column) -> Column:
+def packed_id(tag: int, key: str) -> Column:
     """Long id that carries a tag above a non-negative key of up to 56 bits. A key that does not fit
     is an error, so ids with different tags never meet."""
     if not 0 <= tag < 128:
         raise GraphError(f"tags go from 0 to 127, not {tag}")
-    key = key.cast("long")
-    fits = (key >= 0) & (key < F.lit(1 << KEY_BITS))
-    return (
-        F.when(key.isNull(), F.lit(None).cast("long"))
-        .when(fits, key.bitwiseOR(F.lit(tag << KEY_BITS)))
-        .otherwise(F.raise_error(F.concat(F.lit("key out of range for a packed id: "), key.cast("string"))))
+    value = f"cast({sql_name(key)} AS BIGINT)"
+    return F.expr(
+        f"CASE WHEN {value} IS NULL THEN CAST(NULL AS BIGINT) "
+        f"WHEN {value} BETWEEN 0 AND {(1 << KEY_BITS) - 1} THEN {value} | {tag << KEY_BITS} "
+        f"ELSE raise_error(concat('key out of range for a packed id: ', {value})) END"
     )
 
 

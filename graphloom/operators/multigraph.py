@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from graphloom.errors import GraphSchemaError
 from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
-from graphloom.operators.ids import serialized_id, tagged_id
-from graphloom.operators.patterns import Match
+from graphloom.operators.ids import serialized_id, sql_name, tagged_id
+from graphloom.operators.patterns import Match, flat
 
 
 def _one_type(types: Iterable[T.DataType]) -> T.DataType:
@@ -127,7 +127,7 @@ def construct(
     bound = sorted([*match.nodes, *match.rels])
 
     def row_key(kind: str) -> Column:
-        return serialized_id(kind, [_text(match.df, match.id(v), f"{v}__id") for v in bound])
+        return serialized_id(kind, [_text(match.df, flat(v, ID)) for v in bound])
 
     new_nodes = {c.name: c for c in create if isinstance(c, CreateNode)}
 
@@ -138,7 +138,7 @@ def construct(
         var, tag = which
         combos = match.nodes[var]
         known = next(iter(combos)) if len(combos) == 1 else frozenset()
-        return rule.node_id(tag, match.id(var), match.df.schema[f"{var}__id"].dataType), known
+        return rule.node_id(tag, match.id(var), match.df.schema[flat(var, ID)].dataType), known
 
     for position, item in enumerate(create):
         if isinstance(item, CreateNode):
@@ -170,5 +170,6 @@ def construct(
     return PropertyGraph.from_tables(*tables, spark=match.df.sparkSession)
 
 
-def _text(df: DataFrame, column: Column, name: str) -> Column:
-    return F.to_json(column) if isinstance(df.schema[name].dataType, T.StructType) else column.cast("string")
+def _text(df: DataFrame, name: str) -> str:
+    column = sql_name(name)
+    return f"to_json({column})" if isinstance(df.schema[name].dataType, T.StructType) else column

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,15 +32,16 @@ def exact_sum(column: Column) -> Column:
 
 
 def _rel_id(kind: str, *columns: str) -> Column:
-    return serialized_id(kind, [F.col(c) for c in columns]).alias("id")
+    return serialized_id(kind, columns).alias("id")
 
 
 def _node(df: DataFrame, label: str, tag: int, key: str, properties: dict[str, str]) -> NodeTable:
     return NodeTable(
-        label, df.select(packed_id(tag, F.col(key)).alias("id"), *[F.col(c).alias(p) for p, c in properties.items()])
+        label, df.select(packed_id(tag, key).alias("id"), *[F.col(c).alias(p) for p, c in properties.items()])
     )
 
 
+@lru_cache(maxsize=8)
 def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     """`(Customer)-[PLACED]->(Order)-[CONTAINS]->(Part)<-[SUPPLIES]-(Supplier)`, and customers and
     suppliers `-[IN_NATION]->(Nation)-[IN_REGION]->(Region)`."""
@@ -64,8 +67,8 @@ def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
 
     def ends(source: tuple[int, str], target: tuple[int, str]) -> list[Column]:
         return [
-            packed_id(source[0], F.col(source[1])).alias("source"),
-            packed_id(target[0], F.col(target[1])).alias("target"),
+            packed_id(source[0], source[1]).alias("source"),
+            packed_id(target[0], target[1]).alias("target"),
         ]
 
     rels = [
@@ -119,6 +122,7 @@ def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     return PropertyGraph.from_tables(*nodes, *rels)
 
 
+@lru_cache(maxsize=8)
 def activity_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     """`(User)-[DID {ts, value}]->(EventType)` from the events table. Ids are texts."""
     events = table(spark, folder, "events")
@@ -137,6 +141,7 @@ def activity_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     )
 
 
+@lru_cache(maxsize=8)
 def shop_documents(spark: SparkSession, folder: str) -> DocumentStore:
     """Customers and parts as vertex documents, orders as edge documents from customer to order."""
     customer, part, orders = (table(spark, folder, n) for n in ("customer", "part", "orders"))

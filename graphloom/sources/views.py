@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from graphloom.errors import GraphError, GraphNotFoundError, GraphSchemaError
 from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
 from graphloom.model.schema import GraphSchema
-from graphloom.operators.ids import hashed_id, serialized_id
+from graphloom.operators.ids import hashed_id, serialized_id, sql_name
 
 # Reader options unless others are given.
 JDBC_FETCH_SIZE = "100"
@@ -171,10 +171,11 @@ class ViewGraphSource:
             raise GraphError(f"view '{view}': no data source '{source}' among {sorted(self._readers)}")
         return self._readers[source].read(self._spark, rest)
 
-    def _id(self, labels: Sequence[str], view: str, columns: list[Column]) -> Column:
+    def _id(self, labels: Sequence[str], view: str, columns: list[str]) -> Column:
+        values = [sql_name(c) for c in columns]
         if self._hashed:
-            return hashed_id(view, labels, columns)
-        return serialized_id(f"{view}|{':'.join(sorted(labels))}", columns)
+            return hashed_id(view, labels, values)
+        return serialized_id(f"{view}|{':'.join(sorted(labels))}", values)
 
     def graph(self, name: str) -> PropertyGraph:
         if name not in self._graphs:
@@ -187,7 +188,7 @@ class ViewGraphSource:
             df = self._read(node.view)
             key = keys[frozenset(node.labels), node.view] or tuple(c.lower() for c in sorted(df.columns))
             properties = node.properties if node.properties is not None else {c: c for c in df.columns}
-            element_id = self._id(node.labels, node.view, [quoted(column_named(df, c)) for c in key])
+            element_id = self._id(node.labels, node.view, [column_named(df, c) for c in key])
             types = spec.schema.node_property_keys(node.labels)
             tables.append(NodeTable(node.labels, df.select(element_id.alias(ID), *normalized(df, properties, types))))
 
@@ -199,9 +200,9 @@ class ViewGraphSource:
                 key = keys.get((frozenset(end.labels), end.view))
                 if key is None:
                     raise GraphSchemaError(f"{edge.rel_type} ends at nodes {end.labels} of '{end.view}', which are none")
-                columns = [quoted(column_named(df, by_node_column[c])) for c in key]
+                columns = [column_named(df, by_node_column[c]) for c in key]
                 ends.append(self._id(end.labels, end.view, columns))
-            whole_row = [quoted(c) for c in sorted(df.columns)]
+            whole_row = sorted(df.columns)
             tables.append(
                 RelTable(
                     edge.rel_type,
