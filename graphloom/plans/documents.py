@@ -1 +1,389 @@
-"""."""
+"""Customers, parts and orders as documents with property lists."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from graphloom.functions import structs
+from graphloom.operators import aggregates as agg
+from graphloom.operators import documents as d
+from graphloom.operators import metadata as meta
+from graphloom.operators import updates
+from graphloom.operators.table import page
+from graphloom.plans.registry import query
+from graphloom.plans.tables import DATASOURCE, exact_sum, shop_documents, table
+from graphloom.sources.documents import EDGE, VERTEX
+
+CUSTOMER_KEYS = {"acctbal": T.DoubleType(), "name": T.StringType(), "nation": T.IntegerType(), "segment": T.StringType()}
+ORDER_KEYS = {"priority": T.StringType(), "status": T.StringType(), "totalprice": T.DoubleType()}
+
+
+def _vertices(spark, folder):
+    return shop_documents(spark, folder)._documents[VERTEX]
+
+
+def _edges(spark, folder):
+    return shop_documents(spark, folder)._documents[EDGE]
+
+
+@query(
+    "doc_scan",
+    """
+    SELECT id, label, n FROM (
+        SELECT 'c' || c_custkey AS id, 'customer' AS label, 4 AS n FROM customer
+        UNION ALL SELECT 'p' || p_partkey, 'part', 4 FROM part)
+    """,
+)
+def doc_scan(spark, folder):
+    docs = shop_documents(spark, folder).vertices(DATASOURCE)
+    return docs.select("id", "label", F.size("properties").alias("n"))
+
+
+@query("doc_scan_label", "SELECT 'p' || p_partkey AS id, p_name AS name FROM part")
+def doc_scan_label(spark, folder):
+    docs = shop_documents(spark, folder).vertices(DATASOURCE, "part")
+    return docs.select("id", d.property_value(F.col("properties"), "name").alias("name"))
+
+
+@query(
+    "doc_scan_labels",
+    "SELECT 'customer' AS label, count(*) AS n FROM customer UNION ALL SELECT 'part', count(*) FROM part",
+)
+def doc_scan_labels(spark, folder):
+    docs = shop_documents(spark, folder).vertices(DATASOURCE, ["customer", "part", "unknown"])
+    return agg.group(docs, ["label"], n=agg.count_all())
+
+
+@query(
+    "doc_edges",
+    "SELECT 'o' || o_orderkey AS id, 'c' || o_custkey AS src, 'o' || o_orderkey AS dst FROM orders",
+)
+def doc_edges(spark, folder):
+    return shop_documents(spark, folder).edges(DATASOURCE, "placed").select("id", "src", "dst")
+
+
+@query(
+    "doc_count",
+    "SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) AS n_vertices, "
+    "(SELECT count(*) FROM orders) AS n_edges, 'shop' AS datasource",
+)
+def doc_count(spark, folder):
+    return shop_documents(spark, folder).datasources()
+
+
+@query(
+    "eav_explode_vertex",
+    """
+    SELECT 'c' || c_custkey AS id, 'c' || c_custkey AS id_, 'customer' AS label, c_acctbal AS acctbal,
+        c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer
+    """,
+)
+def eav_explode_vertex(spark, folder):
+    docs = _vertices(spark, folder).where("datasource = 'shop' AND label = 'customer'")
+    return d.explode_vertices(docs, CUSTOMER_KEYS).drop("timestamp", "datasource")
+
+
+@query(
+    "eav_explode_edge",
+    """
+    SELECT 'o' || o_orderkey AS id, 'c' || o_custkey AS source, 'o' || o_orderkey AS target,
+        'c' || o_custkey AS src, 'o' || o_orderkey AS dst, o_orderpriority AS priority, o_orderstatus AS status,
+        o_totalprice AS totalprice, CAST(o_orderdate AS DATE) AS day FROM orders
+    """,
+)
+def eav_explode_edge(spark, folder):
+    docs = _edges(spark, folder).where("datasource = 'shop' AND label = 'placed'")
+    rows = d.explode_edges(docs, ORDER_KEYS).withColumn("day", F.to_date("timestamp"))
+    return rows.drop("timestamp", "datasource", "label", "id_")
+
+
+@query(
+    "doc_bad_values",
+    "SELECT c_mktsegment AS segment, count(*) AS n, CAST(0 AS BIGINT) AS n_numbers FROM customer GROUP BY 1",
+)
+def doc_bad_values(spark, folder):
+    """A key declared with a type its values do not have reads as null; the rows stay."""
+    docs = _vertices(spark, folder).where("label = 'customer'")
+    rows = d.explode_vertices(docs, {"segment": T.StringType(), "name": T.LongType()})
+    return agg.group(rows, ["segment"], n=agg.count_all(), n_numbers=agg.count(F.col("name")))
+
+
+@query(
+    "doc_repeated_keys",
+    "SELECT 'c' || c_custkey AS id, 'name' AS key, 2 AS n FROM customer WHERE c_acctbal < 0",
+)
+def doc_repeated_keys(spark, folder):
+    docs = _vertices(spark, folder).where("label = 'customer'")
+    balance = d.property_value(F.col("properties"), "acctbal").cast("double")
+    doubled = docs.withColumn(
+        "properties",
+        F.when(balance < 0, F.array_append("properties", F.col("properties")[0])).otherwise(F.col("properties")),
+    )
+    return d.repeated_keys(doubled)
+
+
+@query(
+    "doc_graph",
+    """
+    SELECT c_mktsegment AS segment, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'P' GROUP BY 1
+    """,
+)
+def doc_graph(spark, folder):
+    """The graph of a datasource, with types found in its documents:
+    MATCH (c:customer)-[r:placed {status: 'P'}]->() RETURN c.segment, count(*), sum(r.totalprice)"""
+    graph = shop_documents(spark, folder).graph(DATASOURCE, {"placed": ("customer", "order")})
+    rels = graph.match_relationships("r", "placed", where=lambda m: m["r.status"] == "P")
+    customers = graph.match("c", "customer")
+    m = customers.with_rows(customers.df.join(rels.df, customers.id("c") == rels.start_node("r")))
+    return m.df.groupBy(m["c.segment"].alias("segment")).agg(
+        agg.count_all().alias("n"), exact_sum(rels["r.totalprice"]).alias("total")
+    )
+
+
+# -- metadata -------------------------------------------------------------------------------------
+
+_LABELS = """
+    SELECT 'customer' AS label, count(*) AS n FROM customer UNION ALL SELECT 'part', count(*) FROM part
+"""
+
+
+@query(
+    "meta_datasources",
+    "SELECT 'shop' AS datasource, (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) AS n",
+)
+def meta_datasources(spark, folder):
+    return meta.datasources(_vertices(spark, folder))
+
+
+@query("meta_labels", f"SELECT 'shop' AS datasource, label, n FROM ({_LABELS})")
+def meta_labels(spark, folder):
+    return meta.labels(_vertices(spark, folder), DATASOURCE)
+
+
+_KEYS = """
+    SELECT 'customer' AS label, key, type, n FROM (SELECT unnest(['acctbal', 'name', 'nation', 'segment']) AS key,
+        unnest(['java.lang.Double', 'java.lang.String', 'java.lang.Integer', 'java.lang.String']) AS type),
+        (SELECT count(*) AS n FROM customer)
+    UNION ALL SELECT 'part', key, type, n FROM (SELECT unnest(['brand', 'name', 'retailprice', 'size']) AS key,
+        unnest(['java.lang.String', 'java.lang.String', 'java.lang.Double', 'java.lang.Integer']) AS type),
+        (SELECT count(*) AS n FROM part)
+"""
+
+
+@query("meta_keys", f"SELECT 'shop' AS datasource, label, key, n FROM ({_KEYS})")
+def meta_keys(spark, folder):
+    return meta.keys(_vertices(spark, folder), DATASOURCE)
+
+
+@query(
+    "meta_keytypes",
+    """
+    SELECT 'shop' AS datasource, 'customer' AS label, 'level' AS key,
+        CASE WHEN n_neg > n - n_neg THEN 'java.lang.Integer' ELSE 'java.lang.String' END AS type,
+        greatest(n_neg, n - n_neg) AS n_type, n AS n_key, n_neg > 0 AND n_neg < n AS mixed_types, n < n_all AS nullable
+    FROM (SELECT count(*) FILTER (c_mktsegment <> 'BUILDING') AS n,
+        count(*) FILTER (c_mktsegment <> 'BUILDING' AND c_acctbal < 0) AS n_neg, count(*) AS n_all FROM customer)
+    """,
+)
+def meta_keytypes(spark, folder):
+    """A key that some documents lack and others hold with either of two types."""
+    customer = table(spark, folder, "customer")
+    level = F.when(
+        F.col("c_acctbal") < 0, d.document_property("level", F.lit(0), T.IntegerType())
+    ).otherwise(d.document_property("level", F.lit("rich"), T.StringType()))
+    docs = customer.select(
+        F.lit("shop").alias("datasource"),
+        F.lit("customer").alias("label"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.array(level)).otherwise(F.array()).alias("properties"),
+    )
+    return meta.key_types(docs, DATASOURCE, "customer")
+
+
+@query(
+    "meta_scan",
+    f"""
+    SELECT 'vertex' AS kind, 'shop' AS datasource, label, n AS n_docs, key, type, n AS n_type, n AS n_key,
+        false AS mixed_types FROM ({_KEYS})
+    UNION ALL SELECT 'edge', 'shop', 'placed', n, key, type, n, n, false FROM (
+        SELECT unnest(['priority', 'status', 'totalprice']) AS key,
+            unnest(['java.lang.String', 'java.lang.String', 'java.lang.Double']) AS type),
+        (SELECT count(*) AS n FROM orders)
+    """,
+)
+def meta_scan(spark, folder):
+    return shop_documents(spark, folder).scan()
+
+
+# -- exploded properties --------------------------------------------------------------------------
+
+
+@query(
+    "hive_explode",
+    """
+    SELECT id, label, p_key, p_type, p_value FROM (
+        SELECT 'p' || p_partkey AS id, 'part' AS label, unnest(['name', 'brand', 'size']) AS p_key,
+            unnest(['java.lang.String', 'java.lang.String', 'java.lang.Integer']) AS p_type,
+            unnest([p_name, p_brand, CAST(p_size AS VARCHAR)]) AS p_value FROM part)
+    """,
+)
+def hive_explode(spark, folder):
+    rows = d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
+    return rows.where("p_key <> 'retailprice'")
+
+
+@query(
+    "hive_typed_values",
+    "SELECT 'p' || p_partkey AS id, 'part' AS label, p_size AS size FROM part "
+    "ORDER BY size DESC, id LIMIT 200",
+)
+def hive_typed_values(spark, folder):
+    rows = d.typed_values(_vertices(spark, folder).where("label = 'part'"), "size", "int", "size")
+    return page(rows, F.col("size").desc(), F.col("id"), limit=200)
+
+
+@query(
+    "property_regroup",
+    """
+    SELECT 'p' || p_partkey AS id, 'part' AS label,
+        'brand:' || p_brand || ',name:' || p_name || ',size:' || p_size AS regrouped FROM part
+    """,
+)
+def property_regroup(spark, folder):
+    exploded = d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
+    regrouped = d.regroup_properties(d.property_structs(exploded.where("p_key <> 'retailprice'")))
+    text = F.transform("arr_properties", lambda p: F.concat(p["key"], F.lit(":"), p["value"]))
+    return regrouped.select("id", "label", F.array_join(text, ",").alias("regrouped"))
+
+
+@query(
+    "property_struct",
+    "SELECT 'c' || c_custkey AS id, c_mktsegment AS value, 'java.lang.String' AS type FROM customer",
+)
+def property_struct(spark, folder):
+    exploded = d.explode_properties(_vertices(spark, folder).where("label = 'customer'")).where("p_key = 'segment'")
+    return d.property_structs(exploded).select("id", "new_property.value", "new_property.type")
+
+
+@query(
+    "struct_columns",
+    """
+    SELECT c_custkey AS id, 'shop/' || c_mktsegment AS url, c_name AS picture, c_mktsegment AS first_tag,
+        2 AS n_tags FROM customer
+    """,
+)
+def struct_columns(spark, folder):
+    """Documents with a struct column and a list of texts."""
+    docs = table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.struct(
+            F.concat(F.lit("shop/"), F.col("c_mktsegment")).alias("url"), F.col("c_name").alias("picture")
+        ).alias("links"),
+        F.array("c_mktsegment", "c_name").alias("tags"),
+    )
+    return docs.select(
+        "id", "links.url", "links.picture", F.col("tags")[0].alias("first_tag"), F.size("tags").alias("n_tags")
+    )
+
+
+@query(
+    "table_counts",
+    "SELECT 'customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'orders', count(*) FROM orders",
+)
+def table_counts(spark, folder):
+    return d.table_counts(customer=table(spark, folder, "customer"), orders=table(spark, folder, "orders"))
+
+
+@query(
+    "property_lookup",
+    """
+    SELECT 'c' || c_custkey AS id, c_mktsegment AS segment, c_mktsegment AS by_sql, CAST(NULL AS VARCHAR) AS missing,
+        true AS has_name, 'name,acctbal,segment,nation' AS keys FROM customer
+    """,
+)
+def property_lookup(spark, folder):
+    structs.register_sql_functions(spark)
+    properties = F.col("properties")
+    docs = _vertices(spark, folder).where("label = 'customer'")
+    return docs.select(
+        "id",
+        d.property_value(properties, "segment").alias("segment"),
+        F.expr("property_get(properties, 'segment')").alias("by_sql"),
+        d.property_value(properties, "unknown").alias("missing"),
+        d.has_property(properties, "name").alias("has_name"),
+        F.array_join(structs.field_of_each(properties, "key"), ",").alias("keys"),
+    )
+
+
+# -- changes --------------------------------------------------------------------------------------
+
+
+def _timed(docs, day):
+    return docs.withColumn("timestamp", F.to_timestamp(F.lit(day)))
+
+
+@query(
+    "upsert_docs",
+    """
+    SELECT 'c' || c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 'DEBTOR' ELSE c_mktsegment END AS segment FROM customer
+    UNION ALL SELECT 'n' || s_suppkey, 'NEW' FROM supplier
+    """,
+)
+def upsert_docs(spark, folder):
+    """Customers in debt get a new segment, suppliers come in as new documents. Every change comes
+    twice, and the later one stays."""
+    old = _timed(_vertices(spark, folder).where("label = 'customer'"), "2024-01-01")
+    in_debt = old.where(d.property_value(F.col("properties"), "acctbal").cast("double") < 0)
+    first = _timed(updates.set_property(in_debt, "segment", F.lit("LATE"), T.StringType()), "2024-02-01")
+    second = _timed(updates.set_property(in_debt, "segment", F.lit("DEBTOR"), T.StringType()), "2024-03-01")
+    added = d.pack_documents(
+        table(spark, folder, "supplier").withColumn("segment", F.lit("NEW")),
+        DATASOURCE, "customer", F.concat(F.lit("n"), F.col("s_suppkey").cast("string")), {"segment": "segment"},
+    )
+    changed = updates.upsert(old, second.unionAll(first).unionAll(_timed(added, "2024-03-01")))
+    return changed.select("id", d.property_value(F.col("properties"), "segment").alias("segment"))
+
+
+@query(
+    "soft_delete_docs",
+    "SELECT 'p' || p_partkey AS id, p_name AS name FROM part WHERE NOT p_size > 40",
+)
+def soft_delete_docs(spark, folder):
+    docs = updates.add_column(_vertices(spark, folder).where("label = 'part'"), "deleted", F.lit(updates.LIVE))
+    size = d.property_value(F.col("properties"), "size").try_cast("int")
+    marked = updates.soft_delete(docs, size > 40)
+    return updates.live(marked).select("id", d.property_value(F.col("properties"), "name").alias("name"))
+
+
+@query(
+    "copy_docs",
+    "SELECT 'o' || o_orderkey AS id, 'N' AS deleted, 3 AS n FROM orders",
+)
+def copy_docs(spark, folder):
+    docs = updates.add_column(_edges(spark, folder), "deleted", F.lit(updates.LIVE))
+    return docs.select("id", "deleted", F.size("properties").alias("n"))
+
+
+@query(
+    "set_property_docs",
+    """
+    SELECT 'p' || p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN p_size + 1 ELSE p_size END AS size,
+        'brand,retailprice,size' AS keys FROM part WHERE p_type = 'PROMO'
+    UNION ALL SELECT 'p' || p_partkey, p_size, 'brand,retailprice,size' FROM part WHERE p_type <> 'PROMO'
+    """,
+)
+def set_property_docs(spark, folder):
+    """Sizes of promoted parts grow by one, and names are removed."""
+    promoted = table(spark, folder, "part").where("p_type = 'PROMO'").select(
+        F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("promo_id")
+    )
+    docs = _vertices(spark, folder).where("label = 'part'").join(promoted, F.col("id") == F.col("promo_id"), "left")
+    size = d.property_value(F.col("properties"), "size").cast("int")
+    grown = updates.set_property(docs, "size", size + 1, T.IntegerType(), F.col("promo_id").isNotNull())
+    changed = updates.remove_property(grown, "name")
+    return changed.select(
+        "id",
+        d.property_value(F.col("properties"), "size").cast("int").alias("size"),
+        F.array_join(F.array_sort(structs.field_of_each(F.col("properties"), "key")), ",").alias("keys"),
+    )

@@ -1 +1,138 @@
-"""."""
+"""Graphs and results written to the shared folder and read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from graphloom.model.graph import PropertyGraph
+from graphloom.operators import aggregates as agg
+from graphloom.plans.registry import query
+from graphloom.plans.tables import exact_sum, shop_graph, table
+from graphloom.session import new_location
+from graphloom.sinks.tables import materialize, save_as_table, save_graph_tables, save_result
+from graphloom.sources.edge_list import edge_list_graph
+from graphloom.sources.graph_files import GraphFiles
+
+_STORED_SQL = """
+    SELECT c_mktsegment AS segment, o_orderpriority AS priority, count(*) AS n,
+        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2
+"""
+
+
+def _sales(spark, folder) -> PropertyGraph:
+    """Customers, orders and who placed them."""
+    graph = shop_graph(spark, folder)
+    return PropertyGraph.from_tables(
+        *graph.node_tables("Customer"), *graph.node_tables("Order"), *graph.rel_tables("PLACED")
+    )
+
+
+def _spending(graph):
+    m = graph.match("c", "Customer").expand("c", "r", "o", types="PLACED", labels="Order")
+    return m.df.groupBy(m["c.segment"].alias("segment"), m["o.priority"].alias("priority")).agg(
+        agg.count_all().alias("n"), exact_sum(m["o.totalprice"]).alias("total")
+    )
+
+
+def _stored(spark, folder, format, **options):
+    files = GraphFiles(spark, new_location(spark, "graphs"), format, **options)
+    files.store("sales", _sales(spark, folder))
+    return files.graph("sales")
+
+
+@query("store_reload_parquet", _STORED_SQL)
+def store_reload_parquet(spark, folder):
+    return _spending(_stored(spark, folder, "parquet"))
+
+
+@query("store_reload_orc", _STORED_SQL)
+def store_reload_orc(spark, folder):
+    return _spending(_stored(spark, folder, "orc"))
+
+
+@query("store_reload_csv", _STORED_SQL)
+def store_reload_csv(spark, folder):
+    return _spending(_stored(spark, folder, "csv"))
+
+
+@query(
+    "graph_tables",
+    """
+    SELECT c_custkey AS custkey, c_name AS name, count(*) AS n FROM customer JOIN orders ON o_custkey = c_custkey
+    WHERE c_acctbal < 0 GROUP BY 1, 2
+    """,
+)
+def graph_tables(spark, folder):
+    """A graph saved as catalog tables, then a node table filtered and joined to an edge table in SQL."""
+    location = new_location(spark, "database")
+    database = f"loom_{location[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    save_graph_tables(_sales(spark, folder), "sales", database)
+    return spark.sql(
+        f"SELECT v.custkey, v.name, count(*) AS n FROM {database}.sales_vertex_customer v "
+        f"JOIN {database}.sales_edge_placed e ON v.id = e.source WHERE v.acctbal < 0 GROUP BY v.custkey, v.name"
+    )
+
+
+@query(
+    "materialized_query",
+    """
+    SELECT o_orderpriority AS priority, count(*) AS n FROM orders WHERE o_totalprice > 250000 GROUP BY 1
+    """,
+)
+def materialized_query(spark, folder):
+    """A table defined by a graph query: saved, then read by name."""
+    location = new_location(spark, "result")
+    name = f"loom_result_{location[-32:]}"
+    m = shop_graph(spark, folder).match("o", "Order", where=lambda m: m["o.totalprice"] > 250000)
+    materialize(m.select(priority="o.priority", orderkey="o.orderkey"), name, location)
+    return agg.group(spark.table(name), ["priority"], n=agg.count_all())
+
+
+@query(
+    "saved_result",
+    "SELECT s_suppkey AS suppkey, s_name AS name FROM supplier WHERE s_acctbal > 0",
+)
+def saved_result(spark, folder):
+    m = shop_graph(spark, folder).match("s", "Supplier", where=lambda m: m["s.acctbal"] > 0)
+    path = save_result(m.select(suppkey="s.suppkey", name="s.name"), new_location(spark, "result"), "suppliers")
+    return spark.read.parquet(path)
+
+
+@query(
+    "result_as_table",
+    "SELECT p_partkey AS partkey, p_name AS name FROM part WHERE p_size > 30",
+)
+def result_as_table(spark, folder):
+    """A result under a view name, and a managed table made of the view."""
+    location = new_location(spark, "database")
+    database = f"loom_{location[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    m = shop_graph(spark, folder).match("p", "Part", where=lambda m: m["p.size"] > 30)
+    save_as_table(m.select(partkey="p.partkey", name="p.name"), f"view_{location[-32:]}", f"{database}.parts")
+    return spark.table(f"{database}.parts")
+
+
+@query(
+    "edge_list_graph",
+    """
+    SELECT (SELECT count(*) FROM (SELECT o_custkey FROM orders UNION SELECT 10000000 + o_orderkey FROM orders)) AS n_nodes,
+        count(*) AS n_edges, count(*) AS n_ids, count(DISTINCT o_custkey) AS n_sources FROM orders
+    """,
+)
+def edge_list(spark, folder):
+    """An edge list in text files, written from the orders, read as a graph."""
+    path = new_location(spark, "edge-list")
+    orders = table(spark, folder, "orders").select("o_custkey", F.col("o_orderkey") + 10_000_000)
+    orders.write.option("sep", " ").csv(path)
+    graph = edge_list_graph(spark, path)
+    m = graph.match_relationships("e", "E")
+    edges = agg.group(
+        m.df,
+        n_edges=agg.count_all(),
+        n_ids=agg.count_distinct(m.id("e")),
+        n_sources=agg.count_distinct(m.start_node("e")),
+    )
+    nodes = agg.group(graph.match("v", "V").df, n_nodes=agg.count_all())
+    return edges.select("*", nodes.select("n_nodes").scalar().alias("n_nodes"))
