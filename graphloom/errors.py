@@ -19,3 +19,7 @@ class GraphNotFoundError(GraphError):
 
 class GraphExistsError(GraphError):
     """A graph is already stored under that name."""
+
+
+class UnboundVariable(GraphSchemaError):
+    """A pattern has no variable of that name."""

@@ -29,18 +29,48 @@ def _require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
         raise GraphSchemaError(f"{what} lacks column(s) {missing}; it has {df.columns}")
 
 
+@dataclass(frozen=True)
+class Held:
+    """Relationships that lie in the rows of the nodes at one of their ends, as foreign keys do.
+
+    `holder` says which end the node is, `other` names the column with the id at the far end, `id`
+    the column with the relationship's id, and `properties` its further columns as pairs (property,
+    column). A null in `other` is no relationship. Patterns follow a held relationship without joining
+    the table it lies in to itself.
+    """
+
+    rel_type: str
+    holder: str
+    other: str
+    id: str
+    other_labels: Labels = frozenset()
+    properties: tuple[tuple[str, str], ...] = ()
+
+    def __post_init__(self):
+        if self.holder not in (SOURCE, TARGET):
+            raise GraphSchemaError(f"a relationship is held at its source or its target, not at '{self.holder}'")
+
+    @property
+    def columns(self) -> list[str]:
+        return [self.id, self.other, *[c for _, c in self.properties]]
+
+
 @dataclass(frozen=True)
 class NodeTable:
-    """Nodes of one label combination: column `id`, every other column a property."""
+    """Nodes of one label combination: column `id`, every other column a property, except those that
+    keep relationships."""
 
     labels: Labels
     df: DataFrame
+    held: tuple[Held, ...] = ()
 
-    def __init__(self, labels: Iterable[str] | str, df: DataFrame):
+    def __init__(self, labels: Iterable[str] | str, df: DataFrame, held: Iterable[Held] = ()):
         combo = frozenset([labels] if isinstance(labels, str) else labels)
-        _require_columns(df, [ID], f"node table {sorted(combo)}")
+        held = tuple(held)
+        _require_columns(df, [ID, *[c for h in held for c in h.columns]], f"node table {sorted(combo)}")
         object.__setattr__(self, "labels", combo)
         object.__setattr__(self, "df", normalize_types(df))
+        object.__setattr__(self, "held", held)
 
     @classmethod
     def mapped(
@@ -57,7 +87,41 @@ class NodeTable:
 
     @property
     def properties(self) -> dict[str, T.DataType]:
-        return {f.name: f.dataType for f in self.df.schema.fields if f.name != ID}
+        hidden = {ID, *self.held_columns}
+        return {f.name: f.dataType for f in self.df.schema.fields if f.name not in hidden}
+
+    @property
+    def held_columns(self) -> list[str]:
+        return [c for h in self.held for c in h.columns]
+
+    def holding(self, *types: str) -> NodeTable:
+        """The same nodes, keeping of their held relationships only those types."""
+        kept = tuple(h for h in self.held if h.rel_type in types)
+        dropped = {c for h in self.held if h not in kept for c in h.columns} - {c for h in kept for c in h.columns}
+        return NodeTable(self.labels, self.df.drop(*dropped), kept)
+
+    def held_relationships(self) -> list[RelTable]:
+        """The relationships kept in these rows, as tables of their own."""
+        tables = []
+        for held in self.held:
+            ends = {held.holder: ID, (TARGET if held.holder == SOURCE else SOURCE): held.other}
+            df = self.df.where(quoted(held.other).isNotNull()).select(
+                quoted(held.id).alias(ID),
+                quoted(ends[SOURCE]).alias(SOURCE),
+                quoted(ends[TARGET]).alias(TARGET),
+                *[quoted(c).alias(p) for p, c in held.properties],
+            )
+            labels = {held.holder: self.labels}
+            tables.append(
+                RelTable(
+                    held.rel_type,
+                    df,
+                    labels.get(SOURCE, held.other_labels),
+                    labels.get(TARGET, held.other_labels),
+                    held,
+                )
+            )
+        return tables
 
 
 @dataclass(frozen=True)
@@ -72,6 +136,7 @@ class RelTable:
     df: DataFrame
     source_labels: Labels = frozenset()
     target_labels: Labels = frozenset()
+    held: Held | None = None
 
     def __init__(
         self,
@@ -79,12 +144,14 @@ class RelTable:
         df: DataFrame,
         source_labels: Iterable[str] = (),
         target_labels: Iterable[str] = (),
+        held: Held | None = None,
     ):
         _require_columns(df, [ID, SOURCE, TARGET], f"relationship table {rel_type}")
         object.__setattr__(self, "rel_type", rel_type)
         object.__setattr__(self, "df", normalize_types(df))
         object.__setattr__(self, "source_labels", frozenset(source_labels))
         object.__setattr__(self, "target_labels", frozenset(target_labels))
+        object.__setattr__(self, "held", held)
 
     @classmethod
     def mapped(
@@ -159,25 +226,46 @@ class PropertyGraph:
     def from_tables(
         cls, *tables: NodeTable | RelTable, schema: GraphSchema | None = None, spark: SparkSession | None = None
     ) -> PropertyGraph:
-        """Graph of the given tables. Node tables with equal labels are unioned, as are relationship
-        tables with equal type and endpoints. A declared schema is checked against the tables."""
+        """Graph of the given tables, and of the relationships that node tables hold.
+
+        Node tables with equal labels are unioned, as are relationship tables with equal type and
+        endpoints. A declared schema is checked against the tables.
+        """
         if not tables and spark is None:
             raise GraphSchemaError("an empty graph needs the session it belongs to")
         session = spark or tables[0].df.sparkSession
 
-        node_groups: dict[Labels, list[DataFrame]] = {}
-        rel_groups: dict[tuple[str, Labels, Labels], list[DataFrame]] = {}
+        node_groups: dict[Labels, list[NodeTable]] = {}
+        rel_groups: dict[tuple[str, Labels, Labels], list[RelTable]] = {}
         for table in tables:
             if isinstance(table, NodeTable):
-                node_groups.setdefault(table.labels, []).append(table.df)
-            else:
-                key = (table.rel_type, table.source_labels, table.target_labels)
-                rel_groups.setdefault(key, []).append(table.df)
+                node_groups.setdefault(table.labels, []).append(table)
+        nodes = []
+        held: list[RelTable] = []
+        for labels, group in node_groups.items():
+            alike = all(n.held == group[0].held for n in group)
+            merged = NodeTable(
+                labels,
+                union_tables([n.df if alike else n.df.drop(*n.held_columns) for n in group]),
+                group[0].held if alike else (),
+            )
+            nodes.append(merged)
+            held += merged.held_relationships() if alike else [r for n in group for r in n.held_relationships()]
+        present = {(r.held, r.source_labels, r.target_labels) for r in held}
+        for table in tables:
+            # a held relationship comes with its holder; given without it, it is a table like others
+            if isinstance(table, RelTable) and (table.held, table.source_labels, table.target_labels) not in present:
+                held.append(RelTable(table.rel_type, table.df, table.source_labels, table.target_labels))
+        for table in held:
+            rel_groups.setdefault((table.rel_type, table.source_labels, table.target_labels), []).append(table)
 
         graph = cls(
             session,
-            tuple(NodeTable(labels, union_tables(dfs)) for labels, dfs in node_groups.items()),
-            tuple(RelTable(t, union_tables(dfs), s, e) for (t, s, e), dfs in rel_groups.items()),
+            tuple(nodes),
+            tuple(
+                group[0] if len(group) == 1 else RelTable(t, union_tables([r.df for r in group]), s, e)
+                for (t, s, e), group in rel_groups.items()
+            ),
             schema,
         )
         graph.schema.check()
@@ -269,8 +357,11 @@ class PropertyGraph:
         """Graph with `change(df)` in place of every table."""
         return PropertyGraph(
             self.spark,
-            tuple(NodeTable(n.labels, change(n.df)) for n in self.nodes),
-            tuple(RelTable(r.rel_type, change(r.df), r.source_labels, r.target_labels) for r in self.relationships),
+            tuple(NodeTable(n.labels, change(n.df), n.held) for n in self.nodes),
+            tuple(
+                RelTable(r.rel_type, change(r.df), r.source_labels, r.target_labels, r.held)
+                for r in self.relationships
+            ),
             self.declared,
         )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.errors import GraphError
 
-KEY_BITS = 56
+TAGS = 128
 _FRAME_SHIFT = 55
 
 
@@ -43,16 +43,12 @@ def hashed_id(view: str, labels: Sequence[str], values: Sequence[str]) -> Column
 
 
 def packed_id(tag: int, key: str) -> Column:
-    """Long id that carries a tag above a non-negative key of up to 56 bits. A key that does not fit
-    is an error, so ids with different tags never meet."""
-    if not 0 <= tag < 128:
-        raise GraphError(f"tags go from 0 to 127, not {tag}")
-    value = f"cast({sql_name(key)} AS BIGINT)"
-    return F.expr(
-        f"CASE WHEN {value} IS NULL THEN CAST(NULL AS BIGINT) "
-        f"WHEN {value} BETWEEN 0 AND {(1 << KEY_BITS) - 1} THEN {value} | {tag << KEY_BITS} "
-        f"ELSE raise_error(concat('key out of range for a packed id: ', {value})) END"
-    )
+    """Long id `key * 128 + tag`: ids with different tags never meet, and equal ids have equal keys.
+    A key beyond 56 bits overflows, which ANSI arithmetic (on by default) makes an error. A null key
+    gives a null id, so that the condition on an id reaches the file as one on its key."""
+    if not 0 <= tag < TAGS:
+        raise GraphError(f"tags go from 0 to {TAGS - 1}, not {tag}")
+    return F.expr(f"cast({sql_name(key)} AS BIGINT) * {TAGS}L + {tag}L")
 
 
 def tagged_id(graph_tag: int, element_id: Column) -> Column:

@@ -52,7 +52,16 @@ class _IdRule:
 
 
 def _tagged(graph: PropertyGraph, tag: int, rule: _IdRule) -> tuple[list[NodeTable], list[RelTable]]:
-    nodes = [NodeTable(n.labels, n.df.withColumn(ID, rule.node_id(tag, quoted(ID), n.df.schema[ID].dataType))) for n in graph.nodes]
+    nodes = []
+    for n in graph.nodes:
+        types = {f.name: f.dataType for f in n.df.schema.fields}
+        tagged = {ID: rule.node_id(tag, quoted(ID), types[ID])}
+        for held in n.held:
+            tagged[held.id] = rule.rel_id(tag, quoted(held.id), types[held.id])
+            # a null is no relationship, and has to stay null
+            other = rule.node_id(tag, quoted(held.other), types[held.other])
+            tagged[held.other] = F.when(quoted(held.other).isNotNull(), other)
+        nodes.append(NodeTable(n.labels, n.df.withColumns(tagged), n.held))
     rels = [
         RelTable(
             r.rel_type,
@@ -67,6 +76,7 @@ def _tagged(graph: PropertyGraph, tag: int, rule: _IdRule) -> tuple[list[NodeTab
             r.target_labels,
         )
         for r in graph.relationships
+        if r.held is None
     ]
     return nodes, rels
 

@@ -16,10 +16,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.errors import GraphSchemaError
+from graphloom.errors import GraphSchemaError, UnboundVariable
 from graphloom.functions.entities import keys_of, node_struct, relationship_struct
-from graphloom.model.graph import ID, SOURCE, TARGET, PropertyGraph, RelTable, quoted, union_tables
+from graphloom.model.graph import (
+    ID,
+    SOURCE,
+    TARGET,
+    Held,
+    NodeTable,
+    PropertyGraph,
+    RelTable,
+    quoted,
+    union_tables,
+)
 from graphloom.model.schema import Labels
+from graphloom.session import written
 
 LABELS, TYPE, FROM, TO = "@labels", "@type", "@from", "@to"
 OUT, IN, BOTH = "out", "in", "both"
@@ -60,14 +71,19 @@ class Match:
         column = flat(var, prop)
         if column in self.df.columns:
             return quoted(column)
-        if var not in self.nodes and var not in self.rels:
-            raise GraphSchemaError(f"no variable '{var}' in this match")
+        self._require(var)
         return F.lit(None)
 
+    def _require(self, var: str) -> None:
+        if var not in self.nodes and var not in self.rels:
+            raise UnboundVariable(f"no variable '{var}' in this match")
+
     def id(self, var: str) -> Column:
+        self._require(var)
         return quoted(flat(var, ID))
 
     def labels(self, node: str) -> Column:
+        self._require(node)
         return quoted(flat(node, LABELS))
 
     def has_label(self, node: str, label: str) -> Column:
@@ -86,9 +102,9 @@ class Match:
         return quoted(flat(rel, TARGET))
 
     def property_names(self, var: str) -> list[str]:
-        hidden = {ID, LABELS} if var in self.nodes else {ID, SOURCE, TARGET, TYPE}
+        hidden = {ID} if var in self.nodes else {ID, SOURCE, TARGET}
         names = [c[len(var) + 2 :] for c in self.df.columns if c.startswith(f"{var}__")]
-        return sorted(n for n in names if n not in hidden)
+        return sorted(n for n in names if n not in hidden and not n.startswith("@"))
 
     def properties(self, var: str) -> Column:
         names = self.property_names(var)
@@ -100,6 +116,7 @@ class Match:
 
     def entity(self, var: str) -> Column:
         """The whole node or relationship as a struct; null where an optional part did not match."""
+        self._require(var)
         properties = {n: quoted(flat(var, n)) for n in self.property_names(var)}
         if var in self.nodes:
             return node_struct(self.id(var), self.labels(var), properties).alias(var)
@@ -173,25 +190,57 @@ class Match:
         _check_var(rel)
         types, labels = _as_set(types), _as_set(labels)
         closing = target in self.nodes if target else False
-        part, rel_types, far = _arm(
-            self.graph, rel, None if closing else target, types, labels, direction, self.nodes[source],
-            self.nodes[target] if closing else None,
-        )
+        reach = _reach(self.graph, types, labels, direction, self.nodes[source], self.nodes[target] if closing else None)
+        nodes = dict(self.nodes)
+        if target and not closing:
+            nodes[target] = reach.far
+        grown = Match(self.graph, self.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel))
+
+        held = None if optional else self._held_along(source, reach)
+        if held is not None:
+            return self._follow_held(grown, source, rel, target, closing, reach, held, where)
+
+        part = _arm(self.graph, rel, None if closing else target, reach)
         key = self.id(source) == quoted(flat(rel, FROM))
         if closing:
             key &= self.id(target) == quoted(flat(rel, TO))
-        conditions = [key, *self._distinct_from(rel, rel_types)]
-
-        nodes = dict(self.nodes)
-        if target and not closing:
-            nodes[target] = far
-        grown = Match(self.graph, self.df, nodes, {**self.rels, rel: rel_types}, (*self.open_rels, rel))
+        conditions = [key, *self._distinct_from(rel, reach.types)]
         if where is not None:
-            seen = replace(grown, df=_schema_only(self.df, part))
+            seen = replace(grown, df=_Columns([*self.df.columns, *part.columns]))
             conditions.append(_condition(seen, where))
         joined = self.df.join(part, reduce(and_, conditions), "left" if optional else "inner")
         return grown.with_rows(joined.drop(flat(rel, FROM), flat(rel, TO)))
 
+    def _held_along(self, source: str, reach: _Reach) -> Held | None:
+        """The one relationship table to follow, if it lies in the rows of `source` themselves."""
+        if len(reach.steps) != 1 or len(self.nodes[source]) != 1:
+            return None
+        table, way = reach.steps[0]
+        if table.held is None or way != (OUT if table.held.holder == SOURCE else IN):
+            return None
+        return table.held if flat(source, _held_name(table.held, ID)) in self.df.columns else None
+
+    def _follow_held(self, grown, source, rel, target, closing, reach, held, where) -> Match:
+        other = quoted(flat(source, _held_name(held, "other")))
+        ends = {held.holder: self.id(source), (TARGET if held.holder == SOURCE else SOURCE): other}
+        df = self.df.where(other.isNotNull()).select(
+            "*",
+            quoted(flat(source, _held_name(held, ID))).alias(flat(rel, ID)),
+            ends[SOURCE].alias(flat(rel, SOURCE)),
+            ends[TARGET].alias(flat(rel, TARGET)),
+            F.lit(held.rel_type).alias(flat(rel, TYPE)),
+            *[quoted(flat(source, _held_name(held, f".{p}"))).alias(flat(rel, p)) for p, _ in held.properties],
+        )
+        for condition in self._distinct_from(rel, reach.types):
+            df = df.where(condition)
+        if closing:
+            df = df.where(other == self.id(target))
+        elif target is not None:
+            df = df.join(_node_scan(self.graph, _check_var(target), reach.far), other == quoted(flat(target, ID)))
+        elif reach.narrowed:
+            df = df.join(_ids_of(self.graph, reach.far), other == quoted("@end"), "left_semi")
+        return _filtered(grown.with_rows(df), where)
+
     def _distinct_from(self, rel: str, types: frozenset[str]) -> list[Column]:
         """Conditions that `rel` differs from each open relationship it could be the same as."""
         return [
@@ -238,12 +287,9 @@ class Match:
     def _neighbours(self, source, types, labels, direction, where) -> DataFrame:
         """Column `@near`: the near end of every relationship that counts for an existential part.
         Its condition sees the variables `rel` and `node`."""
-        needs_node = where is not None
-        part, rel_types, far = _arm(
-            self.graph, "rel", "node" if needs_node else None, types, labels, direction, self.nodes[source], None
-        )
-        inner = Match(self.graph, part, {"node": far} if needs_node else {}, {"rel": rel_types})
-        return _filtered(inner, where).df.select(quoted(flat("rel", FROM)).alias("@near"))
+        reach = _reach(self.graph, types, labels, direction, self.nodes[source], None)
+        inner = _inner(self.graph, reach, lambda m: _filtered(m, where))
+        return inner.df.select(quoted(flat("rel", FROM)).alias("@near"))
 
     def expand_aggregate(
         self,
@@ -262,13 +308,13 @@ class Match:
         shuffled in place of relationships, so a node holding much of a relationship type costs no
         more than any other. `aggregates` gets a match of the variables `rel` and `node`.
         """
-        part, rel_types, far = _arm(
-            self.graph, "rel", "node", _as_set(types), _as_set(labels), direction, self.nodes[source], None
-        )
-        inner = Match(self.graph, part, {"node": far}, {"rel": rel_types})
-        if where is not None:
-            inner = inner.where(where)
-        columns = [c.alias(alias) for alias, c in aggregates(inner).items()]
+        reach = _reach(self.graph, _as_set(types), _as_set(labels), direction, self.nodes[source], None)
+
+        def prepared(m: Match) -> tuple[Match, list[Column]]:
+            m = _filtered(m, where)
+            return m, [c.alias(alias) for alias, c in aggregates(m).items()]
+
+        inner, columns = _inner(self.graph, reach, prepared)
         folded = inner.df.groupBy(quoted(flat("rel", FROM)).alias("@near")).agg(*columns)
         joined = self.df.join(folded, self.id(source) == quoted("@near"), "left" if optional else "inner")
         return self.with_rows(joined.drop("@near"))
@@ -284,53 +330,54 @@ class Match:
         direction: str = OUT,
         min_hops: int = 1,
         max_hops: int = 3,
+        write_steps: bool = False,
     ) -> Match:
         """`(source)-[path:types*min..max]->(target:labels)`.
 
         `path` becomes a list of relationships `{id, source, target, type}` in walking order, no
-        relationship twice. Every length is one more join on the last node of the shorter walks.
+        relationship twice. Every length is one more join on the last node of the shorter walks, with
+        the relationships that can leave the labels reached so far. `write_steps` writes the walks of
+        each length once to the shared folder, rather than have every longer length compute them anew.
         """
         if not 0 <= min_hops <= max_hops:
             raise GraphSchemaError(f"not a range of lengths: {min_hops}..{max_hops}")
         _check_var(path)
         types, labels = _as_set(types), _as_set(labels)
-        hop_table, rel_types, _ = _arm(
-            self.graph, "@hop", None, types, frozenset(), direction, frozenset(self.graph.label_combinations), None
-        )
-        hop = hop_table.select(
-            quoted(flat("@hop", FROM)).alias("@hop_from"),
-            quoted(flat("@hop", TO)).alias("@hop_to"),
-            F.struct(
-                quoted(flat("@hop", ID)).alias(ID),
-                quoted(flat("@hop", SOURCE)).alias(SOURCE),
-                quoted(flat("@hop", TARGET)).alias(TARGET),
-                quoted(flat("@hop", TYPE)).alias("type"),
-            ).alias("@hop_rel"),
-        )
-        element = hop.schema["@hop_rel"].dataType
-        walk = self.df.withColumn("@last", self.id(source)).withColumn(
-            path, F.array().cast(T.ArrayType(element))
-        )
-        lengths = [walk] if min_hops == 0 else []
+        near = self.nodes[source]
+        start = F.array().cast(T.ArrayType(_step_type(self.graph)))
+        walk = self.df.withColumn("@last", self.id(source)).withColumn(path, start)
+        lengths = [(walk, near)] if min_hops == 0 else []
         for length in range(1, max_hops + 1):
-            joined = walk.join(hop, quoted("@last") == quoted("@hop_from"), "inner")
+            reach = _reach(self.graph, types, frozenset(), direction, near, None)
+            if not reach.steps:
+                break
+            step = _arm(self.graph, "@hop", None, reach).select(
+                quoted(flat("@hop", FROM)).alias("@hop_from"),
+                quoted(flat("@hop", TO)).alias("@hop_to"),
+                F.struct(*[quoted(flat("@hop", c)).alias(c.lstrip("@")) for c in (ID, SOURCE, TARGET, TYPE)]).alias(
+                    "@hop_rel"
+                ),
+            )
+            joined = walk.join(step, quoted("@last") == quoted("@hop_from"), "inner")
             if length > 1:
-                joined = joined.where(
-                    ~F.exists(quoted(path), lambda step: step[ID] == F.col("`@hop_rel`.id"))
-                )
+                joined = joined.where(~F.exists(quoted(path), lambda taken: taken[ID] == F.col("`@hop_rel`.id")))
             walk = joined.select(
                 *[quoted(c) for c in self.df.columns],
                 quoted("@hop_to").alias("@last"),
                 F.array_append(quoted(path), quoted("@hop_rel")).alias(path),
             )
+            if write_steps and length < max_hops:
+                walk = written(walk, "walks")
+            near = reach.far
             if length >= min_hops:
-                lengths.append(walk)
-        walks = reduce(DataFrame.unionAll, lengths)
+                lengths.append((walk, near))
 
-        far = frozenset(n.labels for n in self.graph.node_tables(labels))
-        ends = _node_scan(self.graph, target, far)
-        joined = walks.join(ends, quoted("@last") == quoted(flat(target, ID)), "inner").drop("@last")
-        return replace(self, df=joined, nodes={**self.nodes, target: far})
+        reached = frozenset(c for _, ends in lengths for c in ends if labels <= c)
+        walks = reduce(DataFrame.unionAll, [w for w, _ in lengths] or [walk.where(F.lit(False))])
+        joined = walks.join(
+            _node_scan(self.graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
+        )
+        return replace(self, df=joined.drop("@last"), nodes={**self.nodes, target: reached})
 
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
         """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`."""
@@ -347,21 +394,35 @@ class Match:
 # -- scans ----------------------------------------------------------------------------------------
 
 
+def _held_name(held: Held, part: str) -> str:
+    return f"@{held.rel_type}.{held.holder}.{part}"
+
+
+def _node_columns(node: NodeTable, var: str, with_held: bool) -> list[Column]:
+    columns = [
+        quoted(ID).alias(flat(var, ID)),
+        F.array(*[F.lit(label) for label in sorted(node.labels)]).cast("array<string>").alias(flat(var, LABELS)),
+        *[quoted(p).alias(flat(var, p)) for p in node.properties],
+    ]
+    if with_held:
+        for held in node.held:
+            columns.append(quoted(held.id).alias(flat(var, _held_name(held, ID))))
+            columns.append(quoted(held.other).alias(flat(var, _held_name(held, "other"))))
+            columns += [quoted(c).alias(flat(var, _held_name(held, f".{p}"))) for p, c in held.properties]
+    return columns
+
+
 def _node_scan(graph: PropertyGraph, var: str, combos: Iterable[Labels]) -> DataFrame:
+    """Nodes of the given label combinations. Nodes of a single one bring the relationships they hold."""
     wanted = set(combos)
     tables = [n for n in graph.nodes if n.labels in wanted]
     if not tables:
         return graph.spark.createDataFrame([], f"`{flat(var, ID)}` string, `{flat(var, LABELS)}` array<string>")
-    return union_tables(
-        [
-            n.df.select(
-                quoted(ID).alias(flat(var, ID)),
-                F.array(*[F.lit(label) for label in sorted(n.labels)]).cast("array<string>").alias(flat(var, LABELS)),
-                *[quoted(p).alias(flat(var, p)) for p in n.properties],
-            )
-            for n in tables
-        ]
-    )
+    return union_tables([n.df.select(_node_columns(n, var, len(tables) == 1)) for n in tables])
+
+
+def _ids_of(graph: PropertyGraph, combos: Iterable[Labels]) -> DataFrame:
+    return _node_scan(graph, "@end", combos).select(quoted(flat("@end", ID)).alias("@end"))
 
 
 def _rel_scan(rel: RelTable, var: str, orientation: str) -> DataFrame:
@@ -388,53 +449,102 @@ def _rel_scan(rel: RelTable, var: str, orientation: str) -> DataFrame:
     )
 
 
-def _arm(
+@dataclass(frozen=True)
+class _Reach:
+    """Where a step can lead: relationship tables with the direction to walk them in, the label
+    combinations at the far end, and whether the wanted labels leave out some that the declared
+    endpoints allow."""
+
+    steps: tuple[tuple[RelTable, str], ...]
+    types: frozenset[str]
+    far: frozenset[Labels]
+    narrowed: bool
+
+
+def _reach(
     graph: PropertyGraph,
-    rel: str,
-    target: str | None,
     types: frozenset[str],
     labels: frozenset[str],
     direction: str,
     near: frozenset[Labels],
     bound_far: frozenset[Labels] | None,
-) -> tuple[DataFrame, frozenset[str], frozenset[Labels]]:
-    """The relationships that can leave `near` nodes, joined to their far nodes where those are named.
-
-    Only tables and directions are read whose declared endpoints fit both ends.
-    """
+) -> _Reach:
+    """Only tables and directions are followed whose declared endpoints fit both ends."""
     if direction not in (OUT, IN, BOTH):
         raise GraphSchemaError(f"no such direction: {direction}")
     combos = frozenset(graph.label_combinations)
-    allowed_far = bound_far if bound_far is not None else frozenset(c for c in combos if labels <= c)
+    wanted = bound_far if bound_far is not None else frozenset(c for c in combos if labels <= c)
 
-    scans: list[DataFrame] = []
-    used_types: set[str] = set()
+    steps: list[tuple[RelTable, str]] = []
     far: set[Labels] = set()
+    narrowed = False
     for table in graph.rel_tables(types):
         fitting = []
         for way, start, end in (
             (OUT, table.source_labels, table.target_labels),
             (IN, table.target_labels, table.source_labels),
         ):
-            reachable = {c for c in allowed_far if end <= c}
-            if direction in (way, BOTH) and reachable and any(start <= c for c in near):
+            possible = {c for c in combos if end <= c}
+            if direction in (way, BOTH) and possible & wanted and any(start <= c for c in near):
                 fitting.append(way)
-                far |= reachable
+                far |= possible & wanted
+                narrowed = narrowed or bool(possible - wanted)
         if fitting:
-            scans.append(_rel_scan(table, rel, BOTH if len(fitting) == 2 else fitting[0]))
-            used_types.add(table.rel_type)
+            steps.append((table, BOTH if len(fitting) == 2 else fitting[0]))
+    return _Reach(tuple(steps), frozenset(t.rel_type for t, _ in steps), frozenset(far), narrowed)
+
 
-    if not scans:
-        scans = [_no_rels(graph, rel)]
-    part = union_tables(scans)
+def _arm(graph: PropertyGraph, rel: str, target: str | None, reach: _Reach) -> DataFrame:
+    """The relationships of a step, joined to their far nodes where those are named. A table that lies
+    in the rows of its far nodes brings them along without a join."""
     if target is not None:
-        part = part.join(
-            _node_scan(graph, _check_var(target), far), quoted(flat(rel, TO)) == quoted(flat(target, ID)), "inner"
-        )
-    elif labels and bound_far is None:
-        ends = _node_scan(graph, "@end", far).select(quoted(flat("@end", ID)))
-        part = part.join(ends, quoted(flat(rel, TO)) == quoted(flat("@end", ID)), "left_semi")
-    return part, frozenset(used_types), frozenset(far)
+        _check_var(target)
+        if len(reach.steps) == 1:
+            (table, way), = reach.steps
+            if table.held is not None and way == (IN if table.held.holder == SOURCE else OUT) and len(reach.far) == 1:
+                holder = graph.node_tables(next(iter(reach.far)), exact=True)[0]
+                if table.held in holder.held:
+                    return _holder_scan(holder, table.held, rel, target)
+
+    part = union_tables([_rel_scan(table, rel, way) for table, way in reach.steps] or [_no_rels(graph, rel)])
+    if target is not None:
+        return part.join(_node_scan(graph, target, reach.far), quoted(flat(rel, TO)) == quoted(flat(target, ID)))
+    if reach.narrowed:
+        return part.join(_ids_of(graph, reach.far), quoted(flat(rel, TO)) == quoted("@end"), "left_semi")
+    return part
+
+
+def _holder_scan(holder: NodeTable, held: Held, rel: str, target: str) -> DataFrame:
+    """Far nodes together with the relationships they hold, from one scan of their table."""
+    ends = {held.holder: ID, (TARGET if held.holder == SOURCE else SOURCE): held.other}
+    return holder.df.where(quoted(held.other).isNotNull()).select(
+        quoted(held.id).alias(flat(rel, ID)),
+        quoted(ends[SOURCE]).alias(flat(rel, SOURCE)),
+        quoted(ends[TARGET]).alias(flat(rel, TARGET)),
+        F.lit(held.rel_type).alias(flat(rel, TYPE)),
+        quoted(held.other).alias(flat(rel, FROM)),
+        quoted(ID).alias(flat(rel, TO)),
+        *[quoted(c).alias(flat(rel, p)) for p, c in held.properties],
+        *_node_columns(holder, target, True),
+    )
+
+
+def _inner(graph: PropertyGraph, reach: _Reach, use: Callable[[Match], object]):
+    """`use` applied to the relationships of a step as `rel`; their far nodes are joined as `node` only
+    if `use` asks for them."""
+    part = _arm(graph, "rel", None, reach)
+    try:
+        return use(Match(graph, part, {}, {"rel": reach.types}))
+    except UnboundVariable:
+        part = _arm(graph, "rel", "node", reach)
+        return use(Match(graph, part, {"node": reach.far}, {"rel": reach.types}))
+
+
+def _step_type(graph: PropertyGraph) -> T.StructType:
+    """Type of one step of a path."""
+    table = union_tables([r.df.select(ID, SOURCE, TARGET) for r in graph.relationships]) if graph.relationships else None
+    fields = [T.StructField(c, table.schema[c].dataType if table else T.StringType()) for c in (ID, SOURCE, TARGET)]
+    return T.StructType([*fields, T.StructField("type", T.StringType())])
 
 
 def _no_rels(graph: PropertyGraph, rel: str) -> DataFrame:
@@ -442,9 +552,11 @@ def _no_rels(graph: PropertyGraph, rel: str) -> DataFrame:
     return graph.spark.createDataFrame([], ", ".join(f"`{flat(rel, n)}` string" for n in names))
 
 
-def _schema_only(left: DataFrame, right: DataFrame) -> DataFrame:
-    """A table that has the columns of both, for looking up names."""
-    return left.sparkSession.createDataFrame([], T.StructType(left.schema.fields + right.schema.fields))
+@dataclass(frozen=True)
+class _Columns:
+    """Names a condition may use before the tables they come from are joined."""
+
+    columns: list[str]
 
 
 def _condition(match: Match, where) -> Column:

@@ -196,7 +196,7 @@ def hashed_ids(spark, folder):
     return agg.group(hashed, n=agg.count_all(), n_ids=agg.count_distinct(F.col("id")))
 
 
-@query("packed_ids", "SELECT o_orderkey AS key, 7 * 72057594037927936 + o_orderkey AS id FROM orders")
+@query("packed_ids", "SELECT o_orderkey AS key, o_orderkey * 128 + 7 AS id FROM orders")
 def packed_ids(spark, folder):
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("key"), ids.packed_id(7, "o_orderkey").alias("id")

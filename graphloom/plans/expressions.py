@@ -350,7 +350,7 @@ def duration_fns(spark, folder):
     """
     SELECT c_custkey AS custkey, 'Customer' AS labels, true AS is_customer, false AS is_order,
         'acctbal,custkey,name,segment' AS keys, CAST(NULL AS VARCHAR) AS missing, c_name AS name,
-        72057594037927936 + c_custkey AS id
+        c_custkey * 128 + 1 AS id
     FROM customer
     """,
 )

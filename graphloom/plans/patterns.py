@@ -383,9 +383,9 @@ def collect_counted(spark, folder):
 @query(
     "return_entity",
     """
-    SELECT 2 * 72057594037927936 + o_orderkey AS id, 'Order' AS labels, o_orderkey AS orderkey,
+    SELECT o_orderkey * 128 + 2 AS id, 'Order' AS labels, o_orderkey AS orderkey,
         'orderdate,orderkey,priority,status,totalprice' AS keys, o_totalprice AS totalprice,
-        'PLACED' AS type, 72057594037927936 + o_custkey AS start_id, 2 * 72057594037927936 + o_orderkey AS end_id
+        'PLACED' AS type, o_custkey * 128 + 1 AS start_id, o_orderkey * 128 + 2 AS end_id
     FROM orders WHERE o_totalprice > 480000
     """,
 )

@@ -23,9 +23,8 @@ _STORED_SQL = """
 def _sales(spark, folder) -> PropertyGraph:
     """Customers, orders and who placed them."""
     graph = shop_graph(spark, folder)
-    return PropertyGraph.from_tables(
-        *graph.node_tables("Customer"), *graph.node_tables("Order"), *graph.rel_tables("PLACED")
-    )
+    nodes = [*graph.node_tables("Customer"), *graph.node_tables("Order")]
+    return PropertyGraph.from_tables(*[n.holding("PLACED") for n in nodes])
 
 
 def _spending(graph):

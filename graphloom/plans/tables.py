@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graphloom.model.graph import NodeTable, PropertyGraph, RelTable
+from graphloom.model.graph import Held, NodeTable, PropertyGraph, RelTable
 from graphloom.operators.documents import pack_documents
 from graphloom.operators.ids import packed_id, serialized_id
 from graphloom.sources.documents import DocumentStore
@@ -32,56 +33,66 @@ def exact_sum(column: Column) -> Column:
 
 
 def _rel_id(kind: str, *columns: str) -> Column:
-    return serialized_id(kind, columns).alias("id")
+    return serialized_id(kind, columns)
 
 
-def _node(df: DataFrame, label: str, tag: int, key: str, properties: dict[str, str]) -> NodeTable:
+def _node(df: DataFrame, label: str, tag: int, key: str, properties: dict[str, str], *held: _Key) -> NodeTable:
+    columns = [packed_id(tag, key).alias("id"), *[F.col(c).alias(p) for p, c in properties.items()]]
+    for fk in held:
+        columns += [_rel_id(fk.kind, key).alias(f"@{fk.rel_type}"), packed_id(fk.tag, fk.column).alias(f"@{fk.column}")]
     return NodeTable(
-        label, df.select(packed_id(tag, key).alias("id"), *[F.col(c).alias(p) for p, c in properties.items()])
+        label,
+        df.select(columns),
+        [Held(fk.rel_type, fk.end, f"@{fk.column}", f"@{fk.rel_type}", frozenset([fk.label])) for fk in held],
     )
 
 
+@dataclass(frozen=True)
+class _Key:
+    """A foreign key read as a relationship: the rows hold its `end`, the column leads to the other."""
+
+    rel_type: str
+    end: str
+    column: str
+    tag: int
+    label: str
+    kind: str
+
+
 @lru_cache(maxsize=8)
 def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
     """`(Customer)-[PLACED]->(Order)-[CONTAINS]->(Part)<-[SUPPLIES]-(Supplier)`, and customers and
-    suppliers `-[IN_NATION]->(Nation)-[IN_REGION]->(Region)`."""
+    suppliers `-[IN_NATION]->(Nation)-[IN_REGION]->(Region)`. Foreign keys are held relationships."""
     customer, orders, part, supplier, nation, region, lineitem = (
         table(spark, folder, n)
         for n in ("customer", "orders", "part", "supplier", "nation", "region", "lineitem")
     )
     nodes = [
         _node(customer, "Customer", CUSTOMER, "c_custkey",
-              {"custkey": "c_custkey", "name": "c_name", "acctbal": "c_acctbal", "segment": "c_mktsegment"}),
+              {"custkey": "c_custkey", "name": "c_name", "acctbal": "c_acctbal", "segment": "c_mktsegment"},
+              _Key("IN_NATION", "source", "c_nationkey", NATION, "Nation", "IN_NATION Customer")),
         _node(orders, "Order", ORDER, "o_orderkey",
               {"orderkey": "o_orderkey", "status": "o_orderstatus", "totalprice": "o_totalprice",
-               "orderdate": "o_orderdate", "priority": "o_orderpriority"}),
+               "orderdate": "o_orderdate", "priority": "o_orderpriority"},
+              _Key("PLACED", "target", "o_custkey", CUSTOMER, "Customer", "PLACED")),
         _node(part, "Part", PART, "p_partkey",
               {"partkey": "p_partkey", "name": "p_name", "brand": "p_brand", "kind": "p_type", "size": "p_size",
                "retailprice": "p_retailprice"}),
         _node(supplier, "Supplier", SUPPLIER, "s_suppkey",
-              {"suppkey": "s_suppkey", "name": "s_name", "acctbal": "s_acctbal"}),
-        _node(nation, "Nation", NATION, "n_nationkey", {"nationkey": "n_nationkey", "name": "n_name"}),
+              {"suppkey": "s_suppkey", "name": "s_name", "acctbal": "s_acctbal"},
+              _Key("IN_NATION", "source", "s_nationkey", NATION, "Nation", "IN_NATION Supplier")),
+        _node(nation, "Nation", NATION, "n_nationkey", {"nationkey": "n_nationkey", "name": "n_name"},
+              _Key("IN_REGION", "source", "n_regionkey", REGION, "Region", "IN_REGION")),
         _node(region, "Region", REGION, "r_regionkey", {"regionkey": "r_regionkey", "name": "r_name"}),
     ]
     supplies = lineitem.select("l_suppkey", "l_partkey").distinct()
-
-    def ends(source: tuple[int, str], target: tuple[int, str]) -> list[Column]:
-        return [
-            packed_id(source[0], source[1]).alias("source"),
-            packed_id(target[0], target[1]).alias("target"),
-        ]
-
     rels = [
-        RelTable(
-            "PLACED",
-            orders.select(_rel_id("PLACED", "o_orderkey"), *ends((CUSTOMER, "o_custkey"), (ORDER, "o_orderkey"))),
-            ["Customer"], ["Order"],
-        ),
         RelTable(
             "CONTAINS",
             lineitem.select(
-                _rel_id("CONTAINS", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"),
-                *ends((ORDER, "l_orderkey"), (PART, "l_partkey")),
+                _rel_id("CONTAINS", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("id"),
+                packed_id(ORDER, "l_orderkey").alias("source"),
+                packed_id(PART, "l_partkey").alias("target"),
                 F.col("l_quantity").alias("quantity"),
                 F.col("l_extendedprice").alias("price"),
                 F.col("l_discount").alias("discount"),
@@ -93,31 +104,12 @@ def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
         RelTable(
             "SUPPLIES",
             supplies.select(
-                _rel_id("SUPPLIES", "l_suppkey", "l_partkey"), *ends((SUPPLIER, "l_suppkey"), (PART, "l_partkey"))
+                _rel_id("SUPPLIES", "l_suppkey", "l_partkey").alias("id"),
+                packed_id(SUPPLIER, "l_suppkey").alias("source"),
+                packed_id(PART, "l_partkey").alias("target"),
             ),
             ["Supplier"], ["Part"],
         ),
-        RelTable(
-            "IN_NATION",
-            customer.select(
-                _rel_id("IN_NATION Customer", "c_custkey"), *ends((CUSTOMER, "c_custkey"), (NATION, "c_nationkey"))
-            ),
-            ["Customer"], ["Nation"],
-        ),
-        RelTable(
-            "IN_NATION",
-            supplier.select(
-                _rel_id("IN_NATION Supplier", "s_suppkey"), *ends((SUPPLIER, "s_suppkey"), (NATION, "s_nationkey"))
-            ),
-            ["Supplier"], ["Nation"],
-        ),
-        RelTable(
-            "IN_REGION",
-            nation.select(
-                _rel_id("IN_REGION", "n_nationkey"), *ends((NATION, "n_nationkey"), (REGION, "n_regionkey"))
-            ),
-            ["Nation"], ["Region"],
-        ),
     ]
     return PropertyGraph.from_tables(*nodes, *rels)
 
