@@ -53,7 +53,7 @@ def packed_id(tag: int, key: str) -> Column:
 
 def tagged_id(graph_tag: int, element_id: Column) -> Column:
     """Id within a union of graphs: `{graph, id}`."""
-    return F.struct(F.lit(graph_tag).alias("graph"), element_id.alias("id"))
+    return F.struct(F.lit(graph_tag).cast("long").alias("graph"), element_id.alias("id"))
 
 
 def generated_id() -> Column:

@@ -12,6 +12,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,7 @@ class Match:
     nodes: Mapping[str, frozenset[Labels]]
     rels: Mapping[str, frozenset[str]]
     open_rels: tuple[str, ...] = ()
+    scanned: tuple[str, object] | None = None  # variable and condition, while these rows are a plain scan
 
     # -- columns ----------------------------------------------------------------------------------
 
@@ -127,7 +129,7 @@ class Match:
     # -- rows -------------------------------------------------------------------------------------
 
     def with_rows(self, df: DataFrame) -> Match:
-        return replace(self, df=df)
+        return replace(self, df=df, scanned=None)
 
     def where(self, condition) -> Match:
         return self.with_rows(_filtered(self, condition).df)
@@ -190,26 +192,79 @@ class Match:
         _check_var(rel)
         types, labels = _as_set(types), _as_set(labels)
         closing = target in self.nodes if target else False
-        reach = _reach(self.graph, types, labels, direction, self.nodes[source], self.nodes[target] if closing else None)
-        nodes = dict(self.nodes)
+        bound = self.nodes[target] if closing else None
+        reach = _reach(self.graph, types, labels, direction, self.nodes[source], bound)
+        start = self if optional else self._narrowed_start(source, reach)
+        nodes = dict(start.nodes)
         if target and not closing:
             nodes[target] = reach.far
-        grown = Match(self.graph, self.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel))
+        grown = Match(self.graph, start.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel))
 
-        held = None if optional else self._held_along(source, reach)
+        if optional:
+            return grown.with_rows(self._optional_rows(grown, source, rel, target, closing, reach, where))
+        held = start._held_along(source, reach)
         if held is not None:
-            return self._follow_held(grown, source, rel, target, closing, reach, held, where)
-
+            df = start._held_rows(source, rel, held)
+            far_end = quoted(flat(source, _held_name(held, "other")))
+            reached = False
+        else:
+            holder = None if closing or target is None else _far_holder(self.graph, reach)
+            part = _rels_of(self.graph, rel, reach) if holder is None else _holder_scan(*holder, rel, _check_var(target))
+            df = start.df.join(part, self.id(source) == quoted(flat(rel, FROM)))
+            far_end = quoted(flat(rel, TO))
+            reached = holder is not None
+        for condition in self._distinct_from(rel, reach.types):
+            df = df.where(condition)
+        if closing:
+            df = df.where(far_end == self.id(target))
+        elif target is not None and not reached:
+            df = df.join(_node_scan(self.graph, _check_var(target), reach.far), far_end == quoted(flat(target, ID)))
+        elif target is None and reach.narrowed:
+            df = df.join(_ids_of(self.graph, reach.far), far_end == quoted("@end"), "left_semi")
+        return _filtered(grown.with_rows(df.drop(flat(rel, FROM), flat(rel, TO))), where)
+
+    def _narrowed_start(self, source: str, reach: _Reach) -> Match:
+        """This match, knowing that `source` has a relationship. If nothing has been done with the
+        nodes yet but to scan them, the scan is cut down to the labels that can have one."""
+        if reach.near == self.nodes[source]:
+            return self
+        nodes = {**self.nodes, source: reach.near}
+        if self.scanned is None or self.scanned[0] != source:
+            return replace(self, nodes=nodes)
+        fresh = Match(self.graph, _node_scan(self.graph, source, reach.near), nodes, {})
+        return _filtered(fresh, self.scanned[1])
+
+    def _optional_rows(self, grown, source, rel, target, closing, reach, where) -> DataFrame:
+        """Rows with what they match, and rows that match nothing.
+
+        Where the condition concerns the optional part alone, the two are computed separately: an
+        inner join, whose hot keys Spark can split on either side, and an anti join with the different
+        keys. In one outer join a key that much of the optional side shares would stay in one task.
+        """
         part = _arm(self.graph, rel, None if closing else target, reach)
         key = self.id(source) == quoted(flat(rel, FROM))
+        distinct = self._distinct_from(rel, reach.types)
+        ends = [flat(rel, FROM), flat(rel, TO)]
+        if not closing and not distinct:
+            alone = Match(
+                self.graph, part, {} if target is None else {target: reach.far}, {rel: reach.types}
+            )
+            try:
+                matching = _filtered(alone, where).df
+            except (UnboundVariable, AnalysisException):
+                matching = None  # the condition looks at earlier variables as well
+            if matching is not None:
+                found = self.df.join(matching, key).drop(*ends)
+                keys = matching.select(quoted(flat(rel, FROM)).alias("@near")).distinct()
+                rest = self.df.join(keys, self.id(source) == quoted("@near"), "left_anti")
+                return found.unionByName(rest, allowMissingColumns=True)
+        conditions = [key, *distinct]
         if closing:
-            key &= self.id(target) == quoted(flat(rel, TO))
-        conditions = [key, *self._distinct_from(rel, reach.types)]
+            conditions.append(self.id(target) == quoted(flat(rel, TO)))
         if where is not None:
             seen = replace(grown, df=_Columns([*self.df.columns, *part.columns]))
             conditions.append(_condition(seen, where))
-        joined = self.df.join(part, reduce(and_, conditions), "left" if optional else "inner")
-        return grown.with_rows(joined.drop(flat(rel, FROM), flat(rel, TO)))
+        return self.df.join(part, reduce(and_, conditions), "left").drop(*ends)
 
     def _held_along(self, source: str, reach: _Reach) -> Held | None:
         """The one relationship table to follow, if it lies in the rows of `source` themselves."""
@@ -220,10 +275,11 @@ class Match:
             return None
         return table.held if flat(source, _held_name(table.held, ID)) in self.df.columns else None
 
-    def _follow_held(self, grown, source, rel, target, closing, reach, held, where) -> Match:
+    def _held_rows(self, source: str, rel: str, held: Held) -> DataFrame:
+        """Rows of `source` with the relationship they hold."""
         other = quoted(flat(source, _held_name(held, "other")))
         ends = {held.holder: self.id(source), (TARGET if held.holder == SOURCE else SOURCE): other}
-        df = self.df.where(other.isNotNull()).select(
+        return self.df.where(other.isNotNull()).select(
             "*",
             quoted(flat(source, _held_name(held, ID))).alias(flat(rel, ID)),
             ends[SOURCE].alias(flat(rel, SOURCE)),
@@ -231,15 +287,6 @@ class Match:
             F.lit(held.rel_type).alias(flat(rel, TYPE)),
             *[quoted(flat(source, _held_name(held, f".{p}"))).alias(flat(rel, p)) for p, _ in held.properties],
         )
-        for condition in self._distinct_from(rel, reach.types):
-            df = df.where(condition)
-        if closing:
-            df = df.where(other == self.id(target))
-        elif target is not None:
-            df = df.join(_node_scan(self.graph, _check_var(target), reach.far), other == quoted(flat(target, ID)))
-        elif reach.narrowed:
-            df = df.join(_ids_of(self.graph, reach.far), other == quoted("@end"), "left_semi")
-        return _filtered(grown.with_rows(df), where)
 
     def _distinct_from(self, rel: str, types: frozenset[str]) -> list[Column]:
         """Conditions that `rel` differs from each open relationship it could be the same as."""
@@ -280,16 +327,16 @@ class Match:
         where=None,
     ) -> Match:
         """Column `name`: whether `source` has such a neighbour."""
-        near = self._neighbours(source, _as_set(types), _as_set(labels), direction, where).distinct()
+        near = self._neighbours(source, _as_set(types), _as_set(labels), direction, where)
         joined = self.df.join(near, self.id(source) == quoted("@near"), "left")
         return self.with_rows(joined.withColumn(name, quoted("@near").isNotNull()).drop("@near"))
 
     def _neighbours(self, source, types, labels, direction, where) -> DataFrame:
-        """Column `@near`: the near end of every relationship that counts for an existential part.
+        """Column `@near`: the different near ends of the relationships an existential part is about.
         Its condition sees the variables `rel` and `node`."""
         reach = _reach(self.graph, types, labels, direction, self.nodes[source], None)
         inner = _inner(self.graph, reach, lambda m: _filtered(m, where))
-        return inner.df.select(quoted(flat("rel", FROM)).alias("@near"))
+        return inner.df.select(quoted(flat("rel", FROM)).alias("@near")).distinct()
 
     def expand_aggregate(
         self,
@@ -351,20 +398,20 @@ class Match:
             reach = _reach(self.graph, types, frozenset(), direction, near, None)
             if not reach.steps:
                 break
-            step = _arm(self.graph, "@hop", None, reach).select(
-                quoted(flat("@hop", FROM)).alias("@hop_from"),
-                quoted(flat("@hop", TO)).alias("@hop_to"),
-                F.struct(*[quoted(flat("@hop", c)).alias(c.lstrip("@")) for c in (ID, SOURCE, TARGET, TYPE)]).alias(
-                    "@hop_rel"
-                ),
-            )
-            joined = walk.join(step, quoted("@last") == quoted("@hop_from"), "inner")
+            held = self._held_along(source, reach) if length == 1 else None
+            if held is not None:
+                joined = self._held_rows(source, "@hop", held).withColumn(
+                    flat("@hop", TO), quoted(flat(source, _held_name(held, "other")))
+                ).withColumn(path, start)
+            else:
+                joined = walk.join(_rels_of(self.graph, "@hop", reach), quoted("@last") == quoted(flat("@hop", FROM)))
             if length > 1:
-                joined = joined.where(~F.exists(quoted(path), lambda taken: taken[ID] == F.col("`@hop_rel`.id")))
+                joined = joined.where(~F.exists(quoted(path), lambda taken: taken[ID] == quoted(flat("@hop", ID))))
+            step = F.struct(*[quoted(flat("@hop", c)).alias(c.lstrip("@")) for c in (ID, SOURCE, TARGET, TYPE)])
             walk = joined.select(
                 *[quoted(c) for c in self.df.columns],
-                quoted("@hop_to").alias("@last"),
-                F.array_append(quoted(path), quoted("@hop_rel")).alias(path),
+                quoted(flat("@hop", TO)).alias("@last"),
+                F.array_append(quoted(path), step).alias(path),
             )
             if write_steps and length < max_hops:
                 walk = written(walk, "walks")
@@ -377,7 +424,7 @@ class Match:
         joined = walks.join(
             _node_scan(self.graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
         )
-        return replace(self, df=joined.drop("@last"), nodes={**self.nodes, target: reached})
+        return replace(self, df=joined.drop("@last"), nodes={**self.nodes, target: reached}, scanned=None)
 
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
         """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`."""
@@ -452,11 +499,12 @@ def _rel_scan(rel: RelTable, var: str, orientation: str) -> DataFrame:
 @dataclass(frozen=True)
 class _Reach:
     """Where a step can lead: relationship tables with the direction to walk them in, the label
-    combinations at the far end, and whether the wanted labels leave out some that the declared
+    combinations at the near and the far end, and whether the wanted labels leave out some that the declared
     endpoints allow."""
 
     steps: tuple[tuple[RelTable, str], ...]
     types: frozenset[str]
+    near: frozenset[Labels]
     far: frozenset[Labels]
     narrowed: bool
 
@@ -476,6 +524,7 @@ def _reach(
     wanted = bound_far if bound_far is not None else frozenset(c for c in combos if labels <= c)
 
     steps: list[tuple[RelTable, str]] = []
+    leaving: set[Labels] = set()
     far: set[Labels] = set()
     narrowed = False
     for table in graph.rel_tables(types):
@@ -485,28 +534,42 @@ def _reach(
             (IN, table.target_labels, table.source_labels),
         ):
             possible = {c for c in combos if end <= c}
-            if direction in (way, BOTH) and possible & wanted and any(start <= c for c in near):
+            starting = {c for c in near if start <= c}
+            if direction in (way, BOTH) and possible & wanted and starting:
                 fitting.append(way)
+                leaving |= starting
                 far |= possible & wanted
                 narrowed = narrowed or bool(possible - wanted)
         if fitting:
             steps.append((table, BOTH if len(fitting) == 2 else fitting[0]))
-    return _Reach(tuple(steps), frozenset(t.rel_type for t, _ in steps), frozenset(far), narrowed)
+    return _Reach(tuple(steps), frozenset(t.rel_type for t, _ in steps), frozenset(leaving), frozenset(far), narrowed)
+
+
+def _rels_of(graph: PropertyGraph, rel: str, reach: _Reach) -> DataFrame:
+    """The relationships of a step."""
+    return union_tables([_rel_scan(table, rel, way) for table, way in reach.steps] or [_no_rels(graph, rel)])
+
+
+def _far_holder(graph: PropertyGraph, reach: _Reach) -> tuple[NodeTable, Held] | None:
+    """The far nodes, if there is one table of them and it holds the relationships of the step."""
+    if len(reach.steps) != 1 or len(reach.far) != 1:
+        return None
+    (table, way), = reach.steps
+    if table.held is None or way != (IN if table.held.holder == SOURCE else OUT):
+        return None
+    holder = graph.node_tables(next(iter(reach.far)), exact=True)[0]
+    return (holder, table.held) if table.held in holder.held else None
 
 
 def _arm(graph: PropertyGraph, rel: str, target: str | None, reach: _Reach) -> DataFrame:
-    """The relationships of a step, joined to their far nodes where those are named. A table that lies
-    in the rows of its far nodes brings them along without a join."""
+    """The relationships of a step, with their far nodes where those are named. A table that lies in
+    the rows of its far nodes brings them along without a join."""
     if target is not None:
         _check_var(target)
-        if len(reach.steps) == 1:
-            (table, way), = reach.steps
-            if table.held is not None and way == (IN if table.held.holder == SOURCE else OUT) and len(reach.far) == 1:
-                holder = graph.node_tables(next(iter(reach.far)), exact=True)[0]
-                if table.held in holder.held:
-                    return _holder_scan(holder, table.held, rel, target)
-
-    part = union_tables([_rel_scan(table, rel, way) for table, way in reach.steps] or [_no_rels(graph, rel)])
+        holder = _far_holder(graph, reach)
+        if holder is not None:
+            return _holder_scan(*holder, rel, target)
+    part = _rels_of(graph, rel, reach)
     if target is not None:
         return part.join(_node_scan(graph, target, reach.far), quoted(flat(rel, TO)) == quoted(flat(target, ID)))
     if reach.narrowed:
@@ -569,13 +632,14 @@ def _filtered(match: Match, where) -> Match:
     if isinstance(where, Mapping):
         var = next(iter([*match.nodes, *match.rels]))
         where = reduce(and_, [match[f"{var}.{k}"] == F.lit(v) for k, v in where.items()])
-    return replace(match, df=match.df.where(_condition(match, where)))
+    return match.with_rows(match.df.where(_condition(match, where)))
 
 
 def match_nodes(graph: PropertyGraph, var: str, labels: Iterable[str] | str, *, exact: bool, where) -> Match:
     _check_var(var)
     combos = frozenset(n.labels for n in graph.node_tables(labels, exact))
-    return _filtered(Match(graph, _node_scan(graph, var, combos), {var: combos}, {}), where)
+    match = _filtered(Match(graph, _node_scan(graph, var, combos), {var: combos}, {}), where)
+    return replace(match, scanned=(var, where))
 
 
 def match_relationships(

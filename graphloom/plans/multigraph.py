@@ -31,10 +31,10 @@ def _catalog(spark, folder):
     """,
 )
 def from_graph(spark, folder):
-    """FROM GRAPH web.clicks MATCH (u:User)-[:DID]->(t:EventType {name: 'purchase'}) RETURN u.userid, count(*)"""
+    """FROM GRAPH web.clicks MATCH (u:User)-[:DID]->(e:Event {kind: 'purchase'}) RETURN u.userid, count(*)"""
     m = _catalog(spark, folder).graph("web.clicks").match("u", "User")
     m = m.expand_aggregate(
-        "u", types="DID", labels="EventType", where=lambda m: m["node.name"] == "purchase",
+        "u", types="DID", labels="Event", where=lambda m: m["node.kind"] == "purchase",
         aggregates=lambda m: {"n": agg.count_all()},
     )
     return m.select("n", userid="u.userid")

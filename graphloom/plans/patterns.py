@@ -278,7 +278,7 @@ def value_join(spark, folder):
 @query(
     "group_entity_agg",
     f"""
-    SELECT n_nationkey AS nationkey, n_name AS name, count(*) AS n, count(DISTINCT c_mktsegment) AS n_segments,
+    SELECT CAST(n_nationkey AS BIGINT) AS nationkey, n_name AS name, count(*) AS n, count(DISTINCT c_mktsegment) AS n_segments,
         min(c_acctbal) AS least, max(c_acctbal) AS most, {EXACT.format('c_acctbal')} AS total,
         CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean
     FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name
@@ -287,22 +287,41 @@ def value_join(spark, folder):
 def group_entity_agg(spark, folder):
     """MATCH (n:Nation)<-[:IN_NATION]-(c:Customer)
     RETURN n, count(*), count(DISTINCT c.segment), min, max, sum and avg of c.acctbal"""
-    m = shop_graph(spark, folder).match("c", "Customer").expand("c", "r", "n", types="IN_NATION", labels="Nation")
-    balance = m["c.acctbal"]
-    grouped = m.group(
-        ["n"],
-        n=agg.count_all(),
-        n_segments=agg.count_distinct(m["c.segment"]),
-        least=agg.smallest(balance),
-        most=agg.largest(balance),
-        total=exact_sum(balance),
+    m = shop_graph(spark, folder).match("n", "Nation").expand_aggregate(
+        "n",
+        types="IN_NATION",
+        labels="Customer",
+        direction="in",
+        aggregates=lambda m: {
+            "n": agg.count_all(),
+            "n_segments": agg.count_distinct(m["node.segment"]),
+            "least": agg.smallest(m["node.acctbal"]),
+            "most": agg.largest(m["node.acctbal"]),
+            "total": exact_sum(m["node.acctbal"]),
+        },
     )
-    return grouped.select(
-        F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"), "n", "n_segments", "least", "most",
-        "total", (F.col("total") / F.col("n")).alias("mean"),
+    return m.select(
+        F.col("n"), "n_segments", "least", "most", "total", (F.col("total") / F.col("n")).alias("mean"),
+        nationkey="n.nationkey", name="n.name",
     )
 
 
+@query(
+    "group_by_entity",
+    """
+    SELECT n_name AS n_name, CAST(n_nationkey AS BIGINT) AS n_nationkey, CAST(n_nationkey AS BIGINT) * 128 + 5 AS n_id,
+        o_orderstatus AS o_status, count(*) AS n_orders
+    FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey
+    GROUP BY n_name, n_nationkey, o_orderstatus
+    """,
+)
+def group_by_entity(spark, folder):
+    """MATCH (n:Nation)<-[:IN_NATION]-(c:Customer)-[:PLACED]->(o:Order) RETURN n, o.status, count(*)"""
+    m = shop_graph(spark, folder).match("o", "Order").expand("o", "r", "c", types="PLACED", direction="in")
+    m = m.expand("c", "i", "n", types="IN_NATION", labels="Nation")
+    return m.group(["n", "o.status"], n_orders=agg.count_all())
+
+
 @query(
     "global_agg",
     f"""

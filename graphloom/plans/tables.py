@@ -14,7 +14,7 @@ from graphloom.operators.ids import packed_id, serialized_id
 from graphloom.sources.documents import DocumentStore
 
 # Tags that keep the ids of different labels apart.
-CUSTOMER, ORDER, PART, SUPPLIER, NATION, REGION = range(1, 7)
+CUSTOMER, ORDER, PART, SUPPLIER, NATION, REGION, USER, EVENT = range(1, 9)
 
 DATASOURCE = "shop"
 
@@ -116,20 +116,13 @@ def shop_graph(spark: SparkSession, folder: str) -> PropertyGraph:
 
 @lru_cache(maxsize=8)
 def activity_graph(spark: SparkSession, folder: str) -> PropertyGraph:
-    """`(User)-[DID {ts, value}]->(EventType)` from the events table. Ids are texts."""
+    """`(User)-[DID]->(Event {kind, ts, value})` from the events table, which holds who did it."""
     events = table(spark, folder, "events")
-    user = F.concat(F.lit("User:"), F.col("user_id").cast("string"))
-    kind = F.concat(F.lit("EventType:"), F.col("event_type"))
+    users = events.select("user_id").distinct()
     return PropertyGraph.from_tables(
-        NodeTable("User", events.select(user.alias("id"), F.col("user_id").alias("userid")).distinct()),
-        NodeTable("EventType", events.select(kind.alias("id"), F.col("event_type").alias("name")).distinct()),
-        RelTable(
-            "DID",
-            events.select(
-                F.col("event_id").cast("string").alias("id"), user.alias("source"), kind.alias("target"), "ts", "value"
-            ),
-            ["User"], ["EventType"],
-        ),
+        _node(users, "User", USER, "user_id", {"userid": "user_id"}),
+        _node(events, "Event", EVENT, "event_id", {"kind": "event_type", "ts": "ts", "value": "value"},
+              _Key("DID", "target", "user_id", USER, "User", "DID")),
     )
 
 
