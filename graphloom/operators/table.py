@@ -17,7 +17,7 @@ from graphloom.model.types import common_type, widened
 from graphloom.session import written
 
 MAX_LIMIT = 2**31 - 1
-TOP_ROWS = 1_000_000  # up to here a page is kept as the top rows of every partition
+TOP_ROWS = 10_000  # up to here a page is made of the top rows that every partition sends
 PRODUCT_ROWS = 10_000
 _ROW_BITS = 2**33 - 1  # monotonically_increasing_id keeps the position within a partition in these bits
 

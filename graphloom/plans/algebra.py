@@ -10,7 +10,7 @@ from graphloom.operators import aggregates as agg
 from graphloom.operators import ids
 from graphloom.operators import table as t
 from graphloom.plans.registry import query
-from graphloom.plans.tables import exact_sum, money, shop_graph, table
+from graphloom.plans.tables import exact_sum, shop_graph, table
 
 
 @query(
@@ -180,14 +180,14 @@ def table_hex_ids(spark, folder):
     "serialized_ids",
     """
     SELECT '3|' || length(CAST(l_orderkey AS VARCHAR)) || ':' || l_orderkey || length(CAST(l_partkey AS VARCHAR))
-        || ':' || l_partkey || length(CAST(l_suppkey AS VARCHAR)) || ':' || l_suppkey || '1:' || l_linenumber AS id
-    FROM lineitem WHERE l_linenumber < 10
+        || ':' || l_partkey || length(CAST(l_suppkey AS VARCHAR)) || ':' || l_suppkey
+        || length(CAST(l_linenumber AS VARCHAR)) || ':' || l_linenumber AS id
+    FROM lineitem
     """,
 )
 def serialized_ids(spark, folder):
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    lines = table(spark, folder, "lineitem").where("l_linenumber < 10")
-    return lines.select(ids.serialized_id(3, keys).alias("id"))
+    return table(spark, folder, "lineitem").select(ids.serialized_id(3, keys).alias("id"))
 
 
 @query("hashed_ids", "SELECT count(*) AS n, count(*) AS n_ids FROM orders")
@@ -222,18 +222,17 @@ def unique_ids(spark, folder):
 @query(
     "null_order",
     """
-    SELECT c_custkey, spent FROM customer LEFT JOIN (
-        SELECT o_custkey, CAST(max(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent FROM orders
+    SELECT c_custkey, row_number() OVER (ORDER BY spent NULLS FIRST, c_custkey) - 1 AS row_index FROM customer
+    LEFT JOIN (
+        SELECT o_custkey, max(o_totalprice) AS spent FROM orders
         WHERE o_orderstatus = 'P' AND o_totalprice > 400000 GROUP BY o_custkey) ON o_custkey = c_custkey
-    ORDER BY spent NULLS FIRST, c_custkey LIMIT 500
     """,
 )
 def null_order(spark, folder):
     """Nulls come first in ascending order."""
-    graph = shop_graph(spark, folder)
-    m = graph.match("c", "Customer").expand_aggregate(
+    m = shop_graph(spark, folder).match("c", "Customer").expand_aggregate(
         "c", types="PLACED", labels="Order", optional=True,
         where=lambda m: (m["node.status"] == "P") & (m["node.totalprice"] > 400000),
-        aggregates=lambda m: {"spent": F.max(money(m["node.totalprice"])).cast("double")},
+        aggregates=lambda m: {"spent": agg.largest(m["node.totalprice"])},
     )
-    return t.page(m.select("spent", c_custkey="c.custkey"), "spent", "c_custkey", limit=500)
+    return t.drop(t.with_row_index(m.select("spent", c_custkey="c.custkey"), "spent", "c_custkey"), "spent")

@@ -10,7 +10,7 @@ from graphloom.operators import aggregates as agg
 from graphloom.operators import documents as d
 from graphloom.operators import metadata as meta
 from graphloom.operators import updates
-from graphloom.operators.table import page
+from graphloom.operators.table import order_by
 from graphloom.plans.registry import query
 from graphloom.plans.tables import DATASOURCE, exact_sum, shop_documents, table
 from graphloom.sources.documents import EDGE, VERTEX
@@ -223,36 +223,35 @@ def meta_scan(spark, folder):
     "hive_explode",
     """
     SELECT id, label, p_key, p_type, p_value FROM (
-        SELECT 'p' || p_partkey AS id, 'part' AS label, unnest(['name', 'brand', 'size']) AS p_key,
-            unnest(['java.lang.String', 'java.lang.String', 'java.lang.Integer']) AS p_type,
-            unnest([p_name, p_brand, CAST(p_size AS VARCHAR)]) AS p_value FROM part)
+        SELECT 'p' || p_partkey AS id, 'part' AS label, unnest(['name', 'brand', 'size', 'retailprice']) AS p_key,
+            unnest(['java.lang.String', 'java.lang.String', 'java.lang.Integer', 'java.lang.Double']) AS p_type,
+            unnest([p_name, p_brand, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR)]) AS p_value FROM part)
     """,
 )
 def hive_explode(spark, folder):
-    rows = d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
-    return rows.where("p_key <> 'retailprice'")
+    return d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
 
 
 @query(
     "hive_typed_values",
-    "SELECT 'p' || p_partkey AS id, 'part' AS label, p_size AS size FROM part "
-    "ORDER BY size DESC, id LIMIT 200",
+    "SELECT 'p' || p_partkey AS id, 'part' AS label, p_size AS size FROM part ORDER BY size DESC",
 )
 def hive_typed_values(spark, folder):
     rows = d.typed_values(_vertices(spark, folder).where("label = 'part'"), "size", "int", "size")
-    return page(rows, F.col("size").desc(), F.col("id"), limit=200)
+    return order_by(rows, F.col("size").desc())
 
 
 @query(
     "property_regroup",
     """
     SELECT 'p' || p_partkey AS id, 'part' AS label,
-        'brand:' || p_brand || ',name:' || p_name || ',size:' || p_size AS regrouped FROM part
+        'brand:' || p_brand || ',name:' || p_name || ',retailprice:' || p_retailprice || ',size:' || p_size AS regrouped
+    FROM part
     """,
 )
 def property_regroup(spark, folder):
     exploded = d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
-    regrouped = d.regroup_properties(d.property_structs(exploded.where("p_key <> 'retailprice'")))
+    regrouped = d.regroup_properties(d.property_structs(exploded))
     text = F.transform("arr_properties", lambda p: F.concat(p["key"], F.lit(":"), p["value"]))
     return regrouped.select("id", "label", F.array_join(text, ",").alias("regrouped"))
 

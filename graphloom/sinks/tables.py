@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.errors import GraphSchemaError
-from graphloom.model.graph import PropertyGraph
+from graphloom.model.graph import ID, SOURCE, TARGET, PropertyGraph
 from graphloom.sources.graph_files import WRITERS, canonical_nodes, canonical_relationships, folder_name
 
 # Fixed value: format of saved results unless another is given.
@@ -20,9 +20,15 @@ def _plain(name: str) -> str:
     return re.sub(r"\W", "_", name).lower()
 
 
-def save_graph_tables(graph: PropertyGraph, name: str, database: str, format: str = RESULT_FORMAT) -> list[str]:
+def save_graph_tables(
+    graph: PropertyGraph, name: str, database: str, format: str = RESULT_FORMAT, buckets: int | None = None
+) -> list[str]:
     """Write every table of a graph to the catalog, replacing those there: `name_vertex_label`,
-    `name_edge_type`. Gives the table names."""
+    `name_edge_type`. Gives the table names.
+
+    With `buckets`, nodes are bucketed and sorted by id and relationships by source, so that following
+    relationships out of nodes needs no shuffle.
+    """
     graph.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     types = [r.rel_type for r in graph.relationships]
     jobs: list[tuple[str, DataFrame]] = []
@@ -37,12 +43,20 @@ def save_graph_tables(graph: PropertyGraph, name: str, database: str, format: st
     if len(set(names)) < len(names):
         raise GraphSchemaError(f"tables would share a name: {sorted(n for n in names if names.count(n) > 1)}")
     with ThreadPoolExecutor(WRITERS) as pool:
-        writes = [pool.submit(df.write.mode("overwrite").format(format).saveAsTable, table) for table, df in jobs]
+        writes = [pool.submit(_save, df, table, format, buckets) for table, df in jobs]
     for write in writes:
         write.result()
     return names
 
 
+def _save(df: DataFrame, table: str, format: str, buckets: int | None) -> None:
+    writer = df.write.mode("overwrite").format(format)
+    if buckets is not None:
+        key = SOURCE if SOURCE in df.columns and TARGET in df.columns else ID
+        writer = writer.bucketBy(buckets, key).sortBy(key)
+    writer.saveAsTable(table)
+
+
 def drop_graph_tables(spark: SparkSession, names: list[str]) -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -13,6 +13,7 @@ from graphloom.model.graph import NodeTable, PropertyGraph, RelTable
 from graphloom.model.types import java_class_type
 from graphloom.operators import metadata
 from graphloom.operators.documents import EDGE_DOCUMENT, VERTEX_DOCUMENT, explode_edges, explode_vertices
+from graphloom.operators.updates import upsert
 
 VERTEX, EDGE = "vertex", "edge"
 
@@ -132,6 +133,13 @@ class DocumentStore:
             raise GraphNotFoundError(f"no documents of datasource '{datasource}'")
         return PropertyGraph.from_tables(*nodes, *rels)
 
+    def with_changes(self, vertices: DataFrame | None = None, edges: DataFrame | None = None) -> DocumentStore:
+        """The store after an upsert of changed documents."""
+        changes = {VERTEX: vertices, EDGE: edges}
+        return DocumentStore(
+            *[docs if changes[k] is None else upsert(docs, changes[k]) for k, docs in self._documents.items()]
+        )
+
     # the store as a catalog source: every datasource is a graph
 
     def graph_names(self) -> list[str]:
