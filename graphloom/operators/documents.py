@@ -70,18 +70,14 @@ def pack_documents(
 
 
 def property_value(properties: Column, key: str) -> Column:
-    """Value of the first entry with this key, or null."""
-    return F.get(F.filter(properties, lambda p: p["key"] == key), 0)["value"]
-
-
-def least_property_value(properties: Column, key: str) -> Column:
-    """Smallest of the values a key has, should it occur more than once; null if it does not occur."""
-    values = F.transform(F.filter(properties, lambda p: p["key"] == key), lambda p: p["value"])
-    return F.array_min(values)
+    """Value of the first entry with this key, or null. Keys and values are taken off the list as two
+    lists of texts, which compiles to plain loops, as a lambda over the entries would not."""
+    position = F.array_position(properties["key"], F.lit(key)).cast("int")
+    return F.get(properties["value"], position - 1)
 
 
 def has_property(properties: Column, key: str) -> Column:
-    return F.exists(properties, lambda p: p["key"] == key)
+    return F.array_contains(properties["key"], key)
 
 
 # -- typed columns --------------------------------------------------------------------------------
@@ -89,7 +85,7 @@ def has_property(properties: Column, key: str) -> Column:
 
 def _typed(keys: Mapping[str, T.DataType]) -> list[Column]:
     return [
-        least_property_value(F.col("properties"), key).try_cast(data_type).alias(key)
+        property_value(F.col("properties"), key).try_cast(data_type).alias(key)
         for key, data_type in keys.items()
     ]
 
@@ -99,7 +95,8 @@ def explode_vertices(df: DataFrame, keys: Mapping[str, T.DataType]) -> DataFrame
 
     Every document carries its own properties, so the columns are read off the list in place: a
     projection, with nothing shuffled however many keys there are. A value its type cannot hold is
-    null, and a document without properties keeps its row.
+    null, and a document without properties keeps its row. Of a key that occurs more than once the
+    first entry counts; `repeated_keys` finds such documents.
     """
     return df.select("timestamp", "datasource", "label", "id", F.col("id").alias("id_"), *_typed(keys))
 

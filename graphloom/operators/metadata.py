@@ -94,13 +94,13 @@ def scan(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """
 
     def counted(docs: DataFrame, kind: str) -> DataFrame:
-        whole = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("type")))
-        entries = F.transform(
-            F.coalesce(F.col("properties"), F.array()),
-            lambda p: F.struct(p["key"].alias("key"), p["type"].alias("type")),
+        document = F.array(F.lit(None).cast("string"))
+        none = F.array().cast("array<string>")
+        entries = F.arrays_zip(
+            *[F.concat(document, F.coalesce(F.col("properties")[f], none)).alias(f) for f in ("key", "type")]
         )
         rows = docs.select(
-            F.lit(kind).alias("kind"), "datasource", "label", F.inline(F.concat(whole, entries)).alias("key", "type")
+            F.lit(kind).alias("kind"), "datasource", "label", F.inline(entries).alias("key", "type")
         )
         return rows.groupBy("kind", "datasource", "label", "key", "type").agg(F.count(F.lit(1)).alias("n"))
 

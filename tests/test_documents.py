@@ -51,7 +51,7 @@ def test_documents_keep_their_rows(spark):
         d.VERTEX_DOCUMENT,
     )
     rows = d.explode_vertices(docs, {"n": T.IntegerType()})
-    assert values(rows, "id", "n") == [("1", 4), ("2", None), ("3", None), ("4", None)]
+    assert values(rows, "id", "n") == [("1", 5), ("2", None), ("3", None), ("4", None)]
     assert values(d.repeated_keys(docs)) == [("1", "n", 2)]
 
 
