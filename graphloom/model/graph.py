@@ -20,7 +20,12 @@ ID, SOURCE, TARGET = "id", "source", "target"
 
 def quoted(name: str) -> Column:
     """Column of exactly this name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
+
+
+def sql_name(name: str) -> str:
+    """Column name as it stands in an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
@@ -181,36 +186,54 @@ class RelTable:
         return {f.name: f.dataType for f in self.df.schema.fields if f.name not in (ID, SOURCE, TARGET)}
 
 
-def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
-    """One table holding the rows of all: absent columns are null, shared ones get a common type."""
+@dataclass(frozen=True)
+class Picked:
+    """A column to read from a table: its new name, the SQL expression for it, and its type."""
+
+    name: str
+    sql: str
+    type: T.DataType
+
+
+def picked_columns(df: DataFrame, names: Mapping[str, str] | None = None) -> list[Picked]:
+    """The columns of a table, or those named, as a map from new name to column."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [Picked(new, sql_name(old), types[old]) for new, old in (names or {c: c for c in types}).items()]
+
+
+def select_aligned(parts: Sequence[tuple[DataFrame, Sequence[Picked]]]) -> DataFrame:
+    """The picked columns of all tables, one below the other: absent columns are null, shared ones get
+    a common type."""
     target: dict[str, T.DataType] = {}
-    for df in tables:
-        for f in df.schema.fields:
-            known = target.get(f.name, f.dataType)
-            joined = known if known == f.dataType else common_type(known, f.dataType)
+    for _, columns in parts:
+        for c in columns:
+            known = target.get(c.name, c.type)
+            joined = known if known == c.type else common_type(known, c.type)
             if joined is None:
                 raise GraphSchemaError(
-                    f"column '{f.name}' is {known.simpleString()} in one table and "
-                    f"{f.dataType.simpleString()} in another"
+                    f"column '{c.name}' is {known.simpleString()} in one table and {c.type.simpleString()} in another"
                 )
-            target[f.name] = joined
+            target[c.name] = joined
 
-    def fitted(df: DataFrame) -> DataFrame:
-        if [(f.name, f.dataType) for f in df.schema.fields] == list(target.items()):
-            return df
-        present = {f.name: f.dataType for f in df.schema.fields}
+    def selected(df: DataFrame, columns: Sequence[Picked]) -> DataFrame:
+        present = {c.name: c for c in columns}
+        if all(name in present and present[name].type == t for name, t in target.items()):
+            return df.selectExpr(*[f"{present[name].sql} AS {sql_name(name)}" for name in target])
         return df.select(
             [
-                (
-                    F.lit(None).cast(t).alias(name)
-                    if name not in present
-                    else quoted(name) if present[name] == t else quoted(name).cast(t).alias(name)
-                )
+                (F.expr(present[name].sql) if name in present else F.lit(None)).cast(t).alias(name)
+                if name not in present or present[name].type != t
+                else F.expr(f"{present[name].sql} AS {sql_name(name)}")
                 for name, t in target.items()
             ]
         )
 
-    return reduce(DataFrame.unionAll, [fitted(df) for df in tables])
+    return reduce(DataFrame.unionAll, [selected(df, columns) for df, columns in parts])
+
+
+def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
+    """One table holding the rows of all."""
+    return tables[0] if len(tables) == 1 else select_aligned([(df, picked_columns(df)) for df in tables])
 
 
 @dataclass(frozen=True)

@@ -8,16 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.errors import GraphError
+from graphloom.model.graph import sql_name
 
 TAGS = 128
 _FRAME_SHIFT = 55
 
 
-def sql_name(name: str) -> str:
-    """Column name as it stands in an SQL expression."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _text_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.errors import GraphSchemaError
-from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
-from graphloom.operators.ids import serialized_id, sql_name, tagged_id
+from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted, sql_name
+from graphloom.operators.ids import serialized_id, tagged_id
 from graphloom.operators.patterns import Match, flat
 
 

@@ -25,9 +25,13 @@ from graphloom.model.graph import (
     TARGET,
     Held,
     NodeTable,
+    Picked,
     PropertyGraph,
     RelTable,
+    picked_columns,
     quoted,
+    select_aligned,
+    sql_name,
     union_tables,
 )
 from graphloom.model.schema import Labels
@@ -445,18 +449,21 @@ def _held_name(held: Held, part: str) -> str:
     return f"@{held.rel_type}.{held.holder}.{part}"
 
 
-def _node_columns(node: NodeTable, var: str, with_held: bool) -> list[Column]:
-    columns = [
-        quoted(ID).alias(flat(var, ID)),
-        F.array(*[F.lit(label) for label in sorted(node.labels)]).cast("array<string>").alias(flat(var, LABELS)),
-        *[quoted(p).alias(flat(var, p)) for p in node.properties],
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _node_columns(node: NodeTable, var: str, with_held: bool) -> list[Picked]:
+    names = {flat(var, ID): ID, **{flat(var, p): p for p in node.properties}}
+    for held in node.held if with_held else ():
+        names[flat(var, _held_name(held, ID))] = held.id
+        names[flat(var, _held_name(held, "other"))] = held.other
+        names.update({flat(var, _held_name(held, f".{p}")): c for p, c in held.properties})
+    labels = ", ".join(_text(label) for label in sorted(node.labels))
+    return [
+        *picked_columns(node.df, names),
+        Picked(flat(var, LABELS), f"cast(array({labels}) AS ARRAY<STRING>)", T.ArrayType(T.StringType())),
     ]
-    if with_held:
-        for held in node.held:
-            columns.append(quoted(held.id).alias(flat(var, _held_name(held, ID))))
-            columns.append(quoted(held.other).alias(flat(var, _held_name(held, "other"))))
-            columns += [quoted(c).alias(flat(var, _held_name(held, f".{p}"))) for p, c in held.properties]
-    return columns
 
 
 def _node_scan(graph: PropertyGraph, var: str, combos: Iterable[Labels]) -> DataFrame:
@@ -465,35 +472,32 @@ def _node_scan(graph: PropertyGraph, var: str, combos: Iterable[Labels]) -> Data
     tables = [n for n in graph.nodes if n.labels in wanted]
     if not tables:
         return graph.spark.createDataFrame([], f"`{flat(var, ID)}` string, `{flat(var, LABELS)}` array<string>")
-    return union_tables([n.df.select(_node_columns(n, var, len(tables) == 1)) for n in tables])
+    return select_aligned([(n.df, _node_columns(n, var, len(tables) == 1)) for n in tables])
 
 
 def _ids_of(graph: PropertyGraph, combos: Iterable[Labels]) -> DataFrame:
     return _node_scan(graph, "@end", combos).select(quoted(flat("@end", ID)).alias("@end"))
 
 
-def _rel_scan(rel: RelTable, var: str, orientation: str) -> DataFrame:
+def _rel_columns(rel: RelTable, var: str, orientation: str | None) -> tuple[DataFrame, list[Picked]]:
     """Relationships with the ends to walk from and to. Walked both ways, a table is read once and
     each row unfolded into its two directions; a loop has only one."""
-    ends = {
-        OUT: [quoted(SOURCE).alias(flat(var, FROM)), quoted(TARGET).alias(flat(var, TO))],
-        IN: [quoted(TARGET).alias(flat(var, FROM)), quoted(SOURCE).alias(flat(var, TO))],
-    }
+    names = {flat(var, c): c for c in (ID, SOURCE, TARGET, *rel.properties)}
+    df = rel.df
+    columns = [*picked_columns(df, names), Picked(flat(var, TYPE), _text(rel.rel_type), T.StringType())]
+    if orientation is None:
+        return df, columns
+    types = {f.name: f.dataType for f in df.schema.fields}
     if orientation == BOTH:
-        forth = F.struct(quoted(SOURCE).alias(FROM), quoted(TARGET).alias(TO))
-        back = F.struct(quoted(TARGET).alias(FROM), quoted(SOURCE).alias(TO))
-        walked = F.when(quoted(SOURCE) == quoted(TARGET), F.array(forth)).otherwise(F.array(forth, back))
-        end_columns = [F.inline(walked).alias(flat(var, FROM), flat(var, TO))]
+        forth = f"named_struct('f', {SOURCE}, 't', {TARGET})"
+        back = f"named_struct('f', {TARGET}, 't', {SOURCE})"
+        ways = F.expr(f"inline(if({SOURCE} = {TARGET}, array({forth}), array({forth}, {back})))")
+        df = df.select("*", ways.alias(FROM, TO))
+        walk = (sql_name(FROM), sql_name(TO))
     else:
-        end_columns = ends[orientation]
-    return rel.df.select(
-        quoted(ID).alias(flat(var, ID)),
-        quoted(SOURCE).alias(flat(var, SOURCE)),
-        quoted(TARGET).alias(flat(var, TARGET)),
-        F.lit(rel.rel_type).alias(flat(var, TYPE)),
-        *end_columns,
-        *[quoted(p).alias(flat(var, p)) for p in rel.properties],
-    )
+        walk = (SOURCE, TARGET) if orientation == OUT else (TARGET, SOURCE)
+    ends = [types[TARGET if walk[i] == TARGET else SOURCE] for i in range(2)]
+    return df, [*columns, Picked(flat(var, FROM), walk[0], ends[0]), Picked(flat(var, TO), walk[1], ends[1])]
 
 
 @dataclass(frozen=True)
@@ -547,7 +551,9 @@ def _reach(
 
 def _rels_of(graph: PropertyGraph, rel: str, reach: _Reach) -> DataFrame:
     """The relationships of a step."""
-    return union_tables([_rel_scan(table, rel, way) for table, way in reach.steps] or [_no_rels(graph, rel)])
+    if not reach.steps:
+        return _no_rels(graph, rel)
+    return select_aligned([_rel_columns(table, rel, way) for table, way in reach.steps])
 
 
 def _far_holder(graph: PropertyGraph, reach: _Reach) -> tuple[NodeTable, Held] | None:
@@ -580,16 +586,20 @@ def _arm(graph: PropertyGraph, rel: str, target: str | None, reach: _Reach) -> D
 def _holder_scan(holder: NodeTable, held: Held, rel: str, target: str) -> DataFrame:
     """Far nodes together with the relationships they hold, from one scan of their table."""
     ends = {held.holder: ID, (TARGET if held.holder == SOURCE else SOURCE): held.other}
-    return holder.df.where(quoted(held.other).isNotNull()).select(
-        quoted(held.id).alias(flat(rel, ID)),
-        quoted(ends[SOURCE]).alias(flat(rel, SOURCE)),
-        quoted(ends[TARGET]).alias(flat(rel, TARGET)),
-        F.lit(held.rel_type).alias(flat(rel, TYPE)),
-        quoted(held.other).alias(flat(rel, FROM)),
-        quoted(ID).alias(flat(rel, TO)),
-        *[quoted(c).alias(flat(rel, p)) for p, c in held.properties],
+    names = {
+        flat(rel, ID): held.id,
+        flat(rel, SOURCE): ends[SOURCE],
+        flat(rel, TARGET): ends[TARGET],
+        flat(rel, FROM): held.other,
+        flat(rel, TO): ID,
+        **{flat(rel, p): c for p, c in held.properties},
+    }
+    columns = [
+        *picked_columns(holder.df, names),
+        Picked(flat(rel, TYPE), _text(held.rel_type), T.StringType()),
         *_node_columns(holder, target, True),
-    )
+    ]
+    return select_aligned([(holder.df.where(quoted(held.other).isNotNull()), columns)])
 
 
 def _inner(graph: PropertyGraph, reach: _Reach, use: Callable[[Match], object]):
@@ -647,7 +657,10 @@ def match_relationships(
 ) -> Match:
     _check_var(var)
     tables = graph.rel_tables(types)
-    scans = [_rel_scan(t, var, OUT if directed else BOTH) for t in tables] or [_no_rels(graph, var)]
-    rows = union_tables(scans).drop(flat(var, FROM), flat(var, TO))
+    if tables:
+        rows = select_aligned([_rel_columns(t, var, None if directed else BOTH) for t in tables])
+    else:
+        rows = _no_rels(graph, var)
+    rows = rows.drop(flat(var, FROM), flat(var, TO))
     match = Match(graph, rows, {}, {var: frozenset(t.rel_type for t in tables)}, (var,))
     return _filtered(match, where)

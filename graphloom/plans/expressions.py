@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import entities, lists, numeric, predicates, strings, structs, temporal
 from graphloom.operators import aggregates as agg
-from graphloom.operators.ids import append_to_path
+from graphloom.operators.ids import append_to_path, generated_id
 from graphloom.plans.registry import query
 from graphloom.plans.tables import shop_graph, table
 
@@ -438,3 +438,26 @@ def struct_diff(spark, folder):
     changed = structs.struct_diff(orders, held, wanted)
     text = F.transform(changed, lambda c: F.concat(c["field"], F.lit("="), c["value"]))
     return orders.select(F.col("o_orderkey").alias("k"), F.array_join(text, ",").alias("changed"))
+
+
+@query(
+    "generated_values",
+    "SELECT count(*) AS n, count(*) AS n_ids, count(*) AS n_in_range, count(*) AS n_timed, count(*) AS n_dated FROM orders",
+)
+def generated_values(spark, folder):
+    """Generated ids differ, random numbers lie between 0 and 1, and there is a time and a date."""
+    made = table(spark, folder, "orders").select(
+        generated_id().alias("id"),
+        numeric.rand().alias("x"),
+        temporal.timestamp().alias("seconds"),
+        temporal.date().alias("today"),
+        temporal.local_datetime().alias("now"),
+    )
+    return agg.group(
+        made,
+        n=agg.count_all(),
+        n_ids=agg.count_distinct(F.col("id")),
+        n_in_range=F.count_if((F.col("x") >= 0) & (F.col("x") < 1)),
+        n_timed=F.count_if(F.col("seconds") == F.unix_timestamp("now")),
+        n_dated=F.count_if(F.col("today") == F.to_date("now")),
+    )

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from graphloom.errors import GraphError, GraphNotFoundError, GraphSchemaError
-from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
+from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted, sql_name
 from graphloom.model.schema import GraphSchema
-from graphloom.operators.ids import hashed_id, serialized_id, sql_name
+from graphloom.operators.ids import hashed_id, serialized_id
 
 # Reader options unless others are given.
 JDBC_FETCH_SIZE = "100"
