@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.model.graph import quoted
+from graphloom.operators.table import with_row_index
 
 
 def group(df: DataFrame, by: Sequence[str | Column] = (), **aggregates: Column) -> DataFrame:
@@ -48,7 +49,8 @@ def total(value: Column) -> Column:
 
 def collect(value: Column) -> Column:
     """Sorted list of the non-null values of a group. The list is one value of one row, so groups have
-    to be small; `collect_counted` folds repeated values before they meet."""
+    to be small; `collect_counted` folds repeated values before they meet, and `collect_segments` makes
+    lists of bounded length."""
     return F.sort_array(F.collect_list(value))
 
 
@@ -72,6 +74,18 @@ def collect_counted(df: DataFrame, by: Sequence[str], value: str, name: str) ->
     return counted.groupBy(*[quoted(c) for c in by]).agg(F.sort_array(F.collect_list(entry)).alias(name))
 
 
+def collect_segments(df: DataFrame, by: Sequence[str], value: str, name: str, size: int = 10_000) -> DataFrame:
+    """Per group the non-null values in order, as lists `name` of at most `size` numbered by `segment`.
+
+    All rows are numbered in order of group and value and cut into blocks of `size`; a segment is what
+    a block holds of a group. However large a group is, no task holds more of it than a block.
+    """
+    rows = df.where(quoted(value).isNotNull()).select(*[quoted(c) for c in [*by, value]])
+    numbered = with_row_index(rows, *by, value, name="@row")
+    block = F.floor(quoted("@row") / F.lit(size)).alias("segment")
+    return numbered.groupBy(*[quoted(c) for c in by], block).agg(F.sort_array(F.collect_list(quoted(value))).alias(name))
+
+
 def repeated(counted: Column) -> Column:
     """The plain sorted list behind a list of `{value, n}`."""
     return F.flatten(F.transform(counted, lambda e: F.array_repeat(e["value"], e["n"].cast("int"))))

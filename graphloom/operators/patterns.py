@@ -8,7 +8,7 @@ folds them into one struct when a whole node or relationship is returned.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
 
@@ -66,6 +66,7 @@ class Match:
     rels: Mapping[str, frozenset[str]]
     open_rels: tuple[str, ...] = ()
     scanned: tuple[str, object] | None = None  # variable and condition, while these rows are a plain scan
+    homes: Mapping[str, PropertyGraph] = field(default_factory=dict)  # graphs of variables of other graphs
 
     # -- columns ----------------------------------------------------------------------------------
 
@@ -130,6 +131,10 @@ class Match:
             self.id(var), self.start_node(var), self.end_node(var), self.type(var), properties
         ).alias(var)
 
+    def home(self, var: str) -> PropertyGraph:
+        """The graph a variable is bound in."""
+        return self.homes.get(var, self.graph)
+
     # -- rows -------------------------------------------------------------------------------------
 
     def with_rows(self, df: DataFrame) -> Match:
@@ -197,12 +202,18 @@ class Match:
         types, labels = _as_set(types), _as_set(labels)
         closing = target in self.nodes if target else False
         bound = self.nodes[target] if closing else None
-        reach = _reach(self.graph, types, labels, direction, self.nodes[source], bound)
+        graph = self.home(source)
+        reach = _reach(graph, types, labels, direction, self.nodes[source], bound)
         start = self if optional else self._narrowed_start(source, reach)
         nodes = dict(start.nodes)
         if target and not closing:
             nodes[target] = reach.far
-        grown = Match(self.graph, start.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel))
+        homes = dict(self.homes)
+        if graph is not self.graph:
+            homes.update({var: graph for var in (rel, target) if var})
+        grown = Match(
+            self.graph, start.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel), homes=homes
+        )
 
         if optional:
             return grown.with_rows(self._optional_rows(grown, source, rel, target, closing, reach, where))
@@ -212,19 +223,19 @@ class Match:
             far_end = quoted(flat(source, _held_name(held, "other")))
             reached = False
         else:
-            holder = None if closing or target is None else _far_holder(self.graph, reach)
-            part = _rels_of(self.graph, rel, reach) if holder is None else _holder_scan(*holder, rel, _check_var(target))
+            holder = None if closing or target is None else _far_holder(graph, reach)
+            part = _rels_of(graph, rel, reach) if holder is None else _holder_scan(*holder, rel, _check_var(target))
             df = start.df.join(part, self.id(source) == quoted(flat(rel, FROM)))
             far_end = quoted(flat(rel, TO))
             reached = holder is not None
-        for condition in self._distinct_from(rel, reach.types):
+        for condition in self._distinct_from(source, rel, reach.types):
             df = df.where(condition)
         if closing:
             df = df.where(far_end == self.id(target))
         elif target is not None and not reached:
-            df = df.join(_node_scan(self.graph, _check_var(target), reach.far), far_end == quoted(flat(target, ID)))
+            df = df.join(_node_scan(graph, _check_var(target), reach.far), far_end == quoted(flat(target, ID)))
         elif target is None and reach.narrowed:
-            df = df.join(_ids_of(self.graph, reach.far), far_end == quoted("@end"), "left_semi")
+            df = df.join(_ids_of(graph, reach.far), far_end == quoted("@end"), "left_semi")
         return _filtered(grown.with_rows(df.drop(flat(rel, FROM), flat(rel, TO))), where)
 
     def _narrowed_start(self, source: str, reach: _Reach) -> Match:
@@ -245,13 +256,13 @@ class Match:
         inner join, whose hot keys Spark can split on either side, and an anti join with the different
         keys. In one outer join a key that much of the optional side shares would stay in one task.
         """
-        part = _arm(self.graph, rel, None if closing else target, reach)
+        part = _arm(self.home(source), rel, None if closing else target, reach)
         key = self.id(source) == quoted(flat(rel, FROM))
-        distinct = self._distinct_from(rel, reach.types)
+        distinct = self._distinct_from(source, rel, reach.types)
         ends = [flat(rel, FROM), flat(rel, TO)]
         if not closing and not distinct:
             alone = Match(
-                self.graph, part, {} if target is None else {target: reach.far}, {rel: reach.types}
+                self.home(source), part, {} if target is None else {target: reach.far}, {rel: reach.types}
             )
             try:
                 matching = _filtered(alone, where).df
@@ -292,12 +303,12 @@ class Match:
             *[quoted(flat(source, _held_name(held, f".{p}"))).alias(flat(rel, p)) for p, _ in held.properties],
         )
 
-    def _distinct_from(self, rel: str, types: frozenset[str]) -> list[Column]:
+    def _distinct_from(self, source: str, rel: str, types: frozenset[str]) -> list[Column]:
         """Conditions that `rel` differs from each open relationship it could be the same as."""
         return [
             quoted(flat(rel, ID)) != self.id(other)
             for other in self.open_rels
-            if self.rels[other] & types
+            if self.rels[other] & types and self.home(other) is self.home(source)
         ]
 
     def optional(self, source: str, rel: str, target: str | None = None, **options) -> Match:
@@ -338,8 +349,9 @@ class Match:
     def _neighbours(self, source, types, labels, direction, where) -> DataFrame:
         """Column `@near`: the different near ends of the relationships an existential part is about.
         Its condition sees the variables `rel` and `node`."""
-        reach = _reach(self.graph, types, labels, direction, self.nodes[source], None)
-        inner = _inner(self.graph, reach, lambda m: _filtered(m, where))
+        graph = self.home(source)
+        reach = _reach(graph, types, labels, direction, self.nodes[source], None)
+        inner = _inner(graph, reach, lambda m: _filtered(m, where))
         return inner.df.select(quoted(flat("rel", FROM)).alias("@near")).distinct()
 
     def expand_aggregate(
@@ -359,13 +371,14 @@ class Match:
         shuffled in place of relationships, so a node holding much of a relationship type costs no
         more than any other. `aggregates` gets a match of the variables `rel` and `node`.
         """
-        reach = _reach(self.graph, _as_set(types), _as_set(labels), direction, self.nodes[source], None)
+        graph = self.home(source)
+        reach = _reach(graph, _as_set(types), _as_set(labels), direction, self.nodes[source], None)
 
         def prepared(m: Match) -> tuple[Match, list[Column]]:
             m = _filtered(m, where)
             return m, [c.alias(alias) for alias, c in aggregates(m).items()]
 
-        inner, columns = _inner(self.graph, reach, prepared)
+        inner, columns = _inner(graph, reach, prepared)
         folded = inner.df.groupBy(quoted(flat("rel", FROM)).alias("@near")).agg(*columns)
         joined = self.df.join(folded, self.id(source) == quoted("@near"), "left" if optional else "inner")
         return self.with_rows(joined.drop("@near"))
@@ -394,12 +407,13 @@ class Match:
             raise GraphSchemaError(f"not a range of lengths: {min_hops}..{max_hops}")
         _check_var(path)
         types, labels = _as_set(types), _as_set(labels)
+        graph = self.home(source)
         near = self.nodes[source]
-        start = F.array().cast(T.ArrayType(_step_type(self.graph)))
+        start = F.array().cast(T.ArrayType(_step_type(graph)))
         walk = self.df.withColumn("@last", self.id(source)).withColumn(path, start)
         lengths = [(walk, near)] if min_hops == 0 else []
         for length in range(1, max_hops + 1):
-            reach = _reach(self.graph, types, frozenset(), direction, near, None)
+            reach = _reach(graph, types, frozenset(), direction, near, None)
             if not reach.steps:
                 break
             held = self._held_along(source, reach) if length == 1 else None
@@ -408,7 +422,7 @@ class Match:
                     flat("@hop", TO), quoted(flat(source, _held_name(held, "other")))
                 ).withColumn(path, start)
             else:
-                joined = walk.join(_rels_of(self.graph, "@hop", reach), quoted("@last") == quoted(flat("@hop", FROM)))
+                joined = walk.join(_rels_of(graph, "@hop", reach), quoted("@last") == quoted(flat("@hop", FROM)))
             if length > 1:
                 joined = joined.where(~F.exists(quoted(path), lambda taken: taken[ID] == quoted(flat("@hop", ID))))
             step = F.struct(*[quoted(flat("@hop", c)).alias(c.lstrip("@")) for c in (ID, SOURCE, TARGET, TYPE)])
@@ -426,9 +440,12 @@ class Match:
         reached = frozenset(c for _, ends in lengths for c in ends if labels <= c)
         walks = reduce(DataFrame.unionAll, [w for w, _ in lengths] or [walk.where(F.lit(False))])
         joined = walks.join(
-            _node_scan(self.graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
+            _node_scan(graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
+        )
+        homes = dict(self.homes) if graph is self.graph else {**self.homes, target: graph}
+        return replace(
+            self, df=joined.drop("@last"), nodes={**self.nodes, target: reached}, scanned=None, homes=homes
         )
-        return replace(self, df=joined.drop("@last"), nodes={**self.nodes, target: reached}, scanned=None)
 
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
         """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`."""
@@ -439,7 +456,8 @@ class Match:
         if not pairs:
             raise GraphSchemaError("patterns are joined by at least one pair of values")
         joined = self.df.join(other.df, reduce(and_, pairs), how)
-        return Match(self.graph, joined, {**self.nodes, **other.nodes}, {**self.rels, **other.rels})
+        homes = {v: m.home(v) for m in (self, other) for v in m.nodes if m.home(v) is not self.graph}
+        return Match(self.graph, joined, {**self.nodes, **other.nodes}, {**self.rels, **other.rels}, homes=homes)
 
 
 # -- scans ----------------------------------------------------------------------------------------

@@ -399,6 +399,22 @@ def collect_counted(spark, folder):
     return folded.select("segment", F.array_join(text, ",").alias("statuses"))
 
 
+@query(
+    "collect_segments",
+    """
+    SELECT status, segment, string_agg(orderkey, ',' ORDER BY orderkey) AS orderkeys FROM (
+        SELECT o_orderstatus AS status, o_orderkey AS orderkey,
+            CAST((row_number() OVER (ORDER BY o_orderstatus, o_orderkey) - 1) // 500 AS BIGINT) AS segment FROM orders)
+    GROUP BY status, segment
+    """,
+)
+def collect_segments(spark, folder):
+    """MATCH (o:Order) RETURN o.status, collect(o.orderkey), each list in segments of bounded length"""
+    rows = shop_graph(spark, folder).match("o", "Order").select(status="o.status", orderkey="o.orderkey")
+    segments = agg.collect_segments(rows, ["status"], "orderkey", "found", size=500)
+    return segments.select("status", "segment", F.array_join("found", ",").alias("orderkeys"))
+
+
 @query(
     "return_entity",
     """

@@ -209,6 +209,19 @@ def test_held_relationships_match_like_tables(spark):
     assert list(answers(keyed)) == list(answers(tabled))
 
 
+def test_variables_of_another_graph_stay_in_it(spark, friends):
+    towns = PropertyGraph.from_tables(
+        NodeTable("Town", spark.sql("SELECT 1L AS id, 'Bob' AS mayor")),
+        NodeTable("River", spark.sql("SELECT 7L AS id, 'Rhine' AS name")),
+        RelTable("AT", spark.sql("SELECT 1L AS id, 1L AS source, 7L AS target"), ["Town"], ["River"]),
+    )
+    m = friends.match("p", "Person").join(towns.match("t", "Town"), on=[("p.name", "t.mayor")])
+    m = m.expand("t", "a", "r", types="AT").expand("p", "f", "q", types="FRIEND_OF")
+    assert values(m.select("p.name", "r.name", "q.name")) == [("Bob", "Rhine", "Carol")]
+    assert m.expand("r", "b", "s", types="AT", direction="in").df.count() == 0
+    assert m.next_pattern().expand("r", "b", "s", direction="in").df.count() == 1
+
+
 def test_entities_and_their_changes(friends):
     m = friends.match("p", "Person", where=lambda m: m["p.age"] >= 18)
     changed = entities.with_property(entities.with_label(F.col("p"), "Adult"), "canVote", F.lit(True))

@@ -175,6 +175,19 @@ def test_aggregates(spark):
     assert structs.first()["s"][0]["v"] == 5
 
 
+def test_segments_hold_whole_groups_in_bounded_lists(spark):
+    df = spark.range(1000).selectExpr("IF(id % 3 = 0, id, 0) % 50 as g", "(id * 7) % 1000 as v")
+    segments = agg.collect_segments(df, ["g"], "v", "found", size=64).collect()
+    assert max(len(r["found"]) for r in segments) <= 64
+    got = {}
+    for r in sorted(segments, key=lambda r: (r["g"], r["segment"])):
+        got.setdefault(r["g"], []).extend(r["found"])
+    expected = {}
+    for r in df.collect():
+        expected.setdefault(r["g"], []).append(r["v"])
+    assert got == {g: sorted(vs) for g, vs in expected.items()}
+
+
 def test_sum_overflow_is_an_error(spark):
     df = spark.createDataFrame([(2**63 - 1,), (1,)], "v long")
     with pytest.raises(Exception, match="overflow"):
