@@ -32,23 +32,33 @@ def _as(column: Column, held: T.DataType, wanted: T.DataType) -> Column:
 
 @dataclass(frozen=True)
 class _IdRule:
-    """How the ids of member graphs are written in a union."""
+    """How the ids of member graphs are written in a union: numbers as `id * members + tag`, which
+    stays a number and cannot coincide with an id of another member, anything else as `{graph, id}`.
+    A number that grows too large for this is an error."""
 
     node_type: T.DataType
     rel_type: T.DataType
+    members: int
 
     @classmethod
-    def for_graphs(cls, graphs: Sequence[PropertyGraph]) -> _IdRule:
+    def for_graphs(cls, graphs: Sequence[PropertyGraph], members: int) -> _IdRule:
         return cls(
             _one_type(n.df.schema[ID].dataType for g in graphs for n in g.nodes),
             _one_type(r.df.schema[ID].dataType for g in graphs for r in g.relationships),
+            members,
         )
 
+    def _id(self, tag: int, column: Column, held: T.DataType, wanted: T.DataType) -> Column:
+        if isinstance(wanted, T.LongType):
+            return column * F.lit(self.members).cast("long") + F.lit(tag).cast("long")
+        tagged = tagged_id(tag, _as(column, held, wanted))
+        return F.when(column.isNotNull(), tagged)
+
     def node_id(self, tag: int, column: Column, held: T.DataType) -> Column:
-        return tagged_id(tag, _as(column, held, self.node_type))
+        return self._id(tag, column, held, self.node_type)
 
     def rel_id(self, tag: int, column: Column, held: T.DataType) -> Column:
-        return tagged_id(tag, _as(column, held, self.rel_type))
+        return self._id(tag, column, held, self.rel_type)
 
 
 def _tagged(graph: PropertyGraph, tag: int, rule: _IdRule) -> tuple[list[NodeTable], list[RelTable]]:
@@ -58,9 +68,7 @@ def _tagged(graph: PropertyGraph, tag: int, rule: _IdRule) -> tuple[list[NodeTab
         tagged = {ID: rule.node_id(tag, quoted(ID), types[ID])}
         for held in n.held:
             tagged[held.id] = rule.rel_id(tag, quoted(held.id), types[held.id])
-            # a null is no relationship, and has to stay null
-            other = rule.node_id(tag, quoted(held.other), types[held.other])
-            tagged[held.other] = F.when(quoted(held.other).isNotNull(), other)
+            tagged[held.other] = rule.node_id(tag, quoted(held.other), types[held.other])
         nodes.append(NodeTable(n.labels, n.df.withColumns(tagged), n.held))
     rels = [
         RelTable(
@@ -82,11 +90,11 @@ def _tagged(graph: PropertyGraph, tag: int, rule: _IdRule) -> tuple[list[NodeTab
 
 
 def union_graphs(*graphs: PropertyGraph) -> PropertyGraph:
-    """Everything in all the graphs. Ids become `{graph, id}`, so elements of different members stay
-    different even under equal ids."""
+    """Everything in all the graphs. Ids are tagged with their graph, so elements of different members
+    stay different even under equal ids."""
     if not graphs:
         raise GraphSchemaError("a union needs at least one graph")
-    rule = _IdRule.for_graphs(graphs)
+    rule = _IdRule.for_graphs(graphs, len(graphs))
     tables: list[NodeTable | RelTable] = []
     for tag, graph in enumerate(graphs):
         nodes, rels = _tagged(graph, tag, rule)
@@ -127,7 +135,9 @@ def construct(
     """
     # created elements have text ids; nodes keep their own type as long as none is created
     creates_nodes = any(isinstance(c, CreateNode) for c in create)
-    rule = _IdRule(T.StringType() if creates_nodes else _IdRule.for_graphs(on).node_type, T.StringType())
+    members = len(on) + 1
+    node_type = T.StringType() if creates_nodes else _IdRule.for_graphs(on, members).node_type
+    rule = _IdRule(node_type, T.StringType(), members)
     tables: list[NodeTable | RelTable] = []
     for tag, graph in enumerate(on):
         nodes, rels = _tagged(graph, tag, rule)
