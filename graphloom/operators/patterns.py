@@ -65,6 +65,7 @@ class Match:
     nodes: Mapping[str, frozenset[Labels]]
     rels: Mapping[str, frozenset[str]]
     open_rels: tuple[str, ...] = ()
+    open_paths: Mapping[str, frozenset[str]] = field(default_factory=dict)
     scanned: tuple[str, object] | None = None  # variable and condition, while these rows are a plain scan
     homes: Mapping[str, PropertyGraph] = field(default_factory=dict)  # graphs of variables of other graphs
 
@@ -148,7 +149,7 @@ class Match:
 
     def next_pattern(self) -> Match:
         """Begin another MATCH: its relationships may repeat those bound so far."""
-        return replace(self, open_rels=())
+        return replace(self, open_rels=(), open_paths={})
 
     def select(self, *columns: Column | str, **named: Column | str) -> DataFrame:
         """RETURN: names like `a.name` or `a`, and aliases as keyword arguments."""
@@ -211,8 +212,14 @@ class Match:
         homes = dict(self.homes)
         if graph is not self.graph:
             homes.update({var: graph for var in (rel, target) if var})
-        grown = Match(
-            self.graph, start.df, nodes, {**self.rels, rel: reach.types}, (*self.open_rels, rel), homes=homes
+        grown = replace(
+            self,
+            df=start.df,
+            nodes=nodes,
+            rels={**self.rels, rel: reach.types},
+            open_rels=(*self.open_rels, rel),
+            homes=homes,
+            scanned=None,
         )
 
         if optional:
@@ -304,11 +311,15 @@ class Match:
         )
 
     def _distinct_from(self, source: str, rel: str, types: frozenset[str]) -> list[Column]:
-        """Conditions that `rel` differs from each open relationship it could be the same as."""
-        return [
+        """Conditions that `rel` differs from each relationship of the pattern it could be the same as."""
+        home = self.home(source)
+        single = [
             quoted(flat(rel, ID)) != self.id(other)
             for other in self.open_rels
-            if self.rels[other] & types and self.home(other) is self.home(source)
+            if self.rels[other] & types and self.home(other) is home
+        ]
+        return single + [
+            _not_on(path, rel) for path, on in self.open_paths.items() if on & types and self.home(path) is home
         ]
 
     def optional(self, source: str, rel: str, target: str | None = None, **options) -> Match:
@@ -394,13 +405,15 @@ class Match:
         direction: str = OUT,
         min_hops: int = 1,
         max_hops: int = 3,
+        properties: bool = False,
         write_steps: bool = False,
     ) -> Match:
         """`(source)-[path:types*min..max]->(target:labels)`.
 
-        `path` becomes a list of relationships `{id, source, target, type}` in walking order, no
-        relationship twice. Every length is one more join on the last node of the shorter walks, with
-        the relationships that can leave the labels reached so far. `write_steps` writes the walks of
+        `path` becomes a list of relationships `{id, source, target, type}` in walking order, with their
+        `properties` if asked for. No relationship occurs twice in a pattern. Every length is one more
+        join on the last node of the shorter walks, with the relationships that can leave the labels
+        reached so far. `write_steps` writes the walks of
         each length once to the shared folder, rather than have every longer length compute them anew.
         """
         if not 0 <= min_hops <= max_hops:
@@ -409,7 +422,9 @@ class Match:
         types, labels = _as_set(types), _as_set(labels)
         graph = self.home(source)
         near = self.nodes[source]
-        start = F.array().cast(T.ArrayType(_step_type(graph)))
+        kept = graph.schema.relationship_property_keys_for(types) if properties else {}
+        step_type = _step_type(graph, kept)
+        start = F.array().cast(T.ArrayType(step_type))
         walk = self.df.withColumn("@last", self.id(source)).withColumn(path, start)
         lengths = [(walk, near)] if min_hops == 0 else []
         for length in range(1, max_hops + 1):
@@ -424,12 +439,20 @@ class Match:
             else:
                 joined = walk.join(_rels_of(graph, "@hop", reach), quoted("@last") == quoted(flat("@hop", FROM)))
             if length > 1:
-                joined = joined.where(~F.exists(quoted(path), lambda taken: taken[ID] == quoted(flat("@hop", ID))))
+                joined = joined.where(_not_on(path, "@hop"))
+            for condition in self._distinct_from(source, "@hop", reach.types):
+                joined = joined.where(condition)
             step = F.struct(*[quoted(flat("@hop", c)).alias(c.lstrip("@")) for c in (ID, SOURCE, TARGET, TYPE)])
+            if kept:
+                values = [
+                    (quoted(c) if (c := flat("@hop", p)) in joined.columns else F.lit(None)).cast(t).alias(p)
+                    for p, t in kept.items()
+                ]
+                step = step.withField("properties", F.struct(*values))
             walk = joined.select(
                 *[quoted(c) for c in self.df.columns],
                 quoted(flat("@hop", TO)).alias("@last"),
-                F.array_append(quoted(path), step).alias(path),
+                F.array_append(quoted(path), step.cast(step_type)).alias(path),
             )
             if write_steps and length < max_hops:
                 walk = written(walk, "walks")
@@ -443,8 +466,15 @@ class Match:
             _node_scan(graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
         )
         homes = dict(self.homes) if graph is self.graph else {**self.homes, target: graph}
+        if graph is not self.graph:
+            homes[path] = graph
         return replace(
-            self, df=joined.drop("@last"), nodes={**self.nodes, target: reached}, scanned=None, homes=homes
+            self,
+            df=joined.drop("@last"),
+            nodes={**self.nodes, target: reached},
+            scanned=None,
+            homes=homes,
+            open_paths={**self.open_paths, path: types or frozenset(graph.schema.relationship_types)},
         )
 
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
@@ -631,11 +661,19 @@ def _inner(graph: PropertyGraph, reach: _Reach, use: Callable[[Match], object]):
         return use(Match(graph, part, {"node": reach.far}, {"rel": reach.types}))
 
 
-def _step_type(graph: PropertyGraph) -> T.StructType:
+def _not_on(path: str, rel: str) -> Column:
+    """That a relationship is not one of a path."""
+    return ~F.exists(quoted(path), lambda step: step[ID] == quoted(flat(rel, ID)))
+
+
+def _step_type(graph: PropertyGraph, properties: Mapping[str, T.DataType]) -> T.StructType:
     """Type of one step of a path."""
     table = union_tables([r.df.select(ID, SOURCE, TARGET) for r in graph.relationships]) if graph.relationships else None
     fields = [T.StructField(c, table.schema[c].dataType if table else T.StringType()) for c in (ID, SOURCE, TARGET)]
-    return T.StructType([*fields, T.StructField("type", T.StringType())])
+    fields.append(T.StructField("type", T.StringType()))
+    if properties:
+        fields.append(T.StructField("properties", T.StructType([T.StructField(p, t) for p, t in properties.items()])))
+    return T.StructType(fields)
 
 
 def _no_rels(graph: PropertyGraph, rel: str) -> DataFrame:

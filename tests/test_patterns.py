@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,6 +145,23 @@ def test_paths_repeat_no_relationship(spark):
     assert graph.match("a").expand_path("a", "p", "b", min_hops=0, max_hops=1).df.count() == 6
 
 
+def test_paths_carry_properties_and_count_as_relationships(friends):
+    m = friends.match("a", where={"name": "Carol's Mom"}).expand_path("a", "p", "b", max_hops=2, properties=True)
+    found = sorted(tuple(s["properties"]["since"] for s in r["p"]) for r in m.df.collect())
+    assert found == [
+        ("02/04/1982",), ("22/08/1976",), ("22/08/1976", "23/01/1987"),
+    ]
+    back = friends.match("a", where={"name": "Bob"}).expand("a", "r", "b").expand_path(
+        "b", "p", "c", max_hops=1, direction="both"
+    )
+    assert values(back.select("c.name")) == [("Carol's Mom",)]
+    onward = friends.match("a", where={"name": "Bob"}).expand_path("a", "p", "b", max_hops=1).expand(
+        "b", "r", "c", direction="both"
+    )
+    assert values(onward.select("c.name")) == [("Carol's Mom",)]
+    assert onward.next_pattern().expand("b", "s", "d", direction="both").df.count() == 2
+
+
 def test_aggregating_neighbours_equals_grouping_after_the_join(friends):
     folded = friends.match("a").expand_aggregate(
         "a", types="FRIEND_OF", aggregates=lambda m: {"n": agg.count_all(), "years": F.sum(m["node.age"])}
@@ -250,3 +269,47 @@ def test_hot_keys_give_whole_results(spark):
     counted = agg.collect_counted(graph.match("a").expand("a", "r", "b").select("a.kind", "b.kind"), ["a_kind"], "b_kind", "found")
     total = counted.select(F.aggregate("found", F.lit(0).cast("long"), lambda acc, e: acc + e["n"]).alias("n"))
     assert total.agg(F.sum("n")).first()[0] == 9000
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_random_graphs_against_brute_force(spark, seed):
+    """Two labels, three relationship tables, declared endpoints and none: the same rows as a plain search."""
+    rng = random.Random(seed)
+    labels = {i: rng.choice("AB") for i in range(12)}
+    shapes = [("R", "A", "B"), ("R", "B", "B"), ("S", "B", "A")]
+    edges = {}
+    for n in range(40):
+        rel_type, s, t = rng.choice(shapes)
+        sources, targets = [i for i in labels if labels[i] == s], [i for i in labels if labels[i] == t]
+        if sources and targets:
+            edges[n] = (rel_type, rng.choice(sources), rng.choice(targets), s, t)
+    nodes = [
+        NodeTable(label, spark.createDataFrame([(i, i % 5) for i in labels if labels[i] == label] or [(99, 0)], "id long, v int"))
+        for label in "AB"
+    ]
+    rels, bare = [], []
+    for rel_type, s, t in shapes:
+        rows = [(n, e[1], e[2], n % 3) for n, e in edges.items() if (e[0], e[3], e[4]) == (rel_type, s, t)]
+        df = spark.createDataFrame(rows, "id long, source long, target long, w int")
+        rels.append(RelTable(rel_type, df, [s], [t]))
+        bare.append(RelTable(rel_type, df))
+    for graph in (PropertyGraph.from_tables(*nodes, *rels), PropertyGraph.from_tables(*nodes, *bare)):
+        m = graph.match("a", "A").expand("a", "r", "b", direction="both")
+        m = m.expand("b", "s", "c", types="R", labels="B", where=lambda m: m["s.w"] != m["a.v"])
+        got = sorted(tuple(r) for r in m.df.select("a__id", "r__id", "b__id", "s__id", "c__id").collect())
+        expected = []
+        for r, (_, x, y, _, _) in edges.items():
+            for a, b in {(x, y), (y, x)}:
+                if labels[a] != "A":
+                    continue
+                for s, (kind, u, c, _, _) in edges.items():
+                    if s != r and kind == "R" and u == b and labels[c] == "B" and s % 3 != a % 5:
+                        expected.append((a, r, b, s, c))
+        assert got == sorted(expected)
+        optional = graph.match("a").optional("a", "r", "b", types="S", direction="in", where=lambda m: m["b.v"] > 1)
+        got = sorted((tuple(r) for r in optional.df.select("a__id", "r__id", "b__id").collect()), key=row_key)
+        expected = []
+        for a in {i for n in nodes for i in [r["id"] for r in n.df.collect()]}:
+            hits = [(a, r, x) for r, (k, x, y, _, _) in edges.items() if k == "S" and y == a and x % 5 > 1]
+            expected += hits or [(a, None, None)]
+        assert got == sorted(expected, key=row_key)
