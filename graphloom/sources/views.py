@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Protocol
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graphloom.errors import GraphError, GraphNotFoundError, GraphSchemaError
-from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted, sql_name
+from graphloom.model.graph import ID, SOURCE, TARGET, Held, NodeTable, PropertyGraph, RelTable, quoted, sql_name
 from graphloom.model.schema import GraphSchema
 from graphloom.operators.ids import hashed_id, serialized_id
 
@@ -182,42 +185,79 @@ class ViewGraphSource:
             raise GraphNotFoundError(name)
         spec = self._graphs[name]
         keys = {(frozenset(n.labels), n.view): self._key(n, spec.edges) for n in spec.nodes}
+        holders = {i: self._holder(edge, keys) for i, edge in enumerate(spec.edges)}
 
         tables: list[NodeTable | RelTable] = []
         for node in spec.nodes:
             df = self._read(node.view)
             key = keys[frozenset(node.labels), node.view] or tuple(c.lower() for c in sorted(df.columns))
             properties = node.properties if node.properties is not None else {c: c for c in df.columns}
-            element_id = self._id(node.labels, node.view, [column_named(df, c) for c in key])
-            types = spec.schema.node_property_keys(node.labels)
-            tables.append(NodeTable(node.labels, df.select(element_id.alias(ID), *normalized(df, properties, types))))
-
-        for edge in spec.edges:
-            df = self._read(edge.view)
-            ends = []
-            for end in (edge.start, edge.end):
-                by_node_column = {node.lower(): column for node, column in end.on}
-                key = keys.get((frozenset(end.labels), end.view))
-                if key is None:
-                    raise GraphSchemaError(f"{edge.rel_type} ends at nodes {end.labels} of '{end.view}', which are none")
-                columns = [column_named(df, by_node_column[c]) for c in key]
-                ends.append(self._id(end.labels, end.view, columns))
-            whole_row = sorted(df.columns)
-            tables.append(
-                RelTable(
-                    edge.rel_type,
-                    df.select(
-                        self._id([edge.rel_type], f"{edge.view}|{edge.start.view}|{edge.end.view}", whole_row).alias(ID),
-                        ends[0].alias(SOURCE),
-                        ends[1].alias(TARGET),
-                        *normalized(df, edge.properties, spec.schema.relationship_property_keys(edge.rel_type)),
-                    ),
-                    edge.start.labels,
-                    edge.end.labels,
+            columns = [
+                self._id(node.labels, node.view, [column_named(df, c) for c in key]).alias(ID),
+                *normalized(df, properties, spec.schema.node_property_keys(node.labels)),
+            ]
+            held = []
+            for i, edge in enumerate(spec.edges):
+                if holders[i] is not None and holders[i][1] == (frozenset(node.labels), node.view):
+                    lies, edge_columns = self._held(f"@{i}", edge, holders[i][0], df, keys, spec.schema)
+                    held.append(lies)
+                    columns += edge_columns
+            tables.append(NodeTable(node.labels, df.select(columns), held))
+
+        for i, edge in enumerate(spec.edges):
+            if holders[i] is None:
+                df = self._read(edge.view)
+                ends = {SOURCE: edge.start, TARGET: edge.end}
+                tables.append(
+                    RelTable(
+                        edge.rel_type,
+                        df.select(
+                            self._edge_id(edge, df).alias(ID),
+                            *[self._end_id(edge, end, df, keys).alias(side) for side, end in ends.items()],
+                            *normalized(df, edge.properties, spec.schema.relationship_property_keys(edge.rel_type)),
+                        ).where(quoted(SOURCE).isNotNull() & quoted(TARGET).isNotNull()),
+                        edge.start.labels,
+                        edge.end.labels,
+                    )
                 )
-            )
         return PropertyGraph.from_tables(*tables, schema=spec.schema, spark=self._spark)
 
+    def _edge_id(self, edge: EdgeView, df: DataFrame) -> Column:
+        return self._id([edge.rel_type], f"{edge.view}|{edge.start.view}|{edge.end.view}", sorted(df.columns))
+
+    def _end_id(self, edge: EdgeView, end: End, df: DataFrame, keys: Mapping) -> Column:
+        """Id of the node at an end, made of the edge's columns as the node's is made of its own. A null
+        among them joins to no node and gives no id."""
+        key = keys.get((frozenset(end.labels), end.view))
+        if key is None:
+            raise GraphSchemaError(f"{edge.rel_type} ends at nodes {end.labels} of '{end.view}', which are none")
+        by_node_column = {node.lower(): column for node, column in end.on}
+        columns = [column_named(df, by_node_column[c]) for c in key]
+        complete = reduce(and_, [quoted(c).isNotNull() for c in columns])
+        return F.when(complete, self._id(end.labels, end.view, columns))
+
+    @staticmethod
+    def _holder(edge: EdgeView, keys: Mapping) -> tuple[str, tuple] | None:
+        """The end whose nodes are the rows of the edge view itself, joined to themselves on their key."""
+        for side, end in ((SOURCE, edge.start), (TARGET, edge.end)):
+            node = (frozenset(end.labels), end.view)
+            same = all(a.lower() == b.lower() for a, b in end.on)
+            if end.view == edge.view and same and keys.get(node) == tuple(sorted(a.lower() for a, _ in end.on)):
+                return side, node
+        return None
+
+    def _held(self, prefix, edge, side, df, keys, schema) -> tuple[Held, list[Column]]:
+        """An edge in the rows of its nodes, and the columns that keep it there."""
+        far = edge.end if side == SOURCE else edge.start
+        properties = normalized(df, edge.properties, schema.relationship_property_keys(edge.rel_type))
+        names = [(p, f"{prefix}.{p}") for p in edge.properties]
+        held = Held(edge.rel_type, side, f"{prefix}.other", f"{prefix}.id", frozenset(far.labels), tuple(names))
+        return held, [
+            self._edge_id(edge, df).alias(held.id),
+            self._end_id(edge, far, df, keys).alias(held.other),
+            *[c.alias(name) for c, (_, name) in zip(properties, names)],
+        ]
+
     @staticmethod
     def _key(node: NodeView, edges: Sequence[EdgeView]) -> tuple[str, ...]:
         """Columns of the node view that make its ids: all edges have to join on the same ones."""

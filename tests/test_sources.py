@@ -377,6 +377,29 @@ def test_one_graph_type_for_two_graphs(spark):
     assert counts == {"seed": 6, "delta": 4}
 
 
+def test_null_keys_make_no_edges(spark):
+    frames_ = {
+        "owners": spark.sql("SELECT * FROM VALUES (1, 'x'), (2, 'y') AS t(owner, name)"),
+        "dogs": spark.sql("SELECT * FROM VALUES (7, 1), (8, null), (9, 3) AS t(dog, owner)"),
+        "walks": spark.sql("SELECT * FROM VALUES (7, 1), (8, null), (9, 2) AS t(dog, walker)"),
+    }
+    dog = End(("Dog",), "db.dogs", (("dog", "dog"),))
+    spec = ViewGraph(
+        (NodeView(("Owner",), "db.owners", {"name": "name"}), NodeView(("Dog",), "db.dogs", {"dog": "dog"})),
+        (
+            EdgeView("OWNED_BY", "db.dogs", dog, End(("Owner",), "db.owners", (("owner", "owner"),))),
+            EdgeView("WALKED_BY", "db.walks", dog, End(("Owner",), "db.owners", (("owner", "walker"),))),
+        ),
+    )
+    graph = ViewGraphSource(spark, {"db": FrameViews(frames_)}, {"g": spec}).graph("g")
+    assert graph.node_tables("Dog")[0].held[0].rel_type == "OWNED_BY"
+    assert values(graph.match("d", "Dog").expand("d", "o", "p", types="OWNED_BY").select("d.dog", "p.name")) == [(7, "x")]
+    assert values(graph.match("p").expand("p", "o", "d", types="WALKED_BY", direction="in").select("d.dog", "p.name")) == [
+        (7, "x"), (9, "y"),
+    ]
+    assert graph.match_relationships("r", "WALKED_BY").df.count() == 2
+
+
 def test_records_have_graph_types(spark):
     assert frames.records(spark, "SELECT 1 AS a").schema["a"].dataType == T.LongType()
 
