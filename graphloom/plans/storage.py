@@ -135,3 +135,21 @@ def edge_list(spark, folder):
     )
     nodes = agg.group(graph.match("v", "V").df, n_nodes=agg.count_all())
     return edges.select("*", nodes.select("n_nodes").scalar().alias("n_nodes"))
+
+
+@query(
+    "external_tables",
+    """
+    SELECT o_orderstatus AS status, count(*) AS n, min(o_custkey) * 128 + 1 AS first_source FROM orders GROUP BY 1
+    """,
+)
+def external_tables(spark, folder):
+    """A graph stored in files, with external tables over them, queried by SQL text."""
+    location = new_location(spark, "database")
+    database = f"loom_{location[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    GraphFiles(spark, new_location(spark, "graphs"), "parquet", database=database).store("sales", _sales(spark, folder))
+    return spark.sql(
+        f"SELECT v.status, count(*) AS n, min(e.source) AS first_source FROM {database}.sales_vertex_Order v "
+        f"JOIN {database}.sales_edge_PLACED e ON e.target = v.id GROUP BY v.status"
+    )
