@@ -253,8 +253,12 @@ class Match:
         nodes = {**self.nodes, source: reach.near}
         if self.scanned is None or self.scanned[0] != source:
             return replace(self, nodes=nodes)
-        fresh = Match(self.graph, _node_scan(self.graph, source, reach.near), nodes, {})
-        return _filtered(fresh, self.scanned[1])
+        scan = _node_scan(self.graph, source, reach.near)
+        # columns that only the labels left out have may be in use already: they stay, empty
+        absent = {
+            f.name: F.lit(None).cast(f.dataType) for f in self.df.schema.fields if f.name not in scan.columns
+        }
+        return _filtered(Match(self.graph, scan.withColumns(absent) if absent else scan, nodes, {}), self.scanned[1])
 
     def _optional_rows(self, grown, source, rel, target, closing, reach, where) -> DataFrame:
         """Rows with what they match, and rows that match nothing.

@@ -271,6 +271,37 @@ def test_hot_keys_give_whole_results(spark):
     assert total.agg(F.sum("n")).first()[0] == 9000
 
 
+def test_columns_taken_before_a_scan_is_narrowed(spark):
+    graph = PropertyGraph.from_tables(
+        NodeTable("A", spark.sql("SELECT 1L AS id, 'x' AS name")),
+        NodeTable("B", spark.sql("SELECT 2L AS id, 5 AS size")),
+        RelTable("R", spark.sql("SELECT 1L AS id, 1L AS source, 2L AS target"), ["A"], ["B"]),
+    )
+    m = graph.match("n")
+    name, size = m["n.name"], m["n.size"]
+    assert values(m.expand("n", "r", "b").df.select(name, size, "b__size")) == [("x", None, 5)]
+    assert graph.match("n", where=F.col("n__size").isNull()).expand("n", "r", "b").df.count() == 1
+
+
+def test_types_and_labels_nobody_has(friends):
+    m = friends.match("a")
+    assert m.expand("a", "r", "b", types="NOPE").df.count() == 0
+    assert m.expand("a", "r", "b", labels="Nobody").select("a.name", "b.name").count() == 0
+    assert values(m.optional("a", "r", "b", types="NOPE").select("a.name", "b.name"))[0] == ("Alice", None)
+    assert m.exists("a", types="NOPE", negated=True).df.count() == 4
+    assert m.exists("a", labels="Nobody").df.count() == 0
+    assert m.expand_path("a", "p", "b", types="NOPE").df.count() == 0
+    assert m.expand_path("a", "p", "b", labels="Nobody").df.count() == 0
+    counted = m.expand_aggregate("a", types="NOPE", optional=True, aggregates=lambda m: {"n": F.sum(m["node.age"])})
+    assert counted.df.where("n IS NULL").count() == 4
+    assert friends.match_relationships("r", "NOPE").df.count() == 0
+    assert friends.match("x", "Nobody").expand("x", "r", "y").df.count() == 0
+    with pytest.raises(GraphSchemaError):
+        m.expand("a", "r", "b", direction="sideways")
+    with pytest.raises(GraphSchemaError):
+        m.expand("a", "r__x", "b")
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_random_graphs_against_brute_force(spark, seed):
     """Two labels, three relationship tables, declared endpoints and none: the same rows as a plain search."""
