@@ -165,6 +165,14 @@ def regroup_properties(rows: DataFrame, by: Sequence[str] = ("id", "label"), nam
     return rows.groupBy(*[quoted(c) for c in by]).agg(F.sort_array(F.collect_set("new_property")).alias(name))
 
 
+def distinct_properties(docs: DataFrame, name: str = "arr_properties") -> DataFrame:
+    """`id, label` and the different property structs as a sorted list, in place. Where every document
+    is one row this is what exploding and regrouping gives, with nothing shuffled."""
+    return docs.where(F.size("properties") > 0).select(
+        "id", "label", F.sort_array(F.array_distinct("properties")).alias(name)
+    )
+
+
 def table_counts(**tables: DataFrame) -> DataFrame:
     """Row count of each table: `name, n`."""
     counts = [

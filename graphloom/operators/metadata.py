@@ -52,13 +52,33 @@ def keys(docs: DataFrame, datasource: str | None = None, label: str | None = Non
     return entries.groupBy("datasource", "label", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _dominant(typed: DataFrame) -> DataFrame:
-    """Most frequent type per key, the first by name among equals."""
-    return typed.groupBy("datasource", "label", "key").agg(
+def _tree(docs: DataFrame, *by: str) -> DataFrame:
+    """`by, datasource, label, n_docs, key, type, n_type, n_key`, in one pass over the documents.
+
+    A document yields its entries and one row for itself; everything is an aggregate of the counts
+    of those. The dominant type of a key is the most frequent one, the first by name among equals.
+    What is gathered per label in the end are its different keys.
+    """
+    document = F.array(F.lit(None).cast("string"))
+    none = F.array().cast("array<string>")
+    entries = F.arrays_zip(
+        *[F.concat(document, F.coalesce(F.col("properties")[f], none)).alias(f) for f in ("key", "type")]
+    )
+    group = [*by, "datasource", "label"]
+    rows = docs.select(*group, F.posexplode(entries).alias("at", "entry")).select(
+        *group, (F.col("at") == 0).alias("whole"), F.col("entry.key").alias("key"), F.col("entry.type").alias("type")
+    )
+    counts = rows.groupBy(*group, "whole", "key", "type").agg(F.count(F.lit(1)).alias("n"))
+    per_key = counts.groupBy(*group, "whole", "key").agg(
         F.min_by("type", F.struct(-F.col("n"), F.col("type"))).alias("type"),
         F.max("n").alias("n_type"),
         F.sum("n").alias("n_key"),
     )
+    per_label = per_key.groupBy(*group).agg(
+        F.max(F.when(F.col("whole"), F.col("n_key"))).alias("n_docs"),
+        F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "type", "n_type", "n_key"))).alias("found"),
+    )
+    return per_label.select(*group, "n_docs", F.inline_outer("found"))
 
 
 def key_types(docs: DataFrame, datasource: str | None = None, label: str | None = None) -> DataFrame:
@@ -67,58 +87,26 @@ def key_types(docs: DataFrame, datasource: str | None = None, label: str | None
     `type` is the dominant one and `n_type` its count; `mixed_types` tells that other types occur, and
     `nullable` that some documents of the label lack the key.
     """
-    wanted = docs.where(_of(datasource, label))
-    typed = _entries(wanted).groupBy("datasource", "label", "key", "type").agg(F.count(F.lit(1)).alias("n"))
-    sizes = wanted.groupBy("datasource", "label").agg(F.count(F.lit(1)).alias("n_docs"))
-    return (
-        _dominant(typed)
-        .join(sizes, ["datasource", "label"])
-        .select(
-            "datasource",
-            "label",
-            "key",
-            "type",
-            "n_type",
-            "n_key",
-            (F.col("n_type") != F.col("n_key")).alias("mixed_types"),
-            (F.col("n_key") < F.col("n_docs")).alias("nullable"),
-        )
+    found = _tree(docs.where(_of(datasource, label))).where(F.col("key").isNotNull())
+    return found.select(
+        "datasource",
+        "label",
+        "key",
+        "type",
+        "n_type",
+        "n_key",
+        (F.col("n_type") != F.col("n_key")).alias("mixed_types"),
+        (F.col("n_key") < F.col("n_docs")).alias("nullable"),
     )
 
 
 def scan(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """The whole tree: `kind, datasource, label, n_docs, key, type, n_type, n_key, mixed_types`.
-
-    Documents and their entries are counted in one pass over each collection: a document yields its
-    entries and one row without a key, and everything else is an aggregate of those counts.
-    """
-
-    def counted(docs: DataFrame, kind: str) -> DataFrame:
-        document = F.array(F.lit(None).cast("string"))
-        none = F.array().cast("array<string>")
-        entries = F.arrays_zip(
-            *[F.concat(document, F.coalesce(F.col("properties")[f], none)).alias(f) for f in ("key", "type")]
-        )
-        rows = docs.select(
-            F.lit(kind).alias("kind"), "datasource", "label", F.inline(entries).alias("key", "type")
-        )
-        return rows.groupBy("kind", "datasource", "label", "key", "type").agg(F.count(F.lit(1)).alias("n"))
-
-    counts = counted(vertices, "vertex").unionAll(counted(edges, "edge"))
-    per_key = counts.groupBy("kind", "datasource", "label", "key").agg(
-        F.min_by("type", F.struct(-F.col("n"), F.col("type"))).alias("type"),
-        F.max("n").alias("n_type"),
-        F.sum("n").alias("n_key"),
-    )
-    per_label = per_key.groupBy("kind", "datasource", "label").agg(
-        F.max(F.when(F.col("key").isNull(), F.col("n_key"))).alias("n_docs"),
-        F.collect_list(
-            F.when(F.col("key").isNotNull(), F.struct("key", "type", "n_type", "n_key"))
-        ).alias("found"),
-    )
-    return per_label.select("kind", "datasource", "label", "n_docs", F.inline_outer("found")).withColumn(
-        "mixed_types", F.col("n_type") != F.col("n_key")
+    """The whole tree: `kind, datasource, label, n_docs, key, type, n_type, n_key, mixed_types`."""
+    columns = ["datasource", "label", "properties"]
+    both = vertices.select(F.lit("vertex").alias("kind"), *columns).unionAll(
+        edges.select(F.lit("edge").alias("kind"), *columns)
     )
+    return _tree(both, "kind").withColumn("mixed_types", F.col("n_type") != F.col("n_key"))
 
 
 def collected(df: DataFrame) -> list:

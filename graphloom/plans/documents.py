@@ -256,6 +256,17 @@ def property_regroup(spark, folder):
     return regrouped.select("id", "label", F.array_join(text, ",").alias("regrouped"))
 
 
+@query(
+    "property_regroup_in_place",
+    """
+    SELECT 'c' || c_custkey AS id, 'customer' AS label, 'acctbal,name,nation,segment' AS keys FROM customer
+    """,
+)
+def property_regroup_in_place(spark, folder):
+    docs = d.distinct_properties(_vertices(spark, folder).where("label = 'customer'"))
+    return docs.select("id", "label", F.array_join(structs.field_of_each(F.col("arr_properties"), "key"), ",").alias("keys"))
+
+
 @query(
     "property_struct",
     "SELECT 'c' || c_custkey AS id, c_mktsegment AS value, 'java.lang.String' AS type FROM customer",
