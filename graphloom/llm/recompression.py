@@ -35,7 +35,7 @@ from graphloom.llm.stretches import (
     unnested,
     with_place,
 )
-from graphloom.llm.text import flat, mixed, ranges, signed, slices, word_hashes, word_spans
+from graphloom.llm.text import dealt_anew, flat, mixed, ranges, signed, slices, word_hashes, word_spans
 
 WINDOW = Windows(length=35, choices=16, first=1)
 _BLOCK = 1 << 18  # symbols named at once
@@ -166,7 +166,7 @@ def repeated_windows(docs: DataFrame, windows: Windows = WINDOW, text: str = "te
 def deduplicated(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`id`, `n_words`, `n_removed` and `kept`, the words left of each row joined by spaces (binary)."""
     texts, found = repeated_windows(docs.select(F.col(id).alias("_id"), text), windows, text)
-    rows = texts.join(found.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    rows = texts.join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.text import first_least, map_slices, mixed, signed
+from graphloom.llm.text import dealt_anew, first_least, map_slices, mixed, signed
 from graphloom.session import written
 
 
@@ -107,7 +107,7 @@ def repeated(
     keys = postings.groupBy("key").agg(
         F.count("*").alias("met"), F.min("content").alias("one"), F.max("content").alias("other")
     )
-    keys = keys.where("met > 1").select("key", (F.col("one") == F.col("other")).alias("whole"))
+    keys = keys.where("met > 1").select(dealt_anew("key"), (F.col("one") == F.col("other")).alias("whole"))
     shared = written(postings.join(keys, "key"), "stretches")
     several = shared.where("not whole")
     contents = written(
@@ -121,7 +121,7 @@ def repeated(
 
 def met_twice(windows: DataFrame) -> DataFrame:
     """Of windows (`name`, `doc`, `start`, `open`), those that are open and whose name is met twice or more, one by one."""
-    names = windows.groupBy("name").agg(F.count("*").alias("met")).where("met > 1").select("name")
+    names = windows.groupBy("name").agg(F.count("*").alias("met")).where("met > 1").select(dealt_anew("name"))
     return windows.where("open").join(names, "name", "left_semi").select("doc", "start", F.lit(1).alias("n"))
 
 
@@ -138,7 +138,7 @@ def asked_stretches(asked: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of `texts`, each copy of one too, that have stretches asked for, with these as `asked`. All columns stay,
     so that the exchange of the texts is the one that the final join has."""
     lists = asked.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "n", "open")).alias("asked"))
-    return texts.join(lists.withColumnRenamed("doc", "_doc"), "_doc")
+    return texts.join(lists.select(dealt_anew("doc", "_doc"), "asked"), "_doc")
 
 
 def unnested(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:

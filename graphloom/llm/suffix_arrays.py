@@ -37,7 +37,7 @@ from graphloom.llm.stretches import (
     unnested,
     with_place,
 )
-from graphloom.llm.text import byte_rolling, flat, ranges, signed, slices
+from graphloom.llm.text import byte_rolling, dealt_anew, flat, ranges, signed, slices
 from graphloom.session import written
 
 WINDOW = Windows(length=400, choices=128)
@@ -255,7 +255,7 @@ def repeated_strings(docs: DataFrame, windows: Windows = WINDOW, text: str = "te
 def deduplicated(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
     """`id`, `n_bytes`, `n_removed`, `n_spans` (runs removed), `kept` (what is left, binary) and its `kept_sha256`."""
     texts, found = repeated_strings(docs.select(F.col(id).alias("_id"), text), windows, text, group)
-    rows = texts.join(found.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    rows = texts.join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

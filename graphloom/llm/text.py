@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20  # of text that is worked on at once; one longer text is a slice of its own
 
@@ -162,3 +163,9 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def signed(hashes: np.ndarray) -> np.ndarray:
     """As Spark's long."""
     return hashes.view(np.int64)
+
+
+def dealt_anew(column: str, name: str | None = None) -> Column:
+    """The same number, but for the optimizer a new one. An aggregate on it is then exchanged again before a join (it is
+    small by then), and adaptive execution can split hot keys of the other side, which it does only between two exchanges."""
+    return F.col(column).bitwiseXOR(F.lit(0).cast("long")).alias(name or column)
