@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.registry import query
-from graphloom.session import written
 from graphloom.llm.text import Rolling, flat, lowered, map_slices, signed, slices, word_hashes, word_spans
+from graphloom.session import written
 
 WORDS, PLACES, BANDS = 5, 64, 16
 LIKENESS = 0.8
@@ -163,7 +163,7 @@ def compared_with_next(docs: DataFrame, id: str = "doc_id", text: str = "text")
                 table = table.combine_chunks()
                 last = table.slice(table.num_rows - 1).to_batches()[0]
                 made = compared(table)
-                held = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in last.columns], names=last.schema.names)
+                held = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in last.columns], schema=part.schema)
                 if made is not None:
                     yield made
 

@@ -53,6 +53,15 @@ def test_odd_texts_nulls_and_ties(spark, parts):
     check(compared_with_next(frame).collect(), docs)
 
 
+def test_rows_that_come_in_many_batches(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 40")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        check(compared_with_next(docs).collect(), sorted((r.doc_id, r.text) for r in docs.collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_one_row_and_no_rows(spark):
     one = spark.createDataFrame([(3, "a b c d e f g h")], "doc_id long, text string")
     check(compared_with_next(one).collect(), [(3, "a b c d e f g h")])
