@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.errors import GraphError
 from graphloom.model.types import java_class_type
 from graphloom.operators.documents import VERTEX_DOCUMENT
 
-MAX_SCHEMA_ROWS = 100_000
-
 
 def _of(datasource: str | None, label: str | None = None) -> Column:
     condition = F.lit(True)
@@ -47,8 +47,8 @@ def _entries(docs: DataFrame) -> DataFrame:
 
 
 def keys(docs: DataFrame, datasource: str | None = None, label: str | None = None) -> DataFrame:
-    """`datasource, label, key, n`: how often each property key occurs."""
-    entries = _entries(docs.where(_of(datasource, label)))
+    """`datasource, label, key, n`: how often each property key occurs. Entries without a key are left out."""
+    entries = _entries(docs.where(_of(datasource, label))).where(F.col("key").isNotNull())
     return entries.groupBy("datasource", "label", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -56,8 +56,8 @@ def _tree(docs: DataFrame, *by: str) -> DataFrame:
     """`by, datasource, label, n_docs, key, type, n_type, n_key`, in one pass over the documents.
 
     A document yields its entries and one row for itself; everything is an aggregate of the counts
-    of those. The dominant type of a key is the most frequent one, the first by name among equals.
-    What is gathered per label in the end are its different keys.
+    of those. The dominant type of a key is the most frequent one, the first by name among equals. Entries
+    without a key are left out.
     """
     document = F.array(F.lit(None).cast("string"))
     none = F.array().cast("array<string>")
@@ -68,17 +68,18 @@ def _tree(docs: DataFrame, *by: str) -> DataFrame:
     rows = docs.select(*group, F.posexplode(entries).alias("at", "entry")).select(
         *group, (F.col("at") == 0).alias("whole"), F.col("entry.key").alias("key"), F.col("entry.type").alias("type")
     )
+    rows = rows.where(F.col("whole") | F.col("key").isNotNull())
     counts = rows.groupBy(*group, "whole", "key", "type").agg(F.count(F.lit(1)).alias("n"))
-    per_key = counts.groupBy(*group, "whole", "key").agg(
-        F.min_by("type", F.struct(-F.col("n"), F.col("type"))).alias("type"),
-        F.max("n").alias("n_type"),
-        F.sum("n").alias("n_key"),
-    )
-    per_label = per_key.groupBy(*group).agg(
-        F.max(F.when(F.col("whole"), F.col("n_key"))).alias("n_docs"),
-        F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "type", "n_type", "n_key"))).alias("found"),
-    )
-    return per_label.select(*group, "n_docs", F.inline_outer("found"))
+    of_key = Window.partitionBy(*group, "whole", "key")
+    ranked = counts.select(
+        *group, "whole", "key", "type", F.col("n").alias("n_type"), F.sum("n").over(of_key).alias("n_key"),
+        F.row_number().over(of_key.orderBy(F.desc("n"), "type")).alias("place"),
+    ).where("place = 1")
+    whole = ranked.where("whole").select(*[F.col(c).alias(f"@{c}") for c in group], F.col("n_key").alias("n_docs"))
+    found = ranked.where("not whole").drop("whole", "place")
+    same = [F.col(c).eqNullSafe(F.col(f"`@{c}`")) for c in group]
+    joined = whole.join(found, reduce(and_, same), "left")
+    return joined.select(*[F.col(f"`@{c}`").alias(c) for c in group], "n_docs", "key", "type", "n_type", "n_key")
 
 
 def key_types(docs: DataFrame, datasource: str | None = None, label: str | None = None) -> DataFrame:
@@ -110,11 +111,8 @@ def scan(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def collected(df: DataFrame) -> list:
-    """Rows of a schema-sized table on the driver. More rows than any schema has are refused."""
-    rows = df.limit(MAX_SCHEMA_ROWS + 1).collect()
-    if len(rows) > MAX_SCHEMA_ROWS:
-        raise GraphError(f"more than {MAX_SCHEMA_ROWS} labels, keys and types: this is no schema")
-    return rows
+    """Rows of a schema-sized table on the driver, fetched one partition at a time."""
+    return list(df.toLocalIterator())
 
 
 def label_schema(types: dict[str, str]) -> T.StructType:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from graphloom.errors import GraphSchemaError
 from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted, sql_name
 from graphloom.operators.ids import serialized_id, tagged_id
+from graphloom.operators.table import _holds_map
 from graphloom.operators.patterns import Match, flat
 
 
@@ -106,13 +107,13 @@ def union_graphs(*graphs: PropertyGraph) -> PropertyGraph:
 class Create:
     """`CREATE (source)-[:rel_type {properties}]->(target)` for every row of a match.
 
-    Ends are given as `(variable, position of its graph in the list constructed on)`, or name a node
-    created alongside.
+    Ends name a node created alongside, or a variable of the match, whose graph is one of those constructed on. Where
+    one graph is constructed on twice, `(variable, position of its graph)` says which is meant.
     """
 
     rel_type: str
-    source: tuple[str, int] | str
-    target: tuple[str, int] | str
+    source: str | tuple[str, int]
+    target: str | tuple[str, int]
     properties: Mapping[str, Column] = field(default_factory=dict)
 
 
@@ -130,8 +131,9 @@ def construct(
 ) -> PropertyGraph:
     """The union of the graphs in `on` plus what each row of `match` creates.
 
-    A created element is identified by the entities bound in its row, so computing the row again
-    after a lost executor gives it the same id.
+    A created element is identified by the entities and the other values of its row, so computing the row again
+    after a lost executor gives it the same id. Rows that are equal throughout create one element each, all
+    of one id: make them distinct first.
     """
     # created elements have text ids; nodes keep their own type as long as none is created
     creates_nodes = any(isinstance(c, CreateNode) for c in create)
@@ -144,18 +146,23 @@ def construct(
         tables += [*nodes, *rels]
 
     fresh = len(on)
-    bound = sorted([*match.nodes, *match.rels])
+    bound = [flat(v, ID) for v in sorted([*match.nodes, *match.rels])]
+    plain = sorted(c for c in match.df.columns if "__" not in c and not _holds_map(match.df.schema[c].dataType))
 
     def row_key(kind: str) -> Column:
-        return serialized_id(kind, [_text(match.df, flat(v, ID)) for v in bound])
+        return serialized_id(kind, [_text(match.df, c) for c in [*bound, *plain]])
 
     new_nodes = {c.name: c for c in create if isinstance(c, CreateNode)}
 
     def end(which: tuple[str, int] | str) -> tuple[Column, frozenset[str]]:
-        if isinstance(which, str):
+        if isinstance(which, str) and which in new_nodes:
             node = new_nodes[which]
             return rule.node_id(fresh, row_key(node.name), T.StringType()), frozenset(node.labels)
-        var, tag = which
+        var = which if isinstance(which, str) else which[0]
+        places = [i for i, graph in enumerate(on) if graph is match.home(var)] if var in match.nodes else []
+        tag = places[0] if isinstance(which, str) and places else which[1] if isinstance(which, tuple) else None
+        if tag is None or (places and tag not in places):
+            raise GraphSchemaError(f"'{var}' is no node of a graph that is constructed on, or not of that one")
         combos = match.nodes[var]
         known = next(iter(combos)) if len(combos) == 1 else frozenset()
         return rule.node_id(tag, match.id(var), match.df.schema[flat(var, ID)].dataType), known
@@ -192,4 +199,4 @@ def construct(
 
 def _text(df: DataFrame, name: str) -> str:
     column = sql_name(name)
-    return f"to_json({column})" if isinstance(df.schema[name].dataType, T.StructType) else column
+    return f"to_json({column})" if isinstance(df.schema[name].dataType, (T.StructType, T.ArrayType)) else column

@@ -166,17 +166,31 @@ class Match:
 
         Grouping by an entity means by its id. `keep` names the properties to carry along: they
         depend on the id, so as further grouping keys they leave the groups as they are and the
-        aggregation stays hash based. Without `keep` all the properties come along.
+        aggregation stays hash based. Without `keep` all the properties of a node come along: they are
+        read for the groups, after the aggregation.
         """
         keys: list[Column] = []
+        read: list[str] = []
         for name in by:
-            if name in self.nodes or name in self.rels:
+            if name in self.nodes and name not in (keep or {}):
+                read.append(name)
+                keys.append(self.id(name).alias(f"{name}_id"))
+            elif name in self.nodes or name in self.rels:
                 props = (keep or {}).get(name, self.property_names(name))
                 keys.append(self.id(name).alias(f"{name}_id"))
                 keys += [self[f"{name}.{p}"].alias(f"{name}_{p}") for p in props]
             else:
                 keys.append(self._named(name))
-        return self.df.groupBy(*keys).agg(*[c.alias(alias) for alias, c in aggregates.items()])
+        groups = self.df.groupBy(*keys).agg(*[c.alias(alias) for alias, c in aggregates.items()])
+        columns = list(groups.columns)
+        for name in read:
+            nodes = _node_scan(self.home(name), name, self.nodes[name])
+            props = [p for p in self.property_names(name) if flat(name, p) in nodes.columns]
+            nodes = nodes.select(quoted(flat(name, ID)).alias("@id"), *[quoted(flat(name, p)).alias(f"{name}_{p}") for p in props])
+            groups = groups.join(nodes, quoted(f"{name}_id") == quoted("@id"), "left").drop("@id")
+            at = columns.index(f"{name}_id") + 1
+            columns[at:at] = [f"{name}_{p}" for p in props]
+        return groups.select([quoted(c) for c in columns])
 
     # -- growing the pattern ----------------------------------------------------------------------
 
@@ -190,9 +204,11 @@ class Match:
         labels: Iterable[str] | str = (),
         direction: str = OUT,
         where=None,
+        rel_where: Mapping[str, object] | None = None,
+        node_where: Mapping[str, object] | None = None,
         optional: bool = False,
     ) -> Match:
-        """`(source)-[rel:types]->(target:labels)`.
+        """`(source)-[rel:types {rel_where}]->(target:labels {node_where})`.
 
         Relationships of one pattern are pairwise distinct. Without a `target` name the far end is
         anonymous and its nodes are not read. A `target` that is bound already closes a cycle.
@@ -202,6 +218,7 @@ class Match:
         _check_var(rel)
         types, labels = _as_set(types), _as_set(labels)
         closing = target in self.nodes if target else False
+        where = _inline(where, rel, rel_where, None if closing else target, node_where)
         bound = self.nodes[target] if closing else None
         graph = self.home(source)
         reach = _reach(graph, types, labels, direction, self.nodes[source], bound)
@@ -261,11 +278,12 @@ class Match:
         return _filtered(Match(self.graph, scan.withColumns(absent) if absent else scan, nodes, {}), self.scanned[1])
 
     def _optional_rows(self, grown, source, rel, target, closing, reach, where) -> DataFrame:
-        """Rows with what they match, and rows that match nothing.
+        """Rows with what they match, or with nulls where they match nothing.
 
-        Where the condition concerns the optional part alone, the two are computed separately: an
-        inner join, whose hot keys Spark can split on either side, and an anti join with the different
-        keys. In one outer join a key that much of the optional side shares would stay in one task.
+        Where the condition concerns the optional part alone, that part is completed from the tables of the graph:
+        a row of nulls for each node that matches nothing, and one for no node. The rows so far then take part in
+        one inner join, whose hot keys Spark can split on either side. In an outer join a key that much
+        of the optional side shares would stay in one task.
         """
         part = _arm(self.home(source), rel, None if closing else target, reach)
         key = self.id(source) == quoted(flat(rel, FROM))
@@ -280,10 +298,14 @@ class Match:
             except (UnboundVariable, AnalysisException):
                 matching = None  # the condition looks at earlier variables as well
             if matching is not None:
-                found = self.df.join(matching, key).drop(*ends)
-                keys = matching.select(quoted(flat(rel, FROM)).alias("@near")).distinct()
-                rest = self.df.join(keys, self.id(source) == quoted("@near"), "left_anti")
-                return found.unionByName(rest, allowMissingColumns=True)
+                near = quoted(flat(rel, FROM))
+                keys = matching.select(near.alias("@near")).distinct()
+                nodes = _ids_of(self.home(source), self.nodes[source])
+                idle = nodes.join(keys, quoted("@end") == quoted("@near"), "left_anti")
+                none = idle.sparkSession.range(1).select(F.lit(None).cast(idle.schema["@end"].dataType).alias("@end"))
+                idle = idle.unionAll(none).select(quoted("@end").alias(flat(rel, FROM)))
+                complete = matching.unionByName(idle, allowMissingColumns=True)
+                return self.df.join(complete, self.id(source).eqNullSafe(near)).drop(*ends)
         conditions = [key, *distinct]
         if closing:
             conditions.append(self.id(target) == quoted(flat(rel, TO)))
@@ -338,9 +360,12 @@ class Match:
         labels: Iterable[str] | str = (),
         direction: str = OUT,
         where=None,
+        rel_where: Mapping[str, object] | None = None,
+        node_where: Mapping[str, object] | None = None,
         negated: bool = False,
     ) -> Match:
         """Keep rows whose `source` has (or, negated, lacks) such a neighbour: a semi or anti join."""
+        where = _inline(where, "rel", rel_where, "node", node_where)
         near = self._neighbours(source, _as_set(types), _as_set(labels), direction, where)
         return self.with_rows(
             self.df.join(near, self.id(source) == quoted("@near"), "left_anti" if negated else "left_semi")
@@ -355,8 +380,11 @@ class Match:
         labels: Iterable[str] | str = (),
         direction: str = OUT,
         where=None,
+        rel_where: Mapping[str, object] | None = None,
+        node_where: Mapping[str, object] | None = None,
     ) -> Match:
         """Column `name`: whether `source` has such a neighbour."""
+        where = _inline(where, "rel", rel_where, "node", node_where)
         near = self._neighbours(source, _as_set(types), _as_set(labels), direction, where)
         joined = self.df.join(near, self.id(source) == quoted("@near"), "left")
         return self.with_rows(joined.withColumn(name, quoted("@near").isNotNull()).drop("@near"))
@@ -377,6 +405,8 @@ class Match:
         labels: Iterable[str] | str = (),
         direction: str = OUT,
         where=None,
+        rel_where: Mapping[str, object] | None = None,
+        node_where: Mapping[str, object] | None = None,
         optional: bool = False,
         aggregates: Callable[[Match], Mapping[str, Column]],
     ) -> Match:
@@ -386,6 +416,7 @@ class Match:
         shuffled in place of relationships, so a node holding much of a relationship type costs no
         more than any other. `aggregates` gets a match of the variables `rel` and `node`.
         """
+        where = _inline(where, "rel", rel_where, "node", node_where)
         graph = self.home(source)
         reach = _reach(graph, _as_set(types), _as_set(labels), direction, self.nodes[source], None)
 
@@ -408,21 +439,28 @@ class Match:
         labels: Iterable[str] | str = (),
         direction: str = OUT,
         min_hops: int = 1,
-        max_hops: int = 3,
+        max_hops: int,
         properties: bool = False,
-        write_steps: bool = False,
+        optional: bool = False,
     ) -> Match:
         """`(source)-[path:types*min..max]->(target:labels)`.
 
         `path` becomes a list of relationships `{id, source, target, type}` in walking order, with their
         `properties` if asked for. No relationship occurs twice in a pattern. Every length is one more
         join on the last node of the shorter walks, with the relationships that can leave the labels
-        reached so far. `write_steps` writes the walks of
-        each length once to the shared folder, rather than have every longer length compute them anew.
+        reached so far. The walks of each length are written once to the shared folder, as the next length and the
+        result both use them. A `target` that is bound already closes the path. `optional` keeps rows without a
+        path, with null for path and target.
         """
         if not 0 <= min_hops <= max_hops:
             raise GraphSchemaError(f"not a range of lengths: {min_hops}..{max_hops}")
         _check_var(path)
+        closing = target in self.nodes
+        if optional:
+            return self._optional_path(
+                source, path, target, types=types, labels=labels, direction=direction, min_hops=min_hops,
+                max_hops=max_hops, properties=properties,
+            )
         types, labels = _as_set(types), _as_set(labels)
         graph = self.home(source)
         near = self.nodes[source]
@@ -458,7 +496,7 @@ class Match:
                 quoted(flat("@hop", TO)).alias("@last"),
                 F.array_append(quoted(path), step.cast(step_type)).alias(path),
             )
-            if write_steps and length < max_hops:
+            if length < max_hops:
                 walk = written(walk, "walks")
             near = reach.far
             if length >= min_hops:
@@ -466,9 +504,13 @@ class Match:
 
         reached = frozenset(c for _, ends in lengths for c in ends if labels <= c)
         walks = reduce(DataFrame.unionAll, [w for w, _ in lengths] or [walk.where(F.lit(False))])
-        joined = walks.join(
-            _node_scan(graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
-        )
+        if closing:
+            reached = self.nodes[target]
+            joined = walks.where(quoted("@last") == self.id(target))
+        else:
+            joined = walks.join(
+                _node_scan(graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
+            )
         homes = dict(self.homes) if graph is self.graph else {**self.homes, target: graph}
         if graph is not self.graph:
             homes[path] = graph
@@ -481,8 +523,17 @@ class Match:
             open_paths={**self.open_paths, path: types or frozenset(graph.schema.relationship_types)},
         )
 
+    def _optional_path(self, source: str, path: str, target: str, **options) -> Match:
+        """Rows are numbered and written, so that those without a path can be told."""
+        numbered = self.with_rows(written(self.df.withColumn("@row", F.monotonically_increasing_id()), "rows"))
+        found = numbered.expand_path(source, path, target, **options)
+        rows = written(found.df, "paths")
+        rest = numbered.df.join(rows.select("`@row`"), "@row", "left_anti")
+        return found.with_rows(rows.unionByName(rest, allowMissingColumns=True).drop("@row"))
+
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
-        """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`."""
+        """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`. A value that
+        both sides repeat gives every pair of its rows."""
         shared = set(self.df.columns) & set(other.df.columns)
         if shared:
             raise GraphSchemaError(f"both sides bind {sorted(shared)}")
@@ -697,17 +748,31 @@ def _condition(match: Match, where) -> Column:
 
 
 def _filtered(match: Match, where) -> Match:
-    if where is None:
-        return match
+    return match if where is None else match.with_rows(match.df.where(_condition(match, where)))
+
+
+def _equal_to(var: str, values: Mapping[str, object]) -> Callable[[Match], Column]:
+    """`var {key: value, ...}`"""
+    return lambda m: reduce(and_, [m[f"{var}.{k}"] == F.lit(v) for k, v in values.items()], F.lit(True))
+
+
+def _inline(where, rel: str, rel_where, node: str | None, node_where) -> Callable[[Match], Column] | Column | None:
+    """The condition of a step, with the inline predicates of its new relationship and its new far node."""
     if isinstance(where, Mapping):
-        var = next(iter([*match.nodes, *match.rels]))
-        where = reduce(and_, [match[f"{var}.{k}"] == F.lit(v) for k, v in where.items()])
-    return match.with_rows(match.df.where(_condition(match, where)))
+        raise GraphSchemaError("rel_where or node_where says what a dictionary is about")
+    if node_where and node is None:
+        raise GraphSchemaError("node_where needs a far node that this step binds")
+    inline = [_equal_to(var, values) for var, values in ((rel, rel_where), (node, node_where)) if values]
+    if not inline:
+        return where
+    given = [] if where is None else [where]
+    return lambda m: reduce(and_, [_condition(m, c) for c in [*inline, *given]])
 
 
 def match_nodes(graph: PropertyGraph, var: str, labels: Iterable[str] | str, *, exact: bool, where) -> Match:
     _check_var(var)
     combos = frozenset(n.labels for n in graph.node_tables(labels, exact))
+    where = _equal_to(var, where) if isinstance(where, Mapping) else where
     match = _filtered(Match(graph, _node_scan(graph, var, combos), {var: combos}, {}), where)
     return replace(match, scanned=(var, where))
 
@@ -716,6 +781,7 @@ def match_relationships(
     graph: PropertyGraph, var: str, types: Iterable[str] | str, *, directed: bool, where
 ) -> Match:
     _check_var(var)
+    where = _equal_to(var, where) if isinstance(where, Mapping) else where
     tables = graph.rel_tables(types)
     if tables:
         rows = select_aligned([_rel_columns(t, var, None if directed else BOTH) for t in tables])

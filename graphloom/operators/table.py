@@ -17,8 +17,6 @@ from graphloom.model.types import common_type, widened
 from graphloom.session import written
 
 MAX_LIMIT = 2**31 - 1
-TOP_ROWS = 10_000  # up to here a page is made of the top rows that every partition sends
-PRODUCT_ROWS = 10_000
 _ROW_BITS = 2**33 - 1  # monotonically_increasing_id keeps the position within a partition in these bits
 
 
@@ -163,9 +161,8 @@ def skip(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
 
 
 def page(df: DataFrame, *order: str | Column, skip: int = 0, limit: int) -> DataFrame:
-    """Rows `skip` to `skip + limit` of the order."""
-    if skip + limit <= TOP_ROWS:
-        return order_by(df, *order).offset(skip).limit(limit)
+    """Rows `skip` to `skip + limit` of the order, by their index, however many are skipped. For the first few rows
+    alone, `order_by` and `limit` need no index."""
     row = F.col("@row")
     return drop(with_row_index(df, *order, name="@row").where((row >= skip) & (row < skip + limit)), "@row")
 
@@ -190,15 +187,17 @@ def distinct(df: DataFrame) -> DataFrame:
 def distinct_on(df: DataFrame, columns: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """One row per value of `columns`. With `order` it is the first one in that order.
 
-    The first row is picked by an aggregate, so each partition sends one candidate per value.
+    Of rows that tie it is any one.
     """
     _require(df, [*columns, *order])
-    if not order:
-        return df.dropDuplicates(list(columns))
-    rest = [c for c in df.columns if c not in columns]
-    picked = F.min_by(F.struct(*[quoted(c) for c in rest]), F.struct(*[quoted(c) for c in order]))
-    folded = df.groupBy(*[quoted(c) for c in columns]).agg(picked.alias("@first"))
-    return folded.select([quoted(c) if c in columns else F.col("`@first`").getField(c).alias(c) for c in df.columns])
+    return drop(first_rows(df, columns, [quoted(c) for c in order] or _sort_columns(df, [])), "@first")
+
+
+def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each value of `by`, with a column `@first`. Rows are ranked by a window whose limit of one is
+    applied before the shuffle too, so that each partition sends one candidate per value."""
+    place = F.row_number().over(Window.partitionBy(*[quoted(c) for c in by]).orderBy(*order))
+    return df.withColumn("@first", place).where(F.col("`@first`") == 1)
 
 
 # -- joins ----------------------------------------------------------------------------------------
@@ -218,20 +217,6 @@ def join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], ho
     return left.join(right, reduce(and_, [quoted(a) == quoted(b) for a, b in pairs]), how)
 
 
-def product(left: DataFrame, right: DataFrame, max_rows: int = PRODUCT_ROWS) -> DataFrame:
-    """Every row of `left` with every row of a small `right`.
-
-    The rows of `right` are counted first, and more than `max_rows` are refused: two large sides have
-    to be joined on a value.
-    """
-    shared = sorted(set(left.columns) & set(right.columns))
-    if shared:
-        raise GraphSchemaError(f"both sides have {shared}")
-    if right.limit(max_rows + 1).count() > max_rows:
-        raise GraphError(f"the right side has more than {max_rows} rows; join on a value instead")
-    return left.crossJoin(F.broadcast(right))
-
-
 # -- looking --------------------------------------------------------------------------------------
 
 

@@ -8,16 +8,16 @@ from pyspark.sql import types as T
 
 from graphloom.model.graph import quoted
 from graphloom.operators.documents import PROPERTY, document_property
+from graphloom.operators.table import first_rows
 
 DELETED, LIVE = "Y", "N"
 
 
 def latest(docs: DataFrame, id: str = "id", order: str = "timestamp") -> DataFrame:
-    """The last version of each document. Versions are folded before the shuffle, one per id and
-    partition; of versions with equal time the one with the greater hash stays."""
-    rank = F.struct(quoted(order), F.xxhash64(*[quoted(c) for c in docs.columns]))
-    folded = docs.groupBy(quoted(id)).agg(F.max_by(F.struct(*[quoted(c) for c in docs.columns]), rank).alias("@doc"))
-    return folded.select([F.col("`@doc`").getField(c).alias(c) for c in docs.columns])
+    """The last version of each document. Each partition sends one version of an id; of versions with equal
+    time the one with the greater hash stays."""
+    rank = [quoted(order).desc(), F.xxhash64(*[quoted(c) for c in docs.columns]).desc()]
+    return first_rows(docs, [id], rank).drop("@first")
 
 
 def upsert(old: DataFrame, new: DataFrame, id: str = "id", order: str = "timestamp") -> DataFrame:
@@ -34,12 +34,13 @@ def add_column(docs: DataFrame, name: str, value: Column) -> DataFrame:
 
 def soft_delete(docs: DataFrame, condition: Column) -> DataFrame:
     """Mark documents as deleted; reads leave them out with `live`."""
-    flag = F.col("deleted") if "deleted" in docs.columns else F.lit(LIVE)
+    flag = F.coalesce("deleted", F.lit(LIVE)) if "deleted" in docs.columns else F.lit(LIVE)
     return docs.withColumn("deleted", F.when(condition, F.lit(DELETED)).otherwise(flag))
 
 
 def live(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col("deleted") == LIVE)
+    """Documents that are not marked as deleted. Without a mark a document is live."""
+    return docs.where(F.coalesce("deleted", F.lit(LIVE)) != DELETED)
 
 
 def set_property(docs: DataFrame, key: str, value: Column, data_type: T.DataType, condition: Column | None = None) -> DataFrame:

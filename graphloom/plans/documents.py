@@ -13,7 +13,8 @@ from graphloom.operators import updates
 from graphloom.operators.table import order_by
 from graphloom.plans.registry import query
 from graphloom.plans.tables import DATASOURCE, exact_sum, shop_documents, table
-from graphloom.sources.documents import EDGE, VERTEX
+from graphloom.session import new_location
+from graphloom.sources.documents import EDGE, VERTEX, DocumentStore
 
 CUSTOMER_KEYS = {"acctbal": T.DoubleType(), "name": T.StringType(), "nation": T.IntegerType(), "segment": T.StringType()}
 ORDER_KEYS = {"priority": T.StringType(), "status": T.StringType(), "totalprice": T.DoubleType()}
@@ -114,7 +115,7 @@ def doc_bad_values(spark, folder):
     "SELECT 'c' || c_custkey AS id, 'name' AS key, 2 AS n FROM customer WHERE c_acctbal < 0",
 )
 def doc_repeated_keys(spark, folder):
-    docs = _vertices(spark, folder).where("label = 'customer'")
+    docs = _vertices(spark, folder)
     balance = d.property_value(F.col("properties"), "acctbal").cast("double")
     doubled = docs.withColumn(
         "properties",
@@ -127,18 +128,16 @@ def doc_repeated_keys(spark, folder):
     "doc_graph",
     """
     SELECT c_mktsegment AS segment, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-    FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'P' GROUP BY 1
+    FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1
     """,
 )
 def doc_graph(spark, folder):
     """The graph of a datasource, with types found in its documents:
-    MATCH (c:customer)-[r:placed {status: 'P'}]->() RETURN c.segment, count(*), sum(r.totalprice)"""
-    graph = shop_documents(spark, folder).graph(DATASOURCE, {"placed": ("customer", "order")})
-    rels = graph.match_relationships("r", "placed", where=lambda m: m["r.status"] == "P")
-    customers = graph.match("c", "customer")
-    m = customers.with_rows(customers.df.join(rels.df, customers.id("c") == rels.start_node("r")))
+    MATCH (c:customer)-[r:placed]->() RETURN c.segment, count(*), sum(r.totalprice)"""
+    graph = shop_documents(spark, folder).graph(DATASOURCE, {"placed": ("customer", None)})
+    m = graph.match("c", "customer").expand("c", "r", types="placed")
     return m.df.groupBy(m["c.segment"].alias("segment")).agg(
-        agg.count_all().alias("n"), exact_sum(rels["r.totalprice"]).alias("total")
+        agg.count_all().alias("n"), exact_sum(m["r.totalprice"]).alias("total")
     )
 
 
@@ -219,17 +218,23 @@ def meta_scan(spark, folder):
 # -- exploded properties --------------------------------------------------------------------------
 
 
-@query(
-    "hive_explode",
-    """
+_ENTRIES = """
     SELECT id, label, p_key, p_type, p_value FROM (
         SELECT 'p' || p_partkey AS id, 'part' AS label, unnest(['name', 'brand', 'size', 'retailprice']) AS p_key,
             unnest(['java.lang.String', 'java.lang.String', 'java.lang.Integer', 'java.lang.Double']) AS p_type,
-            unnest([p_name, p_brand, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR)]) AS p_value FROM part)
-    """,
+            unnest([p_name, p_brand, CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR)]) AS p_value FROM part
+        UNION ALL SELECT 'c' || c_custkey, 'customer', unnest(['name', 'acctbal', 'segment', 'nation']),
+            unnest(['java.lang.String', 'java.lang.Double', 'java.lang.String', 'java.lang.Integer']),
+            unnest([c_name, CAST(c_acctbal AS VARCHAR), c_mktsegment, CAST(c_nationkey AS VARCHAR)]) FROM customer)
+"""
+
+
+@query(
+    "hive_explode",
+    _ENTRIES,
 )
 def hive_explode(spark, folder):
-    return d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
+    return d.explode_properties(_vertices(spark, folder))
 
 
 @query(
@@ -247,10 +252,13 @@ def hive_typed_values(spark, folder):
     SELECT 'p' || p_partkey AS id, 'part' AS label,
         'brand:' || p_brand || ',name:' || p_name || ',retailprice:' || p_retailprice || ',size:' || p_size AS regrouped
     FROM part
+    UNION ALL SELECT 'c' || c_custkey, 'customer',
+        'acctbal:' || c_acctbal || ',name:' || c_name || ',nation:' || c_nationkey || ',segment:' || c_mktsegment
+    FROM customer
     """,
 )
 def property_regroup(spark, folder):
-    exploded = d.explode_properties(_vertices(spark, folder).where("label = 'part'"))
+    exploded = d.explode_properties(_vertices(spark, folder))
     regrouped = d.regroup_properties(d.property_structs(exploded))
     text = F.transform("arr_properties", lambda p: F.concat(p["key"], F.lit(":"), p["value"]))
     return regrouped.select("id", "label", F.array_join(text, ",").alias("regrouped"))
@@ -260,19 +268,20 @@ def property_regroup(spark, folder):
     "property_regroup_in_place",
     """
     SELECT 'c' || c_custkey AS id, 'customer' AS label, 'acctbal,name,nation,segment' AS keys FROM customer
+    UNION ALL SELECT 'p' || p_partkey, 'part', 'brand,name,retailprice,size' FROM part
     """,
 )
 def property_regroup_in_place(spark, folder):
-    docs = d.distinct_properties(_vertices(spark, folder).where("label = 'customer'"))
+    docs = d.distinct_properties(_vertices(spark, folder))
     return docs.select("id", "label", F.array_join(structs.field_of_each(F.col("arr_properties"), "key"), ",").alias("keys"))
 
 
 @query(
     "property_struct",
-    "SELECT 'c' || c_custkey AS id, c_mktsegment AS value, 'java.lang.String' AS type FROM customer",
+    f"SELECT id, p_value AS value, p_type AS type FROM ({_ENTRIES})",
 )
 def property_struct(spark, folder):
-    exploded = d.explode_properties(_vertices(spark, folder).where("label = 'customer'")).where("p_key = 'segment'")
+    exploded = d.explode_properties(_vertices(spark, folder))
     return d.property_structs(exploded).select("id", "new_property.value", "new_property.type")
 
 
@@ -310,12 +319,13 @@ def table_counts(spark, folder):
     """
     SELECT 'c' || c_custkey AS id, c_mktsegment AS segment, c_mktsegment AS by_sql, CAST(NULL AS VARCHAR) AS missing,
         true AS has_name, 'name,acctbal,segment,nation' AS keys FROM customer
+    UNION ALL SELECT 'p' || p_partkey, NULL, NULL, NULL, true, 'name,brand,size,retailprice' FROM part
     """,
 )
 def property_lookup(spark, folder):
     structs.register_sql_functions(spark)
     properties = F.col("properties")
-    docs = _vertices(spark, folder).where("label = 'customer'")
+    docs = _vertices(spark, folder)
     return docs.select(
         "id",
         d.property_value(properties, "segment").alias("segment"),
@@ -337,13 +347,13 @@ def _timed(docs, day):
     "upsert_docs",
     """
     SELECT 'c' || c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 'DEBTOR' ELSE c_mktsegment END AS segment FROM customer
-    UNION ALL SELECT 'n' || s_suppkey, 'NEW' FROM supplier
+    UNION ALL SELECT 'n' || s_suppkey, 'NEW' FROM supplier UNION ALL SELECT 'p' || p_partkey, NULL FROM part
     """,
 )
 def upsert_docs(spark, folder):
     """Customers in debt get a new segment, suppliers come in as new documents. Every change comes
     twice, and the later one stays."""
-    old = _timed(_vertices(spark, folder).where("label = 'customer'"), "2024-01-01")
+    old = _timed(_vertices(spark, folder), "2024-01-01")
     in_debt = old.where(d.property_value(F.col("properties"), "acctbal").cast("double") < 0)
     first = _timed(updates.set_property(in_debt, "segment", F.lit("LATE"), T.StringType()), "2024-02-01")
     second = _timed(updates.set_property(in_debt, "segment", F.lit("DEBTOR"), T.StringType()), "2024-03-01")
@@ -357,10 +367,11 @@ def upsert_docs(spark, folder):
 
 @query(
     "soft_delete_docs",
-    "SELECT 'p' || p_partkey AS id, p_name AS name FROM part WHERE NOT p_size > 40",
+    "SELECT 'p' || p_partkey AS id, p_name AS name FROM part WHERE NOT p_size > 40 "
+    "UNION ALL SELECT 'c' || c_custkey, c_name FROM customer",
 )
 def soft_delete_docs(spark, folder):
-    docs = updates.add_column(_vertices(spark, folder).where("label = 'part'"), "deleted", F.lit(updates.LIVE))
+    docs = updates.add_column(_vertices(spark, folder), "deleted", F.lit(updates.LIVE))
     size = d.property_value(F.col("properties"), "size").try_cast("int")
     marked = updates.soft_delete(docs, size > 40)
     return updates.live(marked).select("id", d.property_value(F.col("properties"), "name").alias("name"))
@@ -381,6 +392,7 @@ def copy_docs(spark, folder):
     SELECT 'p' || p_partkey AS id, CASE WHEN p_type = 'PROMO' THEN p_size + 1 ELSE p_size END AS size,
         'brand,retailprice,size' AS keys FROM part WHERE p_type = 'PROMO'
     UNION ALL SELECT 'p' || p_partkey, p_size, 'brand,retailprice,size' FROM part WHERE p_type <> 'PROMO'
+    UNION ALL SELECT 'c' || c_custkey, NULL, 'acctbal,nation,segment' FROM customer
     """,
 )
 def set_property_docs(spark, folder):
@@ -388,7 +400,7 @@ def set_property_docs(spark, folder):
     promoted = table(spark, folder, "part").where("p_type = 'PROMO'").select(
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("promo_id")
     )
-    docs = _vertices(spark, folder).where("label = 'part'").join(promoted, F.col("id") == F.col("promo_id"), "left")
+    docs = _vertices(spark, folder).join(promoted, F.col("id") == F.col("promo_id"), "left")
     size = d.property_value(F.col("properties"), "size").cast("int")
     grown = updates.set_property(docs, "size", size + 1, T.IntegerType(), F.col("promo_id").isNotNull())
     changed = updates.remove_property(grown, "name")
@@ -397,3 +409,44 @@ def set_property_docs(spark, folder):
         d.property_value(F.col("properties"), "size").cast("int").alias("size"),
         F.array_join(F.array_sort(structs.field_of_each(F.col("properties"), "key")), ",").alias("keys"),
     )
+
+
+@query(
+    "document_edits",
+    """
+    SELECT 'c' || c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 'DEBTOR' ELSE c_mktsegment END AS segment FROM customer
+    UNION ALL SELECT 'n' || s_suppkey, 'NEW' FROM supplier
+    UNION ALL SELECT 'p' || p_partkey, NULL FROM part WHERE NOT p_size > 40
+    """,
+)
+def document_edits(spark, folder):
+    """Insert, upsert, soft delete, and a new version of the collection written and read back."""
+    root = new_location(spark, "documents")
+    store = shop_documents(spark, folder)
+    store.save(root)
+    store = DocumentStore.load(spark, root)
+    old = store.vertices(DATASOURCE)
+    in_debt = old.where(d.property_value(F.col("properties"), "acctbal").cast("double") < 0)
+    debtors = _timed(updates.set_property(in_debt, "segment", F.lit("DEBTOR"), T.StringType()), "2024-03-01")
+    large = updates.soft_delete(old, d.property_value(F.col("properties"), "size").try_cast("int") > 40)
+    added = d.pack_documents(
+        table(spark, folder, "supplier").withColumn("segment", F.lit("NEW")),
+        DATASOURCE, "customer", F.concat(F.lit("n"), F.col("s_suppkey").cast("string")), {"segment": "segment"},
+    )
+    changes = debtors.unionByName(large.where("deleted = 'Y'")).unionByName(added, allowMissingColumns=True)
+    store.with_changes(vertices=changes).save(root)
+    rows = DocumentStore.load(spark, root).vertices(DATASOURCE)
+    return rows.select("id", d.property_value(F.col("properties"), "segment").alias("segment"))
+
+
+@query(
+    "label_table_schema",
+    """
+    SELECT unnest(['timestamp', 'datasource', 'id', 'label', 'acctbal', 'name', 'nation', 'segment']) AS name,
+        unnest(['timestamp', 'string', 'string', 'string', 'double', 'string', 'int', 'string']) AS type
+    """,
+)
+def label_table_schema(spark, folder):
+    """The table schema of a label, from the types found in its documents."""
+    schema = shop_documents(spark, folder).label_schema(DATASOURCE, "customer")
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "name string, type string")

@@ -9,8 +9,9 @@ from graphloom.model.types import parse_type_name
 from graphloom.operators import aggregates as agg
 from graphloom.operators.multigraph import Create, CreateNode, construct, union_graphs
 from graphloom.plans.registry import query
-from graphloom.plans.tables import activity_graph, shop_graph, table
-from graphloom.sources.catalog import GraphCatalog, SessionGraphs
+from graphloom.plans.tables import activity_graph, exact_sum, shop_graph, table
+from graphloom.session import new_location
+from graphloom.sources.catalog import CachedSource, GraphCatalog, SessionGraphs
 from graphloom.sources.frames import records
 from graphloom.sources.views import CatalogViews, EdgeView, End, FileViews, NodeView, ViewGraph, ViewGraphSource
 
@@ -108,7 +109,7 @@ def _linked(spark, folder):
     CONSTRUCT ON shop, activity CREATE (u)-[:IS {since: 2024}]->(c) RETURN GRAPH"""
     shop, web = shop_graph(spark, folder), activity_graph(spark, folder)
     same = web.match("u", "User").join(shop.match("c", "Customer"), on=[("u.userid", "c.custkey")])
-    return construct([shop, web], same, [Create("IS", ("u", 1), ("c", 0), {"since": F.lit(2024)})])
+    return construct([shop, web], same, [Create("IS", "u", "c", {"since": F.lit(2024)})])
 
 
 @query(
@@ -130,30 +131,45 @@ def construct_edges(spark, folder):
     """
     SELECT DISTINCT u AS userid, p_brand AS brand FROM (SELECT DISTINCT user_id AS u FROM events)
     JOIN customer ON c_custkey = u JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
-    JOIN part ON p_partkey = l_partkey WHERE o_orderstatus = 'P'
+    JOIN part ON p_partkey = l_partkey
     """,
 )
 def recommendation(spark, folder):
-    """MATCH (u:User)-[:IS]->(c:Customer), (c)-[:PLACED]->(o:Order {status: 'P'}), (o)-[:CONTAINS]->(p:Part)
+    """MATCH (u:User)-[:IS]->(c:Customer), (c)-[:PLACED]->(o:Order), (o)-[:CONTAINS]->(p:Part)
     RETURN DISTINCT u.userid, p.brand, on the constructed graph"""
     m = _linked(spark, folder).match("u", "User")
     m = m.expand("u", "i", "c", types="IS", labels="Customer")
-    m = m.expand("c", "r", "o", types="PLACED", labels="Order", where=lambda m: m["o.status"] == "P")
+    m = m.expand("c", "r", "o", types="PLACED", labels="Order")
     m = m.expand("o", "l", "p", types="CONTAINS", labels="Part")
     return m.select(userid="u.userid", brand="p.brand").distinct()
 
 
+@query(
+    "construct_unwound",
+    """
+    SELECT count(*) AS n, count(*) AS n_ids, CAST(sum(v) AS BIGINT) AS total FROM (
+        SELECT unnest([1, 2, 3]) AS v FROM customer WHERE c_custkey IN (SELECT user_id FROM events))
+    """,
+)
+def construct_unwound(spark, folder):
+    """As many created relationships, each with an id of its own, as rows after an UNWIND."""
+    shop, web = shop_graph(spark, folder), activity_graph(spark, folder)
+    same = web.match("u", "User").join(shop.match("c", "Customer"), on=[("u.userid", "c.custkey")])
+    rows = same.with_rows(same.df.withColumn("level", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))))
+    m = construct([shop, web], rows, [Create("IS", "u", "c", {"level": F.col("level")})]).match_relationships("e", "IS")
+    return agg.group(m.df, n=agg.count_all(), n_ids=agg.count_distinct(m.id("e")), total=agg.total(m["e.level"]))
+
+
 @query(
     "construct_nodes",
-    "SELECT c_name AS name, 'gold' AS level FROM customer WHERE c_acctbal > 9500",
+    "SELECT c_name AS name, 'gold' AS level FROM customer",
 )
 def construct_nodes(spark, folder):
-    """MATCH (c:Customer) WHERE c.acctbal > 9500 CONSTRUCT ON shop
+    """MATCH (c:Customer) CONSTRUCT ON shop
     CREATE (c)-[:HOLDS]->(:Card {level: 'gold'}) RETURN GRAPH, then MATCH (c)-[:HOLDS]->(k:Card)"""
     shop = shop_graph(spark, folder)
-    rich = shop.match("c", "Customer", where=lambda m: m["c.acctbal"] > 9500)
     graph = construct(
-        [shop], rich, [CreateNode("card", ["Card"], {"level": F.lit("gold")}), Create("HOLDS", ("c", 0), "card")]
+        [shop], shop.match("c", "Customer"), [CreateNode("card", ["Card"], {"level": F.lit("gold")}), Create("HOLDS", "c", "card")]
     )
     m = graph.match("c", "Customer").expand("c", "h", "k", types="HOLDS", labels="Card")
     return m.select(name="c.name", level="k.level")
@@ -237,3 +253,39 @@ def sql_records(spark, folder):
     )
 
 
+
+
+@query(
+    "view_of_session_and_csv",
+    """
+    SELECT c_mktsegment AS segment, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1
+    """,
+)
+def view_of_session_and_csv(spark, folder):
+    """Nodes given by a view of the session catalog, edges and far nodes by text files of a given schema."""
+    table(spark, folder, "customer").createOrReplaceTempView("loom_view_customer")
+    location = new_location(spark, "views")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    orders.write.option("header", "true").csv(f"{location}/orders.csv")
+    spec = ViewGraph(
+        nodes=(
+            NodeView(("Customer",), "session.loom_view_customer", {"segment": "c_mktsegment"}, key=("c_custkey",)),
+            NodeView(("Order",), "text.orders.csv", {"totalprice": "o_totalprice"}, key=("o_orderkey",)),
+        ),
+        edges=(
+            EdgeView(
+                "PLACED",
+                "text.orders.csv",
+                End(("Customer",), "session.loom_view_customer", (("c_custkey", "o_custkey"),)),
+                End(("Order",), "text.orders.csv", (("o_orderkey", "o_orderkey"),)),
+                key=("o_orderkey",),
+            ),
+        ),
+    )
+    text = FileViews("csv", location, schemas={"orders.csv": "o_orderkey long, o_custkey long, o_totalprice double"})
+    source = CachedSource(ViewGraphSource(spark, {"session": CatalogViews(), "text": text}, {"sales": spec}))
+    m = source.graph("sales").match("c", "Customer").expand("c", "r", "o", types="PLACED", labels="Order")
+    return m.df.groupBy(m["c.segment"].alias("segment")).agg(
+        agg.count_all().alias("n"), exact_sum(m["o.totalprice"]).alias("total")
+    )

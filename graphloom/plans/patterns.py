@@ -509,3 +509,91 @@ def closing_cycle(spark, folder):
     m = m.expand("c", "i", "n", types="IN_NATION", labels="Nation")
     m = m.expand("n", "j", "s", types="IN_NATION", direction="in")
     return m.select(custkey="c.custkey", nation="n.name", suppkey="s.suppkey")
+
+
+# -- inline predicates, chains of optional steps, paths between bound nodes ------------------------
+
+
+@query(
+    "inline_expand",
+    """
+    SELECT p_brand AS brand, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    JOIN part ON p_partkey = l_partkey WHERE l_returnflag = 'R' AND p_size = 10 GROUP BY 1
+    """,
+)
+def inline_expand(spark, folder):
+    """MATCH (o:Order)-[l:CONTAINS {returnflag: 'R'}]->(p:Part {size: 10}) RETURN p.brand, count(*)"""
+    m = shop_graph(spark, folder).match("o", "Order")
+    m = m.expand("o", "l", "p", types="CONTAINS", labels="Part", rel_where={"returnflag": "R"}, node_where={"size": 10})
+    return m.df.groupBy(m["p.brand"].alias("brand")).agg(agg.count_all().alias("n"))
+
+
+_URGENT = "SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT'"
+
+
+@query("inline_exists", f"SELECT c_custkey AS custkey FROM customer WHERE EXISTS ({_URGENT})")
+def inline_exists(spark, folder):
+    """MATCH (c:Customer) WHERE (c)-[:PLACED]->({priority: '1-URGENT'}) RETURN c.custkey"""
+    m = shop_graph(spark, folder).match("c", "Customer")
+    return m.exists("c", types="PLACED", node_where={"priority": "1-URGENT"}).select(custkey="c.custkey")
+
+
+@query("inline_not_exists", f"SELECT c_custkey AS custkey FROM customer WHERE NOT EXISTS ({_URGENT})")
+def inline_not_exists(spark, folder):
+    m = shop_graph(spark, folder).match("c", "Customer")
+    return m.exists("c", types="PLACED", node_where={"priority": "1-URGENT"}, negated=True).select(custkey="c.custkey")
+
+
+@query(
+    "optional_chain",
+    """
+    SELECT r_name AS region, count(*) AS n, count(c_custkey) AS n_customers, count(o_orderkey) AS n_orders FROM region
+    LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+    LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT' GROUP BY 1
+    """,
+)
+def optional_chain(spark, folder):
+    """MATCH (r:Region) OPTIONAL MATCH (r)<-[:IN_REGION]-(n:Nation) OPTIONAL MATCH (n)<-[:IN_NATION]-(c:Customer)
+    OPTIONAL MATCH (c)-[:PLACED]->(o:Order {priority: '1-URGENT'}) RETURN r.name, count(*), count(c), count(o)"""
+    m = shop_graph(spark, folder).match("r", "Region")
+    m = m.optional("r", "x", "n", types="IN_REGION", labels="Nation", direction="in").next_pattern()
+    m = m.optional("n", "y", "c", types="IN_NATION", labels="Customer", direction="in").next_pattern()
+    m = m.optional("c", "z", "o", types="PLACED", labels="Order", node_where={"priority": "1-URGENT"})
+    return m.df.groupBy(m["r.name"].alias("region")).agg(
+        agg.count_all().alias("n"), agg.count(m.id("c")).alias("n_customers"), agg.count(m.id("o")).alias("n_orders")
+    )
+
+
+@query(
+    "var_length_closing",
+    """
+    SELECT r_name AS region, 2 AS hops, count(*) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey
+    JOIN region ON r_regionkey = n_regionkey GROUP BY 1
+    """,
+)
+def var_length_closing(spark, folder):
+    """MATCH (c:Customer)-[:IN_NATION]->(n)-[:IN_REGION]->(r) MATCH (c)-[p:IN_NATION|IN_REGION*1..2]->(r)
+    RETURN r.name, size(p), count(*)"""
+    m = shop_graph(spark, folder).match("c", "Customer").expand("c", "x", "n", types="IN_NATION")
+    m = m.expand("n", "y", "r", types="IN_REGION").next_pattern()
+    m = m.expand_path("c", "p", "r", types=["IN_NATION", "IN_REGION"], max_hops=2)
+    return m.df.groupBy(m["r.name"].alias("region"), F.size("p").alias("hops")).agg(agg.count_all().alias("n"))
+
+
+@query(
+    "var_length_optional",
+    """
+    SELECT c_mktsegment AS segment, count(*) AS n, count(l_partkey) AS n_parts FROM customer
+    LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1
+    """,
+)
+def var_length_optional(spark, folder):
+    """MATCH (c:Customer) OPTIONAL MATCH (c)-[:PLACED]->(o {priority: '1-URGENT'})
+    OPTIONAL MATCH (o)-[p:CONTAINS*1..2]->(x:Part) RETURN c.segment, count(*), count(x)"""
+    m = shop_graph(spark, folder).match("c", "Customer")
+    m = m.optional("c", "r", "o", types="PLACED", node_where={"priority": "1-URGENT"}).next_pattern()
+    m = m.expand_path("o", "p", "x", types="CONTAINS", labels="Part", max_hops=2, optional=True)
+    return m.df.groupBy(m["c.segment"].alias("segment")).agg(
+        agg.count_all().alias("n"), agg.count(m.id("x")).alias("n_parts")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graphloom.model.graph import PropertyGraph
+from graphloom.model.graph import NodeTable, PropertyGraph
 from graphloom.operators import aggregates as agg
 from graphloom.plans.registry import query
 from graphloom.plans.tables import exact_sum, shop_graph, table
@@ -77,38 +77,38 @@ def graph_tables(spark, folder):
 @query(
     "materialized_query",
     """
-    SELECT o_orderpriority AS priority, count(*) AS n FROM orders WHERE o_totalprice > 250000 GROUP BY 1
+    SELECT o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY 1
     """,
 )
 def materialized_query(spark, folder):
     """A table defined by a graph query: saved, then read by name."""
     location = new_location(spark, "result")
     name = f"loom_result_{location[-32:]}"
-    m = shop_graph(spark, folder).match("o", "Order", where=lambda m: m["o.totalprice"] > 250000)
+    m = shop_graph(spark, folder).match("o", "Order")
     materialize(m.select(priority="o.priority", orderkey="o.orderkey"), name, location)
     return agg.group(spark.table(name), ["priority"], n=agg.count_all())
 
 
 @query(
     "saved_result",
-    "SELECT s_suppkey AS suppkey, s_name AS name FROM supplier WHERE s_acctbal > 0",
+    "SELECT s_suppkey AS suppkey, s_name AS name FROM supplier",
 )
 def saved_result(spark, folder):
-    m = shop_graph(spark, folder).match("s", "Supplier", where=lambda m: m["s.acctbal"] > 0)
+    m = shop_graph(spark, folder).match("s", "Supplier")
     path = save_result(m.select(suppkey="s.suppkey", name="s.name"), new_location(spark, "result"), "suppliers")
     return spark.read.parquet(path)
 
 
 @query(
     "result_as_table",
-    "SELECT p_partkey AS partkey, p_name AS name FROM part WHERE p_size > 30",
+    "SELECT p_partkey AS partkey, p_name AS name FROM part",
 )
 def result_as_table(spark, folder):
     """A result under a view name, and a managed table made of the view."""
     location = new_location(spark, "database")
     database = f"loom_{location[-32:]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
-    m = shop_graph(spark, folder).match("p", "Part", where=lambda m: m["p.size"] > 30)
+    m = shop_graph(spark, folder).match("p", "Part")
     save_as_table(m.select(partkey="p.partkey", name="p.name"), f"view_{location[-32:]}", f"{database}.parts")
     return spark.table(f"{database}.parts")
 
@@ -153,3 +153,57 @@ def external_tables(spark, folder):
         f"SELECT v.status, count(*) AS n, min(e.source) AS first_source FROM {database}.sales_vertex_Order v "
         f"JOIN {database}.sales_edge_PLACED e ON e.target = v.id GROUP BY v.status"
     )
+
+
+_HARD_TEXT_SQL = """
+    SELECT event_id AS eventid, CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN NULL
+        WHEN 2 THEN '  ' || event_type || ' "q", ' || chr(10) || ' ' WHEN 3 THEN chr(92) || 'n' || chr(92) || chr(13) || event_type
+        ELSE event_type || chr(9) || chr(92) || 'N' END AS note, epoch_us(ts) + event_id % 1000 AS micros FROM events
+"""
+
+
+def _hard_text(spark, folder, format):
+    """A graph of texts with blanks, quotes, backslashes and line breaks, and times to the microsecond."""
+    kind = F.col("event_type")
+    case = F.col("event_id") % 5
+    note = (
+        F.when(case == 0, F.lit(""))
+        .when(case == 2, F.concat(F.lit("  "), kind, F.lit(' "q", \n ')))
+        .when(case == 3, F.concat(F.lit("\\n\\\r"), kind))
+        .when(case == 4, F.concat(kind, F.lit("\t\\N")))
+    )
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 1000
+    events = table(spark, folder, "events").select(
+        F.col("event_id").cast("long").alias("id"), note.alias("note"), F.timestamp_micros(micros).alias("at")
+    )
+    files = GraphFiles(spark, new_location(spark, "graphs"), format)
+    files.store("events", PropertyGraph.from_tables(NodeTable("Event", events)))
+    files.store("events", files.graph("events"), overwrite=True)
+    m = files.graph("events").match("e", "Event")
+    return m.df.select(m.id("e").alias("eventid"), m["e.note"].alias("note"), F.unix_micros(m["e.at"]).alias("micros"))
+
+
+@query("store_reload_csv_text", _HARD_TEXT_SQL)
+def store_reload_csv_text(spark, folder):
+    return _hard_text(spark, folder, "csv")
+
+
+@query("store_reload_parquet_text", _HARD_TEXT_SQL)
+def store_reload_parquet_text(spark, folder):
+    return _hard_text(spark, folder, "parquet")
+
+
+@query("store_reload_orc_text", _HARD_TEXT_SQL)
+def store_reload_orc_text(spark, folder):
+    return _hard_text(spark, folder, "orc")
+
+
+@query("stored_file_count", _STORED_SQL)
+def stored_file_count(spark, folder):
+    """A graph stored in two files a table, and another deleted beside it."""
+    files = GraphFiles(spark, new_location(spark, "graphs"), files_per_table=2)
+    files.store("sales", _sales(spark, folder))
+    files.store("other", _sales(spark, folder))
+    files.delete("other")
+    (name,) = files.graph_names()
+    return _spending(files.graph(name))

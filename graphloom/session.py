@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graphloom.errors import GraphError
-
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_local_folder: str | None = None
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
+_owned: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach. The cluster names it; only a single-machine session, where any
-    folder is shared, may go without the setting."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise GraphError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    global _local_folder
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="graphloom-")
-    return _local_folder
+    """A folder that every executor can reach, for this application: in the one that the cluster names, else in
+    the session's warehouse. It is deleted when the application ends."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get(WAREHOUSE_SETTING)
+    folder = f"{named.rstrip('/')}/graphloom-{spark.sparkContext.applicationId}"
+    if folder not in _owned:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _owned.add(folder)
+    return folder
 
 
 def new_location(spark: SparkSession, name: str) -> str:
     """A path in the shared folder nobody has used yet."""
-    return f"{shared_folder(spark)}/graphloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,11 @@ from graphloom.model.graph import NodeTable, PropertyGraph, RelTable
 from graphloom.model.types import java_class_type
 from graphloom.operators import metadata
 from graphloom.operators.documents import EDGE_DOCUMENT, VERTEX_DOCUMENT, explode_edges, explode_vertices
-from graphloom.operators.updates import upsert
+from graphloom.operators.updates import live, upsert
+from graphloom.sources.files import SharedFiles
 
 VERTEX, EDGE = "vertex", "edge"
+CURRENT = "CURRENT"  # file that names the version in use
 
 
 class DocumentStore:
@@ -36,7 +39,8 @@ class DocumentStore:
         """Documents in files, or in anything else Spark has a connector for."""
 
         def load(path: str, schema: T.StructType) -> DataFrame:
-            return spark.read.format(format).options(**options).schema(schema).load(path)
+            with_mark = T.StructType([*schema.fields, T.StructField("deleted", T.StringType())])
+            return spark.read.format(format).options(**options).schema(with_mark).load(path)
 
         return cls(load(vertex_path, VERTEX_DOCUMENT), load(edge_path, EDGE_DOCUMENT))
 
@@ -44,6 +48,7 @@ class DocumentStore:
 
     def _scan(self, kind: str, datasource: str, labels: str | Iterable[str] | None) -> DataFrame:
         docs = self._documents[kind].where(F.col("datasource") == datasource)
+        docs = live(docs) if "deleted" in docs.columns else docs
         if labels is None:
             return docs
         names = [labels] if isinstance(labels, str) else list(labels)
@@ -57,8 +62,7 @@ class DocumentStore:
 
     def count(self, datasource: str) -> int:
         """Vertices and edges of a datasource together."""
-        sizes = metadata.datasource_sizes(self.vertices(datasource), self.edges(datasource))
-        return sum(row["n_vertices"] + row["n_edges"] for row in metadata.collected(sizes))
+        return self.vertices(datasource).select("id").unionAll(self.edges(datasource).select("id")).count()
 
     # -- metadata ---------------------------------------------------------------------------------
 
@@ -140,10 +144,26 @@ class DocumentStore:
             *[docs if changes[k] is None else upsert(docs, changes[k]) for k, docs in self._documents.items()]
         )
 
+    def save(self, root: str) -> None:
+        """Write the documents, deleted ones too, as a new version under `root`, and switch to it once it is whole.
+        The versions before stay until they are deleted, so the documents may have been read from one of them."""
+        spark = self._documents[VERTEX].sparkSession
+        version = f"version-{uuid.uuid4().hex}"
+        for kind, docs in self._documents.items():
+            docs.write.parquet(f"{root}/{version}/{kind}")
+        SharedFiles(spark).write_text(f"{root}/{CURRENT}", version)
+
+    @classmethod
+    def load(cls, spark: SparkSession, root: str) -> DocumentStore:
+        """The current version under `root`."""
+        version = SharedFiles(spark).read_text(f"{root}/{CURRENT}")
+        return cls.read(spark, f"{root}/{version}/{VERTEX}", f"{root}/{version}/{EDGE}")
+
     # the store as a catalog source: every datasource is a graph
 
     def graph_names(self) -> list[str]:
-        return sorted(row["datasource"] for row in metadata.collected(self.datasources()))
+        both = [docs.select("datasource") for docs in self._documents.values()]
+        return sorted(row["datasource"] for row in metadata.collected(both[0].unionAll(both[1]).distinct()))
 
     def store(self, name: str, graph: PropertyGraph, overwrite: bool = False) -> None:
         raise NotImplementedError("documents are written with upsert")

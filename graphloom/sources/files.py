@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from graphloom.errors import GraphError
+
 
 class SharedFiles:
     def __init__(self, spark: SparkSession):
@@ -28,9 +30,10 @@ class SharedFiles:
         system, target = self._at(path)
         system.delete(target, True)
 
-    def qualified(self, path: str) -> str:
+    def rename(self, path: str, to: str) -> None:
         system, target = self._at(path)
-        return system.makeQualified(target).toString()
+        if not system.rename(target, self._at(to)[1]):
+            raise GraphError(f"{path} could not be renamed to {to}")
 
     def read_text(self, path: str) -> str:
         system, target = self._at(path)

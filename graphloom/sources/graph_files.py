@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graphloom.errors import GraphError, GraphExistsError, GraphNotFoundError, GraphSchemaError
+from graphloom.errors import GraphExistsError, GraphNotFoundError, GraphSchemaError
 from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
 from graphloom.model.schema import GraphSchema
 from graphloom.sources.files import SharedFiles
@@ -26,6 +27,19 @@ NO_LABEL_FOLDER = "__NO_LABEL__"
 AT_SIGN_ESCAPE = "_specialCharacterEscape_"
 WRITERS = 8
 
+# Text files hold texts as they are: blanks at the ends, empty texts apart from nulls, and line breaks, which are
+# spelled out so that files can still be split at lines. The escapes can be undone one after the other.
+NULL_TEXT = "\\N"
+TEXT_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
+CSV_OPTIONS = {
+    "escape": '"',
+    "nullValue": NULL_TEXT,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def folder_name(names: Iterable[str]) -> str:
     """Folder of a label combination or type; characters a path may not hold are spelled out."""
@@ -67,8 +81,12 @@ def _encoded(df: DataFrame, format: str) -> DataFrame:
             if isinstance(field.dataType, T.BinaryType):
                 return F.hex(column).alias(field.name)
             if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-                return F.to_json(column).alias(field.name)
-            return column
+                column = F.to_json(column)
+            elif not isinstance(field.dataType, T.StringType):
+                return column
+            for plain, escaped in TEXT_ESCAPES:
+                column = F.replace(column, F.lit(plain), F.lit(escaped))
+            return column.alias(field.name)
 
         return df.select([as_text(f) for f in df.schema.fields])
     if format == "orc":
@@ -92,7 +110,11 @@ def _stored_schema(schema: T.StructType, format: str) -> T.StructType:
     )
 
 
-def _decoded(df: DataFrame, schema: T.StructType, format: str) -> DataFrame:
+def _options(format: str) -> dict[str, str]:
+    return CSV_OPTIONS if format == "csv" else {}
+
+
+def _decoded(df: DataFrame, schema: T.StructType, format: str, escaped: bool) -> DataFrame:
     if format == "orc":
         return df.toDF(*schema.fieldNames())
     if format == "csv":
@@ -101,9 +123,11 @@ def _decoded(df: DataFrame, schema: T.StructType, format: str) -> DataFrame:
             column = quoted(field.name)
             if isinstance(field.dataType, T.BinaryType):
                 return F.unhex(column).alias(field.name)
-            if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
-                return F.from_json(column, field.dataType).alias(field.name)
-            return column
+            nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
+            if escaped and (nested or isinstance(field.dataType, T.StringType)):
+                for plain, written_as in reversed(TEXT_ESCAPES):
+                    column = F.replace(column, F.lit(written_as), F.lit(plain))
+            return (F.from_json(column, field.dataType) if nested else column).alias(field.name)
 
         return df.select([from_text(f) for f in schema.fields])
     return df
@@ -134,8 +158,8 @@ class _StoredTable:
 class GraphFiles:
     """Graphs under one folder, in `csv`, `parquet`, `orc` or another format Spark writes.
 
-    `files_per_table` caps the number of files of a table and with it the number of tasks that write
-    it, so leave it out for large graphs. With a `database`, stored tables also become external tables
+    `files_per_table` caps the number of files of a table by a shuffle before the write, so leave it out for
+    large graphs. With a `database`, stored tables also become external tables
     of the session catalog.
     """
 
@@ -174,13 +198,14 @@ class GraphFiles:
     def graph(self, name: str) -> PropertyGraph:
         schema = self.schema(name)
         listing = f"{self.folder(name)}/{TABLES_FILE}"
-        if self._files.exists(listing):
+        own = self._files.exists(listing)
+        if own:
             stored = [_StoredTable.from_dict(t) for t in json.loads(self._files.read_text(listing))]
         else:
             stored = self._by_convention(schema)
         tables: list[NodeTable | RelTable] = []
         for table in stored:
-            df = self._read(f"{self.folder(name)}/{table.path}", table.schema)
+            df = self._read(f"{self.folder(name)}/{table.path}", table.schema, own)
             back = {c: p for p, c in table.columns.items()}
             df = df.select([quoted(c).alias(back.get(c, c)) for c in df.columns])
             if table.rel_type is None:
@@ -213,20 +238,25 @@ class GraphFiles:
             )
         return tables
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
+    def _read(self, path: str, schema: T.StructType, own: bool) -> DataFrame:
+        """`own` tables were written here; text files that come from elsewhere are read as plain text."""
         stored = _stored_schema(schema, self.format)
-        return _decoded(self._spark.read.format(self.format).schema(stored).load(path), schema, self.format)
+        options = _options(self.format) if own else {}
+        return _decoded(self._spark.read.format(self.format).options(**options).schema(stored).load(path), schema, self.format, own)
 
     # -- writing ----------------------------------------------------------------------------------
 
     def store(self, name: str, graph: PropertyGraph, overwrite: bool = False) -> None:
-        """Write all tables side by side, then the schema. Any table that fails makes the store fail."""
-        folder = self.folder(name)
-        if self._files.exists(folder):
-            if not overwrite:
-                raise GraphExistsError(f"'{name}' is in {self.root} already")
-            self._refuse_own_input(folder, graph)
-            self._files.delete(folder)
+        """Write all tables side by side, then the schema. Any table that fails makes the store fail.
+
+        What is there already is replaced once everything has been written beside it, so a graph may be stored over
+        one it is read from, and a failed write leaves the old one. DataFrames of the old one end with it.
+        """
+        final = self.folder(name)
+        there = self._files.exists(final)
+        if there and not overwrite:
+            raise GraphExistsError(f"'{name}' is in {self.root} already")
+        folder = f"{self.root}/_new-{uuid.uuid4().hex}" if there else final
 
         jobs: list[tuple[_StoredTable, DataFrame]] = []
         for node in graph.nodes:
@@ -254,19 +284,16 @@ class GraphFiles:
 
         self._files.write_text(f"{folder}/{TABLES_FILE}", json.dumps([t.to_dict() for t, _ in jobs], indent=2))
         self._files.write_text(f"{folder}/{SCHEMA_FILE}", graph.schema.to_json())
+        if there:
+            self._files.delete(final)
+            self._files.rename(folder, final)
         if self.database:
             for table, _ in jobs:
-                self._create_external(name, folder, table)
+                self._create_external(name, final, table)
 
     def write_table(self, path: str, df: DataFrame) -> None:
-        rows = df if self.files_per_table is None else df.coalesce(self.files_per_table)
-        _encoded(rows, self.format).write.format(self.format).save(path)
-
-    def _refuse_own_input(self, folder: str, graph: PropertyGraph) -> None:
-        own = self._files.qualified(folder)
-        for table in [*graph.nodes, *graph.relationships]:
-            if any(self._files.qualified(f).startswith(own + "/") for f in table.df.inputFiles()):
-                raise GraphError(f"the graph is read from {folder}; store it under another name")
+        rows = df if self.files_per_table is None else df.repartition(self.files_per_table)
+        _encoded(rows, self.format).write.format(self.format).options(**_options(self.format)).save(path)
 
     def table_name(self, graph_name: str, table: _StoredTable) -> str:
         kind, names = ("vertex", table.labels) if table.rel_type is None else ("edge", (table.path.rpartition("/")[2],))
@@ -281,6 +308,7 @@ class GraphFiles:
             path=f"{folder}/{table.path}",
             source=self.format,
             schema=_stored_schema(table.schema, self.format),
+            **_options(self.format),
         )
 
     def delete(self, name: str) -> None:

@@ -20,7 +20,7 @@ from graphloom.operators.ids import hashed_id, serialized_id
 
 # Reader options unless others are given.
 JDBC_FETCH_SIZE = "100"
-CSV_OPTIONS = {"header": "true", "inferSchema": "true"}
+CSV_OPTIONS = {"header": "true"}
 
 
 class ViewReader(Protocol):
@@ -37,12 +37,13 @@ class CatalogViews:
 
 @dataclass(frozen=True)
 class JdbcViews:
-    """Views of a database. For a large view give `partitionColumn`, `lowerBound`, `upperBound` and
-    `numPartitions`, or one task reads all of it."""
+    """Views of a database, read by several tasks: `partitionColumn`, `lowerBound`, `upperBound` and `numPartitions`
+    belong to the options. `one_task` says that a view is small enough to do without."""
 
     url: str
     driver: str
     options: Mapping[str, str] = field(default_factory=dict)
+    one_task: bool = False
 
     def reader_options(self, view: str) -> dict[str, str]:
         return {
@@ -54,16 +55,20 @@ class JdbcViews:
         }
 
     def read(self, spark: SparkSession, view: str) -> DataFrame:
+        if "partitionColumn" not in self.options and not self.one_task:
+            raise GraphError(f"say how to partition '{view}', or that one task is to read it")
         return spark.read.format("jdbc").options(**self.reader_options(view)).load()
 
 
 @dataclass(frozen=True)
 class FileViews:
-    """Views that are files; a relative name is looked up in `base_path`."""
+    """Views that are files; a relative name is looked up in `base_path`. `schemas` has the columns of views whose
+    files do not tell their types: those of text files are texts otherwise, and are not guessed by another pass."""
 
     format: str
     base_path: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    schemas: Mapping[str, str] = field(default_factory=dict)
 
     def location(self, view: str) -> str:
         if urlparse(view).scheme or view.startswith("/"):
@@ -74,7 +79,9 @@ class FileViews:
 
     def read(self, spark: SparkSession, view: str) -> DataFrame:
         defaults = CSV_OPTIONS if self.format == "csv" else {}
-        return spark.read.format(self.format).options(**{**defaults, **self.options}).load(self.location(view))
+        reader = spark.read.format(self.format).options(**{**defaults, **self.options})
+        reader = reader.schema(self.schemas[view]) if view in self.schemas else reader
+        return reader.load(self.location(view))
 
 
 @dataclass(frozen=True)
@@ -116,6 +123,7 @@ class EdgeView:
     start: End
     end: End
     properties: Mapping[str, str] = field(default_factory=dict)
+    key: tuple[str, ...] | None = None  # columns that identify an edge; all of them by default
 
 
 @dataclass(frozen=True)
@@ -223,7 +231,8 @@ class ViewGraphSource:
         return PropertyGraph.from_tables(*tables, schema=spec.schema, spark=self._spark)
 
     def _edge_id(self, edge: EdgeView, df: DataFrame) -> Column:
-        return self._id([edge.rel_type], f"{edge.view}|{edge.start.view}|{edge.end.view}", sorted(df.columns))
+        columns = sorted(df.columns) if edge.key is None else [column_named(df, c) for c in edge.key]
+        return self._id([edge.rel_type], f"{edge.view}|{edge.start.view}|{edge.end.view}", columns)
 
     def _end_id(self, edge: EdgeView, end: End, df: DataFrame, keys: Mapping) -> Column:
         """Id of the node at an end, made of the edge's columns as the node's is made of its own. A null

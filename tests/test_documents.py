@@ -103,11 +103,12 @@ def test_dominant_types(spark):
     assert empty.first()["n_docs"] == 4
 
 
-def test_schema_rows_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(meta, "MAX_SCHEMA_ROWS", 3)
-    with pytest.raises(GraphError):
-        meta.collected(spark.range(4))
-    assert len(meta.collected(spark.range(3))) == 3
+def test_upserted_documents_are_live(spark):
+    old = spark.createDataFrame([("a", 1, "N"), ("b", 1, "Y"), ("c", 1, None)], "id string, timestamp int, deleted string")
+    new = spark.createDataFrame([("a", 2), ("d", 2)], "id string, timestamp int")
+    assert values(updates.live(updates.upsert(old, new)), "id") == [("a",), ("c",), ("d",)]
+    marked = updates.soft_delete(old, F.col("id") == "c")
+    assert values(updates.live(marked), "id") == [("a",)]
 
 
 def test_unknown_classes_are_texts():

@@ -140,8 +140,10 @@ def test_paths_repeat_no_relationship(spark):
     for n in range(3):
         grow(n, n, ())
     assert walked == sorted(expected)
-    written = graph.match("a").expand_path("a", "p", "b", max_hops=4, write_steps=True)
-    assert written.df.count() == len(expected)
+    ends = graph.match("a").expand("a", "r", "b").next_pattern().expand_path("a", "p", "b", max_hops=4)
+    assert ends.df.count() == sum((s, t) in edges.values() for s, t, _ in expected)
+    found = graph.match("a").expand_path("a", "p", "b", max_hops=4, optional=True).df
+    assert found.count() == len(expected) + 1 and found.where("b__id IS NULL AND p IS NULL").count() == 1
     assert graph.match("a").expand_path("a", "p", "b", min_hops=0, max_hops=1).df.count() == 6
 
 
@@ -219,7 +221,7 @@ def test_held_relationships_match_like_tables(spark):
         both = c.expand("c", "r", "o", types="PLACED")
         yield values(both.next_pattern().expand("o", "s", "c", direction="in").select("c.name", "o.price"))
         yield values(both.expand("o", "s", "c", direction="in").select("c.name", "o.price"))
-        yield values(o.expand_path("o", "p", "c", direction="in").df.select("o__id", "c__id", F.col("p")[0]["id"]))
+        yield values(o.expand_path("o", "p", "c", direction="in", max_hops=3).df.select("o__id", "c__id", F.col("p")[0]["id"]))
         yield values(graph.match("x").expand("x", "r", "y", direction="both").df.select("x__id", "y__id"))
         yield values(graph.match_relationships("r").select("r.via"))
         yield graph.match("o", "Order").property_names("o")
@@ -290,8 +292,8 @@ def test_types_and_labels_nobody_has(friends):
     assert values(m.optional("a", "r", "b", types="NOPE").select("a.name", "b.name"))[0] == ("Alice", None)
     assert m.exists("a", types="NOPE", negated=True).df.count() == 4
     assert m.exists("a", labels="Nobody").df.count() == 0
-    assert m.expand_path("a", "p", "b", types="NOPE").df.count() == 0
-    assert m.expand_path("a", "p", "b", labels="Nobody").df.count() == 0
+    assert m.expand_path("a", "p", "b", types="NOPE", max_hops=2).df.count() == 0
+    assert m.expand_path("a", "p", "b", labels="Nobody", max_hops=2).df.count() == 0
     counted = m.expand_aggregate("a", types="NOPE", optional=True, aggregates=lambda m: {"n": F.sum(m["node.age"])})
     assert counted.df.where("n IS NULL").count() == 4
     assert friends.match_relationships("r", "NOPE").df.count() == 0
@@ -344,3 +346,41 @@ def test_random_graphs_against_brute_force(spark, seed):
             hits = [(a, r, x) for r, (k, x, y, _, _) in edges.items() if k == "S" and y == a and x % 5 > 1]
             expected += hits or [(a, None, None)]
         assert got == sorted(expected, key=row_key)
+
+
+def test_inline_predicates_are_about_the_new_variables(friends):
+    m = friends.match("a").expand("a", "r", "b", node_where={"name": "Bob"})
+    assert values(m.select("a.name", "b.name")) == [("Alice", "Bob")]
+    m = friends.match("a").expand("a", "r", "b", rel_where={"since": "02/04/1982"}, where=lambda m: m["a.age"] > 50)
+    assert values(m.select("a.name", "b.name")) == [("Carol's Mom", "Carol")]
+    m = friends.match("a").optional("a", "r", "b", node_where={"name": "Bob"})
+    assert values(m.select("a.name", "b.name")) == [("Alice", "Bob"), ("Bob", None), ("Carol", None), ("Carol's Mom", None)]
+    assert values(friends.match("a").exists("a", node_where={"name": "Bob"}).select("a.name")) == [("Alice",)]
+    assert friends.match("a").exists("a", node_where={"name": "Bob"}, negated=True).df.count() == 3
+    assert friends.match("a").with_exists("e", "a", rel_where={"since": "12/12/2009"}).df.where("e").count() == 1
+    counted = friends.match("a").expand_aggregate("a", node_where={"name": "Alice"}, aggregates=lambda m: {"n": F.count("*")})
+    assert values(counted.select("a.name", "n")) == [("Carol's Mom", 1)]
+
+
+@pytest.mark.parametrize(
+    ("options", "target"), [({"where": {"name": "Bob"}}, "b"), ({"node_where": {"name": "Bob"}}, None)]
+)
+def test_inline_predicates_without_a_variable_are_refused(friends, options, target):
+    with pytest.raises(GraphSchemaError):
+        friends.match("a").expand("a", "r", target, **options)
+
+
+def test_optional_steps_add_the_same_reads_each(friends):
+    m, reads = friends.match("v0"), []
+    for i in range(4):
+        m = m.optional(f"v{i}", f"r{i}", f"v{i + 1}").next_pattern()
+        reads.append(m.df._jdf.queryExecution().analyzed().collectLeaves().size())
+    assert reads[2] - reads[1] == reads[1] - reads[0] == reads[3] - reads[2]
+
+
+def test_longer_paths_read_no_more_each_hop(friends):
+    reads = []
+    for hops in range(2, 6):
+        m = friends.match("a").expand_path("a", "p", "b", max_hops=hops)
+        reads.append(m.df._jdf.queryExecution().analyzed().collectLeaves().size())
+    assert reads[1] - reads[0] == reads[2] - reads[1] == reads[3] - reads[2]

@@ -56,13 +56,11 @@ def test_row_numbers_have_no_gaps_even_when_all_rows_tie(spark):
     assert sorted(r["row_index"] for r in numbered.collect()) == list(range(1000))
 
 
-def test_pages(spark, monkeypatch):
+def test_pages(spark):
     df = spark.range(100, numPartitions=5).selectExpr("id", "(id * 17) % 101 as k")
     small = t.page(df, "k", skip=10, limit=20)
     expected = sorted(((r["k"], r["id"]) for r in df.collect()))[10:30]
     assert sorted((r["k"], r["id"]) for r in small.collect()) == expected
-    monkeypatch.setattr(t, "TOP_ROWS", 5)
-    assert sorted((r["k"], r["id"]) for r in t.page(df, "k", skip=10, limit=20).collect()) == expected
 
 
 def test_sorting_puts_nulls_first_and_last(spark):
@@ -101,14 +99,6 @@ def test_joins_refuse_shared_names(spark):
         t.join(left, right, pairs, "left_semi")
 
 
-def test_product_is_for_small_sides(spark):
-    left, right = spark.range(5).toDF("a"), spark.range(3).toDF("b")
-    assert t.product(left, right).count() == 15
-    with pytest.raises(GraphError):
-        t.product(left, right, max_rows=2)
-    assert t.product(t.unit(spark).withColumn("u", F.lit(1)), right).count() == 3
-
-
 def test_types_widen_and_unknown_ones_are_refused(spark):
     df = spark.range(1).selectExpr(
         "cast(1 as tinyint) a", "cast(1 as smallint) b", "1 c", "cast(1 as float) d", "array(1) e",
