@@ -46,36 +46,44 @@ _BLOCK = 1 << 19  # bytes of whole groups that are sorted at once
 _CONTEXT = 8  # bytes whose hash orders the places as anchors
 
 
-def ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
-    """Ranks of all suffixes by their first 7, 14, ... and at last `length` bytes; what is past the end is least.
+def ranks(data: np.ndarray, length: int, wanted: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
+    """Ranks of suffixes by their first 7, 14, ... and at last `length` bytes; what is past the end is least.
 
-    Each is (bytes, rank by position); equal ranks are equal bytes.
+    Each is (bytes, rank by position); equal ranks are equal bytes. With `wanted`, a mask, the last ranks are those of
+    these positions only, and the ones before are those that it takes to make them.
     """
     n = len(data)
+    sizes = [7]
+    while sizes[-1] < length:
+        sizes.append(min(2 * sizes[-1], length))
+    needed = [np.ones(n, bool) if wanted is None else wanted]
+    for size, before in zip(sizes[:0:-1], sizes[-2::-1], strict=True):
+        mask, step = needed[0].copy(), size - before
+        mask[step:] |= needed[0][: n - step] if step < n else False
+        needed.insert(0, mask)
     padded = np.zeros(n + 8, np.uint64)
     padded[:n] = data.astype(np.uint64) + np.uint64(1)  # 0 is past the end
     # Nine bits each: seven fit one number.
-    first = np.zeros(n, np.uint64)
+    key = np.zeros(n, np.uint64)
     for i in range(7):
-        first = (first << np.uint64(9)) | padded[i : i + n]
-    done, rank = 7, _dense(first)
-    out = [(done, rank)]
-    while done < length:
-        step = min(done, length - done)
+        key = (key << np.uint64(9)) | padded[i : i + n]
+    out = [(7, _dense(key, needed[0]))]
+    for size, mask in zip(sizes[1:], needed[1:], strict=True):
+        done, rank = out[-1]
         after = np.zeros(n, np.int64)
-        if step < n:
-            after[: n - step] = rank[step:] + 1
-        rank = _dense(rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64))
-        done += step
-        out.append((done, rank))
+        if size - done < n:
+            after[: n - size + done] = rank[size - done :] + 1
+        out.append((size, _dense(rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64), mask)))
     return out
 
 
-def _dense(keys: np.ndarray) -> np.ndarray:
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])) if len(keys) else 0
+def _dense(keys: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Ranks of the keys in the mask, -1 elsewhere."""
+    at = np.flatnonzero(mask)
+    order = np.argsort(keys[at])
+    ranked = keys[at[order]]
+    rank = np.full(len(keys), -1, np.int64)
+    rank[at[order]] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])) if len(at) else 0
     return rank
 
 
@@ -90,21 +98,30 @@ def _nearest_smaller(values: np.ndarray) -> np.ndarray:
     return near
 
 
-def longest_previous_factors(data: np.ndarray, length: int, levels: list[tuple[int, np.ndarray]] | None = None, later: bool = False) -> np.ndarray:
+def longest_previous_factors(
+    data: np.ndarray, length: int, levels: list[tuple[int, np.ndarray]] | None = None, later: bool = False, whole: bool = False
+) -> np.ndarray:
     """For each position, how many bytes from there also stand at some smaller position (a greater one with
-    `later`), up to `length`; sources may overlap. Sorting stops at `length` bytes, beyond which ties need no order."""
+    `later`), up to `length`; sources may overlap. Sorting stops at `length` bytes, beyond which ties need no order.
+    With `whole`, factors shorter than `length` are left at 0, and only positions ranked in the last of `levels`
+    take part."""
     levels = levels or ranks(data, length)
     n = len(data)
-    order = np.argsort(levels[-1][1], kind="stable")
+    order = np.flatnonzero(levels[-1][1] >= 0)
+    order = order[np.argsort(levels[-1][1][order])]
     position = order if not later else n - 1 - order
     best = np.zeros(n, np.int64)
     before = _nearest_smaller(position)
     after = len(order) - 1 - _nearest_smaller(position[::-1])[::-1]
     for near in (before, after):
-        real = (near >= 0) & (near < n)
+        real = (near >= 0) & (near < len(order))
         a, b = order[real], order[near[real]]
+        if whole and levels[-1][0] == length:
+            inside = (levels[-1][1][a] == levels[-1][1][b]) & (np.maximum(a, b) + length <= n)
+            best[a[inside]] = length
+            continue
         best[a] = np.maximum(best[a], _common(data, levels, a, b, length))
-    return best
+    return np.where(best >= length, best, 0) if whole else best
 
 
 def _common(data: np.ndarray, levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -157,10 +174,12 @@ def _sorted_groups(windows: Windows):
     def flagged(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         # A value that is no byte stands after each stretch, so that nothing matches across two of them.
         data = np.concatenate([np.append(np.frombuffer(r[5], np.uint8).astype(np.int16), 256) for r in rows])
-        levels = ranks(data, windows.length)
-        copied = np.maximum(
-            longest_previous_factors(data, windows.length, levels), longest_previous_factors(data, windows.length, levels, later=True)
-        )
+        first = np.cumsum([0, *(len(r[5]) + 1 for r in rows[:-1])])
+        wanted = np.zeros(len(data), bool)
+        wanted[ranges(first, np.array([r[3] for r in rows]))] = True
+        levels = ranks(data, windows.length, wanted)
+        earlier, later = (longest_previous_factors(data, windows.length, levels, later=way, whole=True) for way in (False, True))
+        copied = np.maximum(earlier, later)
         begin = 0
         for _, doc, start, n, open_, text in rows:
             if open_:

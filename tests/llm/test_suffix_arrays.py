@@ -88,6 +88,8 @@ def test_factors(later):
         for letters in ("a", "ab", "abcd"):
             data = "".join(random.choice(letters) for _ in range(120)).encode()
             got = longest_previous_factors(np.frombuffer(data, np.uint8), length, later=later)
+            whole = longest_previous_factors(np.frombuffer(data, np.uint8), length, later=later, whole=True)
+            assert (whole == np.where(got == length, length, 0)).all()
             for i in range(len(data)):
                 best = 0
                 for j in range(i + 1, len(data)) if later else range(i):
