@@ -8,11 +8,12 @@ fewer. Two texts link when 100 * common >= 80 * all of their tokens. A text with
    puts tokens of many sets last, as far as a bounded sample of the corpus shows them; it decides about work, never about
    results. Of these prefixes, tokens that occur in one set only are dropped. Their number also bounds what a set can
    have in common with others.
-3. Similar sets are partitioned into groups: with a token, each set is compared with the one that has the fewest tokens
-   of its own, and what links is a group.
-4. The matrix has, for each token and group, the bounds of the members that have it: how large they are and how much they can
-   share. A set is compared with the members of another group only where token and bounds allow a link. Members of one
-   group need no comparing: they are tied already.
+3. Similar sets are partitioned into groups: with a token, each set is compared with its centre, the one whose tokens are
+   met most often in others (the text that copies were made of), and what links is a group.
+4. The matrix has, for each token and group, what is known of the members that have it: how large they are, how much of the
+   token's centre they have, how much else they share. That bounds what a set can have in common with them. A set is
+   compared with the members of another group only where token and bound allow a link. Members of one group
+   need no comparing: they are tied already.
 
 Rows of `documents` that repeat, null ids and texts, and other columns are handled: each row gets a row. A frequent
 token lies on a side of its joins that adaptive execution can split.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.components import components
+from graphloom.llm.components import components, tied
 from graphloom.llm.fingerprints import shingles
 from graphloom.llm.registry import query
 from graphloom.llm.text import dealt_anew, map_slices, signed, slices
@@ -95,31 +96,39 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
     return texts.select("_text").mapInArrow(run, "token long, set long")
 
 
-def _may_link(n_a: Column, most_a: Column, n_b: Column, most_b: Column) -> Column:
-    """Whether sets of these sizes, with at most so much in common with others, can be near."""
-    common = F.least(most_a, most_b)
+def _bound(a: str, b: str) -> Column:
+    """What two sets can have in common, from columns that end in `a` and `b`: how much each shares at most with the
+    centre, with any set outside of the centre, and at all. They meet in the centre or outside of it."""
+    least = lambda name: F.least(name + a, name + b)
+    return F.least(least("centre") + least("rest"), least("most"))
+
+
+def _may_link(n_a: Column, n_b: Column, common: Column) -> Column:
+    """Whether sets of these sizes, or larger ones, can be near with so much in common at most."""
     return 100 * common >= 80 * (n_a + F.greatest(n_b, common) - common)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those `pairs` (`a`, `b`) that link. `sets` has the text of each set."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """`a`, `b`, `common` and whether they are `near`, of each of the `pairs`. `sets` has the text of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in slices(whole, "text_a"):
                 texts = part.column("text_b").dictionary_encode()  # the other side is often the same
                 of_b, which = token_sets(texts.dictionary), texts.indices.to_pylist()
-                near = []
+                shared, near = [], []
                 for x, i in zip(token_sets(part.column("text_a")), which, strict=True):
                     y = of_b[i]
                     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    common = int((y[at] == x).sum())
-                    near.append(100 * common >= 80 * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(near))
+                    shared.append(int((y[at] == x).sum()))
+                    near.append(100 * shared[-1] >= 80 * (len(x) + len(y) - shared[-1]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array(shared, pa.int64()), pa.array(near)], names=["a", "b", "common", "near"]
+                )
 
     side = lambda s: sets.select(F.col("set").alias(s), F.col("text").alias(f"text_{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long, common long, near boolean").distinct()
 
 
 def linked_sets(texts: DataFrame) -> DataFrame:
@@ -128,38 +137,48 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     shared = found.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
     posted = written(found.join(shared, "token", "left_semi").distinct(), "prefixes")
     # Copies may have been posted by several tasks: now that they are one, tokens of one set show.
-    shared = posted.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
-    posted = written(posted.join(shared, "token", "left_semi"), "shared-prefixes")
+    shared = posted.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select(dealt_anew("token"), "sets")
+    posted = written(posted.join(shared, "token"), "shared-prefixes")
 
     kept = posted.select("set").distinct().select(dealt_anew("set"))
     sets = written(_texts_of(texts, kept), "sets")
-    own = posted.groupBy("set").agg(F.count("*").alias("shared"))
+    own = posted.groupBy("set").agg(F.count("*").alias("shared"), F.sum("sets").alias("met"))
     sizes = sets.select("set", "n").distinct().join(own, "set")
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
-    sizes = sizes.select("set", "n", (F.col("n") - (prefix - F.col("shared"))).alias("most"))  # in common with others
-    rows = written(posted.join(sizes.select(dealt_anew("set"), "n", "most"), "set"), "matrix-rows")
+    sizes = sizes.select("set", "n", "met", (F.col("n") - (prefix - F.col("shared"))).alias("most"))  # in common with others
+    rows = written(posted.drop("sets").join(sizes.select(dealt_anew("set"), "n", "met", "most"), "set"), "matrix-rows")
 
-    centre = F.min(F.struct(((F.col("n") - F.col("most")) / F.col("n")).alias("lonely"), "set", "n", "most")).alias("c")
+    centre = F.min(F.struct((-F.col("met")).alias("order"), "n", "set", "most")).alias("c")
     centres = rows.groupBy("token").agg(centre).select(dealt_anew("token"), F.col("c.set").alias("b"), F.col("c.n").alias("n_b"), F.col("c.most").alias("most_b"))
-    pairs = rows.join(centres, "token").where(F.col("set") != F.col("b")).where(_may_link(F.col("n"), F.col("most"), F.col("n_b"), F.col("most_b")))
-    links = written(verified(pairs.select(F.col("set").alias("a"), "b").distinct(), sets), "group-links")
-    groups = components(links)
-
-    grouped = rows.join(groups.withColumnRenamed("node", "set"), "set", "left")
-    grouped = written(grouped.select("token", "set", "n", "most", F.coalesce("root", "set").alias("group")), "grouped")
-    matrix = grouped.groupBy("token", "group").agg(F.count("*").alias("members"), F.min("n").alias("least_n"), F.max("most").alias("most_shared"))
+    centred = written(rows.join(centres, "token").withColumn("upper", F.least("most", "most_b")), "centred")
+    pairs = centred.where("set <> b").where(_may_link(F.col("n"), F.col("n_b"), F.col("upper")))
+    checked = written(compared(pairs.select(F.col("set").alias("a"), "b").distinct(), sets), "compared")
+    links = checked.where("near").select("a", "b")
+
+    grouped = centred.join(checked.select(F.col("a").alias("set"), "b", "common"), ["set", "b"], "left")
+    # A set that was not compared with the centre may share all that it shares with it, or outside of it.
+    known = F.when(F.col("set") == F.col("b"), F.col("n")).otherwise(F.col("common"))
+    rest = F.greatest(F.col("most") - F.coalesce(known, F.lit(0)), F.lit(0))
+    grouped = grouped.select("token", "set", "n", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
+    grouped = grouped.join(tied(links).select(dealt_anew("node", "set"), "root"), "set", "left")
+    grouped = written(grouped.select("token", "set", "n", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
+    matrix = grouped.groupBy("token", "group").agg(
+        F.count("*").alias("members"), F.min("n").alias("n_other"), *[F.max(m).alias(f"{m}_other") for m in ("most", "centre", "rest")]
+    )
     several = matrix.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
     matrix = written(matrix.join(several, "token", "left_semi"), "matrix")
     asking = grouped.join(matrix.select("token", "group", F.col("members").alias("beside")), ["token", "group"])
     # The smaller group asks the larger one.
-    other = matrix.select("token", F.col("group").alias("other"), "members", "least_n", "most_shared")
+    other = matrix.withColumnRenamed("group", "other")
     rank = lambda members, group: F.struct(F.col(members), F.col(group))
+    c = F.col
     open_ = asking.join(other, "token").where(rank("beside", "group") < rank("members", "other"))
-    open_ = open_.where(_may_link(F.col("n"), F.col("most"), F.col("least_n"), F.col("most_shared")))
-    members = grouped.select("token", F.col("group").alias("other"), F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("most").alias("most_b"))
-    pairs = open_.select("token", "other", F.col("set").alias("a"), "n", "most").join(members, ["token", "other"])
-    pairs = pairs.where(_may_link(F.col("n"), F.col("most"), F.col("n_b"), F.col("most_b"))).select("a", "b").distinct()
-    return components(links.unionByName(verified(pairs, sets)))
+    open_ = open_.where(_may_link(c("n"), c("n_other"), _bound("", "_other")))
+    known = ("n", "most", "centre", "rest")
+    members = grouped.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known])
+    pairs = open_.select("token", "other", c("set").alias("a"), *known).join(members, ["token", "other"])
+    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("", "_b"))).select("a", "b").distinct()
+    return components(links.unionByName(compared(pairs, sets).where("near").select("a", "b")))
 
 
 def _texts_of(texts: DataFrame, kept: DataFrame) -> DataFrame:
