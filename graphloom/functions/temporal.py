@@ -258,31 +258,16 @@ def date_minus(day: Column, value: Column) -> Column:
     return F.date_sub(F.add_months(day, (-value["months"]).cast("int")), _all_days(value).cast("int"))
 
 
-_DURATION_ACCESSORS = {
-    "years": lambda d: _div(d["months"], 12),
-    "quarters": lambda d: _div(d["months"], 3),
-    "months": lambda d: d["months"],
-    "weeks": lambda d: _div(_all_days(d), 7),
-    "days": _all_days,
-    "hours": lambda d: _div(_below_day(d), MICROS_PER_HOUR),
-    "minutes": lambda d: _div(_below_day(d), MICROS_PER_MINUTE),
-    "seconds": lambda d: _div(_below_day(d), MICROS_PER_SECOND),
-    "milliseconds": lambda d: _div(_below_day(d), 1_000),
-    "microseconds": _below_day,
-    "quartersofyear": lambda d: _div(d["months"], 3) % 4,
-    "monthsofquarter": lambda d: d["months"] % 3,
-    "monthsofyear": lambda d: d["months"] % 12,
-    "daysofweek": lambda d: _all_days(d) % 7,
-    "minutesofhour": lambda d: _div(_below_day(d), MICROS_PER_MINUTE) % 60,
-    "secondsofminute": lambda d: _div(_below_day(d), MICROS_PER_SECOND) % 60,
-    "millisecondsofsecond": lambda d: _div(_below_day(d), 1_000) % 1_000,
-    "microsecondsofsecond": lambda d: _below_day(d) % MICROS_PER_SECOND,
-}
+_TOTALS = {"months": lambda d: d["months"], "days": _all_days, "micros": _below_day}
 
 
 def duration_accessor(value: Column, name: str) -> Column:
-    """Component of a duration. Months, days and what is below a day are separate groups: hours, for
-    one, leave out whole days."""
-    if name.lower() not in _DURATION_ACCESSORS:
+    """Component of a duration: a part such as `hours`, or one within the next larger, such as `minutesOfHour`. Months,
+    days and what is below a day are separate groups: hours, for one, leave out whole days."""
+    part, of, whole = name.lower().partition("of")
+    unit, size = DURATION_PARTS.get(part, (None, None))
+    whole_unit, whole_size = DURATION_PARTS.get(f"{whole}s", (None, None))
+    if unit is None or (of and (whole_unit != unit or whole_size <= size)):
         raise GraphTypeError(f"durations have no '{name}'")
-    return _DURATION_ACCESSORS[name.lower()](value).cast("long")
+    total = _div(_TOTALS[unit](value), size)
+    return (total % (whole_size // size) if of else total).cast("long")

@@ -207,3 +207,8 @@ def test_generated_and_packed_ids(spark):
     assert hashed.distinct().count() == 1000
     with pytest.raises(GraphError):
         ids.serialized_id("k", [])
+
+
+def test_hashed_ids_tell_nulls_apart(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None), ("a|", "a"), ("", "a")], "x string, y string")
+    assert df.select(ids.hashed_id("v", ["L"], ["x", "y"]).alias("id")).distinct().count() == 6
