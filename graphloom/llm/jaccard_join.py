@@ -6,12 +6,12 @@ fewer. Two texts link when 100 * common >= 80 * all of their tokens. A text with
 1. Texts of equal tokens are one set. Links need only be found between different sets.
 2. Two linked sets share one of the first n - ceil(0.8 n) + 1 tokens of each, in any one order of all tokens. The order
    puts tokens of many sets last, as far as a bounded sample of the corpus shows them; it decides about work, never about
-   results. Of these prefixes, tokens that occur in one set only are dropped. Their number also bounds what a set can
-   have in common with others.
+   results. Of these prefixes, tokens that occur in one prefix only are dropped. Behind the end of its own prefix another set
+   may still have them, so their number bounds what a set can have in common only with sets whose prefixes end no earlier.
 3. Similar sets are partitioned into groups: with a token, each set is compared with its centre, the one whose tokens are
    met most often in others (the text that copies were made of), and what links is a group.
 4. The matrix has, for each token and group, what is known of the members that have it: how large they are, how much of the
-   token's centre they have, how much else they share. That bounds what a set can have in common with them. A set is
+   token's centre they have, how much else. That bounds what a set can have in common with them. A set is
    compared with the members of another group only where token and bound allow a link. Members of one group
    need no comparing: they are tied already.
 
@@ -53,6 +53,21 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1 if n else 0
 
 
+def in_common_order(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """Sorted tokens with the frequent ones put last, and how many are not frequent."""
+    if not len(frequent):
+        return tokens, len(tokens)
+    last = frequent[np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)] == tokens
+    return np.concatenate([tokens[~last], tokens[last]]), int((~last).sum())
+
+
+def prefix_end(tokens: np.ndarray, frequent: np.ndarray) -> int:
+    """Where the prefix of a set ends in the common order, as far as 31 bits tell."""
+    ordered, rare = in_common_order(tokens, frequent)
+    at = prefix_length(len(tokens)) - 1
+    return (int(at >= rare) << 30) | (int(ordered[at]) >> 34)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     edges = np.cumsum([0, *map(len, parts)]).astype(np.int32)
     return pa.ListArray.from_arrays(edges, pa.array(signed(np.concatenate([*parts, np.zeros(0, np.uint64)]))))
@@ -83,9 +98,7 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                     if not len(own) or name in seen:
                         continue
                     seen.add(name)
-                    if len(frequent):
-                        last = frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own
-                        own = np.concatenate([own[~last], own[last]])
+                    own, _ = in_common_order(own, frequent)
                     tokens.append(own[: prefix_length(len(own))])
                     names.append(np.full(len(tokens[-1]), name, np.int64))
                 if names:
@@ -96,11 +109,18 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
     return texts.select("_text").mapInArrow(run, "token long, set long")
 
 
-def _bound(a: str, b: str) -> Column:
-    """What two sets can have in common, from columns that end in `a` and `b`: how much each shares at most with the
-    centre, with any set outside of the centre, and at all. They meet in the centre or outside of it."""
-    least = lambda name: F.least(name + a, name + b)
-    return F.least(least("centre") + least("rest"), least("most"))
+def _most(end_a: Column, most_a: Column, first_b: Column, final_b: Column, most_b: Column) -> Column:
+    """What two sets can have in common. What both have up to the end of the prefix that ends first is in both prefixes, so
+    `most` of that set holds. `first_b` and `final_b` are the ends of several sets, or of one."""
+    return F.when(end_a < first_b, most_a).when(end_a > final_b, most_b).otherwise(F.greatest(most_a, most_b))
+
+
+def _bound(b: str, first: str, final: str) -> Column:
+    """What a set can have in common with another, whose columns end in `b`: they meet in the centre or outside of it."""
+    c = F.col
+    least = lambda name: F.least(name, name + b)
+    most = _most(c("end"), c("most"), c(first), c(final), c(f"most{b}"))
+    return F.least(least("centre") + least("rest"), least("size"), most)
 
 
 def _may_link(n_a: Column, n_b: Column, common: Column) -> Column:
@@ -133,7 +153,8 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def linked_sets(texts: DataFrame) -> DataFrame:
     """`node`, `root`: the component of each set that links with another, by set names. `texts` has `_text`."""
-    found = prefixes(texts, frequent_tokens(texts))
+    frequent = frequent_tokens(texts)
+    found = prefixes(texts, frequent)
     shared = found.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
     posted = written(found.join(shared, "token", "left_semi").distinct(), "prefixes")
     # Copies may have been posted by several tasks: now that they are one, tokens of one set show.
@@ -141,16 +162,20 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     posted = written(posted.join(shared, "token"), "shared-prefixes")
 
     kept = posted.select("set").distinct().select(dealt_anew("set"))
-    sets = written(_texts_of(texts, kept), "sets")
+    sets = written(_texts_of(texts, kept, frequent), "sets")
     own = posted.groupBy("set").agg(F.count("*").alias("shared"), F.sum("sets").alias("met"))
-    sizes = sets.select("set", "n").distinct().join(own, "set")
+    sizes = sets.select("set", "n", "end").distinct().join(own, "set")
     prefix = F.col("n") - F.floor((4 * F.col("n") + 4) / 5) + 1
-    sizes = sizes.select("set", "n", "met", (F.col("n") - (prefix - F.col("shared"))).alias("most"))  # in common with others
-    rows = written(posted.drop("sets").join(sizes.select(dealt_anew("set"), "n", "met", "most"), "set"), "matrix-rows")
+    most = F.col("n") - (prefix - F.col("shared"))  # in common with sets whose prefixes end no earlier
+    sizes = sizes.select("set", "n", "end", "met", most.alias("most"))
+    rows = written(posted.drop("sets").join(sizes.select(dealt_anew("set"), "n", "end", "met", "most"), "set"), "matrix-rows")
 
-    centre = F.min(F.struct((-F.col("met")).alias("order"), "n", "set", "most")).alias("c")
-    centres = rows.groupBy("token").agg(centre).select(dealt_anew("token"), F.col("c.set").alias("b"), F.col("c.n").alias("n_b"), F.col("c.most").alias("most_b"))
-    centred = written(rows.join(centres, "token").withColumn("upper", F.least("most", "most_b")), "centred")
+    c = F.col
+    centre = F.min(F.struct((-c("met")).alias("order"), "n", "set", "most", "end")).alias("c")
+    centres = rows.groupBy("token").agg(centre)
+    centres = centres.select(dealt_anew("token"), c("c.set").alias("b"), c("c.n").alias("n_b"), c("c.most").alias("most_b"), c("c.end").alias("end_b"))
+    upper = F.least("n", "n_b", _most(c("end"), c("most"), c("end_b"), c("end_b"), c("most_b")))
+    centred = written(rows.join(centres, "token").withColumn("upper", upper).drop("end_b", "most_b"), "centred")
     pairs = centred.where("set <> b").where(_may_link(F.col("n"), F.col("n_b"), F.col("upper")))
     checked = written(compared(pairs.select(F.col("set").alias("a"), "b").distinct(), sets), "compared")
     links = checked.where("near").select("a", "b")
@@ -158,31 +183,32 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     grouped = centred.join(checked.select(F.col("a").alias("set"), "b", "common"), ["set", "b"], "left")
     # A set that was not compared with the centre may share all that it shares with it, or outside of it.
     known = F.when(F.col("set") == F.col("b"), F.col("n")).otherwise(F.col("common"))
-    rest = F.greatest(F.col("most") - F.coalesce(known, F.lit(0)), F.lit(0))
-    grouped = grouped.select("token", "set", "n", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
+    rest = F.col("n") - F.coalesce(known, F.lit(0))
+    grouped = grouped.select("token", "set", "n", "end", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
     grouped = grouped.join(tied(links).select(dealt_anew("node", "set"), "root"), "set", "left")
-    grouped = written(grouped.select("token", "set", "n", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
+    grouped = written(grouped.select("token", "set", "n", "end", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
     matrix = grouped.groupBy("token", "group").agg(
-        F.count("*").alias("members"), F.min("n").alias("n_other"), *[F.max(m).alias(f"{m}_other") for m in ("most", "centre", "rest")]
-    )
+        F.count("*").alias("members"), F.min("n").alias("n_other"), F.max("n").alias("size_other"), F.min("end").alias("first_other"),
+        F.max("end").alias("final_other"), *[F.max(m).alias(f"{m}_other") for m in ("most", "centre", "rest")],
+    )
     several = matrix.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
     matrix = written(matrix.join(several, "token", "left_semi"), "matrix")
     asking = grouped.join(matrix.select("token", "group", F.col("members").alias("beside")), ["token", "group"])
     # The smaller group asks the larger one.
     other = matrix.withColumnRenamed("group", "other")
     rank = lambda members, group: F.struct(F.col(members), F.col(group))
-    c = F.col
+    asking = asking.withColumn("size", c("n"))
     open_ = asking.join(other, "token").where(rank("beside", "group") < rank("members", "other"))
-    open_ = open_.where(_may_link(c("n"), c("n_other"), _bound("", "_other")))
-    known = ("n", "most", "centre", "rest")
-    members = grouped.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known])
-    pairs = open_.select("token", "other", c("set").alias("a"), *known).join(members, ["token", "other"])
-    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("", "_b"))).select("a", "b").distinct()
+    open_ = open_.where(_may_link(c("n"), c("n_other"), _bound("_other", "first_other", "final_other")))
+    known = ("n", "end", "most", "centre", "rest")
+    members = grouped.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known], c("n").alias("size_b"))
+    pairs = open_.select("token", "other", c("set").alias("a"), *known, "size").join(members, ["token", "other"])
+    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("_b", "end_b", "end_b"))).select("a", "b").distinct()
     return components(links.unionByName(compared(pairs, sets).where("near").select("a", "b")))
 
 
-def _texts_of(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """`set`, `n` and one `text` of each set of `kept`; a task gives a set once."""
+def _texts_of(texts: DataFrame, kept: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """`set`, `n`, the `end` of the prefix and one `text` of each set of `kept`; a task gives a set once."""
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -194,12 +220,14 @@ def _texts_of(texts: DataFrame, kept: DataFrame) -> DataFrame:
                 for name, tokens in zip(names, own, strict=True):
                     new.append(len(tokens) > 0 and name not in seen)
                     seen.add(name)
+                ends = [prefix_end(x, frequent) if fresh else 0 for x, fresh in zip(own, new, strict=True)]
                 made = pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array([len(x) for x in own], pa.int64()), part.column("_text")], names=["set", "n", "text"]
+                    [pa.array(names, pa.int64()), pa.array([len(x) for x in own], pa.int64()), pa.array(ends, pa.int32()), part.column("_text")],
+                    names=["set", "n", "end", "text"],
                 )
                 yield made.filter(pa.array(new, pa.bool_()))
 
-    every = texts.select("_text").mapInArrow(named, "set long, n long, text string").join(kept, "set", "left_semi")
+    every = texts.select("_text").mapInArrow(named, "set long, n long, end int, text string").join(kept, "set", "left_semi")
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -210,7 +238,7 @@ def _texts_of(texts: DataFrame, kept: DataFrame) -> DataFrame:
                 seen.add(name)
             yield part.filter(pa.array(new, pa.bool_()))
 
-    return every.mapInArrow(once, "set long, n long, text string")
+    return every.mapInArrow(once, "set long, n long, end int, text string")
 
 
 def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

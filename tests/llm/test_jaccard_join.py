@@ -89,6 +89,21 @@ def test_short_texts_and_a_common_passage(spark):
     check(spark, texts)
 
 
+def test_isolated_pairs_at_the_limit(spark):
+    """A set and what is left of it, or what it grows to, at 0.80 to 0.85 and next to nothing else."""
+    texts = []
+    for seed in range(600):
+        rnd = random.Random(seed)
+        n = rnd.randint(5, 40) if seed % 3 else rnd.randint(5, 500)
+        words = [f"s{seed}w{i}" for i in range(n + 4)]
+        share = rnd.uniform(0.80, 0.85)
+        at = rnd.choice([0, len(words)])
+        more = max(1, int(n / share) - n)
+        grown = words[:at] + [f"s{seed}m{i}" for i in range(more)] + words[at:]
+        texts += [" ".join(words), " ".join(grown)]
+    check(spark, texts)
+
+
 def test_odd_texts(spark):
     check(spark, ["", None, " \n ", "a", "A", "a b c d", "A B\tc  d", "a b c d e", "É a b c d", "é a b c d", "x " * 400, "x " * 500, "x x x x x y"])
 
