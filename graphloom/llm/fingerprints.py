@@ -19,11 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.registry import query
-from graphloom.llm.text import Rolling, flat, lowered, map_slices, signed, slices, word_hashes, word_spans
+from graphloom.llm.text import Rolling, dealt_anew, flat, lowered, map_slices, signed, slices, word_hashes, word_spans
 from graphloom.session import written
 
 WORDS, PLACES, BANDS = 5, 64, 16
 LIKENESS = 0.8
+BLOCK = 512  # texts of a bucket that meet as many others in one group
 _BLOCK = 1 << 13  # shingles hashed at once, so that the products stay in the processor's cache
 
 _random = np.random.default_rng(31415)
@@ -74,13 +75,12 @@ def fingerprinted(docs: DataFrame, id: str = "doc_id", text: str = "text", place
     return map_slices(docs.select(id, text), work, f"`{id}` {kind}, fingerprint string", text)
 
 
-def near_pairs(docs: DataFrame, least: float = LIKENESS, text: str = "text", bands: int = BANDS) -> DataFrame:
+def near_pairs(docs: DataFrame, least: float = LIKENESS, text: str = "text", bands: int = BANDS, block: int = BLOCK) -> DataFrame:
     """Pairs of different texts that agree on a band of their signatures and whose shingles have a Jaccard index of
     `least` or more: `key_a < key_b`, `jaccard`. A key is the 64-bit hash of a text.
 
-    Equal texts are one, so groups of copies cost one row. In a band, texts are compared with the first of their
-    bucket, not with each other: near copies of one text are tied to it by as many pairs as there are copies. Two
-    texts that are only near each other may be found through one of the other bands.
+    Equal texts are one, so groups of copies cost one row. In a band, every two texts of a bucket are compared. A large
+    bucket is cut into blocks by a hash of the key, and two blocks at a time meet in a task of their own.
     """
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).select(F.xxhash64("text").alias("key"), "text")
 
@@ -100,17 +100,21 @@ def near_pairs(docs: DataFrame, least: float = LIKENESS, text: str = "text", ban
 
     sets = written(map_slices(texts, work, "key long, buckets array<long>, shingles array<long>").dropDuplicates(["key"]), "signatures")
     dealt = sets.select("key", F.explode("buckets").alias("bucket"))
-    heads = dealt.groupBy("bucket").agg(F.min("key").alias("head"), F.count("*").alias("n")).where("n > 1").select("bucket", "head")
-    pairs = dealt.join(heads, "bucket").where("key <> head").select("head", "key").distinct()
-    both = pairs.join(sets.select(F.col("key").alias("head"), F.col("shingles").alias("a")), "head").join(
-        sets.select("key", F.col("shingles").alias("b")), "key"
-    )
+    sizes = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = sizes.select(dealt_anew("bucket"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    placed = dealt.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    # Once for each block that it meets, its own among them.
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = lambda s: F.when(F.col("own") <= F.col("other"), F.col(s[0])).otherwise(F.col(s[1]))
+    met = placed.select("bucket", side(("own", "other")).alias("low"), side(("other", "own")).alias("high"), "own", "key")
+    a = met.where("own = low").select("bucket", "low", "high", F.col("key").alias("a"))
+    b = met.where("own = high").select("bucket", "low", "high", F.col("key").alias("b"))
+    pairs = a.join(b, ["bucket", "low", "high"]).where((F.col("low") < F.col("high")) | (F.col("a") < F.col("b")))
+    pairs = pairs.select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b")).distinct()
+    both = pairs.join(sets.select(F.col("key").alias("key_a"), F.col("shingles").alias("a")), "key_a")
+    both = both.join(sets.select(F.col("key").alias("key_b"), F.col("shingles").alias("b")), "key_b")
     common = F.size(F.array_intersect("a", "b"))
-    return (
-        both.select(F.least("head", "key").alias("key_a"), F.greatest("head", "key").alias("key_b"), (common / (F.size("a") + F.size("b") - common)).alias("jaccard"))
-        .where(F.col("jaccard") >= least)
-        .distinct()
-    )
+    return both.select("key_a", "key_b", (common / (F.size("a") + F.size("b") - common)).alias("jaccard")).where(F.col("jaccard") >= least)
 
 
 def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:

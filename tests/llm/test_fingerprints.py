@@ -3,9 +3,10 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 
-from graphloom.llm.fingerprints import compared_with_next, fingerprinted, near_pairs
+from graphloom.llm.fingerprints import compared_with_next, fingerprinted, near_pairs, signatures
 
 
 def shingle_set(text):
@@ -77,3 +78,30 @@ def test_near_pairs_are_verified(spark):
     docs = spark.createDataFrame([(1, base), (2, near), (3, far), (4, base), (5, ""), (6, None)], "doc_id long, text string")
     found = near_pairs(docs).collect()
     assert len(found) == 1 and found[0].jaccard == pytest.approx(jaccard(base, near))
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_near_pairs_of_a_family_of_many_variants(spark, block):
+    """Next to all pairs that agree on a band."""
+    rnd = random.Random(12)
+    vocabulary, texts = [f"w{i}" for i in range(2000)], []
+    for _ in range(2):
+        base = [rnd.choice(vocabulary) for _ in range(300)]
+        for _ in range(40):
+            words = list(base)
+            for _ in range(rnd.randint(0, 6)):
+                words[rnd.randrange(len(words))] = rnd.choice(vocabulary)
+            texts.append(" ".join(words))
+    texts = sorted(set(texts))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    key = {r.text: r.key for r in docs.selectExpr("text", "xxhash64(text) key").collect()}
+    bands = signatures(pa.array(texts)).reshape(len(texts), 16, 4)
+    expected = {}
+    for i, a in enumerate(texts):
+        for j in range(i):
+            likeness = jaccard(a, texts[j])
+            if likeness >= 0.8 and (bands[i] == bands[j]).all(axis=1).any():
+                expected[tuple(sorted((key[a], key[texts[j]])))] = pytest.approx(likeness)
+    found = near_pairs(docs, block=block).collect()
+    assert len(expected) > 500 and len(found) == len(expected)
+    assert {(r.key_a, r.key_b): r.jaccard for r in found} == expected
