@@ -10,7 +10,7 @@ more stretches than a task should hold is handled by counting hashes of its wind
 key is then counted map-side first.
 
 Texts are UTF-8 bytes; matches do not cross documents. Bytes covered by a string of the length asked for that starts anywhere
-else too are removed, all copies alike. A null text is empty.
+else too are removed, all copies alike; `kept_first` leaves the first of them. A null text is empty.
 """
 
 from __future__ import annotations
@@ -302,6 +302,62 @@ def deduplicated(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id",
     return rows.mapInArrow(run, f"`{id}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
+def kept_first(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+    """`id` and `kept` (binary): what is left of each row without later copies of strings that repeat.
+
+    The first of a string is the least by id (null last), hash of the text and position, and stays whole, also where a later
+    copy of another string overlaps it. Of equal texts the row of the least id stays, one of them if ids are equal too.
+    """
+    numbered = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    texts, found = repeated_strings(written(numbered, "numbered"), windows, "text", group)
+    order = lambda *more: F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", *more)).alias("first")
+    leading = texts.groupBy("_doc").agg(order("_row")).select(dealt_anew("_doc"), F.col("first._row").alias("_leads"))
+    found = written(found, "repeated")
+    rows = texts.join(leading, "_doc").withColumn("leads", F.col("_row") == F.col("_leads")).select("_id", "_doc", "_text", "leads")
+    rows = rows.join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(whole, "_text"):
+                data, edges = flat(part.column("_text"))
+                rolling = byte_rolling(data)
+                (start, n), row = unnested(part.column("intervals"))
+                n = n.astype(np.int64)
+                at, row = ranges(start, n), np.repeat(row, n)
+                names = rolling.runs(at + edges[row], at + edges[row] + windows.length)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(names)), part.column("_id").take(take), part.column("_doc").take(take), pa.array(at)], names=["name", "_id", "doc", "start"]
+                )
+
+    kind = docs.schema[id].dataType.simpleString()
+    asked = rows.where("leads and intervals is not null").select("_id", "_doc", "_text", "intervals")
+    firsts = asked.mapInArrow(named, f"name long, _id {kind}, doc long, start long").groupBy("name").agg(order("doc", "start"))
+    firsts = firsts.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list("first.start").alias("firsts"))  # no more than the text has bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(whole, "_text"):
+                kept = []
+                columns = (part.column(c).to_pylist() for c in ("_text", "leads", "intervals", "firsts"))
+                for t, leads, intervals, own in zip(*columns, strict=True):
+                    data = np.frombuffer(t.encode(), np.uint8)
+                    if intervals:
+                        later = np.zeros(len(data), bool)
+                        later[ranges(np.array([x["start"] for x in intervals]), np.array([x["n"] for x in intervals]))] = True
+                        first = np.zeros(len(data), bool)
+                        if leads and own:
+                            first[own] = True
+                        one_each = lambda mask: [{"start": i, "n": 1} for i in np.flatnonzero(mask).tolist()]
+                        gone = covered(one_each(later & ~first), windows.length, len(data)) & ~covered(one_each(first), windows.length, len(data))
+                        data = data[~gone]
+                    kept.append(data.tobytes())
+                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(kept, pa.binary())], names=[id, "kept"])
+
+    out = rows.join(firsts.select(dealt_anew("doc", "_doc"), "firsts"), "_doc", "left")
+    return out.select("_id", "_text", "leads", "intervals", "firsts").mapInArrow(run, f"`{id}` {kind}, kept binary")
+
+
 @query("op9_suffix_arrays")
 def op9_suffix_arrays(spark, folder):
     """What is left of every document without the strings of 400 bytes that repeat."""

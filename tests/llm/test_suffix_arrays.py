@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from graphloom.llm.stretches import Windows
-from graphloom.llm.suffix_arrays import GROUP, WINDOW, deduplicated, longest_previous_factors
+from graphloom.llm.suffix_arrays import GROUP, WINDOW, deduplicated, kept_first, longest_previous_factors
 
 
 def plain(texts, k):
@@ -98,3 +98,32 @@ def test_factors(later):
                         k += 1
                     best = max(best, k)
                 assert got[i] == min(best, length), (length, letters, i)
+
+
+def plain_first(rows, order, k):
+    """The first of each repeated string stays, later copies go."""
+    data = [(t or "").encode() for _, t in rows]
+    met = Counter(d[i : i + k] for d in data for i in range(len(d) - k + 1))
+    seen, out = set(), {}
+    for x in order:
+        d = data[x]
+        stays, gone = np.zeros(len(d), bool), np.zeros(len(d), bool)
+        for i in range(len(d) - k + 1):
+            if met[d[i : i + k]] > 1:
+                (gone if d[i : i + k] in seen else stays)[i : i + k] = True
+                seen.add(d[i : i + k])
+        out[x] = bytes(np.frombuffer(d, np.uint8)[~gone | stays])
+    return sorted(((rows[x][0] is None, rows[x][0] or 0, out[x]) for x in out))
+
+
+@pytest.mark.parametrize(("seed", "letters", "group"), [(1, "abcdefghij", GROUP), (2, "ab", GROUP), (3, "abcé", 3)])
+def test_the_first_of_each_string_stays(spark, seed, letters, group):
+    texts = spliced(seed, letters, documents=24)
+    texts += [texts[2], texts[5], "a" * 1500, "a" * 1500, "short", "short", None]
+    rows = list(enumerate(texts)) + [(3, texts[3]), (3, texts[9]), (None, texts[4]), (None, texts[4])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    hashes = [r.h for r in frame.sparkSession.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "i long, t string").selectExpr("i", "xxhash64(coalesce(t, '')) h").orderBy("i").collect()]
+    order = sorted(range(len(rows)), key=lambda x: (rows[x][0] is None, rows[x][0] or 0, hashes[x]))
+    found = sorted((r.doc_id is None, r.doc_id or 0, bytes(r.kept)) for r in kept_first(frame, group=group).collect())
+    assert found == plain_first(rows, order, WINDOW.length)
+    assert kept_first(frame.limit(0)).collect() == []
