@@ -99,3 +99,14 @@ def test_classifier_without_labels_nulls_and_no_rows(spark):
     ranking = fitted(np.eye(9)[:2], np.array([True, False]))
     assert len({r.score for r in scored(docs, ranking).collect()}) == 1
     assert scored(docs.limit(0), ranking).collect() == []
+
+
+def test_one_row_of_each_sampled_id(spark, monkeypatch):
+    """Ids that repeat in documents do not add to the sample, and neither order nor tasks decide which row is taken."""
+    rows = [(i, " ".join(["the word"] * (i + 2 * j + 1))) for i in range(40) for j in range(5)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    given = []
+    monkeypatch.setattr("graphloom.llm.quality_classifier.fitted", lambda values, good: given.append((values.tolist(), good.tolist())))
+    for parts in (1, 7):
+        learned(spark.createDataFrame(rows[:: 1 if parts == 1 else -1], "doc_id long, text string").repartition(parts), labels, sample=10)
+    assert len(given[0][0]) == 10 and given[0] == given[1]
