@@ -1,6 +1,7 @@
 """Operators for large training-data corpora, each with the query that applies it to its whole table."""
 
 from graphloom.llm import (  # noqa: F401
+    exact_dedup,
     fingerprints,
     jaccard_join,
     packing,
