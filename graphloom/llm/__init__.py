@@ -5,6 +5,7 @@ from graphloom.llm import (  # noqa: F401
     fingerprints,
     jaccard_join,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     recompression,
