@@ -446,28 +446,89 @@ class Match:
         """`(source)-[path:types*min..max]->(target:labels)`.
 
         `path` becomes a list of relationships `{id, source, target, type}` in walking order, with their
-        `properties` if asked for. No relationship occurs twice in a pattern. Every length is one more
-        join on the last node of the shorter walks, with the relationships that can leave the labels
-        reached so far. The walks of each length are written once to the shared folder, as the next length and the
-        result both use them. A `target` that is bound already closes the path. `optional` keeps rows without a
-        path, with null for path and target.
+        `properties` if asked for. No relationship occurs twice in a pattern. Walks know no more of a row than where
+        they start (and earlier relationships that they must differ from): they start once from each different
+        node, and meet the rows at the end. Every length is one more join on the last node of the shorter walks, with
+        the relationships that can leave the labels reached so far. The walks of each length are written once to the
+        shared folder, as the next length and the result both use them. A `target` that is bound already closes the
+        path. `optional` keeps rows without a path, with null for path and target.
         """
         if not 0 <= min_hops <= max_hops:
             raise GraphSchemaError(f"not a range of lengths: {min_hops}..{max_hops}")
         _check_var(path)
         closing = target in self.nodes
-        if optional:
-            return self._optional_path(
-                source, path, target, types=types, labels=labels, direction=direction, min_hops=min_hops,
-                max_hops=max_hops, properties=properties,
-            )
         types, labels = _as_set(types), _as_set(labels)
         graph = self.home(source)
+        keys = self._walk_keys(source, types)
+        starts = self._walk_starts(source, types, direction, keys)
+        lengths = self._walks(starts, source, path, types, direction, min_hops, max_hops, properties)
+        reached = self.nodes[target] if closing else frozenset(c for _, ends in lengths for c in ends if labels <= c)
+        here = {c: f"@{c}" for c in keys}
+        walks = reduce(DataFrame.unionAll, [w for w, _ in lengths]) if lengths else starts.where(F.lit(False)).select(
+            *[quoted(c) for c in keys], self.id(source).alias("@last"), self._no_steps(graph, types, properties).alias(path)
+        )
+        walks = walks.select(*[quoted(c).alias(a) for c, a in here.items()], "@last", quoted(path))
+        if closing:
+            here = {**here, flat(target, ID): "@last"}
+            found = walks
+        else:
+            ends = _node_scan(graph, _check_var(target), reached)
+            if optional:
+                walks = written(walks.join(_ids_of(graph, reached), quoted("@last") == quoted("@end"), "left_semi"), "walks")
+            found = walks.join(ends, quoted("@last") == quoted(flat(target, ID)))
+        if optional:
+            # Complete with a row for what starts no walk, the rows meet it in one inner join, which can be split.
+            asked = self.df.select(*[quoted(c).alias(f"{a}?") for c, a in here.items()]).distinct()
+            same = reduce(and_, [quoted(f"{a}?").eqNullSafe(quoted(a)) for a in here.values()])
+            idle = asked.join(walks.select(*[quoted(a) for a in here.values()]), same, "left_anti")
+            idle = idle.select(*[quoted(f"{a}?").alias(a) for a in here.values()])
+            found = found.unionByName(idle, allowMissingColumns=True)
+        meets = reduce(and_, [quoted(c).eqNullSafe(quoted(a)) if optional or c != flat(source, ID) else quoted(c) == quoted(a) for c, a in here.items()])
+        joined = self.df.join(found, meets).drop(*{"@last", *here.values()})
+        homes = dict(self.homes) if graph is self.graph else {**self.homes, target: graph}
+        if graph is not self.graph:
+            homes[path] = graph
+        return replace(
+            self,
+            df=joined,
+            nodes={**self.nodes, target: reached},
+            scanned=None,
+            homes=homes,
+            open_paths={**self.open_paths, path: types or frozenset(graph.schema.relationship_types)},
+        )
+
+    def _walk_keys(self, source: str, types: frozenset[str]) -> list[str]:
+        """Columns that walks depend on: the node they start from, and what they must differ from."""
+        home = self.home(source)
+        types = types or frozenset(home.schema.relationship_types)
+        rels = [flat(rel, ID) for rel in self.open_rels if self.rels[rel] & types and self.home(rel) is home]
+        paths = [p for p, on in self.open_paths.items() if on & types and self.home(p) is home]
+        return [flat(source, ID), *rels, *paths]
+
+    def _walk_starts(self, source: str, types: frozenset[str], direction: str, keys: list[str]) -> DataFrame:
+        """The different starts of walks, with the relationship that a start holds itself."""
+        reach = _reach(self.home(source), types, frozenset(), direction, self.nodes[source], None)
+        held = self._held_along(source, reach)
+        more = [] if held is None else [ID, "other", *(f".{p}" for p, _ in held.properties)]
+        columns = [*keys, *(flat(source, _held_name(held, part)) for part in more)]
+        starts = self.df.select(*[quoted(c) for c in columns]).where(self.id(source).isNotNull())
+        return starts if self.scanned is not None and self.scanned[0] == source else starts.distinct()
+
+    def _no_steps(self, graph: PropertyGraph, types: frozenset[str], properties: bool) -> Column:
+        kept = graph.schema.relationship_property_keys_for(types) if properties else {}
+        return F.array().cast(T.ArrayType(_step_type(graph, kept)))
+
+    def _walks(
+        self, starts: DataFrame, source: str, path: str, types: frozenset[str], direction: str, min_hops: int, max_hops: int, properties: bool
+    ) -> list[tuple[DataFrame, frozenset[Labels]]]:
+        """For each length, the walks (their keys, `@last` and `path`) and the labels that they may have reached."""
+        graph = self.home(source)
         near = self.nodes[source]
+        keys = [quoted(c) for c in self._walk_keys(source, types)]
         kept = graph.schema.relationship_property_keys_for(types) if properties else {}
         step_type = _step_type(graph, kept)
-        start = F.array().cast(T.ArrayType(step_type))
-        walk = self.df.withColumn("@last", self.id(source)).withColumn(path, start)
+        none = self._no_steps(graph, types, properties)
+        walk = starts.select(*keys, self.id(source).alias("@last"), none.alias(path))
         lengths = [(walk, near)] if min_hops == 0 else []
         for length in range(1, max_hops + 1):
             reach = _reach(graph, types, frozenset(), direction, near, None)
@@ -475,9 +536,9 @@ class Match:
                 break
             held = self._held_along(source, reach) if length == 1 else None
             if held is not None:
-                joined = self._held_rows(source, "@hop", held).withColumn(
+                joined = self.with_rows(starts)._held_rows(source, "@hop", held).withColumn(
                     flat("@hop", TO), quoted(flat(source, _held_name(held, "other")))
-                ).withColumn(path, start)
+                ).withColumn(path, none)
             else:
                 joined = walk.join(_rels_of(graph, "@hop", reach), quoted("@last") == quoted(flat("@hop", FROM)))
             if length > 1:
@@ -492,44 +553,14 @@ class Match:
                 ]
                 step = step.withField("properties", F.struct(*values))
             walk = joined.select(
-                *[quoted(c) for c in self.df.columns],
-                quoted(flat("@hop", TO)).alias("@last"),
-                F.array_append(quoted(path), step.cast(step_type)).alias(path),
+                *keys, quoted(flat("@hop", TO)).alias("@last"), F.array_append(quoted(path), step.cast(step_type)).alias(path)
             )
             if length < max_hops:
                 walk = written(walk, "walks")
             near = reach.far
             if length >= min_hops:
                 lengths.append((walk, near))
-
-        reached = frozenset(c for _, ends in lengths for c in ends if labels <= c)
-        walks = reduce(DataFrame.unionAll, [w for w, _ in lengths] or [walk.where(F.lit(False))])
-        if closing:
-            reached = self.nodes[target]
-            joined = walks.where(quoted("@last") == self.id(target))
-        else:
-            joined = walks.join(
-                _node_scan(graph, _check_var(target), reached), quoted("@last") == quoted(flat(target, ID)), "inner"
-            )
-        homes = dict(self.homes) if graph is self.graph else {**self.homes, target: graph}
-        if graph is not self.graph:
-            homes[path] = graph
-        return replace(
-            self,
-            df=joined.drop("@last"),
-            nodes={**self.nodes, target: reached},
-            scanned=None,
-            homes=homes,
-            open_paths={**self.open_paths, path: types or frozenset(graph.schema.relationship_types)},
-        )
-
-    def _optional_path(self, source: str, path: str, target: str, **options) -> Match:
-        """Rows are numbered and written, so that those without a path can be told."""
-        numbered = self.with_rows(written(self.df.withColumn("@row", F.monotonically_increasing_id()), "rows"))
-        found = numbered.expand_path(source, path, target, **options)
-        rows = written(found.df, "paths")
-        rest = numbered.df.join(rows.select("`@row`"), "@row", "left_anti")
-        return found.with_rows(rows.unionByName(rest, allowMissingColumns=True).drop("@row"))
+        return lengths
 
     def join(self, other: Match, on: Iterable[tuple[str, str]], how: str = "inner") -> Match:
         """Combine two patterns, of one graph or of two, by equal values: `on=[('p.name', 'c.name')]`. A value that

@@ -384,3 +384,54 @@ def test_longer_paths_read_no_more_each_hop(friends):
         m = friends.match("a").expand_path("a", "p", "b", max_hops=hops)
         reads.append(m.df._jdf.queryExecution().analyzed().collectLeaves().size())
     assert reads[1] - reads[0] == reads[2] - reads[1] == reads[3] - reads[2]
+
+
+def test_walks_carry_no_more_than_their_start(friends, monkeypatch):
+    import graphloom.operators.patterns as patterns
+
+    kept = []
+
+    def seen(df, name):
+        kept.append((name, df.columns))
+        return written(df, name)
+
+    written = patterns.written
+    monkeypatch.setattr(patterns, "written", seen)
+    m = friends.match("a").expand("a", "r", "b").next_pattern()
+    assert m.expand_path("b", "p", "c", max_hops=3, optional=True).df.count() > 0
+    assert kept and all(name == "walks" and len(columns) == 3 for name, columns in kept)
+
+
+def test_optional_paths_that_close_or_must_differ(friends):
+    edges = [(0, 0, 1), (1, 1, 2), (2, 3, 2), (3, 3, 0)]  # id, source, target
+
+    def walks(start, hops, taken=()):
+        found = []
+        for i, s, t in edges:
+            if s == start and i not in taken:
+                found.append((t, (i,)))
+                if hops > 1:
+                    found += [(end, (i, *more)) for end, more in walks(t, hops - 1, (*taken, i))]
+        return found
+
+    # MATCH (a)-[r]-(b) OPTIONAL MATCH (a)-[p*1..3]->(b)
+    m = friends.match("a").expand("a", "r", "b", direction="both").next_pattern()
+    closed = m.expand_path("a", "p", "b", max_hops=3, optional=True).df
+    expected = []
+    for i, s, t in edges:
+        for a, b in ((s, t), (t, s)):
+            own = [p for end, p in walks(a, 3) if end == b]
+            expected += [(a, i, b, p) for p in own or [None]]
+    rows = [(r["a__id"], r["r__id"], r["b__id"], tuple(x["id"] for x in r["p"]) if r["p"] is not None else None) for r in closed.collect()]
+    assert sorted(rows, key=repr) == sorted(expected, key=repr)
+    # MATCH (a)-[r]-(b)-[p*1..2]->(c): p never has r
+    m = friends.match("a").expand("a", "r", "b", direction="both")
+    for optional in (False, True):
+        found = m.expand_path("b", "p", "c", max_hops=2, optional=optional).df
+        expected = []
+        for i, s, t in edges:
+            for a, b in ((s, t), (t, s)):
+                own = [(end, p) for end, p in walks(b, 2, (i,))]
+                expected += [(a, i, b, end, p) for end, p in own or [(None, None)] * optional]
+        rows = [(r["a__id"], r["r__id"], r["b__id"], r["c__id"], tuple(x["id"] for x in r["p"]) if r["p"] is not None else None) for r in found.collect()]
+        assert sorted(rows, key=repr) == sorted(expected, key=repr)
