@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from graphloom.errors import GraphSchemaError
 from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted, sql_name
 from graphloom.operators.ids import serialized_id, tagged_id
-from graphloom.operators.table import _holds_map
 from graphloom.operators.patterns import Match, flat
+from graphloom.operators.table import _holds_map, with_copy_index
+
+_COPY = "@copy"  # a row's number among its copies
 
 
 def _one_type(types: Iterable[T.DataType]) -> T.DataType:
@@ -131,9 +133,9 @@ def construct(
 ) -> PropertyGraph:
     """The union of the graphs in `on` plus what each row of `match` creates.
 
-    A created element is identified by the entities and the other values of its row, so computing the row again
-    after a lost executor gives it the same id. Rows that are equal throughout create one element each, all
-    of one id: make them distinct first.
+    A created element is identified by the entities and the other values of its row, and by the row's number among its
+    copies, so every row creates elements of its own. The rows are written once for that: computing them again after
+    a lost executor gives the same ids.
     """
     # created elements have text ids; nodes keep their own type as long as none is created
     creates_nodes = any(isinstance(c, CreateNode) for c in create)
@@ -148,9 +150,10 @@ def construct(
     fresh = len(on)
     bound = [flat(v, ID) for v in sorted([*match.nodes, *match.rels])]
     plain = sorted(c for c in match.df.columns if "__" not in c and not _holds_map(match.df.schema[c].dataType))
+    match = match.with_rows(with_copy_index(match.df, [*bound, *plain], _COPY))
 
     def row_key(kind: str) -> Column:
-        return serialized_id(kind, [_text(match.df, c) for c in [*bound, *plain]])
+        return serialized_id(kind, [_text(match.df, c) for c in [*bound, *plain, _COPY]])
 
     new_nodes = {c.name: c for c in create if isinstance(c, CreateNode)}
 

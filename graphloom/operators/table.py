@@ -155,6 +155,33 @@ def with_row_index(df: DataFrame, *order: str | Column, name: str = "row_index")
     )
 
 
+def with_copy_index(df: DataFrame, by: Sequence[str] | None = None, name: str = "copy_index") -> DataFrame:
+    """Number the copies of each row from 0, so that rows that are equal throughout (or in the columns `by`) can be told apart.
+
+    Rows stay in the partitions they are in: they are sorted there, copies side by side, and written once. A row's number
+    is its position among the copies of its partition plus those of the partitions before it. Only counts per
+    row and partition are shuffled, so a row that makes up much of the table is no larger a task than another; a
+    lost executor reads the written rows, and so gives them the same numbers. Maps are not compared.
+    """
+    _refuse(df, [name, "@key", "@part", "@pos"])
+    _require(df, by or [])
+    hashable = [quoted(f.name) for f in df.schema.fields if (by is None or f.name in by) and not _holds_map(f.dataType)]
+    placed = (
+        df.withColumn("@key", F.xxhash64(*hashable) if hashable else F.lit(0).cast("long"))
+        .sortWithinPartitions("@key")
+        .withColumn("@part", F.spark_partition_id())
+        .withColumn("@pos", F.monotonically_increasing_id())
+    )
+    rows = written(placed, "copies")
+    counts = rows.groupBy("@key", "@part").agg(F.count(F.lit(1)).alias("@n"), F.min("@pos").alias("@first"))
+    of_key = Window.partitionBy("@key")
+    before = F.sum("@n").over(of_key.orderBy("@part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("@n")
+    repeated = counts.select("@key", "@part", "@first", before.alias("@before"), F.sum("@n").over(of_key).alias("@all"))
+    numbered = rows.join(repeated.where(F.col("@all") > 1).drop("@all"), ["@key", "@part"], "left")
+    number = F.coalesce(F.col("@before") + F.col("@pos") - F.col("@first"), F.lit(0).cast("long"))
+    return numbered.select(*[quoted(c) for c in df.columns], number.alias(name))
+
+
 def skip(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """All rows but the first `n` of the order."""
     return drop(with_row_index(df, *order, name="@row").where(F.col("@row") >= n), "@row")

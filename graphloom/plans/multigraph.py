@@ -160,6 +160,29 @@ def construct_unwound(spark, folder):
     return agg.group(m.df, n=agg.count_all(), n_ids=agg.count_distinct(m.id("e")), total=agg.total(m["e.level"]))
 
 
+@query(
+    "construct_equal_rows",
+    """
+    SELECT o_orderpriority AS priority, 2 * count(*) AS n, 2 * count(*) AS n_ids, 2 * count(*) AS n_notes FROM orders
+    JOIN customer ON c_custkey = o_custkey GROUP BY 1
+    """,
+)
+def construct_equal_rows(spark, folder):
+    """A relationship and a node for every row, of orders without their keys and each twice: many rows are equal."""
+    shop = shop_graph(spark, folder)
+    customers = shop.match("c", "Customer")
+    orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("priority"))
+    twice = orders.withColumn("again", F.explode(F.array(F.lit(1), F.lit(1)))).drop("again")
+    rows = customers.with_rows(customers.df.join(twice, customers["c.custkey"] == F.col("custkey")).drop("custkey"))
+    graph = construct(
+        [shop], rows, [CreateNode("note", ["Note"], {"priority": F.col("priority")}), Create("NOTED", "c", "note", {"priority": F.col("priority")})]
+    )
+    m = graph.match("c", "Customer").expand("c", "e", "n", types="NOTED", labels="Note")
+    return m.df.groupBy(m["e.priority"].alias("priority")).agg(
+        agg.count_all().alias("n"), agg.count_distinct(m.id("e")).alias("n_ids"), agg.count_distinct(m.id("n")).alias("n_notes")
+    )
+
+
 @query(
     "construct_nodes",
     "SELECT c_name AS name, 'gold' AS level FROM customer",

@@ -212,3 +212,18 @@ def test_generated_and_packed_ids(spark):
 def test_hashed_ids_tell_nulls_apart(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None), ("a|", "a"), ("", "a")], "x string, y string")
     assert df.select(ids.hashed_id("v", ["L"], ["x", "y"]).alias("id")).distinct().count() == 6
+
+
+def test_copies_are_numbered_where_they_are(spark):
+    from graphloom.operators.table import with_copy_index
+
+    rows = [(1, "a")] * 500 + [(2, None)] * 3 + [(3, "c"), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, "k long, v string").repartition(7).withColumn("m", F.create_map(F.lit("x"), F.rand()))
+    for by, key in ((None, lambda r: (r.k, r.v)), (["k"], lambda r: r.k)):
+        found = {}
+        for r in with_copy_index(df, by, "copy").collect():
+            found.setdefault(key(r), []).append(r["copy"])
+        assert {k: sorted(v) for k, v in found.items()} == {k: list(range(len(v))) for k, v in found.items()}
+        assert sum(map(len, found.values())) == len(rows)
+    with pytest.raises(GraphSchemaError):
+        with_copy_index(df, name="k")
