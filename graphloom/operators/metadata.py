@@ -52,13 +52,10 @@ def keys(docs: DataFrame, datasource: str | None = None, label: str | None = Non
     return entries.groupBy("datasource", "label", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _tree(docs: DataFrame, *by: str) -> DataFrame:
-    """`by, datasource, label, n_docs, key, type, n_type, n_key`, in one pass over the documents.
-
-    A document yields its entries and one row for itself; everything is an aggregate of the counts
-    of those. The dominant type of a key is the most frequent one, the first by name among equals. Entries
-    without a key are left out.
-    """
+def entry_counts(docs: DataFrame, *by: str) -> DataFrame:
+    """`by, datasource, label, whole, key, type, n`: how often each key occurs with each type, and how many documents there are
+    (rows that are `whole`, without key and type), in one pass. Counts of parts of a collection add up to those of all of
+    it. Entries without a key are left out."""
     document = F.array(F.lit(None).cast("string"))
     none = F.array().cast("array<string>")
     entries = F.arrays_zip(
@@ -69,7 +66,15 @@ def _tree(docs: DataFrame, *by: str) -> DataFrame:
         *group, (F.col("at") == 0).alias("whole"), F.col("entry.key").alias("key"), F.col("entry.type").alias("type")
     )
     rows = rows.where(F.col("whole") | F.col("key").isNotNull())
-    counts = rows.groupBy(*group, "whole", "key", "type").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*group, "whole", "key", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tree(counts: DataFrame, *by: str) -> DataFrame:
+    """`by, datasource, label, n_docs, key, type, n_type, n_key`, from the counts of entries.
+
+    The dominant type of a key is the most frequent one, the first by name among equals.
+    """
+    group = [*by, "datasource", "label"]
     of_key = Window.partitionBy(*group, "whole", "key")
     ranked = counts.select(
         *group, "whole", "key", "type", F.col("n").alias("n_type"), F.sum("n").over(of_key).alias("n_key"),
@@ -88,7 +93,12 @@ def key_types(docs: DataFrame, datasource: str | None = None, label: str | None
     `type` is the dominant one and `n_type` its count; `mixed_types` tells that other types occur, and
     `nullable` that some documents of the label lack the key.
     """
-    found = _tree(docs.where(_of(datasource, label))).where(F.col("key").isNotNull())
+    return key_types_of(entry_counts(docs.where(_of(datasource, label))))
+
+
+def key_types_of(counts: DataFrame) -> DataFrame:
+    """The same, from counts of entries."""
+    found = tree(counts).where(F.col("key").isNotNull())
     return found.select(
         "datasource",
         "label",
@@ -107,7 +117,12 @@ def scan(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     both = vertices.select(F.lit("vertex").alias("kind"), *columns).unionAll(
         edges.select(F.lit("edge").alias("kind"), *columns)
     )
-    return _tree(both, "kind").withColumn("mixed_types", F.col("n_type") != F.col("n_key"))
+    return scan_of(entry_counts(both, "kind"))
+
+
+def scan_of(counts: DataFrame) -> DataFrame:
+    """The same, from counts of entries by `kind`."""
+    return tree(counts, "kind").withColumn("mixed_types", F.col("n_type") != F.col("n_key"))
 
 
 def collected(df: DataFrame) -> list:

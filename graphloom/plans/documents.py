@@ -200,17 +200,17 @@ def meta_keytypes(spark, folder):
     return meta.key_types(docs, DATASOURCE, "customer")
 
 
-@query(
-    "meta_scan",
-    f"""
-    SELECT 'vertex' AS kind, 'shop' AS datasource, label, n AS n_docs, key, type, n AS n_type, n AS n_key,
-        false AS mixed_types FROM ({_KEYS})
-    UNION ALL SELECT 'edge', 'shop', 'placed', n, key, type, n, n, false FROM (
-        SELECT unnest(['priority', 'status', 'totalprice']) AS key,
-            unnest(['java.lang.String', 'java.lang.String', 'java.lang.Double']) AS type),
-        (SELECT count(*) AS n FROM orders)
-    """,
-)
+_META_SCAN_SQL = f"""
+SELECT 'vertex' AS kind, 'shop' AS datasource, label, n AS n_docs, key, type, n AS n_type, n AS n_key,
+    false AS mixed_types FROM ({_KEYS})
+UNION ALL SELECT 'edge', 'shop', 'placed', n, key, type, n, n, false FROM (
+    SELECT unnest(['priority', 'status', 'totalprice']) AS key,
+        unnest(['java.lang.String', 'java.lang.String', 'java.lang.Double']) AS type),
+    (SELECT count(*) AS n FROM orders)
+"""
+
+
+@query("meta_scan", _META_SCAN_SQL)
 def meta_scan(spark, folder):
     return shop_documents(spark, folder).scan()
 
@@ -434,11 +434,43 @@ def document_edits(spark, folder):
         DATASOURCE, "customer", F.concat(F.lit("n"), F.col("s_suppkey").cast("string")), {"segment": "segment"},
     )
     changes = debtors.unionByName(large.where("deleted = 'Y'")).unionByName(added, allowMissingColumns=True)
-    store.with_changes(vertices=changes).save(root)
+    store.upsert(vertices=changes)
     rows = DocumentStore.load(spark, root).vertices(DATASOURCE)
     return rows.select("id", d.property_value(F.col("properties"), "segment").alias("segment"))
 
 
+@query(
+    "doc_scan_saved_label",
+    """
+    SELECT 'p' || p_partkey AS id, p_brand AS brand, CASE WHEN p_size > 40 THEN 0 ELSE p_size END AS size FROM part
+    """,
+)
+def doc_scan_saved_label(spark, folder):
+    """A label of a saved collection after changes to some of its documents: other labels are in other folders."""
+    root = new_location(spark, "documents")
+    shop_documents(spark, folder).save(root)
+    saved = DocumentStore.load(spark, root)
+    size = d.property_value(F.col("properties"), "size").try_cast("int")
+    large = updates.set_property(saved.vertices(DATASOURCE, "part").where(size > 40), "size", F.lit(0), T.IntegerType())
+    saved = saved.upsert(vertices=_timed(large, "2024-03-01"))
+    return saved.read_vertices(DATASOURCE, "part").select("id", "brand", "size")
+
+
+@query("meta_scan_saved", _META_SCAN_SQL)
+def meta_scan_saved(spark, folder):
+    """The metadata tree of a saved collection, added up from the counts of its buckets, after a property was dropped from some
+    documents and put back."""
+    root = new_location(spark, "documents")
+    store = shop_documents(spark, folder)
+    store.save(root)
+    saved = DocumentStore.load(spark, root)
+    debtor = d.property_value(F.col("properties"), "acctbal").try_cast("double") < 0
+    without = updates.remove_property(saved.vertices(DATASOURCE, "customer").where(debtor), "acctbal")
+    saved = saved.upsert(vertices=_timed(without, "2024-03-01"))
+    saved = saved.upsert(vertices=_timed(store.vertices(DATASOURCE, "customer").where(debtor), "2024-04-01"))
+    return saved.scan()
+
+
 @query(
     "label_table_schema",
     """

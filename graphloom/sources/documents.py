@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +14,8 @@ from graphloom.model.types import java_class_type
 from graphloom.operators import metadata
 from graphloom.operators.documents import EDGE_DOCUMENT, VERTEX_DOCUMENT, explode_edges, explode_vertices
 from graphloom.operators.updates import live, upsert
-from graphloom.sources.files import SharedFiles
 
 VERTEX, EDGE = "vertex", "edge"
-CURRENT = "CURRENT"  # file that names the version in use
 
 
 class DocumentStore:
@@ -86,10 +83,9 @@ class DocumentStore:
     def _column_types(self, kind: str, datasource: str) -> dict[str, dict[str, T.DataType]]:
         """Label -> key -> type. Types are as many as the schema has, and are looked up once."""
         if (kind, datasource) not in self._types:
-            docs = {k: self._scan(k, datasource, None) for k in (VERTEX, EDGE)}
-            for k in docs:
+            for k in (VERTEX, EDGE):
                 self._types[(k, datasource)] = {}
-            for row in metadata.collected(metadata.scan(docs[VERTEX], docs[EDGE])):
+            for row in metadata.collected(self._scan_types(datasource)):
                 keys = self._types[(row["kind"], datasource)].setdefault(row["label"], {})
                 if row["key"] is not None:
                     keys[row["key"]] = java_class_type(row["type"])
@@ -97,6 +93,9 @@ class DocumentStore:
                 self._types[of_kind] = {k: dict(sorted(v.items())) for k, v in sorted(self._types[of_kind].items())}
         return self._types[(kind, datasource)]
 
+    def _scan_types(self, datasource: str) -> DataFrame:
+        return metadata.scan(self._scan(VERTEX, datasource, None), self._scan(EDGE, datasource, None))
+
     def label_schema(self, datasource: str, label: str, kind: str = VERTEX) -> T.StructType:
         base = [f for f in VERTEX_DOCUMENT.fields if f.name != "properties"]
         keys = self._keys(kind, datasource, label)
@@ -144,20 +143,19 @@ class DocumentStore:
             *[docs if changes[k] is None else upsert(docs, changes[k]) for k, docs in self._documents.items()]
         )
 
-    def save(self, root: str) -> None:
-        """Write the documents, deleted ones too, as a new version under `root`, and switch to it once it is whole.
-        The versions before stay until they are deleted, so the documents may have been read from one of them."""
-        spark = self._documents[VERTEX].sparkSession
-        version = f"version-{uuid.uuid4().hex}"
-        for kind, docs in self._documents.items():
-            docs.write.parquet(f"{root}/{version}/{kind}")
-        SharedFiles(spark).write_text(f"{root}/{CURRENT}", version)
+    def save(self, root: str, buckets: int | None = None) -> None:
+        """Write the documents, deleted ones too, as a new version of the collection under `root` and switch to it. The
+        versions before stay until they are cleared, so the documents may have been read from one of them."""
+        from graphloom.sources.document_files import write_documents
+
+        write_documents(self._documents, root, buckets)
 
     @classmethod
     def load(cls, spark: SparkSession, root: str) -> DocumentStore:
         """The current version under `root`."""
-        version = SharedFiles(spark).read_text(f"{root}/{CURRENT}")
-        return cls.read(spark, f"{root}/{version}/{VERTEX}", f"{root}/{version}/{EDGE}")
+        from graphloom.sources.document_files import SavedDocuments
+
+        return SavedDocuments(spark, root)
 
     # the store as a catalog source: every datasource is a graph
 

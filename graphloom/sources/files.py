@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from graphloom.errors import GraphError
@@ -26,6 +28,12 @@ class SharedFiles:
             return []
         return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
 
+    def files(self, path: str) -> list[str]:
+        system, target = self._at(path)
+        if not system.exists(target):
+            return []
+        return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isFile())
+
     def delete(self, path: str) -> None:
         system, target = self._at(path)
         system.delete(target, True)
@@ -35,6 +43,14 @@ class SharedFiles:
         if not system.rename(target, self._at(to)[1]):
             raise GraphError(f"{path} could not be renamed to {to}")
 
+    def publish(self, path: str, text: str) -> None:
+        """A new file that is there as a whole or not at all; whoever comes second to one name is refused."""
+        if self.exists(path):
+            raise GraphError(f"{path} exists already")
+        draft = f"{path}.{uuid.uuid4().hex}.draft"
+        self.write_text(draft, text)
+        self.rename(draft, path)
+
     def read_text(self, path: str) -> str:
         system, target = self._at(path)
         stream = system.open(target)

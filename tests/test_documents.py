@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,7 @@ from graphloom.operators import documents as d
 from graphloom.operators import metadata as meta
 from graphloom.operators import updates
 from graphloom.sources.documents import DocumentStore
+from graphloom.sources.files import SharedFiles
 from tests.conftest import row_key, values
 
 
@@ -190,3 +193,96 @@ def test_struct_and_list_columns(spark):
     assert artists.select("links.url").first()["url"] == "http://art01.com"
     assert pictures.select(F.explode("links")).count() == 4
     assert values(d.table_counts(artists=artists, pictures=pictures)) == [("artists", 1), ("pictures", 1)]
+
+
+# -- saved collections ----------------------------------------------------------------------------
+
+
+def _documents(spark, rows):
+    """Vertex documents of `(datasource, id, label, name)`, with a time that orders versions."""
+    return spark.createDataFrame(
+        [(dt.datetime(2024, 1, n + 1), source, i, label, [("name", "java.lang.String", name)]) for n, (source, i, label, name) in enumerate(rows)],
+        d.VERTEX_DOCUMENT,
+    )
+
+
+def _named(docs):
+    return sorted((r["id"], r["datasource"], r["label"], r["properties"][0]["value"]) for r in docs.collect())
+
+
+@pytest.fixture
+def saved(spark, modern, tmp_path):
+    modern.save(str(tmp_path / "docs"), buckets=4)
+    return DocumentStore.load(spark, str(tmp_path / "docs"))
+
+
+def test_a_saved_collection_is_the_collection(saved, modern):
+    for labels in (None, "person", ["person", "software"]):
+        assert _named(saved.vertices("modern", labels)) == _named(modern.vertices("modern", labels))
+    assert saved.edges("modern", "knows").count() == 2 and saved.count("modern") == 12 and saved.count("nobody") == 0
+    for answer in ("scan", "datasources"):
+        assert values(getattr(saved, answer)()) == values(getattr(modern, answer)())
+    assert values(saved.labels("modern")) == values(modern.labels("modern"))
+    assert values(saved.key_types("modern", "person")) == values(modern.key_types("modern", "person"))
+    assert saved.graph_names() == modern.graph_names() and saved.label_schema("modern", "person") == modern.label_schema("modern", "person")
+    assert saved.graph("modern").match("a", "person").expand("a", "r", "b", types="knows").df.count() == 2
+
+
+def test_scans_read_folders_of_their_labels_and_metadata_reads_counts(saved):
+    plan = saved.vertices("modern", "person")._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: ["):].split("]", 1)[0]
+    assert "at_source" in filters and "at_label" in filters
+    files = [f for frame in (saved.scan(), saved.labels("modern")) for f in frame.inputFiles()]
+    assert files and all("/counts/" in f for f in files)
+
+
+def test_an_upsert_leaves_other_buckets_alone(spark, saved):
+    before = dict(saved.manifest.folders["vertex"])
+    changed = _documents(spark, [("modern", "modern_1", "person", "Marko"), ("modern", "modern_1", "person", "Mark")])
+    after = saved.upsert(vertices=changed)
+    moved = {b for b, folder in after.manifest.folders["vertex"].items() if before.get(b) != folder}
+    assert len(moved) == 1 and after.manifest.folders["edge"] == saved.manifest.folders["edge"]
+    assert after.manifest.version == saved.manifest.version + 1
+    assert ("modern_1", "modern", "person", "Mark") in _named(after.vertices("modern")) and after.vertices("modern").count() == 6
+    assert ("modern_1", "modern", "person", "marko") in _named(saved.vertices("modern"))  # the version it was opened at
+    assert values(after.key_types("modern", "person").where("key = 'name'"), "n_key") == [(4,)]
+    assert values(after.key_types("modern", "person").where("key = 'age'"), "n_key", "nullable") == [(3, True)]
+    after.clear()
+    assert _named(DocumentStore.load(spark, after._root).vertices("modern")) == _named(after.vertices("modern"))
+    assert len(after._files.files(f"{after._root}/manifests")) == 1
+    with pytest.raises(GraphError):
+        saved.clear()
+
+
+def test_a_lost_write_leaves_the_version_before(spark, saved, monkeypatch):
+    changed = _documents(spark, [("modern", "modern_1", "person", "Mark")])
+    with monkeypatch.context() as lost:
+        lost.setattr(SharedFiles, "rename", lambda *_: (_ for _ in ()).throw(GraphError("lost")))
+        with pytest.raises(GraphError):
+            saved.upsert(vertices=changed)
+    again = DocumentStore.load(spark, saved._root)
+    assert again.manifest == saved.manifest and _named(again.vertices("modern")) == _named(saved.vertices("modern"))
+    first = again.upsert(vertices=changed)
+    with pytest.raises(GraphError):  # second to the same version
+        saved.upsert(vertices=changed)
+    assert DocumentStore.load(spark, saved._root).manifest == first.manifest
+
+
+def test_odd_names_deleted_and_empty_collections(spark, tmp_path):
+    odd = [("", "a", "", "x"), (None, "b", None, "x"), ("s/1=2", "c", "l%41 é", "x"), ("7", "e", "07", "x"), ("s", "f", "person", "x")]
+    docs = _documents(spark, odd)
+    edges = spark.createDataFrame([], d.EDGE_DOCUMENT)
+    DocumentStore(updates.soft_delete(docs, F.col("id") == "f"), edges).save(str(tmp_path / "odd"), buckets=3)
+    store = DocumentStore.load(spark, str(tmp_path / "odd"))
+    for source, i, label, name in odd[:4]:
+        if source is not None:
+            assert _named(store.vertices(source, label)) == _named(store.vertices(source)) == [(i, source, label, name)]
+    assert store.vertices("s").count() == 0 and store.scan().count() == 4 and store.edges("s").count() == 0
+    assert sorted(r["id"] for r in store._documents["vertex"].collect()) == ["a", "b", "c", "e", "f"]
+    gone = store.upsert(vertices=updates.soft_delete(docs, F.lit(True)))
+    assert gone.scan().count() == 0 and gone.count("7") == 0 and gone.upsert(vertices=docs.limit(0)).scan().count() == 0
+    DocumentStore(docs.limit(0), edges).save(str(tmp_path / "none"))
+    none = DocumentStore.load(spark, str(tmp_path / "none"))
+    assert none.scan().count() == 0 and none.upsert(vertices=docs).vertices("7").count() == 1
+    with pytest.raises(GraphNotFoundError):
+        DocumentStore.load(spark, str(tmp_path / "nothing"))
