@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 _owned: set[str] = set()
+_written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,4 +36,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a table in the shared folder: computed once, lost to no executor."""
     path = new_location(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _written[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete `written` tables that nothing will read again: what was made of them is written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_written.pop(df))
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

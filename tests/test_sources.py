@@ -11,7 +11,7 @@ from graphloom import GraphCatalog, GraphSchema, NodeTable, PropertyGraph, RelTa
 from graphloom.errors import GraphError, GraphExistsError, GraphNotFoundError, GraphSchemaError
 from graphloom.model.types import parse_type_name
 from graphloom.operators.multigraph import Create, CreateNode, construct, union_graphs
-from graphloom.session import CHECKPOINT_SETTING, shared_folder
+from graphloom.session import CHECKPOINT_SETTING, dropped, shared_folder, written
 from graphloom.sinks import tables as sinks
 from graphloom.sources import frames
 from graphloom.sources.catalog import CachedSource
@@ -453,5 +453,17 @@ def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == shared_folder(spark)
 
 
+def test_dropped_tables_leave_no_files(spark):
+    import os
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    kept, gone = written(spark.range(5), "kept"), written(spark.range(6), "gone")
+    dropped(gone)
+    assert len(set(os.listdir(folder)) - before) == 1 and kept.count() == 5
+    with pytest.raises(KeyError):
+        dropped(spark.range(1))
+
+
 def test_graph_counts(friends):
     assert values(friends.counts()) == [("node", "Person", 4), ("relationship", "FRIEND_OF", 4)]
