@@ -26,7 +26,11 @@ from graphloom.llm.registry import query
 from graphloom.session import new_location, written
 
 FILES_A_BATCH = 10_000  # what is read again if the driver is lost; results are the same for any number
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",  # for all stores of an executor together
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every store takes 4 MB of disk ahead
+}
 
 Digest = Callable[[Column], Column]
 
@@ -44,10 +48,7 @@ class ExactDedup:
 
     def absorb(self, path: str, files_a_batch: int = FILES_A_BATCH) -> None:
         """Bring the state up to date with the files at `path`. Files that it has read before are left alone."""
-        session = self.spark.newSession()  # whose settings are its own
-        session.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
-        session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-        source = session.readStream.schema(self._schema(path)).option("maxFilesPerTrigger", files_a_batch)
+        source = self._session().readStream.schema(self._schema(path)).option("maxFilesPerTrigger", files_a_batch)
         # As a pattern, so that a single file can be a stream too.
         rows = self._rows(source.parquet(f"{path[:-1]}[{path[-1]}]"))
         kept = rows.groupBy("digest").agg(F.max("row").alias("row"), F.count("*").alias("n"))
@@ -55,9 +56,18 @@ class ExactDedup:
         stream.trigger(availableNow=True).start().awaitTermination()
 
     def state(self) -> DataFrame:
-        """`digest`, `kept` (id, file and place of the row that stays) and `n`, of every digest met so far."""
-        stored = self.spark.read.format("statestore").load(self.folder)
-        return stored.select("key.digest", F.col("value.max").alias("kept"), F.col("value.count").alias("n"))
+        """`digest`, `kept` (id, file and place of the row that stays) and `n`, of every digest met so far; a written copy."""
+        stored = self._session().read.format("statestore").load(self.folder)
+        path = new_location(self.spark, "dedup-state-copy")
+        stored.select("key.digest", F.col("value.max").alias("kept"), F.col("value.count").alias("n")).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _session(self) -> SparkSession:
+        """One whose settings are its own."""
+        session = self.spark.newSession()
+        for name, value in _SETTINGS.items():
+            session.conf.set(name, value)
+        return session
 
     def decisions(self, path: str) -> DataFrame:
         """`id`, `keep_id`, `group_size`, `kept` and `text_sha256` of every row at `path`, which `absorb` has read."""
