@@ -9,9 +9,6 @@ keeps one, of the least id. Texts that are null or without words do not get past
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +16,13 @@ from graphloom.llm.jaccard_join import near_components
 from graphloom.llm.packing import packed, tokenizer_path
 from graphloom.llm.quality_rules import judged
 from graphloom.llm.secret_scans import redacted_text
-from graphloom.llm.stretches import covered
-from graphloom.llm.suffix_arrays import WINDOW, repeated_strings
-from graphloom.llm.text import dealt_anew, flat, slices
+from graphloom.llm.stretches import Windows
+from graphloom.llm.suffix_arrays import first_kept
+from graphloom.llm.text import dealt_anew
 from graphloom.session import written
 
+PASSAGE = Windows(length=200, choices=96)
+
 
 def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
@@ -46,26 +45,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def suffix_arrays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the strings of 400 bytes that repeat. Characters that lose a byte go with it, and so do documents
-    of which no word is left."""
-    rows = docs.select(F.struct(*[c for c, name in zip(_columns(docs), docs.columns, strict=True) if name != "text"]).alias("_rest"), "text")
-    texts, found = repeated_strings(rows)
-    joined = texts.select("_rest", "_text", "_doc").join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for part in slices(whole, "_text"):
-                data, edges = flat(part.column("_text"))
-                texts = part.column("_text").to_pylist()
-                for i, intervals in enumerate(part.column("intervals").to_pylist()):
-                    if intervals:
-                        own = data[edges[i] : edges[i + 1]]
-                        texts[i] = own[~covered(intervals, WINDOW.length, len(own))].tobytes().decode(errors="ignore")
-                yield pa.RecordBatch.from_arrays([part.column("_rest"), pa.array(texts, pa.string())], names=["_rest", "text"])
-
-    rest = joined.schema["_rest"].dataType.simpleString()
-    clean = joined.select("_rest", "_text", "intervals").mapInArrow(run, f"_rest {rest}, text string").where(F.length(F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))) > 0)
-    return _with_text(clean, docs)
+    """Documents without later copies of the strings of 200 bytes that repeat; the first copy of each stays, that of the least id. A
+    passage of over 50 words is longer than that. Characters that lose a byte go with it, and so do documents of which no
+    word is left."""
+    left = first_kept(docs, PASSAGE).select("_rest", F.col("kept_text").alias("text"))
+    return _with_text(left.where(F.length(F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))) > 0), docs)
 
 
 def _with_text(clean: DataFrame, docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.text import dealt_anew, first_least, map_slices, mixed, signed
-from graphloom.session import written
+from graphloom.session import dropped, written
 
 
 @dataclass(frozen=True)
@@ -103,12 +103,13 @@ def repeated(
     several contents (`key`, `doc`, `start`, `n`, `open`), one for each content, and the texts, and returns the intervals
     that repeat of those that are `open`.
     """
-    postings = map_slices(texts.select("_doc", "_text"), post, POSTING, "_text")
+    postings = written(map_slices(texts.select("_doc", "_text"), post, POSTING, "_text"), "postings")
     keys = postings.groupBy("key").agg(
         F.count("*").alias("met"), F.min("content").alias("one"), F.max("content").alias("other")
     )
     keys = keys.where("met > 1").select(dealt_anew("key"), (F.col("one") == F.col("other")).alias("whole"))
     shared = written(postings.join(keys, "key"), "stretches")
+    dropped(postings)
     several = shared.where("not whole")
     contents = written(
         several.groupBy("key", "content").agg(F.count("*").alias("met"), F.min(F.struct("doc", "start", "n")).alias("one")), "contents"

@@ -303,17 +303,26 @@ def deduplicated(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id",
 
 
 def kept_first(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """`id` and `kept` (binary): what is left of each row without later copies of strings that repeat.
+    """`id` and `kept` (binary): what is left of each row without later copies of strings that repeat, see `first_kept`."""
+    left = first_kept(docs.select(id, text), windows, id, text, group)
+    return left.select(F.col("_rest")[id].alias(id), "kept")
+
+
+def first_kept(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+    """`_rest` (all columns but the text, as one struct), `kept` (binary): what is left of each row without later copies of strings that
+    repeat, and `kept_text`: the same without the characters that lose a byte.
 
     The first of a string is the least by id (null last), hash of the text and position, and stays whole, also where a later
     copy of another string overlaps it. Of equal texts the row of the least id stays, one of them if ids are equal too.
     """
-    numbered = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_rest")
+    numbered = docs.select(rest, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
+    numbered = numbered.withColumn("_id", F.col("_rest")[id])
     texts, found = repeated_strings(written(numbered, "numbered"), windows, "text", group)
     order = lambda *more: F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", *more)).alias("first")
     leading = texts.groupBy("_doc").agg(order("_row")).select(dealt_anew("_doc"), F.col("first._row").alias("_leads"))
     found = written(found, "repeated")
-    rows = texts.join(leading, "_doc").withColumn("leads", F.col("_row") == F.col("_leads")).select("_id", "_doc", "_text", "leads")
+    rows = texts.join(leading, "_doc").withColumn("leads", F.col("_row") == F.col("_leads")).select("_rest", "_id", "_doc", "_text", "leads")
     rows = rows.join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,24 +347,31 @@ def kept_first(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for part in slices(whole, "_text"):
-                kept = []
+                kept, kept_text = [], []
                 columns = (part.column(c).to_pylist() for c in ("_text", "leads", "intervals", "firsts"))
                 for t, leads, intervals, own in zip(*columns, strict=True):
+                    if not intervals:
+                        kept.append(t.encode())
+                        kept_text.append(t)
+                        continue
                     data = np.frombuffer(t.encode(), np.uint8)
-                    if intervals:
-                        later = np.zeros(len(data), bool)
-                        later[ranges(np.array([x["start"] for x in intervals]), np.array([x["n"] for x in intervals]))] = True
-                        first = np.zeros(len(data), bool)
-                        if leads and own:
-                            first[own] = True
-                        one_each = lambda mask: [{"start": i, "n": 1} for i in np.flatnonzero(mask).tolist()]
-                        gone = covered(one_each(later & ~first), windows.length, len(data)) & ~covered(one_each(first), windows.length, len(data))
-                        data = data[~gone]
-                    kept.append(data.tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(kept, pa.binary())], names=[id, "kept"])
+                    later = np.zeros(len(data), bool)
+                    later[ranges(np.array([x["start"] for x in intervals]), np.array([x["n"] for x in intervals]))] = True
+                    first = np.zeros(len(data), bool)
+                    if leads and own:
+                        first[own] = True
+                    one_each = lambda mask: [{"start": i, "n": 1} for i in np.flatnonzero(mask).tolist()]
+                    gone = covered(one_each(later & ~first), windows.length, len(data)) & ~covered(one_each(first), windows.length, len(data))
+                    kept.append(data[~gone].tobytes())
+                    character = np.cumsum(data & 0xC0 != 0x80) - 1
+                    torn = np.zeros(len(data), bool)
+                    torn[character[gone]] = True
+                    kept_text.append(data[~torn[character]].tobytes().decode())
+                yield pa.RecordBatch.from_arrays([part.column("_rest"), pa.array(kept, pa.binary()), pa.array(kept_text, pa.string())], names=["_rest", "kept", "kept_text"])
 
     out = rows.join(firsts.select(dealt_anew("doc", "_doc"), "firsts"), "_doc", "left")
-    return out.select("_id", "_text", "leads", "intervals", "firsts").mapInArrow(run, f"`{id}` {kind}, kept binary")
+    kind = numbered.schema["_rest"].dataType.simpleString()
+    return out.select("_rest", "_text", "leads", "intervals", "firsts").mapInArrow(run, f"_rest {kind}, kept binary, kept_text string")
 
 
 @query("op9_suffix_arrays")

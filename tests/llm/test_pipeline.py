@@ -28,16 +28,24 @@ def kept(text):
     return not (2 * dup_lines > len(lines) or (n_words >= 100 and not set(words) & set(_STOP_WORDS)) or 5 * capitals > 2 * chars)
 
 
-def without_repeats(texts, k=400):
-    data = [t.encode() for t in texts]
+def without_repeats(docs, k=200):
+    """Texts by id without later copies of what repeats; the first is that of the least id, then of the least place."""
+    data = [t.encode() for _, t in docs]
     met = Counter(d[i : i + k] for d in data for i in range(len(d) - k + 1))
-    out = []
-    for d in data:
-        gone = np.zeros(len(d), bool)
+    seen, out = set(), {}
+    for (x, _), d in sorted(zip(docs, data, strict=True)):
+        stays, gone = np.zeros(len(d), bool), np.zeros(len(d), bool)
         for i in range(len(d) - k + 1):
             if met[d[i : i + k]] > 1:
-                gone[i : i + k] = True
-        out.append(bytes(np.frombuffer(d, np.uint8)[~gone]).decode(errors="ignore"))
+                (gone if d[i : i + k] in seen else stays)[i : i + k] = True
+                seen.add(d[i : i + k])
+        gone &= ~stays
+        at, left = 0, []
+        for c in d.decode():
+            if not gone[at : at + len(c.encode())].any():
+                left.append(c)
+            at += len(c.encode())
+        out[x] = "".join(left)
     return out
 
 
@@ -46,7 +54,7 @@ def plain(docs):
     first = {i: t for i, t in docs if kept(t)}
     root = {i: c for i, _, c in plain_components(list(first.items()))}
     second = {i: t for i, t in first.items() if root[i] == i}
-    third = {i: t for i, t in zip(second, without_repeats(list(second.values())), strict=True) if t.strip(" \t\n\x0b\x0c\r")}
+    third = {i: t for i, t in without_repeats(list(second.items())).items() if t.strip(" \t\n\x0b\x0c\r")}
     return [first, second, third, {i: redact_one(t) for i, t in third.items()}]
 
 
@@ -108,6 +116,22 @@ def test_every_document(spark, folder):
     texts_of(entry.queries()["pipeline"](spark, folder).collect(), expected[-1])
 
 
+def test_passages_stay_once(spark):
+    """Passages of over 50 words of each of four documents: one copy of each is left, and nothing else is lost."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyzéü") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    passages = [text(rnd.randint(51, 90)) for _ in range(40)]
+    docs = [text(rnd.randint(60, 200)) for _ in range(160)]
+    whole = [f"{d[: len(d) // 2]}\n{passages[i % 40]}\n{d[len(d) // 2 :]}" for i, d in enumerate(docs)]
+    frame = spark.createDataFrame(list(enumerate(whole)) + [(1000 + i, text(80)) for i in range(40)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in STAGES[2][1](spark, frame.repartition(5), "").collect()}
+    of = lambda p: [i for i, t in left.items() if passages[p] in t]
+    assert [of(p) for p in range(40)] == [[p] for p in range(40)]
+    assert all(len(left[i]) >= len(docs[i]) - 4 and left[i].startswith(d[: len(d) // 2 - 4]) and left[i].endswith(d[-(len(d) // 2 - 4) :]) for i, d in enumerate(docs))
+    assert {i: t for i, t in left.items() if i >= 1000} == {r.doc_id: r.text for r in frame.where("doc_id >= 1000").collect()}
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
     assert corpus_pipeline.ORACLE_SQL is None
