@@ -310,9 +310,13 @@ class Match:
         if closing:
             conditions.append(self.id(target) == quoted(flat(rel, TO)))
         if where is not None:
-            seen = replace(grown, df=_Columns([*self.df.columns, *part.columns]))
+            seen = replace(grown, df=_Columns([*self.df.columns, "@row", *part.columns]))
             conditions.append(_condition(seen, where))
-        return self.df.join(part, reduce(and_, conditions), "left").drop(*ends)
+        # Rows are numbered and written, so that those that an inner join leaves out can be told.
+        rows = written(self.df.withColumn("@row", F.monotonically_increasing_id()), "rows")
+        met = rows.join(part, reduce(and_, conditions))
+        idle = rows.join(met.select(quoted("@row").alias("@met")).distinct(), quoted("@row") == quoted("@met"), "left_anti")
+        return met.unionByName(idle, allowMissingColumns=True).drop("@row", *ends)
 
     def _held_along(self, source: str, reach: _Reach) -> Held | None:
         """The one relationship table to follow, if it lies in the rows of `source` themselves."""

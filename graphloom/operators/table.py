@@ -231,7 +231,12 @@ def first_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> Dat
 
 
 def join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "inner") -> DataFrame:
-    """Join on pairs of columns, `how` one of inner, left, right, full. The sides share no column name."""
+    """Join on pairs of columns, `how` one of inner, left, right, full. The sides share no column name.
+
+    Outer joins are an inner join, whose hot keys Spark can split on either side, and the rows that met nothing, by anti
+    joins with the different keys of the other side. In an outer join of Spark's a key that much of the optional side
+    has would stay in one task, and in a full join any hot key.
+    """
     if how not in ("inner", "left", "right", "full"):
         raise GraphError(f"no join of kind '{how}'")
     if not pairs:
@@ -241,7 +246,25 @@ def join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], ho
         raise GraphSchemaError(f"both sides have {shared}")
     _require(left, [a for a, _ in pairs])
     _require(right, [b for _, b in pairs])
-    return left.join(right, reduce(and_, [quoted(a) == quoted(b) for a, b in pairs]), how)
+    if how != "inner":
+        left, right = _repeatable(left), _repeatable(right)
+    on = reduce(and_, [quoted(a) == quoted(b) for a, b in pairs])
+    joined = left.join(right, on)
+    if how in ("left", "full"):
+        joined = joined.unionByName(_unmatched(left, right, on, [b for _, b in pairs]), allowMissingColumns=True)
+    if how in ("right", "full"):
+        joined = joined.unionByName(_unmatched(right, left, on, [a for a, _ in pairs]), allowMissingColumns=True)
+    return joined
+
+
+def _unmatched(rows: DataFrame, others: DataFrame, on: Column, keys: Sequence[str]) -> DataFrame:
+    """Rows that meet none of the others; a null key meets none. Of those, each key comes once."""
+    return rows.join(others.select(*[quoted(k) for k in dict.fromkeys(keys)]).distinct(), on, "left_anti")
+
+
+def _repeatable(df: DataFrame) -> DataFrame:
+    """The rows, written if computing them again could give others."""
+    return df if df._jdf.queryExecution().analyzed().deterministic() else written(df, "rows")
 
 
 # -- looking --------------------------------------------------------------------------------------

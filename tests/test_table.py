@@ -227,3 +227,37 @@ def test_copies_are_numbered_where_they_are(spark):
         assert sum(map(len, found.values())) == len(rows)
     with pytest.raises(GraphSchemaError):
         with_copy_index(df, name="k")
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_outer_joins_split_a_hot_key(spark, how):
+    """Half of the rows of both sides have one key, some have none; no task of the join reads much more than another."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    session = spark.newSession()
+    for name, value in settings.items():
+        session.conf.set(name, value)
+    n = 30_000
+    key = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id"))
+    big = session.range(n, numPartitions=8).repartition(8).select(key.alias("k"), F.col("id").alias("v"))
+    few = session.createDataFrame([(7, "seven"), (9, "nine"), (None, "none"), (-1, "no")], "f long, name string")
+    left, right, pairs = (few, big, [("f", "k")]) if how != "right" else (big, few, [("k", "f")])
+    for names in ((left, right, pairs), (right, left, [(b, a) for a, b in pairs])):
+        plain = names[0].join(names[1], F.col(names[2][0][0]) == F.col(names[2][0][1]), how)
+        found = t.join(*names, how)
+        assert found.columns == plain.columns
+        same = lambda df: df.groupBy("name", "k", "f").agg(F.count("*").alias("n"), F.sum("v").alias("v"))
+        assert same(found).exceptAll(same(plain)).isEmpty() and same(plain).exceptAll(same(found)).isEmpty()
+    joined = t.join(left, right, pairs, how)
+    per_task = [r["n"] for r in joined.select("v", F.spark_partition_id().alias("task")).groupBy("task").agg(F.count("v").alias("n")).collect()]
+    assert sum(per_task) >= n // 2 and max(per_task) < n // 4
+
+
+def test_outer_joins_of_rows_that_change(spark):
+    left = spark.range(200).select(F.floor(F.rand() * 100).cast("long").alias("a"), "id")
+    right = spark.range(50).select(F.col("id").alias("b"))
+    rows = t.join(left, right, [("a", "b")], "full")
+    assert rows.where("id is not null").count() == 200
