@@ -12,8 +12,9 @@ fewer. Two texts link when 100 * common >= 80 * all of their tokens. A text with
    met most often in others (the text that copies were made of), and what links is a group.
 4. The matrix has, for each token and group, what is known of the members that have it: how large they are, how much of the
    token's centre they have, how much else. That bounds what a set can have in common with them. A set is
-   compared with the members of another group only where token and bound allow a link. Members of one group
-   need no comparing: they are tied already.
+   compared with the members of another group only where token and bound allow a link, and where both share tokens of
+   their sketches (their least contested tokens), at the least of these alone. Members of one group need no comparing: they are
+   tied already.
 
 Rows of `documents` that repeat, null ids and texts, and other columns are handled: each row gets a row. A frequent
 token lies on a side of its joins that adaptive execution can split.
@@ -33,8 +34,9 @@ from graphloom.llm.components import components, tied
 from graphloom.llm.fingerprints import shingles
 from graphloom.llm.registry import query
 from graphloom.llm.text import dealt_anew, map_slices, signed, slices
-from graphloom.session import written
+from graphloom.session import dropped, written
 
+SKETCH = 8  # tokens of a set by which two sets know that they meet elsewhere too
 SAMPLE = 16  # one text in so many is looked at for tokens of many sets
 FREQUENT = 100_000  # tokens, the most frequent of the sample, that are put last: all that a task is given
 
@@ -156,10 +158,11 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     frequent = frequent_tokens(texts)
     found = prefixes(texts, frequent)
     shared = found.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
-    posted = written(found.join(shared, "token", "left_semi").distinct(), "prefixes")
+    every = written(found.join(shared, "token", "left_semi").distinct(), "prefixes")
     # Copies may have been posted by several tasks: now that they are one, tokens of one set show.
-    shared = posted.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select(dealt_anew("token"), "sets")
-    posted = written(posted.join(shared, "token"), "shared-prefixes")
+    shared = every.groupBy("token").agg(F.count("*").alias("sets")).where("sets > 1").select(dealt_anew("token"), "sets")
+    posted = written(every.join(shared, "token"), "shared-prefixes")
+    dropped(every)
 
     kept = posted.select("set").distinct().select(dealt_anew("set"))
     sets = written(_texts_of(texts, kept, frequent), "sets")
@@ -169,6 +172,7 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     most = F.col("n") - (prefix - F.col("shared"))  # in common with sets whose prefixes end no earlier
     sizes = sizes.select("set", "n", "end", "met", most.alias("most"))
     rows = written(posted.drop("sets").join(sizes.select(dealt_anew("set"), "n", "end", "met", "most"), "set"), "matrix-rows")
+    dropped(posted)
 
     c = F.col
     centre = F.min(F.struct((-c("met")).alias("order"), "n", "set", "most", "end")).alias("c")
@@ -176,6 +180,7 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     centres = centres.select(dealt_anew("token"), c("c.set").alias("b"), c("c.n").alias("n_b"), c("c.most").alias("most_b"), c("c.end").alias("end_b"))
     upper = F.least("n", "n_b", _most(c("end"), c("most"), c("end_b"), c("end_b"), c("most_b")))
     centred = written(rows.join(centres, "token").withColumn("upper", upper).drop("end_b", "most_b"), "centred")
+    dropped(rows)
     pairs = centred.where("set <> b").where(_may_link(F.col("n"), F.col("n_b"), F.col("upper")))
     checked = written(compared(pairs.select(F.col("set").alias("a"), "b").distinct(), sets), "compared")
     links = checked.where("near").select("a", "b")
@@ -187,23 +192,32 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     grouped = grouped.select("token", "set", "n", "end", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
     grouped = grouped.join(tied(links).select(dealt_anew("node", "set"), "root"), "set", "left")
     grouped = written(grouped.select("token", "set", "n", "end", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
-    matrix = grouped.groupBy("token", "group").agg(
+    dropped(centred)
+    groups = grouped.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("most_")).where("least <> most_")
+    contested = written(grouped.join(groups.select(dealt_anew("token")), "token", "left_semi"), "contested")
+    dropped(grouped)
+    least = F.slice(F.array_sort(F.collect_list("token")), 1, SKETCH).alias("sketch")
+    sketches = contested.groupBy("set").agg(least).select(dealt_anew("set"), "sketch")
+    matrix = contested.groupBy("token", "group").agg(
         F.count("*").alias("members"), F.min("n").alias("n_other"), F.max("n").alias("size_other"), F.min("end").alias("first_other"),
         F.max("end").alias("final_other"), *[F.max(m).alias(f"{m}_other") for m in ("most", "centre", "rest")],
     )
-    several = matrix.groupBy("token").count().where("count > 1").select(dealt_anew("token"))
-    matrix = written(matrix.join(several, "token", "left_semi"), "matrix")
-    asking = grouped.join(matrix.select("token", "group", F.col("members").alias("beside")), ["token", "group"])
+    matrix = written(matrix, "matrix")
+    sketched = written(contested.join(sketches, "set"), "sketched")
+    dropped(contested)
+    asking = sketched.join(matrix.select("token", "group", F.col("members").alias("beside")), ["token", "group"])
     # The smaller group asks the larger one.
     other = matrix.withColumnRenamed("group", "other")
     rank = lambda members, group: F.struct(F.col(members), F.col(group))
     asking = asking.withColumn("size", c("n"))
     open_ = asking.join(other, "token").where(rank("beside", "group") < rank("members", "other"))
     open_ = open_.where(_may_link(c("n"), c("n_other"), _bound("_other", "first_other", "final_other")))
-    known = ("n", "end", "most", "centre", "rest")
-    members = grouped.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known], c("n").alias("size_b"))
+    known = ("n", "end", "most", "centre", "rest", "sketch")
+    members = sketched.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known], c("n").alias("size_b"))
     pairs = open_.select("token", "other", c("set").alias("a"), *known, "size").join(members, ["token", "other"])
-    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("_b", "end_b", "end_b"))).select("a", "b").distinct()
+    # Two sets that share tokens of their sketches meet at the least of these, and at no other token.
+    meet = F.array_min(F.array_intersect("sketch", "sketch_b"))
+    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("_b", "end_b", "end_b")) & (F.coalesce(meet, c("token")) == c("token"))).select("a", "b").distinct()
     return components(links.unionByName(compared(pairs, sets).where("near").select("a", "b")))
 
 
