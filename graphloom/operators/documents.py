@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from graphloom.errors import GraphError
 from graphloom.model.graph import quoted
 from graphloom.model.types import java_class_name
 
@@ -83,27 +84,50 @@ def has_property(properties: Column, key: str) -> Column:
 # -- typed columns --------------------------------------------------------------------------------
 
 
-def _typed(keys: Mapping[str, T.DataType]) -> list[Column]:
-    return [
-        property_value(F.col("properties"), key).try_cast(data_type).alias(key)
-        for key, data_type in keys.items()
-    ]
+#: What a key that a document holds more than once becomes: its first value, a list of all, or a row for each.
+FIRST, ALL, ROWS = "first", "all", "rows"
+
+
+def property_values(properties: Column, key: str, data_type: T.DataType) -> Column:
+    """Typed values of all entries with this key, in their order; none is an empty list."""
+    own = F.filter(F.coalesce(properties, F.array().cast(T.ArrayType(PROPERTY))), lambda p: p["key"] == key)
+    return F.transform(own, lambda p: p["value"].try_cast(data_type))
+
+
+def _typed(keys: Mapping[str, T.DataType], repeated: str) -> list[Column]:
+    if repeated not in (FIRST, ALL, ROWS):
+        raise GraphError(f"repeated keys are read as '{FIRST}', '{ALL}' or '{ROWS}', not '{repeated}'")
+    properties = F.col("properties")
+    if repeated == FIRST:
+        return [property_value(properties, key).try_cast(data_type).alias(key) for key, data_type in keys.items()]
+    return [property_values(properties, key, data_type).alias(key) for key, data_type in keys.items()]
 
 
-def explode_vertices(df: DataFrame, keys: Mapping[str, T.DataType]) -> DataFrame:
+def _unfolded(df: DataFrame, keys: Mapping[str, T.DataType], repeated: str) -> DataFrame:
+    """With `rows`, a row for each value of each key; a key without a value is null."""
+    if repeated != ROWS:
+        return df
+    for key in keys:
+        df = df.select(*[F.explode_outer(quoted(c)).alias(c) if c == key else quoted(c) for c in df.columns])
+    return df
+
+
+def explode_vertices(df: DataFrame, keys: Mapping[str, T.DataType], repeated: str = FIRST) -> DataFrame:
     """Vertex documents as a table with one typed column per key.
 
     Every document carries its own properties, so the columns are read off the list in place: a
     projection, with nothing shuffled however many keys there are. A value its type cannot hold is
     null, and a document without properties keeps its row. Of a key that occurs more than once the
-    first entry counts; `repeated_keys` finds such documents.
+    first entry counts; `repeated` may ask for all values as a list, or for a row of each (of several such
+    keys, of each combination). `repeated_keys` finds such documents.
     """
-    return df.select("timestamp", "datasource", "label", "id", F.col("id").alias("id_"), *_typed(keys))
+    base = ["timestamp", "datasource", "label", "id", F.col("id").alias("id_")]
+    return _unfolded(df.select(*base, *_typed(keys, repeated)), keys, repeated)
 
 
-def explode_edges(df: DataFrame, keys: Mapping[str, T.DataType]) -> DataFrame:
+def explode_edges(df: DataFrame, keys: Mapping[str, T.DataType], repeated: str = FIRST) -> DataFrame:
     """Edge documents likewise; `src` and `dst` also appear as `source` and `target`."""
-    return df.select(
+    base = [
         "timestamp",
         "datasource",
         "label",
@@ -113,8 +137,8 @@ def explode_edges(df: DataFrame, keys: Mapping[str, T.DataType]) -> DataFrame:
         F.col("id").alias("id_"),
         "src",
         "dst",
-        *_typed(keys),
-    )
+    ]
+    return _unfolded(df.select(*base, *_typed(keys, repeated)), keys, repeated)
 
 
 def repeated_keys(df: DataFrame) -> DataFrame:

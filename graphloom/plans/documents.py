@@ -99,6 +99,49 @@ def eav_explode_edge(spark, folder):
     return rows.drop("timestamp", "datasource", "label", "id_")
 
 
+def _regraded(spark, folder):
+    """Documents of all vertices, where debtors have a second segment and large parts two sizes more."""
+    docs = _vertices(spark, folder)
+    debtor = d.property_value(F.col("properties"), "acctbal").try_cast("double") < 0
+    large = d.property_value(F.col("properties"), "size").try_cast("int") > 40
+    more = F.when(debtor, F.array(d.document_property("segment", F.lit("DEBTOR"), T.StringType())))
+    more = more.when(large, F.array(*[d.document_property("size", F.lit(n), T.IntegerType()) for n in (0, 1)]))
+    return docs.withColumn("properties", F.concat("properties", F.coalesce(more, F.array().cast(T.ArrayType(d.PROPERTY)))))
+
+
+_REPEATED = {"segment": T.StringType(), "size": T.IntegerType()}
+
+
+@query(
+    "eav_repeated_keys",
+    """
+    SELECT 'c' || c_custkey AS id, c_mktsegment || CASE WHEN c_acctbal < 0 THEN ',DEBTOR' ELSE '' END AS segments, CAST(0 AS INT) AS n_sizes,
+        NULL AS size_sum FROM customer
+    UNION ALL SELECT 'p' || p_partkey, '', CASE WHEN p_size > 40 THEN 3 ELSE 1 END, CASE WHEN p_size > 40 THEN p_size + 1 ELSE p_size END FROM part
+    """,
+)
+def eav_repeated_keys(spark, folder):
+    """All values of keys that documents may repeat, as lists."""
+    rows = d.explode_vertices(_regraded(spark, folder), _REPEATED, repeated=d.ALL)
+    total = F.aggregate("size", F.lit(0), lambda a, x: a + x)
+    sizes = F.size("size")
+    return rows.select("id", F.array_join("segment", ",").alias("segments"), sizes.alias("n_sizes"), F.when(sizes > 0, total).alias("size_sum"))
+
+
+@query(
+    "eav_repeated_rows",
+    """
+    SELECT 'c' || c_custkey AS id, c_mktsegment AS segment, NULL AS size FROM customer
+    UNION ALL SELECT 'c' || c_custkey, 'DEBTOR', NULL FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT 'p' || p_partkey, NULL, p_size FROM part
+    UNION ALL SELECT 'p' || p_partkey, NULL, n FROM part, (SELECT unnest([0, 1]) AS n) WHERE p_size > 40
+    """,
+)
+def eav_repeated_rows(spark, folder):
+    """A row for each value of keys that documents may repeat."""
+    return d.explode_vertices(_regraded(spark, folder), _REPEATED, repeated=d.ROWS).select("id", "segment", "size")
+
+
 @query(
     "doc_bad_values",
     "SELECT c_mktsegment AS segment, count(*) AS n, CAST(0 AS BIGINT) AS n_numbers FROM customer GROUP BY 1",

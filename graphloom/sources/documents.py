@@ -12,7 +12,7 @@ from graphloom.errors import GraphNotFoundError
 from graphloom.model.graph import NodeTable, PropertyGraph, RelTable
 from graphloom.model.types import java_class_type
 from graphloom.operators import metadata
-from graphloom.operators.documents import EDGE_DOCUMENT, VERTEX_DOCUMENT, explode_edges, explode_vertices
+from graphloom.operators.documents import EDGE_DOCUMENT, FIRST, VERTEX_DOCUMENT, explode_edges, explode_vertices
 from graphloom.operators.updates import live, upsert
 
 VERTEX, EDGE = "vertex", "edge"
@@ -109,12 +109,12 @@ class DocumentStore:
 
     # -- tables and graphs ------------------------------------------------------------------------
 
-    def read_vertices(self, datasource: str, label: str) -> DataFrame:
-        """Documents of a label with one typed column per property."""
-        return explode_vertices(self.vertices(datasource, label), self._keys(VERTEX, datasource, label))
+    def read_vertices(self, datasource: str, label: str, repeated: str = FIRST) -> DataFrame:
+        """Documents of a label with one typed column per property; `repeated` as in `explode_vertices`."""
+        return explode_vertices(self.vertices(datasource, label), self._keys(VERTEX, datasource, label), repeated)
 
-    def read_edges(self, datasource: str, label: str) -> DataFrame:
-        return explode_edges(self.edges(datasource, label), self._keys(EDGE, datasource, label))
+    def read_edges(self, datasource: str, label: str, repeated: str = FIRST) -> DataFrame:
+        return explode_edges(self.edges(datasource, label), self._keys(EDGE, datasource, label), repeated)
 
     def node_table(self, datasource: str, label: str) -> NodeTable:
         return NodeTable(label, self.read_vertices(datasource, label))

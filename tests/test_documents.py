@@ -195,6 +195,28 @@ def test_struct_and_list_columns(spark):
     assert values(d.table_counts(artists=artists, pictures=pictures)) == [("artists", 1), ("pictures", 1)]
 
 
+def test_all_values_of_repeated_keys(spark):
+    entry = lambda k, v: (k, "java.lang.String", v)
+    docs = spark.createDataFrame(
+        [
+            (None, "s", "a", "x", [entry("k", "1"), entry("k", "zwei"), entry("o", "p"), entry("k", None), entry("o", "q")]),
+            (None, "s", "b", "x", [entry(None, "1")]), (None, "s", "c", "x", None),
+        ],
+        d.VERTEX_DOCUMENT,
+    )
+    keys = {"k": T.IntegerType(), "o": T.StringType()}
+    lists = {r["id"]: (r["k"], r["o"]) for r in d.explode_vertices(docs, keys, repeated=d.ALL).collect()}
+    assert lists == {"a": ([1, None, None], ["p", "q"]), "b": ([], []), "c": ([], [])}
+    rows = sorted(((r["id"], r["k"], r["o"]) for r in d.explode_vertices(docs, keys, repeated=d.ROWS).collect()), key=repr)
+    assert rows == sorted([("a", k, o) for k in (1, None, None) for o in "pq"] + [("b", None, None), ("c", None, None)], key=repr)
+    firsts = {r["id"]: (r["k"], r["o"]) for r in d.explode_vertices(docs, keys).collect()}
+    assert firsts == {"a": (1, "p"), "b": (None, None), "c": (None, None)}
+    edges = docs.select("timestamp", "datasource", "id", "label", F.lit("x").alias("src"), F.lit("y").alias("dst"), "properties")
+    assert d.explode_edges(edges, keys, repeated=d.ROWS).count() == 8
+    with pytest.raises(GraphError):
+        d.explode_vertices(docs, keys, repeated="some")
+
+
 # -- saved collections ----------------------------------------------------------------------------
 
 
