@@ -9,7 +9,7 @@ from graphloom.operators import aggregates as agg
 from graphloom.plans.registry import query
 from graphloom.plans.tables import exact_sum, shop_graph, table
 from graphloom.session import new_location
-from graphloom.sinks.tables import materialize, save_as_table, save_graph_tables, save_result
+from graphloom.sinks.tables import materialize, read_graph_tables, save_as_table, save_graph_tables, save_result
 from graphloom.sources.edge_list import edge_list_graph
 from graphloom.sources.graph_files import GraphFiles
 
@@ -74,6 +74,26 @@ def graph_tables(spark, folder):
     )
 
 
+@query(
+    "graph_tables_in",
+    """
+    SELECT o_orderstatus AS status, count(*) AS n, count(DISTINCT o_custkey) AS n_sources FROM orders GROUP BY 1
+    """,
+)
+def graph_tables_in(spark, folder):
+    """MATCH (o:Order)<-[r:PLACED]-() on bucketed tables whose relationships are kept by target as well: no shuffle for the join."""
+    location = new_location(spark, "database")
+    database = f"loom_{location[-32:]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    graph = _sales(spark, folder)
+    save_graph_tables(graph, "sales", database, buckets=8, reverse=True)
+    saved = read_graph_tables(graph, "sales", database, direction="in")
+    m = saved.match("o", "Order").expand("o", "r", types="PLACED", direction="in")
+    return m.df.groupBy(m["o.status"].alias("status")).agg(
+        agg.count_all().alias("n"), agg.count_distinct(F.col("r__source")).alias("n_sources")
+    )
+
+
 @query(
     "materialized_query",
     """

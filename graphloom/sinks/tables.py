@@ -3,32 +3,40 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.errors import GraphSchemaError
-from graphloom.model.graph import ID, SOURCE, TARGET, PropertyGraph
-from graphloom.sources.graph_files import WRITERS, canonical_nodes, canonical_relationships, folder_name
+from graphloom.model.graph import ID, SOURCE, TARGET, NodeTable, PropertyGraph, RelTable, quoted
+from graphloom.operators.patterns import IN, OUT
+from graphloom.sources.graph_files import WRITERS, canonical_nodes, canonical_relationships, folder_name, property_columns
 
 # Fixed value: format of saved results unless another is given.
 RESULT_FORMAT = "parquet"
 
 
+_REVERSE = "_in"
+
+
 def _plain(name: str) -> str:
     return re.sub(r"\W", "_", name).lower()
 
 
 def save_graph_tables(
-    graph: PropertyGraph, name: str, database: str, format: str = RESULT_FORMAT, buckets: int | None = None
+    graph: PropertyGraph, name: str, database: str, format: str = RESULT_FORMAT, buckets: int | None = None, reverse: bool = False
 ) -> list[str]:
     """Write every table of a graph to the catalog, replacing those there: `name_vertex_label`,
     `name_edge_type`. Gives the table names.
 
     With `buckets`, nodes are bucketed and sorted by id and relationships by source, so that following
-    relationships out of nodes needs no shuffle.
+    relationships out of nodes needs no shuffle. With `reverse` too, a second copy of the relationships
+    (`name_edge_type_in`) is bucketed by target, for walking in; `read_graph_tables` picks the copy.
     """
+    if reverse and buckets is None:
+        raise GraphSchemaError("a reverse copy is for bucketed tables")
     graph.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     types = [r.rel_type for r in graph.relationships]
     jobs: list[tuple[str, DataFrame]] = []
@@ -39,6 +47,8 @@ def save_graph_tables(
         if types.count(rel.rel_type) > 1:
             table += f"_{folder_name(rel.source_labels)}_{folder_name(rel.target_labels)}"
         jobs.append((f"{database}.{_plain(table)}", canonical_relationships(rel)))
+        if reverse:
+            jobs.append((f"{database}.{_plain(table)}{_REVERSE}", canonical_relationships(rel)))
     names = [n for n, _ in jobs]
     if len(set(names)) < len(names):
         raise GraphSchemaError(f"tables would share a name: {sorted(n for n in names if names.count(n) > 1)}")
@@ -52,11 +62,36 @@ def save_graph_tables(
 def _save(df: DataFrame, table: str, format: str, buckets: int | None) -> None:
     writer = df.write.mode("overwrite").format(format)
     if buckets is not None:
-        key = SOURCE if SOURCE in df.columns and TARGET in df.columns else ID
+        ends = SOURCE in df.columns and TARGET in df.columns
+        key = ID if not ends else TARGET if table.endswith(_REVERSE) else SOURCE
         writer = writer.bucketBy(buckets, key).sortBy(key)
     writer.saveAsTable(table)
 
 
+def read_graph_tables(graph: PropertyGraph, name: str, database: str, direction: str = OUT) -> PropertyGraph:
+    """The graph whose tables `save_graph_tables` has written, with its labels, types and ends. With direction `in`, relationships are
+    read from their copies by target, where there are any: walking in then needs no shuffle either."""
+    spark, types = graph.spark, [r.rel_type for r in graph.relationships]
+    tables: list[NodeTable | RelTable] = []
+    for node in graph.nodes:
+        saved = spark.table(f"{database}.{_plain(f'{name}_vertex_{folder_name(node.labels)}')}")
+        tables.append(NodeTable(node.labels, _as_stored(saved, property_columns(node.properties), [ID])))
+    for rel in graph.relationships:
+        table = f"{name}_edge_{folder_name([rel.rel_type])}"
+        if types.count(rel.rel_type) > 1:
+            table += f"_{folder_name(rel.source_labels)}_{folder_name(rel.target_labels)}"
+        copy = f"{database}.{_plain(table)}{_REVERSE}"
+        saved = spark.table(copy if direction == IN and spark.catalog.tableExists(copy) else f"{database}.{_plain(table)}")
+        saved = _as_stored(saved, property_columns(rel.properties), [ID, SOURCE, TARGET])
+        tables.append(RelTable(rel.rel_type, saved, rel.source_labels, rel.target_labels))
+    return PropertyGraph.from_tables(*tables, spark=spark)
+
+
+def _as_stored(saved: DataFrame, columns: Mapping[str, str], fixed: list[str]) -> DataFrame:
+    """Stored columns under the names of their properties."""
+    return saved.select(*fixed, *[quoted(stored).alias(p) for p, stored in columns.items()])
+
+
 def drop_graph_tables(spark: SparkSession, names: list[str]) -> None:
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -453,6 +453,28 @@ def test_shared_folder_is_the_named_one(spark):
     assert shared_folder(spark) == shared_folder(spark)
 
 
+def test_walking_in_needs_no_shuffle_with_a_reverse_copy(spark, friends):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reversed")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        names = sinks.save_graph_tables(friends, "g", "reversed", buckets=4, reverse=True)
+        assert names == ["reversed.g_vertex_person", "reversed.g_edge_friend_of", "reversed.g_edge_friend_of_in"]
+        for direction in ("out", "in"):
+            for walk in ("out", "in"):
+                graph = sinks.read_graph_tables(friends, "g", "reversed", direction)
+                walked = graph.match("a", "Person").expand("a", "r", types="FRIEND_OF", direction=walk)
+                plain = friends.match("a", "Person").expand("a", "r", types="FRIEND_OF", direction=walk)
+                assert values(walked.select("a.name", "r.since")) == values(plain.select("a.name", "r.since"))
+                shuffles = walked.df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+                assert (shuffles == 0) == (walk == direction)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        sinks.drop_graph_tables(spark, names)
+    with pytest.raises(GraphSchemaError):
+        sinks.save_graph_tables(friends, "g", "reversed", reverse=True)
+
+
 def test_dropped_tables_leave_no_files(spark):
     import os
 
