@@ -15,6 +15,18 @@ from graphloom.model.types import common_type, parse_type_name, type_name
 Labels = frozenset[str]
 Properties = Mapping[str, T.DataType]
 
+# Names and version in the stored JSON of a schema.
+SCHEMA_VERSION = "1.0"
+VERSION_KEY = "version"
+NODES_KEY = "labelPropertyMap"
+RELATIONSHIPS_KEY = "relTypePropertyMap"
+LABELS_KEY = "labels"
+TYPE_KEY = "relType"
+PROPERTIES_KEY = "properties"
+PATTERNS_KEY = "patterns"
+NODE_KEYS_KEY = "nodeKeys"
+REL_KEYS_KEY = "relKeys"
+
 
 @dataclass(frozen=True)
 class SchemaPattern:
@@ -192,24 +204,24 @@ class GraphSchema:
             return {k: type_name(t) for k, t in sorted(properties.items())}
 
         stored: dict = {
-            "version": "1.0",
-            "labelPropertyMap": [
-                {"labels": sorted(combo), "properties": named(self.node_properties[combo])}
+            VERSION_KEY: SCHEMA_VERSION,
+            NODES_KEY: [
+                {LABELS_KEY: sorted(combo), PROPERTIES_KEY: named(self.node_properties[combo])}
                 for combo in sorted(self.node_properties, key=sorted)
             ],
-            "relTypePropertyMap": [
-                {"relType": rel_type, "properties": named(self.rel_properties[rel_type])}
+            RELATIONSHIPS_KEY: [
+                {TYPE_KEY: rel_type, PROPERTIES_KEY: named(self.rel_properties[rel_type])}
                 for rel_type in sorted(self.rel_properties)
             ],
         }
         if self.patterns:
-            stored["patterns"] = sorted(
+            stored[PATTERNS_KEY] = sorted(
                 ([sorted(p.source), p.rel_type, sorted(p.target)] for p in self.patterns), key=json.dumps
             )
         if self.node_keys:
-            stored["nodeKeys"] = {k: sorted(v) for k, v in sorted(self.node_keys.items())}
+            stored[NODE_KEYS_KEY] = {k: sorted(v) for k, v in sorted(self.node_keys.items())}
         if self.rel_keys:
-            stored["relKeys"] = {k: sorted(v) for k, v in sorted(self.rel_keys.items())}
+            stored[REL_KEYS_KEY] = {k: sorted(v) for k, v in sorted(self.rel_keys.items())}
         return stored
 
     def to_json(self) -> str:
@@ -218,19 +230,19 @@ class GraphSchema:
     @classmethod
     def from_dict(cls, stored: dict) -> GraphSchema:
         schema = cls()
-        for entry in stored.get("labelPropertyMap", []):
+        for entry in stored.get(NODES_KEY, []):
             schema = schema.with_node(
-                entry["labels"], {k: parse_type_name(v) for k, v in entry["properties"].items()}
+                entry[LABELS_KEY], {k: parse_type_name(v) for k, v in entry[PROPERTIES_KEY].items()}
             )
-        for entry in stored.get("relTypePropertyMap", []):
+        for entry in stored.get(RELATIONSHIPS_KEY, []):
             schema = schema.with_relationship(
-                entry["relType"], {k: parse_type_name(v) for k, v in entry["properties"].items()}
+                entry[TYPE_KEY], {k: parse_type_name(v) for k, v in entry[PROPERTIES_KEY].items()}
             )
-        for source, rel_type, target in stored.get("patterns", []):
+        for source, rel_type, target in stored.get(PATTERNS_KEY, []):
             schema = schema.with_pattern(source, rel_type, target)
-        for label, key in stored.get("nodeKeys", {}).items():
+        for label, key in stored.get(NODE_KEYS_KEY, {}).items():
             schema = schema.with_node_key(label, key)
-        for rel_type, key in stored.get("relKeys", {}).items():
+        for rel_type, key in stored.get(REL_KEYS_KEY, {}).items():
             schema = schema.with_relationship_key(rel_type, key)
         return schema
 

@@ -26,6 +26,7 @@ RELS_FOLDER = "relationships"
 NO_LABEL_FOLDER = "__NO_LABEL__"
 AT_SIGN_ESCAPE = "_specialCharacterEscape_"
 WRITERS = 8
+_POINTER = "current-"  # and a number: files that each name a version's folder, the last of them the one in use
 
 # Text files hold texts as they are: blanks at the ends, empty texts apart from nulls, and line breaks, which are
 # spelled out so that files can still be split at lines. The escapes can be undone one after the other.
@@ -181,23 +182,32 @@ class GraphFiles:
     def folder(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
+    def _pointers(self, name: str) -> list[str]:
+        return [f for f in self._files.files(self.folder(name)) if re.fullmatch(_POINTER + r"\d+", f)]  # drafts are named otherwise
+
+    def _current(self, name: str) -> str:
+        """The folder of the version in use: the one that the last pointer names, else the graph's own."""
+        pointers = self._pointers(name)
+        return f"{self.folder(name)}/{self._files.read_text(f'{self.folder(name)}/{pointers[-1]}')}" if pointers else self.folder(name)
+
     def graph_names(self) -> list[str]:
         """Graphs that are stored completely: the schema is written last."""
-        return [n for n in self._files.folders(self.root) if self._files.exists(f"{self.root}/{n}/{SCHEMA_FILE}")]
+        return [n for n in self._files.folders(self.root) if self._files.exists(f"{self._current(n)}/{SCHEMA_FILE}")]
 
     def has_graph(self, name: str) -> bool:
-        return self._files.exists(f"{self.folder(name)}/{SCHEMA_FILE}")
+        return self._files.exists(f"{self._current(name)}/{SCHEMA_FILE}")
 
     def schema(self, name: str) -> GraphSchema:
         if not self.has_graph(name):
             raise GraphNotFoundError(f"no graph '{name}' in {self.root}")
-        return GraphSchema.from_json(self._files.read_text(f"{self.folder(name)}/{SCHEMA_FILE}"))
+        return GraphSchema.from_json(self._files.read_text(f"{self._current(name)}/{SCHEMA_FILE}"))
 
     # -- reading ----------------------------------------------------------------------------------
 
     def graph(self, name: str) -> PropertyGraph:
         schema = self.schema(name)
-        listing = f"{self.folder(name)}/{TABLES_FILE}"
+        folder = self._current(name)
+        listing = f"{folder}/{TABLES_FILE}"
         own = self._files.exists(listing)
         if own:
             stored = [_StoredTable.from_dict(t) for t in json.loads(self._files.read_text(listing))]
@@ -205,7 +215,7 @@ class GraphFiles:
             stored = self._by_convention(schema)
         tables: list[NodeTable | RelTable] = []
         for table in stored:
-            df = self._read(f"{self.folder(name)}/{table.path}", table.schema, own)
+            df = self._read(f"{folder}/{table.path}", table.schema, own)
             back = {c: p for p, c in table.columns.items()}
             df = df.select([quoted(c).alias(back.get(c, c)) for c in df.columns])
             if table.rel_type is None:
@@ -249,14 +259,17 @@ class GraphFiles:
     def store(self, name: str, graph: PropertyGraph, overwrite: bool = False) -> None:
         """Write all tables side by side, then the schema. Any table that fails makes the store fail.
 
-        What is there already is replaced once everything has been written beside it, so a graph may be stored over
-        one it is read from, and a failed write leaves the old one. DataFrames of the old one end with it.
+        A graph that is there already gets a new version, in a folder of its own, and a pointer to it that is written last: there
+        is a whole graph at any time, a failed write leaves the old one, and a graph may be stored over the one it is
+        read from. `clear` deletes the versions before.
         """
         final = self.folder(name)
         there = self._files.exists(final)
         if there and not overwrite:
             raise GraphExistsError(f"'{name}' is in {self.root} already")
-        folder = f"{self.root}/_new-{uuid.uuid4().hex}" if there else final
+        before = self._pointers(name)
+        version = f"version-{uuid.uuid4().hex}"
+        folder = f"{final}/{version}" if there else final
 
         jobs: list[tuple[_StoredTable, DataFrame]] = []
         for node in graph.nodes:
@@ -285,11 +298,21 @@ class GraphFiles:
         self._files.write_text(f"{folder}/{TABLES_FILE}", json.dumps([t.to_dict() for t, _ in jobs], indent=2))
         self._files.write_text(f"{folder}/{SCHEMA_FILE}", graph.schema.to_json())
         if there:
-            self._files.delete(final)
-            self._files.rename(folder, final)
+            number = int(before[-1].removeprefix(_POINTER)) + 1 if before else 1
+            self._files.publish(f"{final}/{_POINTER}{number:08}", version)
         if self.database:
             for table, _ in jobs:
-                self._create_external(name, final, table)
+                self._create_external(name, folder, table)
+
+    def clear(self, name: str) -> None:
+        """Delete the versions before the one in use. DataFrames of theirs end with them."""
+        final, pointers = self.folder(name), self._pointers(name)
+        if not pointers:
+            return
+        current = self._files.read_text(f"{final}/{pointers[-1]}")
+        for old in [*(f for f in self._files.folders(final) if f.startswith("version-") and f != current), NODES_FOLDER, RELS_FOLDER, SCHEMA_FILE, TABLES_FILE, *pointers[:-1]]:
+            if self._files.exists(f"{final}/{old}"):
+                self._files.delete(f"{final}/{old}")
 
     def write_table(self, path: str, df: DataFrame) -> None:
         rows = df if self.files_per_table is None else df.repartition(self.files_per_table)
@@ -314,7 +337,7 @@ class GraphFiles:
     def delete(self, name: str) -> None:
         """Remove the stored graph, and its external tables if there are any."""
         folder = self.folder(name)
-        listing = f"{folder}/{TABLES_FILE}"
+        listing = f"{self._current(name)}/{TABLES_FILE}"
         if self.database and self._files.exists(listing):
             for table in json.loads(self._files.read_text(listing)):
                 self._spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name, _StoredTable.from_dict(table))}")

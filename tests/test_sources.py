@@ -475,6 +475,29 @@ def test_walking_in_needs_no_shuffle_with_a_reverse_copy(spark, friends):
         sinks.save_graph_tables(friends, "g", "reversed", reverse=True)
 
 
+@pytest.mark.parametrize("format", ["parquet", "csv"])
+def test_a_stored_graph_is_there_at_any_time(spark, friends, tmp_path, monkeypatch, format):
+    files = GraphFiles(spark, str(tmp_path), format)
+    files.store("f", friends)
+    adults = PropertyGraph.from_tables(NodeTable("Person", friends.node_tables("Person")[0].df.where("age > 18")))
+    for step in ("write_text", "rename", "publish"):
+        with monkeypatch.context() as lost:
+            lost.setattr(type(files._files), step, lambda *_: (_ for _ in ()).throw(GraphError("lost")))
+            with pytest.raises(GraphError):
+                files.store("f", adults, overwrite=True)
+        assert files.graph("f").match("a").df.count() == 4 and files.graph_names() == ["f"]
+    old = files.graph("f")
+    files.store("f", adults, overwrite=True)
+    assert files.graph("f").match("a").df.count() == 2 and old.match("a").df.count() == 4
+    files.store("f", files.graph("f"), overwrite=True)  # over the one it is read from
+    files.clear("f")
+    assert files.graph("f").match("a").df.count() == 2 and files.graph_names() == ["f"]
+    assert len(list((tmp_path / "f").glob("version-*"))) == 1 and not (tmp_path / "f" / "nodes").exists()
+    files.clear("f")
+    files.delete("f")
+    assert files.graph_names() == [] and not files.has_graph("f")
+
+
 def test_dropped_tables_leave_no_files(spark):
     import os
 
