@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graphloom.llm.registry import query
 from graphloom.llm.text import Rolling, dealt_anew, flat, lowered, map_slices, signed, slices, word_hashes, word_spans
@@ -118,12 +119,14 @@ def near_pairs(docs: DataFrame, least: float = LIKENESS, text: str = "text", ban
 
 
 def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Rows of `docs` dealt by ranges of a numeric `id`, sorted, each range followed by the first row of the next.
+    """Rows of `docs` dealt by ranges of a whole-number `id`, sorted, each range followed by the first row of the next.
 
     Columns `id`, `text`, `n_range`, `follows`. As many ranges as the session has shuffle partitions are cut at
     approximate quantiles of the ids; the driver sees one id per range. The row after the last is the first of
     all. Rows without an id come first, ties are in the order of texts.
     """
+    if not isinstance(docs.schema[id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"rows are put in the order of whole numbers; '{id}' is {docs.schema[id].dataType.simpleString()}")
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     steps = [i / parts for i in range(1, parts)] or [0.5]
@@ -131,10 +134,10 @@ def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
 
     @F.pandas_udf("int")
     def range_of(ids: pd.Series) -> pd.Series:
-        found = np.searchsorted(cuts, ids.fillna(0).to_numpy(), "right")
-        return pd.Series(np.where(ids.isna(), 0, found)).astype("int32")
+        return pd.Series(np.searchsorted(cuts, ids.to_numpy(), "right")).astype("int32")
 
-    ranged = rows.withColumn("n_range", range_of("id"))
+    # Nulls never reach pandas, which would make floating-point numbers of a batch that has some.
+    ranged = rows.withColumn("n_range", F.when(F.col("id").isNull(), 0).otherwise(range_of(F.coalesce("id", F.lit(0)))))
     least = {r.n_range: r.id for r in ranged.groupBy("n_range").agg(F.min("id").alias("id")).collect()}
     filled = sorted(least)
     before = {r: filled[i - 1] for i, r in enumerate(filled)}

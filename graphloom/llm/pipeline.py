@@ -30,7 +30,8 @@ def _columns(docs: DataFrame) -> list:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    return judged(docs).where("kept").select(*_columns(docs))
+    rows = docs.select(F.struct(*_columns(docs)).alias("_doc"), F.col("text").alias("_text"))
+    return judged(rows, text="_text").where("kept").select("_doc.*")
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Quality rules: a table of thresholds compiled into one projection of built-in functions.
 
 Words are runs of characters other than ASCII white space. A text that is null or without words has no
-words, lines or symbols. Every row gets a result; equal rows get equal results.
+words, lines or symbols. Every row gets a result; equal rows get equal results; a table without rows gives none.
+Columns that are added replace given ones of the same name, in any case; all other columns stay, whatever they are called.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ def _both(one: Column, other: Column) -> Column:
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with a struct `measures` of what the rules compare. One row in, one row out, no exchange."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    columns, docs = docs.columns, docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given"))
+    body = F.coalesce(F.col("_given")[text], F.lit(""))
     parts = F.split(body, _SPACE)
     lines = F.filter(F.split(body, "\n"), lambda line: F.length(F.btrim(line, F.lit(" \t\x0b\x0c\r"))) > 0)
     wide = docs.select("*", F.struct(F.array_remove(parts, "").alias("words"), F.size(parts).alias("n_parts"), lines.alias("lines")).alias("_parts"))
@@ -114,19 +116,26 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         count("[A-Z]").alias("n_capitals"),
     )
     # A generated row is a fence: a filter on what is measured isn't copied into the steps above.
-    return wide.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(measures)).alias("measures"))
+    return wide.select(*_kept_columns(columns, "measures"), F.explode(F.array(measures)).alias("measures"))
+
+
+def _kept_columns(columns: list[str], *replaced: str) -> list[Column]:
+    """Fields of `_given` that no new column replaces."""
+    return [F.col("_given")[c].alias(c) for c in columns if c.lower() not in replaced]
 
 
 def judged(
     docs: DataFrame, rules: tuple[Rule, ...] = SHAPE_RULES, base: tuple[Rule, ...] = BASE_RULES, text: str = "text"
 ) -> DataFrame:
     """`docs` with `measures`, `base_failed`, `kept`, and `failed`, the names of the rules that a document breaks."""
-    wide = measured(docs, text)
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_given"), F.col(f"`{text}`").alias("_text"))
+    wide = measured(given, "_text")
     fields = {name: F.col("measures")[name] for name in wide.schema["measures"].dataType.names}
     broken = lambda some: F.array_compact(F.array(*[F.when(r.fails(fields), F.lit(r.name)) for r in some]))
     base_failed = F.size(broken(base)) > 0
     return wide.select(
-        "*",
+        *_kept_columns(docs.columns, "measures", "base_failed", "kept", "failed"),
+        "measures",
         base_failed.alias("base_failed"),
         (~base_failed & (F.size(broken(rules)) == 0)).alias("kept"),
         broken((*base, *rules)).alias("failed"),

@@ -91,7 +91,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     the rows; both joins leave rows of a frequent key on a side that adaptive execution can split.
     """
     host, path = host_and_path(F.col(url))
-    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in OUTPUTS], host.alias("host"), path.alias("path"))
+    rows = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c.lower() not in OUTPUTS], host.alias("host"), path.alias("path"))
     addresses = rows.select("host", "path").distinct()
     index = rarest_tokens(rules, addresses)
     fetched = addresses.select("host", "path", F.explode(_tokens(F.col("host"), F.col("path"))).alias("token")).join(index, "token")

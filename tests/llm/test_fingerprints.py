@@ -105,3 +105,12 @@ def test_near_pairs_of_a_family_of_many_variants(spark, block):
     found = near_pairs(docs, block=block).collect()
     assert len(expected) > 500 and len(found) == len(expected)
     assert {(r.key_a, r.key_b): r.jaccard for r in found} == expected
+
+
+def test_ids_are_whole_numbers(spark):
+    with pytest.raises(TypeError):
+        compared_with_next(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+    large = 2**62
+    rows = [(large + i, f"text {i} of many") for i in range(50)] + [(None, "no id")]
+    found = compared_with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r.doc_id for r in found if r.doc_id is not None) == [large + i for i in range(50)] and len(found) == 51

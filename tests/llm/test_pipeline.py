@@ -132,6 +132,17 @@ def test_passages_stay_once(spark):
     assert {i: t for i, t in left.items() if i >= 1000} == {r.doc_id: r.text for r in frame.where("doc_id >= 1000").collect()}
 
 
+@pytest.mark.parametrize("change", [str, str.upper])
+def test_columns_of_any_name(spark, documents, change):
+    names = [change(n) for n in "_given _parts _rest _row _id _doc _text kept kept_text measures failed base_failed leads intervals first firsts component_id set token".split()]
+    texts = [t for _, t in documents if kept(t)][:4]
+    docs = spark.createDataFrame([(i, t, *range(len(names))) for i, t in enumerate(texts)], ["doc_id", "text", *names])
+    for _, stage in STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", *names]
+        assert {tuple(r)[2:] for r in docs.collect()} == {tuple(range(len(names)))}
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
     assert corpus_pipeline.ORACLE_SQL is None

@@ -101,6 +101,21 @@ def test_classifier_without_labels_nulls_and_no_rows(spark):
     assert scored(docs.limit(0), ranking).collect() == []
 
 
+@pytest.mark.parametrize("change", [str, str.upper])
+def test_columns_of_any_name(spark, change):
+    """Names of inner and new columns: those that are added replace given ones, the others stay."""
+    inner = ["_given", "_parts", "_keys", "_pairs", "_places", "_row", "_text", "_label", "_hash", "words", "v", "good"]
+    made = ["measures", "base_failed", "failed", "kept", "score", "predicted"]
+    names = [change(n) for n in (*inner, *made)]
+    frame = spark.createDataFrame([(1, "the word " * 60, *range(len(names)))], ["doc_id", "text", *names])
+    for found, new in ((judged(frame), made[:4]), (scored(frame, None), made[4:])):
+        assert sorted(c.lower() for c in found.columns) == sorted(["doc_id", "text", *inner, *made])
+        row = found.where("doc_id = 1").first()
+        assert [row[c] for c in names if c.lower() not in new] == [i for i, c in enumerate(names) if c.lower() not in new]
+        assert all(row[c] not in range(2, len(names)) for c in found.columns if c in new)
+    assert judged(frame.drop("kept", "KEPT")).where("kept").count() == 0  # repeats itself
+
+
 def test_one_row_of_each_sampled_id(spark, monkeypatch):
     """Ids that repeat in documents do not add to the sample, and neither order nor tasks decide which row is taken."""
     rows = [(i, " ".join(["the word"] * (i + 2 * j + 1))) for i in range(40) for j in range(5)]

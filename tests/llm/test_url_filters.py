@@ -53,3 +53,14 @@ def test_patterns_without_tokens_ties_and_repeated_rows(spark):
 def test_plan_has_no_python(spark, folder):
     plan = queries()["op1_url_filters"](spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def test_columns_of_any_name(spark):
+    for change in (str, str.upper):
+        names = [change(n) for n in ("host", "path", "rule", "verdict", "token", "pattern", "best", "long", "count")]
+        frame = spark.createDataFrame([("http://example.com/en/x", *range(len(names)))], ["url", *names])
+        found = filter_urls(frame, rules_frame(spark, RULES))
+        assert sorted(c.lower() for c in found.columns) == sorted(["url", *(n.lower() for n in names)])
+        row = found.first()
+        assert (row["host"], row["path"], row["verdict"]) == ("example.com", "/en/x", "block")
+        assert [row[n] for n in names[4:]] == list(range(4, len(names)))
