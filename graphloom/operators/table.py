@@ -182,18 +182,6 @@ def with_copy_index(df: DataFrame, by: Sequence[str] | None = None, name: str =
     return numbered.select(*[quoted(c) for c in df.columns], number.alias(name))
 
 
-def skip(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
-    """All rows but the first `n` of the order."""
-    return drop(with_row_index(df, *order, name="@row").where(F.col("@row") >= n), "@row")
-
-
-def page(df: DataFrame, *order: str | Column, skip: int = 0, limit: int) -> DataFrame:
-    """Rows `skip` to `skip + limit` of the order, by their index, however many are skipped. For the first few rows
-    alone, `order_by` and `limit` need no index."""
-    row = F.col("@row")
-    return drop(with_row_index(df, *order, name="@row").where((row >= skip) & (row < skip + limit)), "@row")
-
-
 # -- sets -----------------------------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from graphloom.model.types import normalize_types
 from graphloom.operators import aggregates as agg
-from graphloom.operators import ids
+from graphloom.operators import ids, paging
 from graphloom.operators import table as t
 from graphloom.plans.registry import query
 from graphloom.plans.tables import exact_sum, shop_graph, table
@@ -54,7 +54,7 @@ def table_skip(spark, folder):
     """Everything but the first thousand rows of a total order."""
     columns = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     rows = t.select(table(spark, folder, "lineitem"), *columns)
-    return t.drop(t.skip(rows, 1000, *columns), "l_shipdate")
+    return t.drop(paging.skip(rows, 1000, *columns), "l_shipdate")
 
 
 @query(

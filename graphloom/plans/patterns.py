@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import entities, lists
 from graphloom.operators import aggregates as agg
-from graphloom.operators.table import page
+from graphloom.operators.paging import page
 from graphloom.plans.registry import query
 from graphloom.plans.tables import activity_graph, exact_sum, money, shop_graph
 

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from graphloom.errors import GraphError, GraphSchemaError, GraphTypeError
 from graphloom.model.types import normalize_types
 from graphloom.operators import aggregates as agg
-from graphloom.operators import ids
+from graphloom.operators import ids, paging
 from graphloom.operators import table as t
 from tests.conftest import row_key, values
 
@@ -45,7 +45,7 @@ def test_renaming_refuses_collisions(rows):
 @pytest.mark.parametrize("n", [0, 1, 7, 100, 1000])
 def test_skip_leaves_out_the_first_rows(spark, n):
     df = spark.range(500, numPartitions=7).selectExpr("id", "(id * 37) % 11 as k")
-    kept = t.skip(df, n, "k", "id")
+    kept = paging.skip(df, n, "k", "id")
     expected = sorted(((r["k"], r["id"]) for r in df.collect()))[n:]
     assert sorted((r["k"], r["id"]) for r in kept.collect()) == expected
 
@@ -58,7 +58,7 @@ def test_row_numbers_have_no_gaps_even_when_all_rows_tie(spark):
 
 def test_pages(spark):
     df = spark.range(100, numPartitions=5).selectExpr("id", "(id * 17) % 101 as k")
-    small = t.page(df, "k", skip=10, limit=20)
+    small = paging.page(df, "k", skip=10, limit=20)
     expected = sorted(((r["k"], r["id"]) for r in df.collect()))[10:30]
     assert sorted((r["k"], r["id"]) for r in small.collect()) == expected
 
@@ -261,3 +261,37 @@ def test_outer_joins_of_rows_that_change(spark):
     right = spark.range(50).select(F.col("id").alias("b"))
     rows = t.join(left, right, [("a", "b")], "full")
     assert rows.where("id is not null").count() == 200
+
+
+ORDERS = lambda: [
+    ["k", "v"], [F.col("k").desc(), "v"], [F.col("v").desc_nulls_first(), F.col("k").asc_nulls_last()], [F.upper("v"), F.col("d").desc()],
+    ["at", F.col("day").desc()], ["d", "b"], ["same"], [F.struct("k", "v")],
+]
+
+
+@pytest.mark.parametrize("place", range(8))
+def test_pages_of_any_order(spark, place):
+    """Pages next to numbering all rows; nothing is lost, whatever the order, and pages follow each other."""
+    order = ORDERS()[place]
+    n = 3000
+    rows = spark.range(n).select(
+        "id", F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("k"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("v"), F.col("id") % 11)).alias("v"),
+        (F.col("id") % 13 / 8 - 1).alias("d"), (F.col("id") % 2 == 0).alias("b"), F.lit(1).alias("same"),
+        F.timestamp_seconds(F.col("id") % 90 * 100_000).alias("at"), F.date_add(F.lit("2024-01-01"), (F.col("id") % 9).cast("int")).alias("day"),
+    ).repartition(5)
+    numbered = sorted((r["@row"], r["id"]) for r in t.with_row_index(rows, *order, name="@row").select("@row", "id").collect())
+    expected = [i for _, i in numbered]
+    for first, limit in ((0, 10), (1490, 40), (2995, 50), (5000, 5), (100, 2000)):
+        found = sorted(r["id"] for r in paging.page(rows, *order, skip=first, limit=limit).collect())
+        assert found == sorted(expected[first : first + limit])
+    assert sorted(r["id"] for r in paging.skip(rows, 1234, *order).collect()) == sorted(expected[1234:])
+    assert paging.page(rows.limit(0), *order, limit=5).collect() == []
+
+
+def test_only_ranges_that_a_page_cuts_are_written(spark, monkeypatch):
+    rows = spark.range(20_000).withColumn("k", F.col("id") % 1000)
+    written, kept = t.written, []
+    monkeypatch.setattr(t, "written", lambda df, name: kept.append(df.count()) or written(df, name))
+    assert paging.page(rows, "k", skip=9_990, limit=20).count() == 20
+    assert paging.skip(rows, 15_000, F.col("k").desc()).count() == 5_000
+    assert kept and sum(kept) < 3 * 20_000 / 16
