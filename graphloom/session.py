@@ -42,7 +42,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete `written` tables that nothing will read again: what was made of them is written itself."""
+    """Delete `written` tables that nothing will read again: what was made of them is written itself. Spark deletes the shuffle files of
+    finished plans once the driver's JVM has found that nobody holds them, so it is asked to look."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_written.pop(df))
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
