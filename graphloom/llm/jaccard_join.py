@@ -11,9 +11,10 @@ fewer. Two texts link when 100 * common >= 80 * all of their tokens. A text with
 3. Similar sets are partitioned into groups: with a token, each set is compared with its centre, the one whose tokens are
    met most often in others (the text that copies were made of), and what links is a group.
 4. The matrix has, for each token and group, what is known of the members that have it: how large they are, how much of the
-   token's centre they have, how much else. That bounds what a set can have in common with them. A set is
-   compared with the members of another group only where token and bound allow a link, and where both share tokens of
-   their sketches (their least contested tokens), at the least of these alone. Members of one group need no comparing: they are
+   token's centre they have, how much else. That bounds what a set can have in common with them. Groups of several members
+   also have the union of all their tokens, and a set with too few of its own in there does not open them. A set is
+   compared with the members of another group only where token and bound allow a link, at the first token that both have: what
+   comes before it in the common order they do not share. Members of one group need no comparing: they are
    tied already.
 
 Rows of `documents` that repeat, null ids and texts, and other columns are handled: each row gets a row. A frequent
@@ -36,6 +37,7 @@ from graphloom.llm.registry import query
 from graphloom.llm.text import dealt_anew, map_slices, signed, slices
 from graphloom.session import dropped, written
 
+LARGE = 8  # members of a group whose tokens are brought together before it is opened
 SKETCH = 8  # tokens of a set by which two sets know that they meet elsewhere too
 SAMPLE = 16  # one text in so many is looked at for tokens of many sets
 FREQUENT = 100_000  # tokens, the most frequent of the sample, that are put last: all that a task is given
@@ -88,13 +90,13 @@ def frequent_tokens(texts: DataFrame) -> np.ndarray:
 
 
 def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """`token`, `set` of the prefix of every set; a task posts a set once."""
+    """`token`, `set`, `place` of the prefix of every set, by its place in the common order; a task posts a set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
             for part in slices(whole, "_text"):
-                names, tokens = [], []
+                names, tokens, places = [], [], []
                 for own in token_sets(part.column("_text")):
                     name = set_name(own)
                     if not len(own) or name in seen:
@@ -103,12 +105,13 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
                     own, _ = in_common_order(own, frequent)
                     tokens.append(own[: prefix_length(len(own))])
                     names.append(np.full(len(tokens[-1]), name, np.int64))
+                    places.append(np.arange(len(tokens[-1]), dtype=np.int32))
                 if names:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(names))], names=["token", "set"]
+                        [pa.array(signed(np.concatenate(tokens))), pa.array(np.concatenate(names)), pa.array(np.concatenate(places))], names=["token", "set", "place"]
                     )
 
-    return texts.select("_text").mapInArrow(run, "token long, set long")
+    return texts.select("_text").mapInArrow(run, "token long, set long, place int")
 
 
 def _most(end_a: Column, most_a: Column, first_b: Column, final_b: Column, most_b: Column) -> Column:
@@ -189,14 +192,14 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     # A set that was not compared with the centre may share all that it shares with it, or outside of it.
     known = F.when(F.col("set") == F.col("b"), F.col("n")).otherwise(F.col("common"))
     rest = F.col("n") - F.coalesce(known, F.lit(0))
-    grouped = grouped.select("token", "set", "n", "end", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
+    grouped = grouped.select("token", "set", "place", "n", "end", "most", F.coalesce(known, "upper").alias("centre"), rest.alias("rest"))
     grouped = grouped.join(tied(links).select(dealt_anew("node", "set"), "root"), "set", "left")
-    grouped = written(grouped.select("token", "set", "n", "end", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
+    grouped = written(grouped.select("token", "set", "place", "n", "end", "most", "centre", "rest", F.coalesce("root", "set").alias("group")), "grouped")
     dropped(centred)
     groups = grouped.groupBy("token").agg(F.min("group").alias("least"), F.max("group").alias("most_")).where("least <> most_")
     contested = written(grouped.join(groups.select(dealt_anew("token")), "token", "left_semi"), "contested")
     dropped(grouped)
-    least = F.slice(F.array_sort(F.collect_list("token")), 1, SKETCH).alias("sketch")
+    least = F.slice(F.array_sort(F.collect_list(F.struct("place", "token"))), 1, SKETCH)["token"].alias("sketch")
     sketches = contested.groupBy("set").agg(least).select(dealt_anew("set"), "sketch")
     matrix = contested.groupBy("token", "group").agg(
         F.count("*").alias("members"), F.min("n").alias("n_other"), F.max("n").alias("size_other"), F.min("end").alias("first_other"),
@@ -212,15 +215,49 @@ def linked_sets(texts: DataFrame) -> DataFrame:
     asking = asking.withColumn("size", c("n"))
     open_ = asking.join(other, "token").where(rank("beside", "group") < rank("members", "other"))
     open_ = open_.where(_may_link(c("n"), c("n_other"), _bound("_other", "first_other", "final_other")))
-    known = ("n", "end", "most", "centre", "rest", "sketch")
+    open_ = written(open_, "open")
+    open_ = open_.join(_closed(open_, sketched, sets), ["set", "other"], "left_anti")
+    known = ("n", "end", "most", "centre", "rest", "sketch", "place")
     members = sketched.select("token", c("group").alias("other"), c("set").alias("b"), *[c(m).alias(f"{m}_b") for m in known], c("n").alias("size_b"))
     pairs = open_.select("token", "other", c("set").alias("a"), *known, "size").join(members, ["token", "other"])
-    # Two sets that share tokens of their sketches meet at the least of these, and at no other token.
-    meet = F.array_min(F.array_intersect("sketch", "sketch_b"))
-    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("_b", "end_b", "end_b")) & (F.coalesce(meet, c("token")) == c("token"))).select("a", "b").distinct()
+    # Two sets meet at the first token that both have, in the common order: what comes before it in either is not shared. Where that
+    # is among the first contested tokens of both, they meet at no other.
+    meet = F.get(F.array_intersect("sketch", "sketch_b"), F.lit(0))
+    shared = F.least(c("n") - c("place"), c("n_b") - c("place_b"))
+    first = (F.coalesce(meet, c("token")) == c("token")) & (100 * shared >= 80 * (c("n") + c("n_b") - shared))
+    pairs = pairs.where(_may_link(c("n"), c("n_b"), _bound("_b", "end_b", "end_b")) & first).select("a", "b").distinct()
     return components(links.unionByName(compared(pairs, sets).where("near").select("a", "b")))
 
 
+def _closed(asked: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+    """`set`, `other`: of the sets that ask a group of LARGE members or more, those with too few tokens in the union of all tokens of that
+    group to be near any member. Smaller groups are cheaper to open than to bound."""
+    groups = members.select("group", "set", "n").distinct()
+    sizes = groups.groupBy("group").agg(F.count("*").alias("members"), F.min("n").alias("least")).where(F.col("members") >= LARGE)
+    large = written(sizes.select(F.col("group").alias("other"), "least"), "large-groups")
+    asked = written(asked.select("set", "n", "other").distinct().join(large.select(dealt_anew("other"), "least"), "other"), "asked-groups")
+    beside = groups.withColumnRenamed("group", "other").join(asked.select("other").distinct().select(dealt_anew("other")), "other", "left_semi").select("other", "set")
+    wanted = beside.select("set").unionByName(asked.select("set")).distinct()
+    tokens = written(_tokens_of(sets.join(wanted.select(dealt_anew("set")), "set", "left_semi")), "all-tokens")
+    union = beside.join(tokens, "set").select("other", "token").distinct()
+    met = asked.join(tokens, "set").join(union.withColumn("in_union", F.lit(1)), ["other", "token"], "left")
+    common = met.groupBy("set", "other").agg(F.count("in_union").alias("common"), F.min("n").alias("n"), F.min("least").alias("least"))
+    return common.where(~_may_link(F.col("n"), F.col("least"), F.col("common"))).select("set", "other")
+
+
+def _tokens_of(sets: DataFrame) -> DataFrame:
+    """`set`, `token` of all tokens of sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for part in slices(whole, "text"):
+                tokens = token_sets(part.column("text"))
+                names = np.repeat(part.column("set").to_numpy(), [len(x) for x in tokens])
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(signed(np.concatenate([*tokens, np.zeros(0, np.uint64)])))], names=["set", "token"])
+
+    return sets.select("set", "text").mapInArrow(run, "set long, token long").distinct()  # a set may be there more than once
+
+
 def _texts_of(texts: DataFrame, kept: DataFrame, frequent: np.ndarray) -> DataFrame:
     """`set`, `n`, the `end` of the prefix and one `text` of each set of `kept`; a task gives a set once."""
 
