@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from graphloom.functions import entities, lists, numeric, predicates, strings, structs, temporal
@@ -461,3 +462,19 @@ def generated_values(spark, folder):
         n_timed=F.count_if(F.col("seconds") == F.unix_timestamp("now")),
         n_dated=F.count_if(F.col("today") == F.to_date("now")),
     )
+
+
+@query(
+    "registered_function",
+    "SELECT p_partkey AS k, reverse(upper(p_name)) AS turned FROM part WHERE reverse(upper(p_name)) > 'M'",
+)
+def registered_function(spark, folder):
+    """A user's own function in SQL text: vectorized, over a whole table."""
+
+    @F.pandas_udf("string")
+    def turned(texts: pd.Series) -> pd.Series:
+        return texts.str.upper().str[::-1]
+
+    structs.register_function(spark, "turned", turned)
+    table(spark, folder, "part").createOrReplaceTempView("parts_to_turn")
+    return spark.sql("SELECT p_partkey AS k, turned(p_name) AS turned FROM parts_to_turn WHERE turned(p_name) > 'M'")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graphloom.model.graph import NodeTable, PropertyGraph, RelTable
 from graphloom.model.schema import GraphSchema
 from graphloom.model.types import parse_type_name
 from graphloom.operators import aggregates as agg
@@ -312,3 +313,20 @@ def view_of_session_and_csv(spark, folder):
     return m.df.groupBy(m["c.segment"].alias("segment")).agg(
         agg.count_all().alias("n"), exact_sum(m["o.totalprice"]).alias("total")
     )
+
+
+@query(
+    "mapped_frames",
+    """
+    SELECT s_name AS supplier, n_name AS nation FROM supplier JOIN nation ON n_nationkey = s_nationkey
+    """,
+)
+def mapped_frames(spark, folder):
+    """Tables whose columns follow no convention, as a graph: which column is the id, an end, or a property is said for each."""
+    graph = PropertyGraph.from_tables(
+        NodeTable.mapped("Supplier", table(spark, folder, "supplier"), "s_suppkey", {"title": "s_name"}),
+        NodeTable.mapped("Nation", table(spark, folder, "nation"), "n_nationkey", {"title": "n_name"}),
+        RelTable.mapped("SEATED_IN", table(spark, folder, "supplier"), "s_suppkey", "s_suppkey", "s_nationkey", {}, ["Supplier"], ["Nation"]),
+    )
+    m = graph.match("s", "Supplier").expand("s", "r", "n", types="SEATED_IN", labels="Nation")
+    return m.select(supplier="s.title", nation="n.title")
