@@ -22,7 +22,7 @@ from graphloom.model.graph import quoted
 from graphloom.operators.table import _repeatable, _sort_columns, with_row_index
 
 RANGES = 32
-SAMPLE = 1 << 11  # sort keys that the driver gets, about; they decide where ranges begin, never what is in a page
+SAMPLE = 1 << 11  # sort keys that the driver gets; they decide where ranges begin, never what is in a page
 
 
 @dataclass(frozen=True)
@@ -74,9 +74,9 @@ def _after(keys: Sequence[_Key], bound: Row) -> Column:
 
 
 def _bounds(df: DataFrame, keys: Sequence[_Key]) -> list[Row]:
-    """Different keys, in order, that cut the rows into ranges. The last key, a hash of the row, draws the sample."""
-    one_in = max(1, df.count() // SAMPLE)
-    drawn = df.where(F.pmod(keys[-1].column, F.lit(one_in)) == 0).select(*[k.column.alias(k.name) for k in keys]).distinct()
+    """Different keys, in order, that cut the rows into ranges: those of the SAMPLE rows whose hash, the last key, is least. Each task
+    sends no more than that."""
+    drawn = df.select(*[k.column.alias(k.name) for k in keys]).orderBy(quoted(keys[-1].name)).limit(SAMPLE).distinct()
     sample = drawn.orderBy(*[k.directed() for k in keys]).collect()
     step = max(1, len(sample) // RANGES)
     return sample[step::step]
