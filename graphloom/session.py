@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 _owned: set[str] = set()
+_passing: list[list[DataFrame]] = []
 _written: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -38,14 +41,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _written[out] = path
+    for tables in _passing:
+        tables.append(out)
     return out
 
 
+@contextmanager
+def passing_tables() -> Iterator[list[DataFrame]]:
+    """The tables written in the block are dropped at its end, but for those that are taken out of the list."""
+    tables: list[DataFrame] = []
+    _passing.append(tables)
+    try:
+        yield tables
+    finally:
+        _passing[:] = [other for other in _passing if other is not tables]
+    dropped(*[df for df in tables if df in _written])
+    _sweep()
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete `written` tables that nothing will read again: what was made of them is written itself. Spark deletes the shuffle files of
     finished plans once the driver's JVM has found that nobody holds them, so it is asked to look."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_written.pop(df))
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-    if tables:
-        tables[0].sparkSession._jvm.System.gc()
+    _sweep()
+
+
+def _sweep() -> None:
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session._jvm.System.gc()

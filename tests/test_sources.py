@@ -11,7 +11,7 @@ from graphloom import GraphCatalog, GraphSchema, NodeTable, PropertyGraph, RelTa
 from graphloom.errors import GraphError, GraphExistsError, GraphNotFoundError, GraphSchemaError
 from graphloom.model.types import parse_type_name
 from graphloom.operators.multigraph import Create, CreateNode, construct, union_graphs
-from graphloom.session import CHECKPOINT_SETTING, dropped, shared_folder, written
+from graphloom.session import CHECKPOINT_SETTING, dropped, passing_tables, shared_folder, written
 from graphloom.sinks import tables as sinks
 from graphloom.sources import frames
 from graphloom.sources.catalog import CachedSource
@@ -508,6 +508,10 @@ def test_dropped_tables_leave_no_files(spark):
     assert len(set(os.listdir(folder)) - before) == 1 and kept.count() == 5
     with pytest.raises(KeyError):
         dropped(spark.range(1))
+    with passing_tables() as tables:
+        a, b = written(spark.range(3), "a"), written(spark.range(4), "b")
+        tables.remove(b)
+    assert len(set(os.listdir(folder)) - before) == 2 and b.count() == 4 and a is not b
 
 
 def test_graph_counts(friends):
