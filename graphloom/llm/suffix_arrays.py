@@ -38,7 +38,7 @@ from graphloom.llm.stretches import (
     with_place,
 )
 from graphloom.llm.text import byte_rolling, dealt_anew, flat, ranges, signed, slices
-from graphloom.session import written
+from graphloom.session import passing_tables, written
 
 WINDOW = Windows(length=400, choices=128)
 GROUP = 1024  # stretches of one key that a suffix array is built over; a key of more is counted by windows
@@ -318,10 +318,13 @@ def first_kept(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", t
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("_rest")
     numbered = docs.select(rest, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("_row"))
     numbered = numbered.withColumn("_id", F.col("_rest")[id])
-    texts, found = repeated_strings(written(numbered, "numbered"), windows, "text", group)
+    numbered = written(numbered, "numbered")
+    with passing_tables() as tables:
+        texts, found = repeated_strings(numbered, windows, "text", group)
+        found = written(found, "repeated")
+        tables.remove(found)
     order = lambda *more: F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", *more)).alias("first")
     leading = texts.groupBy("_doc").agg(order("_row")).select(dealt_anew("_doc"), F.col("first._row").alias("_leads"))
-    found = written(found, "repeated")
     rows = texts.join(leading, "_doc").withColumn("leads", F.col("_row") == F.col("_leads")).select("_rest", "_id", "_doc", "_text", "leads")
     rows = rows.join(found.select(dealt_anew("doc", "_doc"), "intervals"), "_doc", "left")
 
@@ -343,6 +346,9 @@ def first_kept(docs: DataFrame, windows: Windows = WINDOW, id: str = "doc_id", t
     asked = rows.where("leads and intervals is not null").select("_id", "_doc", "_text", "intervals")
     firsts = asked.mapInArrow(named, f"name long, _id {kind}, doc long, start long").groupBy("name").agg(order("doc", "start"))
     firsts = firsts.groupBy(F.col("first.doc").alias("doc")).agg(F.collect_list("first.start").alias("firsts"))  # no more than the text has bytes
+    with passing_tables() as tables:  # the shuffle of the names ends here
+        firsts = written(firsts, "firsts")
+        tables.remove(firsts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
