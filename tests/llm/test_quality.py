@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import graphloom.llm.quality_classifier as classifier
 import graphloom.llm.quality_rules as rules
 from graphloom.llm import oracle_sql, queries
 from graphloom.llm.quality_classifier import fitted, learned, scored
@@ -125,3 +126,35 @@ def test_one_row_of_each_sampled_id(spark, monkeypatch):
     for parts in (1, 7):
         learned(spark.createDataFrame(rows[:: 1 if parts == 1 else -1], "doc_id long, text string").repartition(parts), labels, sample=10)
     assert len(given[0][0]) == 10 and given[0] == given[1]
+
+
+def test_every_label_counts(spark):
+    """Labels turned for all ids but the 20,000 of least hash, which were all that was learned from once, change the weights."""
+    n = 32_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.expr("repeat('The word # ', int(5 + id % 40))").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") % 40 >= 20).cast("int").alias("quality"))
+    first = labels.orderBy(F.xxhash64("doc_id"), "doc_id").where("crc32(cast(doc_id as string)) % 4 <> 2").limit(20_000).select("doc_id", F.lit(1).alias("first"))
+    turned = labels.join(first, "doc_id", "left").select("doc_id", F.expr("if(first = 1, quality, 1 - quality)").alias("quality"))
+    whole, part = learned(docs, labels), learned(docs, turned)
+    assert whole == learned(docs.repartition(3), labels.repartition(5)) and whole != part
+    assert max(map(abs, part.weights)) < 0.9 * max(map(abs, whole.weights))
+
+
+def test_tables_are_fitted_as_arrays_are(spark):
+    draw = np.random.default_rng(3)
+    values, good = draw.normal(size=(3000, 3)), draw.random(3000) < 0.2
+    values[good] += [1.0, 0.5, 0.0]
+    table = spark.createDataFrame([(i, v, bool(g)) for i, (v, g) in enumerate(zip(values.tolist(), good.tolist(), strict=True))], "doc_id long, v array<double>, good boolean")
+    found, plain = classifier.fitted_on_tables(table, "doc_id"), fitted(values, good)
+    assert np.allclose(found.weights, plain.weights, atol=0.12)
+    ranked = np.sort(values @ np.array(found.weights))
+    assert np.isclose(found.cut, ranked[(~good).sum() - 1 : (~good).sum() + 1].mean()) and np.isclose(found.width, ranked.std())
+
+
+@pytest.mark.parametrize(("n_good", "n_bad"), [(7, 3), (3, 7), (1, 9), (4, 4)])
+def test_every_labelled_row_is_in_pairs(spark, n_good, n_bad):
+    rows = [(i, [float(2**i)], i >= n_bad) for i in range(n_good + n_bad)]
+    gaps = [r.gap[0] for r in classifier._pairs(spark.createDataFrame(rows, "place long, v array<double>, good boolean"), n_good, n_bad).collect()]
+    pairs = {2.0**g - 2.0**b: (g, b) for b in range(n_bad) for g in range(n_bad, n_good + n_bad)}
+    assert len(gaps) == classifier.PARTNERS * max(n_good, n_bad)
+    assert {x for gap in gaps for x in pairs[gap]} == set(range(n_good + n_bad))
