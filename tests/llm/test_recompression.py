@@ -90,3 +90,19 @@ def test_equal_sequences_have_equal_roots():
     for s, r in zip(sequences, made.tolist(), strict=True):
         assert names.setdefault(tuple(s), r) == r
     assert len(set(names.values())) == len(names)
+
+
+def test_no_shuffle_stays_behind_the_repeats(spark):
+    """What tables were made by is gone once they are written."""
+    import re
+
+    from graphloom.llm.recompression import repeated_windows
+    from graphloom.session import dropped
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: set(re.findall(r"shuffle_\d+", disk.getAllBlocks().mkString(" ")))
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i % 3) * k % 97}" for k in range(200))) for i in range(60)], "doc_id long, text string").repartition(3)
+    dropped()
+    before = shuffles()
+    kept = repeated_windows(docs)
+    assert len(kept) == 2 and not shuffles() - before
