@@ -19,7 +19,7 @@ from graphloom.llm.secret_scans import redacted_text
 from graphloom.llm.stretches import Windows
 from graphloom.llm.suffix_arrays import first_kept
 from graphloom.llm.text import dealt_anew
-from graphloom.session import written
+from graphloom.session import passing_tables, written
 
 PASSAGE = Windows(length=200, choices=96)
 
@@ -37,7 +37,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the least id."""
     row = F.xxhash64("doc_id", "text")
-    found = written(near_components(docs.select(row.alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id"), "row-components")
+    with passing_tables() as tables:  # the join's own tables hold the texts once more
+        found = written(near_components(docs.select(row.alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id"), "row-components")
+        tables.remove(found)
     ids = docs.select(row.alias("_row"), "doc_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")).alias("first")
     kept = ids.join(found.distinct(), "_row").groupBy("component_id").agg(first).select(dealt_anew("first._row", "_row"))

@@ -146,3 +146,18 @@ def test_columns_of_any_name(spark, documents, change):
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == NAMES
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_the_join_leaves_one_table(spark):
+    """Its tables hold the texts once more: only the one that the rows are taken from stays."""
+    from pathlib import Path
+
+    from graphloom.llm.pipeline import jaccard_join
+    from graphloom.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 2) * k % 89}" for k in range(60 + i % 2))) for i in range(20)], "doc_id long, text string")
+    before = set(folder.iterdir())
+    rows = jaccard_join(spark, docs, "")
+    left = [p.name for p in folder.iterdir() if p not in before and p.is_dir()]
+    assert rows.count() > 0 and len(left) == 1, left
