@@ -40,6 +40,7 @@ from graphloom.session import dropped, written
 LARGE = 8  # members of a group whose tokens are brought together before it is opened
 SKETCH = 8  # tokens of a set by which two sets know that they meet elsewhere too
 SAMPLE = 16  # one text in so many is looked at for tokens of many sets
+SLICE = 1 << 19  # bytes of text whose tokens a task makes at once: hashes and sums take some 50 times that
 FREQUENT = 100_000  # tokens, the most frequent of the sample, that are put last: all that a task is given
 
 
@@ -84,7 +85,7 @@ def frequent_tokens(texts: DataFrame) -> np.ndarray:
     def work(batch):
         return pa.RecordBatch.from_arrays([_lists(token_sets(batch.column("_text")))], names=["tokens"])
 
-    counted = map_slices(few.select("_text"), work, "tokens array<long>", "_text").select(F.explode("tokens").alias("token")).groupBy("token").count()
+    counted = map_slices(few.select("_text"), work, "tokens array<long>", "_text", SLICE).select(F.explode("tokens").alias("token")).groupBy("token").count()
     found = counted.where("count > 2").orderBy(F.desc("count"), "token").limit(FREQUENT).select("token").collect()
     return np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
 
@@ -95,7 +96,7 @@ def prefixes(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for part in slices(whole, "_text"):
+            for part in slices(whole, "_text", SLICE):
                 names, tokens, places = [], [], []
                 for own in token_sets(part.column("_text")):
                     name = set_name(own)
@@ -138,7 +139,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in slices(whole, "text_a"):
+            for part in slices(whole, "text_a", SLICE):
                 texts = part.column("text_b").dictionary_encode()  # the other side is often the same
                 of_b, which = token_sets(texts.dictionary), texts.indices.to_pylist()
                 shared, near = [], []
@@ -250,7 +251,7 @@ def _tokens_of(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for part in slices(whole, "text"):
+            for part in slices(whole, "text", SLICE):
                 tokens = token_sets(part.column("text"))
                 names = np.repeat(part.column("set").to_numpy(), [len(x) for x in tokens])
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(signed(np.concatenate([*tokens, np.zeros(0, np.uint64)])))], names=["set", "token"])
@@ -264,7 +265,7 @@ def _texts_of(texts: DataFrame, kept: DataFrame, frequent: np.ndarray) -> DataFr
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for whole in batches:
-            for part in slices(whole, "_text"):
+            for part in slices(whole, "_text", SLICE):
                 own = token_sets(part.column("_text"))
                 names = [set_name(x) for x in own]
                 new = []
@@ -302,7 +303,7 @@ def near_components(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
         return pa.RecordBatch.from_arrays([batch.column("_id"), names, pa.array([len(x) for x in own], pa.int64())], names=["_id", "set", "n"])
 
     kind = docs.schema[id].dataType.simpleString()
-    rows = written(map_slices(texts, work, f"_id {kind}, set long, n long", "_text"), "set-names")
+    rows = written(map_slices(texts, work, f"_id {kind}, set long, n long", "_text", SLICE), "set-names")
     linked = linked_sets(texts)
     of_set = rows.where("set is not null").groupBy("set").agg(F.min("_id").alias("least"))
     rooted = of_set.join(linked.withColumnRenamed("node", "set"), "set", "left").select("set", "least", F.coalesce("root", "set").alias("root"))

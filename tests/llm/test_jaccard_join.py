@@ -127,3 +127,19 @@ def test_components_of_paths_and_stars(spark):
     rows = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     expected = roots_of(nodes, edges)
     assert {n: rows.get(n, n) for n in nodes} == expected
+
+
+def test_tokens_of_a_slice_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from graphloom.llm import jaccard_join as join
+    from graphloom.llm.text import slices
+
+    batch = pa.RecordBatch.from_arrays([pa.array([f"w{i} v{i} " * 3000 for i in range(160)])], names=["_text"])
+    tracemalloc.start()
+    parts = [len(join.token_sets(part.column("_text"))) for part in slices(batch, "_text", join.SLICE)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(parts) == 160 and peak < 100e6
