@@ -49,9 +49,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def suffix_arrays(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of the strings of 200 bytes that repeat; the first copy of each stays, that of the least id. A
-    passage of over 50 words is longer than that. Characters that lose a byte go with it, and so do documents of which no
-    word is left."""
-    left = first_kept(docs, PASSAGE).select("_rest", F.col("kept_text").alias("text"))
+    passage of over 50 words is longer than that. A later copy of which strings that overlap it, and are first there, would leave more
+    than goes, goes as a whole. Characters that lose a byte go with it, and so do documents of which no word is left."""
+    left = first_kept(docs, PASSAGE, give_way=True).select("_rest", F.col("kept_text").alias("text"))
     return _with_text(left.where(F.length(F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))) > 0), docs)
 
 

@@ -132,6 +132,23 @@ def test_passages_stay_once(spark):
     assert {i: t for i, t in left.items() if i >= 1000} == {r.doc_id: r.text for r in frame.where("doc_id >= 1000").collect()}
 
 
+def test_passages_stay_once_whatever_is_beside_them(spark):
+    """The letters next to a passage are the same in some documents: the first with these keeps no copy of the passage."""
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyzéü") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    passages = [text(n).encode()[:size].decode(errors="ignore") for n, size in ((70, 280), (110, 600))]
+    for passage in passages:
+        halves = [(text(60), text(60)) for _ in range(24)]
+        beside = [("abcd"[i % 4], "stuvwx"[i // 4]) for i in range(24)]
+        rows = [(i, f"{a} {x}\n{passage}\n{y} {b}") for i, ((a, b), (x, y)) in enumerate(zip(halves, beside, strict=True))]
+        left = {r.doc_id: r.text for r in STAGES[2][1](spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()}
+        assert left[0] == rows[0][1]
+        for i, (a, b) in enumerate(halves):
+            assert left[i].startswith(a[:-20]) and left[i].endswith(b[20:])  # words of a document too may be beside a passage elsewhere
+            assert i == 0 or 2 * (len(left[i]) - len(a) - len(b)) <= len(passage) + 12, (i, len(passage), len(left[i]) - len(a) - len(b))
+
+
 @pytest.mark.parametrize("change", [str, str.upper])
 def test_columns_of_any_name(spark, documents, change):
     names = [change(n) for n in "_given _parts _rest _row _id _doc _text kept kept_text measures failed base_failed leads intervals first firsts component_id set token".split()]
